@@ -125,12 +125,16 @@ def semi_join(df: DataFrame, existing: DataFrame, keys: Sequence[str], null_safe
 
 
 def _exists(df: DataFrame, existing: DataFrame, keys: Sequence[str], how: str, null_safe: bool) -> DataFrame:
-    if not null_safe:
-        return lookup_join(df, existing.select(*keys).dropna().distinct(), keys, how)
-    # Missing equals missing: compare a never-missing struct per key part.
-    wrap = lambda frame: frame.withColumns(
-        {f"_k{i}": F.struct(F.col(k).alias("v")) for i, k in enumerate(keys)}
-    )
-    names = [f"_k{i}" for i in range(len(keys))]
-    lookup = wrap(existing.select(*keys)).select(*names).distinct()
-    return lookup_join(wrap(df), lookup, names, how).select(*df.columns)
+    keys = list(keys)
+    found = existing.select(*keys)
+    if null_safe:
+        # Missing equals missing: a struct of one missing part is itself not missing.
+        names = [f"_k{i}" for i in range(len(keys))]
+        parts = {n: F.struct(F.col(k).alias("v")) for n, k in zip(names, keys)}
+        df_out, df, found, keys = df.columns, df.withColumns(parts), found.withColumns(parts).select(*names), names
+    else:
+        df_out, found = df.columns, found.dropna()
+    # Measured before the distinct, which then is computed once.
+    if fits_broadcast(found):
+        return df.join(F.broadcast(found.distinct()), keys, how).select(*df_out)
+    return scattered_join(df, found.distinct(), keys, how).select(*df_out)

@@ -6,11 +6,21 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions import fixed_values as fixed
-from ..functions.scalars import canonical_subject, first_text, grade_from_level_id, school_name
+from ..functions.predicates import needs_enrichment
+from ..functions.scalars import (
+    canonical_subject,
+    first_number,
+    first_text,
+    grade_from_level_id,
+    parse_date,
+    school_name,
+)
 from .joins import broadcast_if_small, lookup_join
 from .picks import first_per_key, latest_per_assessment
 
 STUDENT = "local_student_id"
+_SUBJECTS = sorted(set(fixed.SUBJECT_LABELS.values()))
+_SECTION_COLUMNS = {name: f"section_{i}" for i, name in enumerate(_SUBJECTS)}
 
 
 def enrich_enrollment(results: DataFrame, enrollment: DataFrame, how: str = "left") -> DataFrame:
@@ -33,31 +43,43 @@ def with_school_name(df: DataFrame, sites: DataFrame) -> DataFrame:
     )
 
 
-def section_index(section_roster: DataFrame) -> DataFrame:
-    """First section per student, subject code and content area; rows lacking either are left out."""
-    usable = section_roster.where(F.col("subject_area").isNotNull() & F.col("content_area").isNotNull())
-    return first_per_key(usable, ["student_id", "subject_area", "content_area"], ["seq"])
-
-
-def section_choices(section_roster: DataFrame, subject_map: DataFrame) -> DataFrame:
-    """Section per student and subject name: the first content area, in map order, the student has.
+def section_uses(section_roster: DataFrame, subject_map: DataFrame) -> DataFrame:
+    """Roster sections with the subject names they can serve and their rank for it.
 
     The map side holds one row per (code, content area) with its subjects in a short list (there are
-    four subject names), so it is a lookup; the best choice is a ``min_by``, combined before the shuffle.
+    four subject names), so it is a lookup. Rows without a code or a content area serve nothing.
     """
-    wanted = subject_map.where(F.col("subject_area_name").isin(sorted(set(fixed.SUBJECT_LABELS.values()))))
+    wanted = subject_map.where(F.col("subject_area_name").isin(_SUBJECTS))
     areas = wanted.groupBy(
         F.col("sa_code").alias("subject_area"), F.col("course_id_code").alias("content_area")
     ).agg(F.collect_set(F.struct("subject_area_name", "priority")).alias("uses"))
-    section = F.struct("section_id", "teacher_first", "teacher_last")
     return (
-        lookup_join(section_index(section_roster), areas, ["subject_area", "content_area"], "inner")
+        lookup_join(section_roster, areas, ["subject_area", "content_area"], "inner")
         .withColumn("use", F.explode("uses"))
-        .groupBy(F.col("student_id").alias(STUDENT), F.col("use.subject_area_name").alias("subject_name"))
-        .agg(F.min_by(section, F.col("use.priority")).alias("section"))
+        .select(
+            F.col("student_id").alias(STUDENT),
+            F.col("use.subject_area_name").alias("subject_name"),
+            F.struct("section_id", "teacher_first", "teacher_last").alias("section"),
+            F.struct("use.priority", "seq").alias("rank"),
+        )
     )
 
 
+def section_choices(section_roster: DataFrame, subject_map: DataFrame) -> DataFrame:
+    """Section per student and subject name: of the first content area in map order the first roster row."""
+    uses = section_uses(section_roster, subject_map)
+    return uses.groupBy(STUDENT, "subject_name").agg(F.min_by("section", "rank").alias("section"))
+
+
+def sections_by_student(section_roster: DataFrame, subject_map: DataFrame) -> DataFrame:
+    """The same choices as one column per subject, by a single aggregate."""
+    best = [
+        F.min_by("section", F.when(F.col("subject_name") == name, F.col("rank"))).alias(column)
+        for name, column in _SECTION_COLUMNS.items()
+    ]
+    return section_uses(section_roster, subject_map).groupBy(STUDENT).agg(*best)
+
+
 def match_section(results: DataFrame, choices: DataFrame, subject: Column) -> DataFrame:
     """Section columns by student and subject label; NULL where no section matches."""
     return (
@@ -112,34 +134,18 @@ def student_profile(
     student, in place of one per lookup. Students without a site are left out: their results are
     skipped.
     """
-    subjects = sorted(set(fixed.SUBJECT_LABELS.values()))
-    sections = (
-        section_choices(section_roster, subject_map)
-        .groupBy(STUDENT)
-        .agg(
-            *[
-                F.max(F.when(F.col("subject_name") == s, F.col("section"))).alias(f"section_{i}")
-                for i, s in enumerate(subjects)
-            ]
-        )
-    )
     students = with_school_name(enrollment.where(F.col("site_id").isNotNull()), sites)
     return (
         students.withColumnRenamed("district_student_id", STUDENT)
         .join(roster_users(roster, users), STUDENT, "left")
-        .join(sections, STUDENT, "left")
+        .join(sections_by_student(section_roster, subject_map), STUDENT, "left")
     )
 
 
 def profile_section(subject_label: Column) -> Column:
     """The profile's section column for a subject label."""
-    subjects = sorted(set(fixed.SUBJECT_LABELS.values()))
     name = canonical_subject(subject_label)
-    chain = None
-    for i, s in enumerate(subjects):
-        c = F.col(f"section_{i}")
-        chain = F.when(name == s, c) if chain is None else chain.when(name == s, c)
-    return chain
+    return F.coalesce(*[F.when(name == n, F.col(c)) for n, c in _SECTION_COLUMNS.items()])
 
 
 def standards_catalogue(standards: DataFrame, catalogue: DataFrame) -> DataFrame:
@@ -187,8 +193,6 @@ def backfill_teacher_grade(
 
     ``convert_grade=False`` writes the level id as it is.
     """
-    from ..functions.predicates import needs_enrichment
-
     needing = (
         results.where(
             needs_enrichment(F.col("StudentID_LASID"), F.col("TeacherLastName"), F.col("StudentGrade"))
@@ -256,8 +260,6 @@ def backfill_section_teacher(results: DataFrame, section_roster: DataFrame) -> D
 
 def alias_fields(nested: DataFrame, academic_year: Column) -> dict[str, Column]:
     """Landing fields of a nested record, each from its first alias that holds something."""
-    from ..functions.scalars import first_number, parse_date
-
     text = lambda *names: first_text(*[F.col(n) for n in names])
     return {
         "AcademicYear": academic_year,

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from ..functions import predicates as pred
 from ..functions import scalars as s
 from .joins import anti_join, lookup_join
-from .lookups import usage_left_joins, with_site_names
+from .lookups import with_site_names
 from .picks import top_per_key
 
 def row_count() -> Column:
@@ -230,34 +230,27 @@ def assessment_usage(assignments: DataFrame, results: DataFrame) -> DataFrame:
     assessments need their students compared, after the results are down to one row per student.
     """
     line = ["AssignmentName", "ProgramName", "SchoolID", "site_name"]
-    named = with_site_names(assignments, results)
-    lines = named.groupBy(*line).agg(
-        F.min("SourceAssessmentID").alias("SourceAssessmentID"),
-        F.max("SourceAssessmentID").alias("last_id"),
-    )
-    single = F.col("SourceAssessmentID").eqNullSafe(F.col("last_id"))
-    usage = results.groupBy(F.col("AssessmentID").alias("SourceAssessmentID")).agg(
-        F.countDistinct("StudentID_LASID").alias("NumStudents"),
-        F.max("DateCompleted").alias("MostRecentUse"),
-    )
-    singles = lookup_join(lines.where(single), usage, ["SourceAssessmentID"]).select(
-        *line, F.coalesce("NumStudents", F.lit(0)).alias("NumStudents"), "MostRecentUse"
+    assessment = "SourceAssessmentID"
+    per_student = results.groupBy(F.col("AssessmentID").alias(assessment), "StudentID_LASID").agg(
+        F.max("DateCompleted").alias("LastUse")
     )
-    ids_of_lines = (
-        named.groupBy(*line)
-        .agg(F.collect_set("SourceAssessmentID").alias("ids"))
-        .where(F.size("ids") > 1)
-        .select(*line, F.explode("ids").alias("SourceAssessmentID"))
+    usage = per_student.groupBy(assessment).agg(
+        F.count("StudentID_LASID").alias("NumStudents"), F.max("LastUse").alias("MostRecentUse")
     )
-    per_student = results.groupBy(F.col("AssessmentID").alias("SourceAssessmentID"), "StudentID_LASID").agg(
-        F.max("DateCompleted").alias("LastUse")
+    # A struct, so that lines with missing parts are equal to themselves.
+    parts = with_site_names(assignments, results).select(F.struct(*line).alias("line"), assessment).distinct()
+    lines = parts.groupBy("line").agg(F.min(assessment).alias(assessment), F.max(assessment).alias("last_id"))
+    is_single = F.col(assessment).eqNullSafe(F.col("last_id"))
+    singles = lookup_join(lines.where(is_single), usage, [assessment]).select(
+        "line", F.coalesce("NumStudents", F.lit(0)).alias("NumStudents"), "MostRecentUse"
     )
     several = (
-        ids_of_lines.join(per_student, "SourceAssessmentID", "left")
-        .groupBy(*line)
+        parts.join(lines.where(~is_single).select("line"), "line", "left_semi")
+        .join(per_student, assessment, "left")
+        .groupBy("line")
         .agg(F.countDistinct("StudentID_LASID").alias("NumStudents"), F.max("LastUse").alias("MostRecentUse"))
     )
-    return singles.unionByName(several).orderBy(*line)
+    return singles.unionByName(several).select("line.*", "NumStudents", "MostRecentUse").orderBy(*line)
 
 
 # --- grades and teachers ---------------------------------------------------------------------------

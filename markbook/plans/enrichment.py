@@ -10,6 +10,7 @@ from ..operators.joins import lookup_join
 from ..operators.lookups import STUDENT, grade_fallback, profile_section, student_profile, teacher_fallback
 from ..schemas import LANDING, conform
 from ..sources import reference_tables as ref
+from ..sources.tables import stage
 
 
 def build_profile(
@@ -21,14 +22,19 @@ def build_profile(
     subject_map: DataFrame,
     seq: str = "seq",
 ) -> DataFrame:
-    """``student_profile`` from the lookup inputs as they are landed, each with an arrival column."""
-    return student_profile(
-        ref.enrollment(enrollment, seq),
-        ref.sites(sites, seq),
-        ref.users(users, seq),
-        ref.roster(roster),
-        ref.section_roster(section_roster),
-        ref.subject_map(subject_map),
+    """``student_profile`` from the lookup inputs as they are landed, each with an arrival column.
+
+    It is staged: the join measures it before it reads it.
+    """
+    return stage(
+        student_profile(
+            ref.enrollment(enrollment, seq),
+            ref.sites(sites, seq),
+            ref.users(users, seq),
+            ref.roster(roster),
+            ref.section_roster(section_roster),
+            ref.subject_map(subject_map),
+        )
     )
 
 

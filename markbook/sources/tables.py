@@ -27,6 +27,16 @@ def read_results(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.parquet(path).withColumn(YEAR, F.col(YEAR).cast("string"))
 
 
+def stage(rows: DataFrame) -> DataFrame:
+    """The rows as a written table in the shared scratch folder: computed once, whatever reads them.
+
+    It also cuts the lineage, so a lost executor costs a re-read and not a recomputation.
+    """
+    path = scratch_dir(rows.sparkSession)
+    rows.write.parquet(path)
+    return rows.sparkSession.read.schema(rows.schema).parquet(path)
+
+
 def append_results(rows: DataFrame, path: str) -> None:
     _sized_by_year(rows).write.mode("append").partitionBy(YEAR).parquet(path)
 
@@ -43,11 +53,7 @@ def replace_table(rows: DataFrame, path: str, partition: Sequence[str] = ()) ->
     They are staged in the shared scratch folder first: a table is never read and overwritten in one job,
     and the staged copy outlives a failed overwrite.
     """
-    spark = rows.sparkSession
-    staging = scratch_dir(spark)
-    rows.write.parquet(staging)
-    staged = spark.read.parquet(staging)
-    writer = staged.write.mode("overwrite").option("partitionOverwriteMode", "static")
+    writer = stage(rows).write.mode("overwrite").option("partitionOverwriteMode", "static")
     (writer.partitionBy(*partition) if partition else writer).parquet(path)
 
 
@@ -66,9 +72,7 @@ def replace_window(spark: SparkSession, path: str, batch: DataFrame, start: dt.d
 
     The batch is staged once, so it is not computed again for each step. Returns the years rewritten.
     """
-    batch_path, staging = scratch_dir(spark), scratch_dir(spark)
-    batch.write.parquet(batch_path)
-    batch = spark.read.schema(batch.schema).parquet(batch_path)
+    batch = stage(batch)
     target = read_results(spark, path)
     inside = target.where(between_dates(F.col("DateCompleted"), start, end))
     # One value per year folder, never more.
@@ -78,8 +82,7 @@ def replace_window(spark: SparkSession, path: str, batch: DataFrame, start: dt.d
     touched = F.lit(False)
     for year in years:
         touched = touched | _same_year(year)
-    window_replace(target.where(touched), batch, start, end).write.parquet(staging)
-    staged = spark.read.parquet(staging)
+    staged = stage(window_replace(target.where(touched), batch, start, end))
     left = {r[0] for r in staged.select(YEAR).distinct().collect()}
     writer = _sized_by_year(staged).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
     writer.partitionBy(YEAR).parquet(path)

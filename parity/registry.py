@@ -10,6 +10,8 @@ from .views import Views, with_views
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
+# The same queries as functions of their input views.
+ON_VIEWS: dict[str, Callable[[Views], DataFrame]] = {}
 
 
 def query(name: str, oracle: str | None = None):
@@ -23,6 +25,7 @@ def query(name: str, oracle: str | None = None):
             return fn(Views(spark, sf_dir))
 
         run.__name__ = name
+        ON_VIEWS[name] = fn
         QUERIES[name] = run
         if oracle is not None:
             ORACLES[name] = with_views(oracle)

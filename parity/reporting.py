@@ -37,7 +37,7 @@ def duplicate_count(v):
 
 @query(
     "duplicate_count_after_delete",
-    f"SELECT COUNT(DISTINCT {_KEY}) AS TotalRecords, COUNT(DISTINCT {_KEY}) AS UniqueRecords, 0 AS DuplicateCount FROM results",
+    f"SELECT COUNT(DISTINCT {_KEY}) AS TotalRecords, COUNT(DISTINCT {_KEY}) AS UniqueRecords, CAST(0 AS BIGINT) AS DuplicateCount FROM results",
 )
 def duplicate_count_after_delete(v):
     return reports.duplicate_count(quality.delete_duplicates(v.results))
@@ -550,7 +550,7 @@ _REPORTED = {"StandardSet": "string", "StandardCodingNumber": "string", "Standar
 @query(
     "column_report",
     " UNION ALL ".join(
-        f"SELECT '{c}' AS column_name, MAX(length({c})) AS max_length, '{t}' AS data_type FROM standards_now"
+        f"SELECT '{c}' AS column_name, CAST(MAX(length({c})) AS INT) AS max_length, '{t}' AS data_type FROM standards_now"
         for c, t in _REPORTED.items()
     )
     + " UNION ALL SELECT 'CreatedDate', NULL, 'date' FROM (SELECT COUNT(*) FROM standards_now) x",

@@ -84,7 +84,7 @@ def scan_section_roster(v):
 @query(
     "scan_subject_map",
     """SELECT m.subject_area_name, f.sa_code, m.course_id_code,
-              row_number() OVER (PARTITION BY m.subject_area_name ORDER BY m.own, m.course_id_code) AS place
+              row_number() OVER (PARTITION BY m.subject_area_name ORDER BY m.own, m.course_id_code)::INT AS place
        FROM (SELECT subject_area_name, course_id_code, MIN(sa_code) AS own FROM subject_map GROUP BY 1, 2) m
        JOIN (SELECT subject_area_name, MIN(sa_code) AS sa_code FROM subject_map GROUP BY 1) f
          ON m.subject_area_name = f.subject_area_name""",

@@ -347,3 +347,21 @@ class Views:
                 full,
             )
         return self.spark.sql(full)
+
+
+class LandedViews(Views):
+    """The same views, each written as a parquet table when first asked for."""
+
+    def __init__(self, spark: SparkSession, sf_dir: str, folder: str):
+        super().__init__(spark, sf_dir)
+        self.folder = folder
+        self._written: set[str] = set()
+
+    def __getattr__(self, name: str) -> DataFrame:
+        if name not in VIEWS:
+            return super().__getattr__(name)
+        path = f"{self.folder}/{name}"
+        if name not in self._written:
+            super().__getattr__(name).write.mode("overwrite").parquet(path)
+            self._written.add(name)
+        return self.spark.read.parquet(path)
