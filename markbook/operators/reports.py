@@ -14,10 +14,15 @@ from pyspark.sql import functions as F
 
 from ..functions import predicates as pred
 from ..functions import scalars as s
-from .joins import anti_join, lookup_join
+from ..sources.tables import stage
+from .joins import anti_join, broadcast_if_small, lookup_join
 from .lookups import with_site_names
 from .picks import top_per_key
 
+# Longest list of assessments that is gathered for one report line.
+SHORT_LIST = 100
+
+
 def row_count() -> Column:
     return F.count(F.lit(1))
 
@@ -226,31 +231,39 @@ def null_school_count(results: DataFrame) -> DataFrame:
 def assessment_usage(assignments: DataFrame, results: DataFrame) -> DataFrame:
     """Distinct students and most recent date per assignment name, program, school and school name.
 
-    A line made of a single assessment takes that assessment's counts. Only lines made of several
-    assessments need their students compared, after the results are down to one row per student.
+    Many schools use the same assessments, so students are counted once per distinct set of assessments
+    and not once per school. Only a line with more assessments than fit a short list is paired with its
+    students directly.
     """
     line = ["AssignmentName", "ProgramName", "SchoolID", "site_name"]
     assessment = "SourceAssessmentID"
     per_student = results.groupBy(F.col("AssessmentID").alias(assessment), "StudentID_LASID").agg(
         F.max("DateCompleted").alias("LastUse")
     )
-    usage = per_student.groupBy(assessment).agg(
-        F.count("StudentID_LASID").alias("NumStudents"), F.max("LastUse").alias("MostRecentUse")
-    )
+    figures = [F.countDistinct("StudentID_LASID").alias("NumStudents"), F.max("LastUse").alias("MostRecentUse")]
     # A struct, so that lines with missing parts are equal to themselves.
-    parts = with_site_names(assignments, results).select(F.struct(*line).alias("line"), assessment).distinct()
-    lines = parts.groupBy("line").agg(F.min(assessment).alias(assessment), F.max(assessment).alias("last_id"))
-    is_single = F.col(assessment).eqNullSafe(F.col("last_id"))
-    singles = lookup_join(lines.where(is_single), usage, [assessment]).select(
-        "line", F.coalesce("NumStudents", F.lit(0)).alias("NumStudents"), "MostRecentUse"
+    parts = stage(
+        with_site_names(assignments, results).select(F.struct(*line).alias("line"), assessment).distinct()
+    )
+    sizes = parts.groupBy("line").agg(F.count(assessment).alias("n"))
+    short = sizes.where(F.col("n") <= SHORT_LIST).select("line")
+    lists = (
+        parts.join(short, "line", "left_semi")
+        .groupBy("line")
+        .agg(F.array_sort(F.collect_list(assessment)).alias("ids"))
     )
-    several = (
-        parts.join(lines.where(~is_single).select("line"), "line", "left_semi")
+    members = lists.select("ids").distinct().withColumn(assessment, F.explode("ids"))
+    used = broadcast_if_small(members).join(per_student, assessment).groupBy("ids").agg(*figures)
+    short_lines = lists.join(used, "ids", "left")
+    long_lines = (
+        parts.join(sizes.where(F.col("n") > SHORT_LIST).select("line"), "line", "left_semi")
         .join(per_student, assessment, "left")
         .groupBy("line")
-        .agg(F.countDistinct("StudentID_LASID").alias("NumStudents"), F.max("LastUse").alias("MostRecentUse"))
+        .agg(*figures)
     )
-    return singles.unionByName(several).select("line.*", "NumStudents", "MostRecentUse").orderBy(*line)
+    columns = ("line", F.coalesce("NumStudents", F.lit(0)).alias("NumStudents"), "MostRecentUse")
+    out = short_lines.select(*columns).unionByName(long_lines.select(*columns))
+    return out.select("line.*", "NumStudents", "MostRecentUse").orderBy(*line)
 
 
 # --- grades and teachers ---------------------------------------------------------------------------

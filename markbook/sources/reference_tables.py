@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.scalars import grade_from_level_id, nonzero_id
@@ -68,12 +68,12 @@ def subject_map(raw: DataFrame) -> DataFrame:
     The search order is (code, course id), so ``priority`` is a struct that compares that way and
     no ranking over the whole table is needed.
     """
-    rows = raw.select("subject_area_name", "sa_code", "course_id_code").distinct()
-    first_code = rows.groupBy("subject_area_name").agg(F.min("sa_code").alias("first_code"))
-    courses = rows.groupBy("subject_area_name", "course_id_code").agg(F.min("sa_code").alias("own_code"))
-    return courses.join(first_code, "subject_area_name").select(
+    courses = raw.groupBy("subject_area_name", "course_id_code").agg(F.min("sa_code").alias("own_code"))
+    # One row per course by now, so a subject's window is as small as its list of courses.
+    first_code = F.min("own_code").over(Window.partitionBy("subject_area_name"))
+    return courses.select(
         "subject_area_name",
-        F.col("first_code").alias("sa_code"),
+        first_code.alias("sa_code"),
         "course_id_code",
         F.struct("own_code", "course_id_code").alias("priority"),
     )

@@ -211,7 +211,6 @@ def rebuild_summary(v):
     warehouse = weekly.Warehouse(v.spark, scratch_dir(v.spark))
     tables.append_results(v.results, warehouse.path("results"))
     weekly.rebuild_summary(warehouse)
-    weekly.rebuild_summary(warehouse)
     return warehouse.table(schemas.SUMMARY)
 
 

@@ -352,9 +352,9 @@ class Views:
 class LandedViews(Views):
     """The same views, each written as a parquet table when first asked for."""
 
-    def __init__(self, spark: SparkSession, sf_dir: str, folder: str):
+    def __init__(self, spark: SparkSession, sf_dir: str, folder: str, files: int = 8):
         super().__init__(spark, sf_dir)
-        self.folder = folder
+        self.folder, self.files = folder, files
         self._written: set[str] = set()
 
     def __getattr__(self, name: str) -> DataFrame:
@@ -362,6 +362,7 @@ class LandedViews(Views):
             return super().__getattr__(name)
         path = f"{self.folder}/{name}"
         if name not in self._written:
-            super().__getattr__(name).write.mode("overwrite").parquet(path)
+            rows = super().__getattr__(name)
+            rows.repartition(self.files).write.mode("overwrite").parquet(path)
             self._written.add(name)
         return self.spark.read.parquet(path)
