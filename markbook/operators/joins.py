@@ -14,7 +14,7 @@ from collections.abc import Sequence
 from functools import reduce
 from operator import or_
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 BROADCAST_BYTES = 32 * 1024 * 1024
@@ -68,6 +68,11 @@ def lookup_join(
     return scattered_join(df, lookup, keys, how, hot_rows, limit)
 
 
+def no_scatter(keys: Sequence[str]) -> Column:
+    """Zero, computed from the keys: a literal would be folded out of the join keys, and with it the scatter."""
+    return F.pmod(F.xxhash64(*keys), F.lit(1))
+
+
 def scattered_join(
     df: DataFrame,
     lookup: DataFrame,
@@ -94,8 +99,8 @@ def scattered_join(
     diverted = missing_key | F.col(_IS_HOT).isNotNull()
     joined = (
         df.join(F.broadcast(hot_side), keys, "left")
-        .withColumn(_SCATTER, F.when(diverted, F.spark_partition_id() + 1).otherwise(0))
-        .join(rows.withColumn(_SCATTER, F.lit(0)), [*keys, _SCATTER], "left")
+        .withColumn(_SCATTER, F.when(diverted, F.spark_partition_id() + 1).otherwise(F.lit(0)).cast("bigint"))
+        .join(rows.withColumn(_SCATTER, no_scatter(keys)), [*keys, _SCATTER], "left")
     )
     found = F.coalesce(F.col(_HOT), F.col(_COLD))
     if how in ("inner", "left_semi"):

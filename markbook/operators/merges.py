@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from ..functions.predicates import valid_standard
 from ..functions.scalars import first_text, program_from_title, subject_code_first, subject_or_code
-from .joins import anti_join, lookup_join
+from .joins import anti_join, lookup_join, no_scatter
 from .lookups import inner_latest, standards_catalogue
 from .picks import first_assessment_per_key, first_per_key, one_per_standard
 
@@ -46,7 +46,7 @@ def merge_frames(
         missing = reduce(or_, [F.col(p).isNull() for p in parts])
         return (
             df.select(*[c.alias(p) for p, c in parts.items()], F.struct(*df.columns).alias(name))
-            .withColumn("_scatter", F.when(missing, sign * (F.spark_partition_id() + 1)).otherwise(0))
+            .withColumn("_scatter", F.when(missing, sign * (F.spark_partition_id() + 1)).otherwise(no_scatter(list(parts))))
         )
 
     on = [f"_k{i}" for i in range(len(keys))] + ["_scatter"]
