@@ -24,34 +24,52 @@ def _append(target: DataFrame, new: DataFrame) -> DataFrame:
     return target.unionByName(new, allowMissingColumns=True)
 
 
-def sync_program_results(results: DataFrame, target: DataFrame, null_safe: bool = False) -> DataFrame:
-    """Add the program's results that are not in the copy.
+RESULT_KEYS = ("StudentID_LASID", "AssignmentName", "DateCompleted", "StandardCodingNumber")
+SUMMARY_KEYS = ("StudentID_LASID", "AssignmentName", "DateCompleted")
+STANDARD_KEYS = ("StandardSet", "StandardCodingNumber")
+ASSIGNMENT_KEYS = ("ProgramName", "Component", "AssignmentName")
+
 
-    By plain equality a row with a missing key part is added again by every run;
+def new_program_results(results: DataFrame, target: DataFrame, null_safe: bool = False) -> DataFrame:
+    """The program's results that are not in the copy.
+
+    By plain equality a row with a missing key part is new in every run;
     ``null_safe`` makes the sync repeatable.
     """
-    keys = ["StudentID_LASID", "AssignmentName", "DateCompleted", "StandardCodingNumber"]
-    return _append(target, anti_join(program_view(results), target, keys, null_safe))
+    return anti_join(program_view(results), target, RESULT_KEYS, null_safe)
 
 
-def sync_program_summary(summary: DataFrame, target: DataFrame, null_safe: bool = False) -> DataFrame:
-    keys = ["StudentID_LASID", "AssignmentName", "DateCompleted"]
+def new_program_summary(summary: DataFrame, target: DataFrame, null_safe: bool = False) -> DataFrame:
     rows = summary.where(pred.program_name_only(F.col("ProgramName")))
-    return _append(target, anti_join(rows, target, keys, null_safe))
+    return anti_join(rows, target, SUMMARY_KEYS, null_safe)
 
 
-def sync_program_standards(standards: DataFrame, results: DataFrame, target: DataFrame) -> DataFrame:
+def new_program_standards(standards: DataFrame, results: DataFrame, target: DataFrame) -> DataFrame:
     """Standards used by the program and not in the copy."""
-    keys = ["StandardSet", "StandardCodingNumber"]
-    rows = standards.select(*keys, "StandardDescription", "Subject").distinct()
-    used = program_view(results).select(*keys).distinct()
-    return _append(target, anti_join(semi_join(rows, used, keys), target, keys))
+    rows = standards.select(*STANDARD_KEYS, "StandardDescription", "Subject").distinct()
+    used = program_view(results).select(*STANDARD_KEYS).distinct()
+    return anti_join(semi_join(rows, used, STANDARD_KEYS), target, STANDARD_KEYS)
+
+
+def new_program_assignments(assignments: DataFrame, target: DataFrame) -> DataFrame:
+    rows = assignments.where(pred.program_name_only(F.col("ProgramName")))
+    return anti_join(rows.select(*ASSIGNMENT_KEYS, "Subject").distinct(), target, ASSIGNMENT_KEYS)
+
+
+def sync_program_results(results: DataFrame, target: DataFrame, null_safe: bool = False) -> DataFrame:
+    return _append(target, new_program_results(results, target, null_safe))
+
+
+def sync_program_summary(summary: DataFrame, target: DataFrame, null_safe: bool = False) -> DataFrame:
+    return _append(target, new_program_summary(summary, target, null_safe))
+
+
+def sync_program_standards(standards: DataFrame, results: DataFrame, target: DataFrame) -> DataFrame:
+    return _append(target, new_program_standards(standards, results, target))
 
 
 def sync_program_assignments(assignments: DataFrame, target: DataFrame) -> DataFrame:
-    keys = ["ProgramName", "Component", "AssignmentName"]
-    rows = assignments.where(pred.program_name_only(F.col("ProgramName"))).select(*keys, "Subject").distinct()
-    return _append(target, anti_join(rows, target, keys))
+    return _append(target, new_program_assignments(assignments, target))
 
 
 def sync_status(results: DataFrame, summary: DataFrame, standards: DataFrame, assignments: DataFrame) -> DataFrame:

@@ -52,7 +52,7 @@ def full_load(warehouse: Warehouse, raw: DataFrame, profile: DataFrame, academic
 def window_load(
     warehouse: Warehouse, raw: DataFrame, profile: DataFrame, start: dt.date, end: dt.date, year: str | None = None
 ) -> list:
-    """Replace one date window of the landing fact by the raw rows of that window."""
+    """Replace one date window of the landing fact by the raw rows of that window; returns the years changed."""
     rows = full_enrichment(raw, profile, year)
     batch = rows.where(F.col("DateCompleted").between(F.lit(start), F.lit(end)))
     spark = warehouse.spark
@@ -61,13 +61,21 @@ def window_load(
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
+        batch = tables.stage(batch)
         tables.append_results(batch, warehouse.path("results"))
-        return []
+        return [r[0] for r in batch.select(tables.YEAR).distinct().collect()]
 
 
-def rebuild_summary(warehouse: Warehouse) -> None:
-    rows = summary(warehouse.read("results", LANDING))
-    rows.write.mode("overwrite").parquet(warehouse.path("summary"))
+def rebuild_summary(warehouse: Warehouse, years: list | None = None) -> None:
+    """Rebuild the summary, or only the given years of it.
+
+    The year is part of every summary group, so the groups of other years cannot have changed.
+    """
+    results = warehouse.read("results", LANDING)
+    if years is None:
+        tables.full_refresh(summary(results), warehouse.path("summary"))
+    elif years:
+        tables.overwrite_years(summary(results.where(tables.in_years(years))), warehouse.path("summary"), years)
 
 
 def update_lookups(warehouse: Warehouse, catalogue: DataFrame | None = None) -> None:
@@ -83,23 +91,26 @@ def update_lookups(warehouse: Warehouse, catalogue: DataFrame | None = None) ->
 
 
 def sync_program(warehouse: Warehouse, null_safe: bool = False) -> DataFrame:
-    """Bring the program copies up to date and report their sizes."""
+    """Append what is new to the program copies and report their sizes; rows already there are not rewritten."""
     w = warehouse
     results, summary_rows = w.read("results", LANDING), w.table(SUMMARY)
     standards, assignments = w.table(STANDARDS), w.table(ASSIGNMENTS)
-    target = lambda name, columns: w.read(PROGRAM_PREFIX + name, columns)
+    layouts = {
+        "results": LANDING,
+        "summary": SUMMARY.columns,
+        "standards": STANDARDS.columns,
+        "assignments": ASSIGNMENTS.columns,
+    }
+    copy = {n: w.read(PROGRAM_PREFIX + n, columns) for n, columns in layouts.items()}
     new = {
-        "results": program_sync.sync_program_results(results, target("results", LANDING), null_safe),
-        "summary": program_sync.sync_program_summary(summary_rows, target("summary", SUMMARY.columns), null_safe),
-        "standards": program_sync.sync_program_standards(
-            standards, results, target("standards", STANDARDS.columns)
-        ),
-        "assignments": program_sync.sync_program_assignments(
-            assignments, target("assignments", ASSIGNMENTS.columns)
-        ),
+        "results": program_sync.new_program_results(results, copy["results"], null_safe),
+        "summary": program_sync.new_program_summary(summary_rows, copy["summary"], null_safe),
+        "standards": program_sync.new_program_standards(standards, results, copy["standards"]),
+        "assignments": program_sync.new_program_assignments(assignments, copy["assignments"]),
     }
-    for name, df in new.items():
-        tables.replace_table(df, w.path(PROGRAM_PREFIX + name))
+    for name, rows in new.items():
+        staged = tables.stage(conform(rows, layouts[name]))
+        staged.write.mode("append").parquet(w.path(PROGRAM_PREFIX + name))
     return program_sync.sync_status(*[w.read(PROGRAM_PREFIX + n) for n in new])
 
 
@@ -113,9 +124,9 @@ def weekly_update(
     program: bool = True,
 ) -> DataFrame:
     """All steps for the window that ends at ``as_of``; returns the row counts of the four tables."""
-    window_load(warehouse, raw, profile, as_of - dt.timedelta(days=days), as_of, academic_year)
+    years = window_load(warehouse, raw, profile, as_of - dt.timedelta(days=days), as_of, academic_year)
     update_lookups(warehouse)
-    rebuild_summary(warehouse)
+    rebuild_summary(warehouse, years)
     if program:
         sync_program(warehouse)
     names = ("results", "assignments", "standards", "summary")

@@ -57,16 +57,32 @@ def replace_table(rows: DataFrame, path: str, partition: Sequence[str] = ()) ->
     (writer.partitionBy(*partition) if partition else writer).parquet(path)
 
 
-def _same_year(year: str | None):
-    return F.col(YEAR).eqNullSafe(F.lit(year).cast("string"))
-
-
 def window_replace(target: DataFrame, batch: DataFrame, start: dt.date, end: dt.date) -> DataFrame:
     """Target rows outside the window, and the batch. A row without a date is outside."""
     inside = F.coalesce(between_dates(F.col("DateCompleted"), start, end), F.lit(False))
     return target.where(~inside).unionByName(batch, allowMissingColumns=True)
 
 
+def in_years(years: Sequence[str | None]):
+    """Rows of the given years; NULL is a year like any other."""
+    found = F.lit(False)
+    for year in years:
+        found = found | F.col(YEAR).eqNullSafe(F.lit(year).cast("string"))
+    return found
+
+
+def overwrite_years(rows: DataFrame, path: str, years: Sequence[str | None]) -> None:
+    """Replace the given years of a table by ``rows``, which hold no other years; other years stay untouched."""
+    staged = stage(rows)
+    left = {r[0] for r in staged.select(YEAR).distinct().collect()}
+    writer = _sized_by_year(staged).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+    writer.partitionBy(YEAR).parquet(path)
+    for year in set(years) - left:
+        # A year that lost all its rows is in no written file, so its folder is emptied by itself.
+        folder = f"{path}/{YEAR}={_NULL_YEAR if year is None else year}"
+        staged.drop(YEAR).limit(0).write.mode("overwrite").parquet(folder)
+
+
 def replace_window(spark: SparkSession, path: str, batch: DataFrame, start: dt.date, end: dt.date) -> list:
     """Replace a date window of the stored fact, rewriting only the years it touches.
 
@@ -77,19 +93,8 @@ def replace_window(spark: SparkSession, path: str, batch: DataFrame, start: dt.d
     inside = target.where(between_dates(F.col("DateCompleted"), start, end))
     # One value per year folder, never more.
     years = [r[0] for r in inside.select(YEAR).union(batch.select(YEAR)).distinct().collect()]
-    if not years:
-        return []
-    touched = F.lit(False)
-    for year in years:
-        touched = touched | _same_year(year)
-    staged = stage(window_replace(target.where(touched), batch, start, end))
-    left = {r[0] for r in staged.select(YEAR).distinct().collect()}
-    writer = _sized_by_year(staged).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-    writer.partitionBy(YEAR).parquet(path)
-    for year in set(years) - left:
-        # A year that lost all its rows is in no written file, so its folder is emptied by itself.
-        folder = f"{path}/{YEAR}={_NULL_YEAR if year is None else year}"
-        staged.drop(YEAR).limit(0).write.mode("overwrite").parquet(folder)
+    if years:
+        overwrite_years(window_replace(target.where(in_years(years)), batch, start, end), path, years)
     return sorted(years, key=lambda y: (y is None, y))
 
 
