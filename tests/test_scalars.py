@@ -25,7 +25,9 @@ X = F.col
 
 def test_academic_year(spark):
     texts = ["2024-07-01", "2024-06-30", "2024-7-1", "2024-06-30T23:00:00", "7/1/2024", "", None, "2024-13-01"]
+    texts += ["2024-07-1 08:00", "2024-07-1T08", "2024-07", "02024-07-01", " 2024-07-01", "2024-07-01x"]
     want = ["2024-2025", "2023-2024", "2024-2025", "2023-2024", None, None, None, None]
+    want += [None, None, None, None, None, "2024-2025"]
     assert one(spark, texts, s.academic_year(X("x"))) == want
     assert one(spark, texts[:2], s.academic_year(X("x"), "2000-2001")) == ["2000-2001"] * 2
 
@@ -51,6 +53,11 @@ def test_parse_date(spark):
         "2024-01-05 08:30:00": d,
         "2024-01-05 99:99:99": d,  # the first ten characters are still a date
         "2024-1-5": d,
+        "2024-1-5T8:3:0": d,
+        "2024-1-5 8:3:0": d,
+        "2024-01-05/x": d,
+        "01/05/2024": d,
+        "1/5/2024 08:30": None,
         "2024-13-45": None,
         "yesterday": None,
         "": None,
@@ -58,7 +65,7 @@ def test_parse_date(spark):
     }
     got = apply(spark, [(t,) for t in texts], "x string", s.parse_date(X("x")), s.date_unparsed(X("x")))
     assert [g[0] for g in got] == list(texts.values())
-    assert [t for t, g in zip(texts, got) if g[1]] == ["2024-13-45", "yesterday"]
+    assert [t for t, g in zip(texts, got) if g[1]] == ["1/5/2024 08:30", "2024-13-45", "yesterday"]
 
 
 @settings(max_examples=30, deadline=None)
