@@ -63,18 +63,16 @@ def length_violations(df: DataFrame, widths: dict[str, int]) -> DataFrame:
 
 
 def table_presence(spark: SparkSession, paths: dict[str, str]) -> DataFrame:
-    """Whether each table can be read and holds rows."""
+    """Whether each table can be read, and its row count; parquet counts come from the file footers."""
     out = None
     for name, path in paths.items():
+        label = F.lit(name).alias("table_name")
         try:
-            rows = spark.read.parquet(path).limit(1).agg(F.count(F.lit(1)).alias("n"))
-            one = rows.select(
-                F.lit(name).alias("table_name"), F.lit(True).alias("present"), (F.col("n") > 0).alias("has_rows")
-            )
+            counted = spark.read.parquet(path).agg(F.count(F.lit(1)).alias("row_count"))
+            one = counted.select(label, F.lit(True).alias("present"), "row_count")
         except AnalysisException:
-            one = spark.range(1).select(
-                F.lit(name).alias("table_name"), F.lit(False).alias("present"), F.lit(False).alias("has_rows")
-            )
+            absent = F.lit(0).cast("bigint").alias("row_count")
+            one = spark.range(1).select(label, F.lit(False).alias("present"), absent)
         out = one if out is None else out.unionByName(one)
     return out
 

@@ -170,11 +170,15 @@ def extraction_log(
 
 
 def logged_append(rows: DataFrame, path: str, endpoint: str, log_path: str) -> int:
-    """Append rows and an audit row; the count is taken while writing, not by a second pass."""
+    """Append rows and an audit row; the count is taken while writing, not by a second pass.
+
+    It is taken after the shuffle, in the tasks that write: those count once, whatever was run again.
+    """
     spark = rows.sparkSession
     seen = Observation()
     try:
-        append_results(rows.observe(seen, F.count(F.lit(1)).alias("n")), path)
+        counted = _sized_by_year(rows).observe(seen, F.count(F.lit(1)).alias("n"))
+        counted.write.mode("append").partitionBy(YEAR).parquet(path)
     except Exception as error:
         extraction_log(spark, endpoint, 0, "error", str(error)).write.mode("append").parquet(log_path)
         raise

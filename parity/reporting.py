@@ -536,9 +536,9 @@ def length_violations(v):
 @query(
     "table_presence",
     " UNION ALL ".join(
-        f"SELECT '{t}' AS table_name, true AS present, COUNT(*) > 0 AS has_rows FROM {t}" for t in BASE_TABLES
+        f"SELECT '{t}' AS table_name, true AS present, COUNT(*) AS row_count FROM {t}" for t in BASE_TABLES
     )
-    + " UNION ALL SELECT 'no_such_table', false, false",
+    + " UNION ALL SELECT 'no_such_table', false, 0",
 )
 def table_presence(v):
     return quality.table_presence(v.spark, {t: f"{v.sf_dir}/{t}.parquet" for t in (*BASE_TABLES, "no_such_table")})

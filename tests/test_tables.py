@@ -54,6 +54,21 @@ def test_replace_window_without_any_row(spark):
     assert tables.replace_window(spark, path, landing(spark, []), dt.date(1990, 1, 1), dt.date(1990, 2, 1)) == []
 
 
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_filters_reach_the_scan(spark):
+    path = scratch_dir(spark)
+    tables.append_results(landing(spark, BASE), path)
+    stored = tables.read_results(spark, path)
+    years = plan_of(stored.where(tables.in_years(["2022-2023", None])).select("ResultID"))
+    assert "PartitionFilters: [((AcademicYear" in years and "ReadSchema: struct<ResultID:bigint>" in years
+    window = plan_of(pages.source_filters(stored, F.col("DateCompleted"), F.col("v"), [0, 3], dt.date(2024, 1, 1)))
+    pushed = window[window.index("PushedFilters") :]
+    assert "GreaterThanOrEqual(DateCompleted" in pushed and "In(v, [0,3])" in pushed
+
+
 def test_full_refresh_drops_old_years(spark, rows):
     path = scratch_dir(spark)
     tables.append_results(landing(spark, BASE), path)
