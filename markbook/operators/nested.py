@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..functions.predicates import has_overall
@@ -83,7 +83,12 @@ def flatten_bands(detail: DataFrame) -> DataFrame:
 
 
 def _questions(detail: DataFrame) -> DataFrame:
-    return detail.select("assessment_id", F.explode("questions").alias("q"))
+    return detail.select("assessment_id", F.posexplode("questions").alias("q_at", "q"))
+
+
+def _place(*parts: str) -> Column:
+    """Where an element stood in its document: the arrival order of an upsert."""
+    return F.struct("assessment_id", *parts).alias("position")
 
 
 def flatten_questions(detail: DataFrame) -> DataFrame:
@@ -94,6 +99,7 @@ def flatten_questions(detail: DataFrame) -> DataFrame:
         "q.question_type",
         "q.max_points",
         "q.correct_answer",
+        _place("q_at"),
     )
 
 
@@ -116,7 +122,7 @@ def flatten_question_standards(detail: DataFrame) -> DataFrame:
     """Standards named by questions, with the question they belong to; one without an id cannot be linked."""
     return (
         _questions(detail)
-        .select("assessment_id", "q.question_number", F.explode("q.standards").alias("s"))
+        .select("assessment_id", "q_at", "q.question_number", F.posexplode("q.standards").alias("s_at", "s"))
         .select(
             "assessment_id",
             "question_number",
@@ -125,6 +131,7 @@ def flatten_question_standards(detail: DataFrame) -> DataFrame:
             F.col("s.description").alias("standard_description"),
             "s.subject",
             "s.grade_level",
+            _place("q_at", "s_at"),
         )
         .where(F.coalesce(F.col("standard_id") != 0, F.lit(False)))
     )

@@ -732,7 +732,7 @@ def flatten_bands(v):
 
 @query("flatten_questions", FLAT_QUESTIONS)
 def flatten_questions(v):
-    return nested.flatten_questions(detail(v))
+    return nested.flatten_questions(detail(v)).drop("position")
 
 
 @query("flatten_choices", FLAT_CHOICES)
@@ -742,7 +742,7 @@ def flatten_choices(v):
 
 @query("flatten_question_standards", FLAT_QUESTION_STANDARDS)
 def flatten_question_standards(v):
-    return nested.flatten_question_standards(detail(v))
+    return nested.flatten_question_standards(detail(v)).drop("position")
 
 
 @query(
