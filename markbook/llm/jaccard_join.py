@@ -26,6 +26,7 @@ import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import ArrayType, LongType
 
 from . import hashing
 from .frames import Shared, components, has_bit, key_bits
@@ -310,7 +311,7 @@ def _finest(members: DataFrame) -> DataFrame:
     )
 
 
-@F.pandas_udf("array<long>")
+@F.pandas_udf(ArrayType(LongType()))
 def _explode_members(packed: pd.Series) -> pd.Series:
     return packed.map(lambda x: np.frombuffer(x, np.int64))
 
