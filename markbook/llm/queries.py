@@ -6,8 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from .frames import read
+from pyspark.sql import functions as F
+
+from .decontaminate import find_benchmark
+from .frames import crc_mod, read
 from .jaccard_join import ngram_jaccard_join
+from .line_dedup import MIN_WORDS, line_dedup
+from .mixing import BLOCK_ROWS, PERIOD, mix_sources
+from .quality import quality_scores
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -21,3 +27,116 @@ def query(fn: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSessio
 @query
 def op1_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ngram_jaccard_join(spark, read(spark, sf_dir, "documents"))
+
+
+@query
+def op2_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return find_benchmark(spark, read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+
+
+@query
+def op4_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "source")
+    return mix_sources(spark, docs)
+
+
+ORACLES["op4_source_mixing"] = f"""
+WITH RECURSIVE
+counts AS (SELECT source, count(*) AS n FROM documents GROUP BY source),
+weighed AS (SELECT source, n, greatest(CAST(floor(sqrt(n) * 1000) AS BIGINT), 1) AS w FROM counts),
+totals AS (SELECT count(*) AS k, sum(w)::BIGINT AS all_w, greatest({PERIOD}, 4 * count(*)) AS total FROM weighed),
+shares AS (
+  SELECT source, n, total, k, ((total - k) * w) // all_w AS part, ((total - k) * w) % all_w AS rest FROM weighed, totals
+),
+units AS (
+  SELECT source, n, total,
+    1 + part + (total - k - (SELECT sum(part)::BIGINT FROM shares)) // k
+      + CASE WHEN row_number() OVER (ORDER BY rest DESC, source NULLS LAST)
+             <= (total - k - (SELECT sum(part)::BIGINT FROM shares)) % k THEN 1 ELSE 0 END AS units,
+    row_number() OVER (ORDER BY source NULLS LAST) AS i
+  FROM shares
+),
+list_of AS (SELECT list(units ORDER BY i) AS u, any_value(total) AS total, count(*) AS k FROM units),
+runs(t, done, best) AS (
+  SELECT CAST(-1 AS BIGINT), list_transform(u, lambda x: CAST(0 AS BIGINT)), CAST(0 AS BIGINT) FROM list_of
+  UNION ALL
+  SELECT t, list_transform(range(1, k + 1), lambda i: done[i] + CASE WHEN i = best THEN 1 ELSE 0 END), best
+  FROM (
+    SELECT t + 1 AS t, done, k,
+      -- deadline first, then the smaller number
+      list_min(list_transform(
+        list_filter(range(1, k + 1), lambda i: done[i] < u[i] AND (done[i] * total) // u[i] <= t + 1),
+        lambda i: (((done[i] + 1) * total + u[i] - 1) // u[i]) * 1000000 + i)) % 1000000 AS best
+    FROM runs, list_of WHERE t + 1 < total
+  )
+),
+slots AS (SELECT best AS i, t AS slot, row_number() OVER (PARTITION BY best ORDER BY t) - 1 AS nth FROM runs WHERE t >= 0),
+numbered AS (
+  SELECT d.doc_id, d.source, u.units, u.total, u.i,
+    row_number() OVER (PARTITION BY u.i ORDER BY md5(coalesce(CAST(d.doc_id AS VARCHAR), '')), d.doc_id) - 1 AS r
+  FROM documents d JOIN units u ON d.source IS NOT DISTINCT FROM u.source
+),
+blocks AS (SELECT *, r // {BLOCK_ROWS} AS b FROM numbered)
+SELECT doc_id, b.source, b AS mix_block, (b // units) * total + slot AS mix_slot, r % {BLOCK_ROWS} AS mix_offset,
+  (b * total) // units AS mix_release, ((b + 1) * total + units - 1) // units AS mix_deadline
+FROM blocks b JOIN slots s ON s.i = b.i AND s.nth = b.b % b.units
+"""
+
+
+@query
+def op7_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = quality_scores(spark, read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
+    return scored.select("doc_id", F.coalesce(crc_mod("doc_id", 3) == 1, F.lit(False)).alias("held_out"), "score", "predicted")
+
+
+@query
+def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = read(spark, sf_dir, "documents").select("doc_id", "text")
+    return line_dedup(spark, docs)
+
+
+ORACLES["op9_line_dedup"] = f"""
+WITH parts AS (
+  SELECT doc_id, unnest(string_split(text, chr(10))) AS raw, generate_subscripts(string_split(text, chr(10)), 1) - 1 AS line_no
+  FROM documents WHERE text IS NOT NULL
+),
+worded AS (
+  SELECT doc_id, line_no, raw,
+    list_filter(regexp_split_to_array(translate(raw, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') AS words
+  FROM parts
+),
+numbered AS (SELECT *, row_number() OVER (ORDER BY doc_id NULLS LAST, line_no) AS pos FROM worded),
+firsts AS (
+  SELECT array_to_string(words, ' ') AS line, any_value(words) AS words, min(pos) AS pos
+  FROM numbered WHERE len(words) >= {MIN_WORDS} GROUP BY 1
+),
+-- a line that lacks its i-th word
+variants AS (
+  SELECT line, pos, i, array_to_string(list_concat(words[1:i - 1], words[i + 1:]), ' ') AS variant
+  FROM (SELECT *, unnest(range(1, len(words) + 1)) AS i FROM firsts)
+),
+near AS (
+  -- another word in one place
+  SELECT line FROM (SELECT line, pos, min(pos) OVER (PARTITION BY variant, i) AS least FROM variants) WHERE least < pos
+  UNION
+  -- one word more than an earlier line
+  SELECT v.line FROM variants v JOIN firsts f ON f.line = v.variant WHERE f.pos < v.pos
+  UNION
+  -- one word fewer
+  SELECT f.line FROM variants v JOIN firsts f ON f.line = v.variant WHERE v.pos < f.pos
+),
+kept AS (
+  SELECT n.doc_id, n.line_no, n.raw,
+    len(n.words) >= {MIN_WORDS} AND (f.pos < n.pos OR near.line IS NOT NULL) AS gone
+  FROM numbered n
+  LEFT JOIN firsts f ON f.line = array_to_string(n.words, ' ') AND len(n.words) >= {MIN_WORDS}
+  LEFT JOIN near ON near.line = f.line
+)
+SELECT d.doc_id, CASE WHEN d.text IS NULL THEN NULL ELSE coalesce(k.text, '') END AS text,
+  coalesce(k.n_lines, 0) AS n_lines, coalesce(k.n_dropped, 0) AS n_dropped
+FROM documents d LEFT JOIN (
+  SELECT doc_id, string_agg(raw, chr(10) ORDER BY line_no) FILTER (WHERE NOT gone) AS text,
+    count(*) AS n_lines, count(*) FILTER (WHERE gone) AS n_dropped
+  FROM kept GROUP BY doc_id
+) k ON k.doc_id = d.doc_id
+"""
