@@ -10,9 +10,12 @@ from pyspark.sql import functions as F
 
 from .decontaminate import find_benchmark
 from .frames import crc_mod, read
+from .html_extract import extract_main_text
 from .jaccard_join import ngram_jaccard_join
 from .line_dedup import MIN_WORDS, line_dedup
+from .lm_scoring import score_documents
 from .mixing import BLOCK_ROWS, PERIOD, mix_sources
+from .ppm_language import identify_language
 from .quality import quality_scores
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -83,12 +86,24 @@ FROM blocks b JOIN slots s ON s.i = b.i AND s.nth = b.b % b.units
 """
 
 
+@query
+def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = identify_language(spark, read(spark, sf_dir, "documents").select("doc_id", "text", "lang"))
+    return found.select("doc_id", F.coalesce(crc_mod("doc_id", 4) == 2, F.lit(False)).alias("held_out"), "lang_pred", "score")
+
+
 @query
 def op7_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     scored = quality_scores(spark, read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
     return scored.select("doc_id", F.coalesce(crc_mod("doc_id", 3) == 1, F.lit(False)).alias("held_out"), "score", "predicted")
 
 
+@query
+def op8_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    main = extract_main_text(spark, read(spark, sf_dir, "pages"))
+    return main.select("page_id", "url", "text", F.length("text").cast("long").alias("n_chars"))
+
+
 @query
 def op9_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("doc_id", "text")
@@ -140,3 +155,8 @@ FROM documents d LEFT JOIN (
   FROM kept GROUP BY doc_id
 ) k ON k.doc_id = d.doc_id
 """
+
+
+@query
+def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return score_documents(spark, read(spark, sf_dir, "documents"))
