@@ -15,8 +15,10 @@ from .jaccard_join import ngram_jaccard_join
 from .line_dedup import MIN_WORDS, line_dedup
 from .lm_scoring import score_documents
 from .mixing import BLOCK_ROWS, PERIOD, mix_sources
+from .passages import repeated_passages
 from .ppm_language import identify_language
 from .quality import quality_scores
+from .vector_search import nearest_neighbours
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -37,6 +39,11 @@ def op2_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame
     return find_benchmark(spark, read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
 
 
+@query
+def op3_vector_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return nearest_neighbours(spark, read(spark, sf_dir, "embeddings"), F.col("vec_id") % 20 == 0)
+
+
 @query
 def op4_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = read(spark, sf_dir, "documents").select("doc_id", "source")
@@ -92,6 +99,11 @@ def op5_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.coalesce(crc_mod("doc_id", 4) == 2, F.lit(False)).alias("held_out"), "lang_pred", "score")
 
 
+@query
+def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return repeated_passages(spark, read(spark, sf_dir, "documents"))
+
+
 @query
 def op7_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
     scored = quality_scores(spark, read(spark, sf_dir, "documents"), read(spark, sf_dir, "labels"))
