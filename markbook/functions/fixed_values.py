@@ -35,3 +35,48 @@ OVERALL_CODE = "Overall"
 # The academic year starts in July; a re-pull covers 7 days unless told otherwise.
 ACADEMIC_YEAR_FIRST_MONTH = 7
 DEFAULT_DAYS_BACK = 7
+
+# Subject by patterns in a standard code; the first match counts.
+CODE_SUBJECTS = (
+    ("ELA%", "ELA"),
+    ("%ELA-%", "ELA"),
+    ("%.ELA.%", "ELA"),
+    ("Math%", "Math"),
+    ("%Math.%", "Math"),
+    ("%CCSS.ELA%", "ELA"),
+    ("%CCSS.Math%", "Math"),
+)
+
+# Subject by the beginning of a standard code.
+CODE_PREFIX_SUBJECTS = (
+    ("ELA%", "ELA"),
+    ("Math%", "Math"),
+    ("CCSS.ELA%", "ELA"),
+    ("CCSS.Math%", "Math"),
+)
+
+# Subject by patterns in an assessment title in lower case; the first match counts.
+TITLE_SUBJECTS = (
+    ("%science%", "Science"),
+    ("%sci%", "Science"),
+    ("ss%", "Social Studies"),
+    ("%social%", "Social Studies"),
+    ("%history%", "Social Studies"),
+    ("%ela%", "ELA"),
+    ("%english%", "ELA"),
+    ("%reading%", "ELA"),
+    ("%math%", "Math"),
+)
+
+# Long subject name by patterns in an assignment name; the first match counts.
+ASSIGNMENT_SUBJECTS = (
+    ("%Math%", "Mathematics"),
+    ("%math%", "Mathematics"),
+    ("%ELA%", "English Language Arts"),
+    ("%ela%", "English Language Arts"),
+    ("%English%", "English Language Arts"),
+    ("%Science%", "Science"),
+    ("%science%", "Science"),
+    ("%Social%", "Social Studies"),
+    ("%History%", "Social Studies"),
+)

@@ -6,8 +6,7 @@ ANSI mode is on by default in Spark 4, so every "bad text becomes missing" rule
 from __future__ import annotations
 
 import datetime as dt
-from functools import reduce
-from operator import or_
+from collections.abc import Sequence
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -136,25 +135,18 @@ def overall_percent_text(sum_achieved: Column, sum_possible: Column) -> Column:
 # --- subjects and standards ------------------------------------------------------------------------
 
 
+def _by_pattern(text: Column, rules: Sequence[tuple[str, str]]) -> Column:
+    """The label of the first pattern that the text matches, NULL if none does."""
+    labels = [F.when(text.like(pattern), label) for pattern, label in rules]
+    return F.coalesce(*labels)
+
+
 def subject_from_code(code: Column) -> Column:
-    has = lambda text: F.contains(code, F.lit(text))
-    return (
-        F.when(code.startswith("ELA") | has("ELA-") | has(".ELA."), "ELA")
-        .when(code.startswith("Math") | has("Math."), "Math")
-        .when(has("CCSS.ELA"), "ELA")
-        .when(has("CCSS.Math"), "Math")
-    )
+    return _by_pattern(code, fixed.CODE_SUBJECTS)
 
 
 def subject_from_title(title: Column) -> Column:
-    lower = F.lower(title)
-    has = lambda text: F.contains(lower, F.lit(text))
-    return (
-        F.when(has("sci"), "Science")
-        .when(F.upper(title).startswith("SS") | has("social") | has("history"), "Social Studies")
-        .when(has("ela") | has("english") | has("reading"), "ELA")
-        .when(has("math"), "Math")
-    )
+    return _by_pattern(F.lower(title), fixed.TITLE_SUBJECTS)
 
 
 def subject_of_result(code: Column, title: Column) -> Column:
@@ -162,9 +154,7 @@ def subject_of_result(code: Column, title: Column) -> Column:
 
 
 def _subject_from_code_prefix(code: Column) -> Column:
-    return F.when(code.startswith("ELA") | code.startswith("CCSS.ELA"), "ELA").when(
-        code.startswith("Math") | code.startswith("CCSS.Math"), "Math"
-    )
+    return _by_pattern(code, fixed.CODE_PREFIX_SUBJECTS)
 
 
 def subject_or_code(subject: Column, code: Column) -> Column:
@@ -180,16 +170,7 @@ def subject_code_first(code: Column, subject: Column | None = None) -> Column:
 
 def subject_from_assignment(name: Column, subject: Column) -> Column:
     """Long subject name by words in the assignment name, even over a stored subject."""
-    def has(*words: str) -> Column:
-        return reduce(or_, [F.contains(name, F.lit(w)) for w in words])
-
-    return (
-        F.when(has("Math", "math"), "Mathematics")
-        .when(has("ELA", "ela", "English"), "English Language Arts")
-        .when(has("Science", "science"), "Science")
-        .when(has("Social", "History"), "Social Studies")
-        .otherwise(subject)
-    )
+    return F.coalesce(_by_pattern(name, fixed.ASSIGNMENT_SUBJECTS), subject)
 
 
 def infer_standard_set(code: Column, given: Column) -> Column:

@@ -7,6 +7,7 @@ import datetime as dt
 from pyspark.sql import functions as F
 
 from markbook import schemas
+from markbook.functions import fixed_values as fixed
 from markbook.functions import predicates as pred
 from markbook.functions import scalars as s
 from markbook.operators import merges, nested, program_sync, reports
@@ -15,7 +16,6 @@ from markbook.sources.pages import read_documents
 
 from .landing import FLAT_PARENTS, NESTED_RECORDS, land_documents
 from .registry import query
-from .scans_loads import ASSIGNMENT_SUBJECT
 
 C = F.col
 
@@ -25,13 +25,17 @@ DATE_OF = """CAST(coalesce(try_strptime({t}, '%Y-%m-%d'), try_strptime({t}, '%m/
                try_strptime({t}, '%Y-%m-%dT%H:%M:%S'), try_strptime({t}, '%Y-%m-%d %H:%M:%S')) AS DATE)"""
 GRADE_OF = """CASE WHEN NOT regexp_full_match({t}, '-?[0-9]+') THEN NULL WHEN CAST({t} AS INT) = 1 THEN 'K'
                    WHEN CAST({t} AS INT) > 1 THEN CAST(CAST({t} AS INT) - 1 AS VARCHAR) END"""
-SUBJECT_FROM_CODE = """CASE WHEN regexp_matches(standard_code, '^ELA|ELA-|[.]ELA[.]') THEN 'ELA'
-  WHEN regexp_matches(standard_code, '^Math|Math[.]') THEN 'Math'
-  WHEN contains(standard_code, 'CCSS.ELA') THEN 'ELA' WHEN contains(standard_code, 'CCSS.Math') THEN 'Math' END"""
-SUBJECT_FROM_TITLE = """CASE WHEN regexp_matches(title, '(?i)sci') THEN 'Science'
-  WHEN regexp_matches(title, '(?i)^ss|social|history') THEN 'Social Studies'
-  WHEN regexp_matches(title, '(?i)ela|english|reading') THEN 'ELA' WHEN regexp_matches(title, '(?i)math') THEN 'Math' END"""
-PREFIX_CASE = "nullif(regexp_extract(StandardCodingNumber, '^(CCSS[.])?(ELA|Math)', 2), '')"
+
+
+def case_like(text: str, rules, otherwise: str = "NULL") -> str:
+    """The rules of ``fixed_values`` as a CASE, in their order."""
+    return "CASE " + " ".join(f"WHEN {text} LIKE '{p}' THEN '{label}'" for p, label in rules) + f" ELSE {otherwise} END"
+
+
+SUBJECT_FROM_CODE = case_like("standard_code", fixed.CODE_SUBJECTS)
+SUBJECT_FROM_TITLE = case_like("lower(title)", fixed.TITLE_SUBJECTS)
+PREFIX_CASE = case_like("StandardCodingNumber", fixed.CODE_PREFIX_SUBJECTS)
+ASSIGNMENT_SUBJECT = case_like("AssignmentName", fixed.ASSIGNMENT_SUBJECTS, "Subject")
 SET_OF = """CASE WHEN standard_code LIKE 'CCSS.%' THEN 'Common Core State Standards'
   WHEN standard_code LIKE 'ELA-Literacy.%' OR standard_code LIKE 'Math.Content.%' THEN 'Michigan State Standards'
   WHEN standard_code <> '' THEN nullif(standard_set, '') END"""
@@ -47,14 +51,14 @@ def half_even(a: str, p: str) -> str:
 
 
 def program_terms(*fields: str) -> str:
-    terms = ("hmh", "into literature", "into math", "into reading")
+    return any_term(fixed.PROGRAM_TERMS, *fields)
+
+
+def any_term(terms, *fields: str) -> str:
     return " OR ".join(f"lower({f}) LIKE '%{t}%'" for f in fields for t in terms)
 
 
-PROGRAM_VIEW = (
-    f"({program_terms('ProgramName', 'AssignmentName')} OR lower(Publisher) LIKE '%houghton mifflin%'"
-    " OR lower(Publisher) LIKE '%harcourt%')"
-)
+PROGRAM_VIEW = f"({program_terms('ProgramName', 'AssignmentName')} OR {any_term(fixed.PUBLISHER_TERMS, 'Publisher')})"
 
 
 @query(
@@ -382,8 +386,7 @@ _FIVE = ("ProgramName", "AssignmentName", "Component", "Publisher", "SchoolName"
 
 @query(
     "program_any_field",
-    "SELECT ResultID FROM results WHERE regexp_matches(lower(concat_ws('~', ProgramName, AssignmentName, Component,"
-    " Publisher, SchoolName)), 'hmh|into literature|into math|into reading|houghton mifflin|harcourt')",
+    f"SELECT ResultID FROM results WHERE {any_term(fixed.ANY_FIELD_TERMS, *_FIVE)}",
 )
 def program_any_field(v):
     return v.results.where(pred.program_any_field(*[C(c) for c in _FIVE])).select("ResultID")
