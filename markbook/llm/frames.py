@@ -17,6 +17,7 @@ _own: str | None = None
 
 # Rows in one Arrow batch: documents can be long, so fewer than Spark's 10,000.
 BATCH_ROWS = 1000
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def shared_dir(spark: SparkSession) -> str:
@@ -42,7 +43,13 @@ class Shared:
 
     def cut(self, df: DataFrame, name: str) -> DataFrame:
         path = f"{self.base}/{name}-{uuid.uuid4().hex[:8]}"
-        df.write.parquet(path)
+        # the written table stands in for the shuffles that made it, so their files can go
+        before = self.spark.conf.get(_CLEANUP, "false")
+        self.spark.conf.set(_CLEANUP, "true")
+        try:
+            df.write.parquet(path)
+        finally:
+            self.spark.conf.set(_CLEANUP, before)
         out = self.spark.read.schema(df.schema).parquet(path)
         self._paths[id(out)] = (path, out)
         return out

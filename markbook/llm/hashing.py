@@ -9,6 +9,8 @@ _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, *range(0x09, 0x0E)]] = True
 
 _BASE = np.uint64(0x9E3779B97F4A7C15 | 1)
+_INVERSE = np.uint64(pow(int(_BASE), -1, 1 << 64))
+_KEPT = [np.empty(0, np.uint64), np.empty(0, np.uint64)]
 _SHINGLE = np.array([0xA0761D6478BD642F, 0xE7037ED1A0B428DB, 0x8EBC6AF09C88C6E3, 0x589965CC75374CC3, 0x1D8E4E27C47D124F], np.uint64)
 
 
@@ -48,12 +50,20 @@ def hashes_and_spans(text: str | None) -> tuple[np.ndarray, np.ndarray, np.ndarr
     starts, ends = word_spans(data)
     if not len(starts):
         return np.empty(0, np.uint64), starts, ends, data
-    sizes = ends - starts
-    before = np.cumsum(sizes) - sizes
-    place = np.arange(int(sizes.sum())) - np.repeat(before, sizes)
-    letters = data[place + np.repeat(starts, sizes)].astype(np.uint64) + np.uint64(1)
-    sums = np.add.reduceat(letters * powers(_BASE, int(sizes.max()))[place], before)
-    return mix(sums + sizes.astype(np.uint64) * _SHINGLE[0]), starts, ends, data
+    up, down = _both_powers(len(data) + 1)
+    # sums of byte times power up to each place; a word's own sum is moved to power 0
+    upto = np.zeros(len(data) + 1, np.uint64)
+    np.cumsum((data + np.uint64(1)) * up[: len(data)], dtype=np.uint64, out=upto[1:])
+    sums = (upto[ends] - upto[starts]) * down[starts]
+    return mix(sums + (ends - starts).astype(np.uint64) * _SHINGLE[0]), starts, ends, data
+
+
+def _both_powers(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Powers of the base and of its inverse, kept for the next text."""
+    if len(_KEPT[0]) < n:
+        size = 1 << (n - 1).bit_length()
+        _KEPT[:] = [powers(_BASE, size), powers(_INVERSE, size)]
+    return _KEPT[0], _KEPT[1]
 
 
 def shingle_hashes(words: np.ndarray, size: int = 5) -> np.ndarray:

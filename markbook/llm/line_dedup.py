@@ -11,84 +11,130 @@ behind the middle. So variants are written for those lines alone; the rest costs
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from . import hashing
-from .frames import Shared
+from .frames import Shared, has_bit, key_bits
 
 MIN_WORDS = 6
-_UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 _B = np.uint64(0xD1342543DE82EF95)
 _B_INVERSE = np.uint64(pow(int(_B), -1, 1 << 64))
 _N = np.uint64(0x2545F4914F6CDD1D)
-_BITS = 1 << 16
 _GONE, _ROW = "__line_dedup_gone", "__line_dedup_row"
 
 
-def _words(line: Column) -> Column:
-    return F.filter(F.split(F.translate(line, _UPPER, _LOWER), "[\\x20\\x09-\\x0D]+"), lambda w: w != "")
-
-
-def _lines(docs: DataFrame, min_words: int) -> DataFrame:
-    """``doc, row, line_no, words, n, line`` for each line that takes part; ``row`` names a row by its id and text."""
-    lines = docs.select("doc", "row", F.posexplode(F.split("text", "\n")).alias("line_no", "raw"))
-    lines = lines.select("doc", "row", "line_no", "raw", _words(F.col("raw")).alias("words"))
-    return lines.select("doc", "row", "line_no", "raw", "words", F.size("words").alias("n"), F.xxhash64("words").alias("line")).where(F.col("n") >= min_words)
-
-
-def _half_keys() -> Column:
-    """Hashes of the first and last part: split in the middle of the own length, and of one word less."""
-    n = F.col("n")
-
-    def halves(length: Column) -> list[Column]:
-        first = F.floor(length / 2).cast("int")
-        last = length - first
-        return [F.xxhash64(length, F.lit(0), F.slice("words", F.lit(1), first)), F.xxhash64(length, F.lit(1), F.slice("words", n - last + 1, last))]
-
-    return F.array(*halves(n), *halves(n - 1))
-
-
-def _variants(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """``key, place, line``: each line whole (place -1) and without its i-th word."""
-    names = ["key", "place", "line"]
-    for batch in batches:
-        keys, places, lines, n = [], [], [], 0
-        for line, raw in zip(batch.column("line").to_pylist(), batch.column("raw"), strict=True):
-            words = hashing.word_hashes(raw.as_py())
-            size = len(words)
-            terms = words * hashing.powers(_B, size)
-            upto = np.cumsum(terms, dtype=np.uint64)
-            without = upto - terms + (upto[-1] - upto) * _B_INVERSE
-            every = np.r_[upto[-1:], without] + np.r_[np.full(1, size, np.uint64), np.full(size, size - 1, np.uint64)] * _N
-            keys.append(hashing.mix(every).view(np.int64))
-            places.append(np.arange(-1, size, dtype=np.int32))
-            lines.append(np.full(size + 1, line, np.int64))
-            n += size + 1
-            if n > 100_000:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in (keys, places, lines)], names)
-                keys, places, lines, n = [], [], [], 0
-        if n:
-            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in (keys, places, lines)], names)
-
-
-def one_word_apart(a: list[str], b: list[str]) -> bool:
-    """Whether the edit distance of two word lists is at most one."""
+class Lines:
+    """Lines of a text that have at least ``min_words`` words: their numbers, first and last words, and hashes of their runs."""
+
+    def __init__(self, text: str | None, min_words: int):
+        self.words, starts, _, data = hashing.hashes_and_spans(text)
+        owner = np.searchsorted(np.flatnonzero(data == 10), starts)
+        first = np.flatnonzero(np.r_[True, owner[1:] != owner[:-1]]) if len(owner) else owner
+        last = np.r_[first[1:], len(owner)]
+        use = last - first >= min_words
+        self.first, self.last = first[use], last[use]
+        self.number = owner[self.first].astype(np.int32)
+        n = len(self.words)
+        self.upto = np.zeros(n + 1, np.uint64)
+        np.cumsum(self.words * hashing.powers(_B, n)[:n], dtype=np.uint64, out=self.upto[1:])
+        self.down = hashing.powers(_B_INVERSE, n + 1)
+        self.line = self._run(self.first, self.last, 0)
+
+    def _run(self, lo: np.ndarray, hi: np.ndarray, kind: int | np.ndarray) -> np.ndarray:
+        sums = (self.upto[hi] - self.upto[lo]) * self.down[lo]
+        return hashing.mix(sums + ((hi - lo).astype(np.uint64) + np.uint64(kind << 32)) * _N).view(np.int64)
+
+    def halves(self) -> np.ndarray:
+        """Hashes of the first and last part, a row a line: parted in the middle of the own length, and of one word less."""
+        out = []
+        for less in (0, 1):
+            length = self.last - self.first - less
+            middle = length // 2
+            for kind, lo, hi in ((1, self.first, self.first + middle), (2, self.last - (length - middle), self.last)):
+                part = self._run(lo, hi, kind).view(np.uint64)
+                out.append(hashing.mix(part + length.astype(np.uint64) * hashing._SHINGLE[3]).view(np.int64))
+        return np.stack(out, 1)
+
+    def variants(self, i: int) -> np.ndarray:
+        """Hash of line ``i`` and of the line without each of its words."""
+        words = self.words[self.first[i] : self.last[i]]
+        size = len(words)
+        terms = words * hashing.powers(_B, size)
+        upto = np.cumsum(terms, dtype=np.uint64)
+        without = upto - terms + (upto[-1] - upto) * _B_INVERSE
+        every = np.r_[upto[-1:], without] + np.r_[np.full(1, size, np.uint64), np.full(size, size - 1, np.uint64)] * _N
+        return hashing.mix(every).view(np.int64)
+
+
+def _scan(min_words: int) -> Callable:
+    names = ["doc", "row", "line_no", "line", "halves"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            parts = []
+            for doc, row, text in zip(batch.column("doc").to_pylist(), batch.column("row").to_pylist(), batch.column("text"), strict=True):
+                lines = Lines(text.as_py(), min_words)
+                if n := len(lines.line):
+                    parts.append((np.full(n, doc), np.full(n, row), lines.number, lines.line, lines.halves()))
+            if parts:
+                doc, row, number, line, halves = (np.concatenate(x) for x in zip(*parts, strict=True))
+                each = pa.ListArray.from_arrays(pa.array(np.arange(0, 4 * len(line) + 1, 4, dtype=np.int32)), pa.array(halves.ravel()))
+                yield pa.RecordBatch.from_arrays([pa.array(doc), pa.array(row), pa.array(number), pa.array(line), each], names)
+
+    return run
+
+
+def _variants(min_words: int, rows: np.ndarray, lines_wanted: np.ndarray) -> Callable:
+    """``line, key, place, words``: each line that may be wanted, whole (place -1, with its words) and without its i-th word."""
+    names = ["line", "key", "place", "words"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            parts, words, n = [], [], 0
+
+            def flush() -> pa.RecordBatch:
+                columns = [pa.array(np.concatenate(x)) for x in zip(*parts, strict=True)]
+                return pa.RecordBatch.from_arrays([*columns, pa.array(words, pa.binary())], names)
+
+            for row, text in zip(batch.column("row").to_pylist(), batch.column("text"), strict=True):
+                if not has_bit(rows, row):
+                    continue
+                lines = Lines(text.as_py(), min_words)
+                for i, line in enumerate(lines.line.tolist()):
+                    if has_bit(lines_wanted, line):
+                        keys = lines.variants(i)
+                        m = len(keys)
+                        parts.append((np.full(m, line), keys, np.arange(-1, m - 1, dtype=np.int32)))
+                        words += [lines.words[lines.first[i] : lines.last[i]].tobytes(), *[None] * (m - 1)]
+                        n += m
+                if n > 100_000:
+                    yield flush()
+                    parts, words, n = [], [], 0
+            if n:
+                yield flush()
+
+    return run
+
+
+def one_word_apart(a: np.ndarray, b: np.ndarray) -> bool:
+    """Whether the edit distance of two lines, given as hashes of their words, is at most one."""
     if len(a) > len(b):
         a, b = b, a
     if len(b) - len(a) > 1:
         return False
-    at = next((i for i, (x, y) in enumerate(zip(a, b, strict=False)) if x != y), len(a))
-    return a[at + (len(a) == len(b)) :] == b[at + 1 :]
+    wrong = np.flatnonzero(a != b[: len(a)])
+    at = int(wrong[0]) if len(wrong) else len(a)
+    return bool(np.array_equal(a[at + (len(a) == len(b)) :], b[at + 1 :]))
 
 
 def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        near = [one_word_apart(a, b) for a, b in zip(batch.column("a").to_pylist(), batch.column("b").to_pylist(), strict=True)]
+        near = [one_word_apart(*(np.frombuffer(x.as_buffer(), np.uint64) for x in pair)) for pair in zip(batch.column("a"), batch.column("b"), strict=True)]
         yield pa.RecordBatch.from_arrays([batch.column("line")], ["line"]).filter(pa.array(near, pa.bool_()))
 
 
@@ -103,38 +149,40 @@ def line_dedup(spark: SparkSession, docs: DataFrame, id_column: str = "doc_id",
     """
     shared = Shared(spark)
     source = docs.select(F.coalesce(F.col(id_column).cast("long"), F.lit((1 << 63) - 1)).alias("doc"), F.xxhash64(F.col(id_column), F.col(text_column)).alias("row"), F.col(text_column).alias("text"))
-    lines = _lines(source, min_words)
     at = F.struct("doc", "row", "line_no")
-    table = shared.cut(lines.select("doc", "row", "line_no", "line", _half_keys().alias("halves")), "lines")
-    places = table.select("doc", "row", "line_no", "line").distinct()
+    table = shared.cut(source.mapInArrow(_scan(min_words), "doc long, row long, line_no int, line long, halves array<long>"), "lines")
+    places = table.select("doc", "row", "line_no", "line")
     firsts = shared.cut(places.groupBy("line").agg(F.min(at).alias("at"), F.count(F.lit(1)).alias("n")), "firsts")
+    earliest = firsts.select("line", "at.*")
 
     # lines that share a half with another
     halves = table.select("line", F.explode("halves").alias("half"))
-    torn = halves.groupBy("half").agg(F.min("line").alias("lo"), F.max("line").alias("hi")).where("lo < hi").select("half")
-    alike = shared.cut(halves.join(torn, "half", "left_semi").select("line").distinct(), "alike")
-    # a bit map of their hashes, of fixed size (1 MB), keeps other lines from the shuffle
-    bits = alike.selectExpr(f"pmod(line, {_BITS}L) as slot", "shiftleft(1L, int(pmod(shiftright(line, 40), 64L))) as bit").groupBy("slot").agg(F.bit_or("bit").alias("bits"))
-    maybe = lines.withColumn("slot", F.expr(f"pmod(line, {_BITS}L)")).join(F.broadcast(bits), "slot").where("shiftright(bits, int(pmod(shiftright(line, 40), 64L))) & 1 = 1")
-    earliest = firsts.select("line", "at.*")
-    texts = maybe.join(earliest.join(alike, "line", "left_semi"), ["line", "doc", "row", "line_no"], "left_semi").select("line", "raw", "words")
-    texts = shared.cut(texts.dropDuplicates(["line"]), "texts")
-
-    variants = shared.cut(texts.select("line", "raw").mapInArrow(_variants, "key long, place int, line long").join(earliest, "line").select("key", "place", F.struct("doc", "row", "line_no", "line").alias("own")), "variants")
-    groups = variants.groupBy("key", "place").agg(F.min("own").alias("hub"), F.count(F.lit(1)).alias("n"))
+    own = Window.partitionBy("half")
+    alike = halves.withColumns({"lo": F.min("line").over(own), "hi": F.max("line").over(own)}).where("lo < hi").select("line").distinct()
+    alike = shared.cut(earliest.join(alike, "line", "left_semi"), "alike")
+    # Variants of those lines. Bit maps of fixed size stand for them and their texts; a line taken by mistake has no neighbour.
+    made = source.select("row", "text").mapInArrow(_variants(min_words, key_bits(alike, "row"), key_bits(alike, "line")), "line long, key long, place int, words binary")
+    made = shared.cut(made, "variants")
+    variants = made.select("line", "key", "place")
+    met = variants.groupBy("key").agg(F.min("line").alias("lo"), F.max("line").alias("hi")).where("lo < hi").select("key")
+    few = variants.join(met, "key", "left_semi").distinct().join(earliest, "line").select("key", "place", F.struct("doc", "row", "line_no", "line").alias("own"))
+    few = shared.cut(few, "met")
+    groups = few.groupBy("key", "place").agg(F.min("own").alias("hub"), F.count(F.lit(1)).alias("n"))
     whole = groups.where("place < 0").select("key", F.col("hub").alias("whole"))
-    replaced = variants.join(groups.where("place >= 0 and n > 1"), ["key", "place"]).select("own", "hub")
-    longer = variants.where("place >= 0").join(whole, "key").select("own", F.col("whole").alias("hub"))
+    replaced = few.join(groups.where("place >= 0 and n > 1"), ["key", "place"]).select("own", "hub")
+    longer = few.where("place >= 0").join(whole, "key").select("own", F.col("whole").alias("hub"))
     shorter = groups.where("place >= 0").join(whole, "key").select(F.col("whole").alias("own"), "hub")
-    pairs = replaced.unionByName(longer).unionByName(shorter).where("hub < own").select(F.col("own.line").alias("line"), F.col("hub.line").alias("hub")).distinct()
-    words = texts.select("line", "words")
-    pairs = pairs.join(words.withColumnRenamed("words", "a"), "line").join(words.select(F.col("line").alias("hub"), F.col("words").alias("b")), "hub")
-    near = pairs.select("line", "a", "b").mapInArrow(_verify, "line long").distinct()
+    pairs = replaced.unionByName(longer).unionByName(shorter).where("hub < own").select(F.col("own.line").alias("line"), F.col("hub.line").alias("hub"))
+    pairs = shared.cut(pairs.distinct(), "pairs")
+    named = pairs.select(F.explode(F.array("line", "hub")).alias("line")).distinct()
+    words = made.where("place < 0").select("line", "words").join(named, "line", "left_semi").dropDuplicates(["line"])
+    both = pairs.join(words.withColumnRenamed("words", "a"), "line").join(words.select(F.col("line").alias("hub"), F.col("words").alias("b")), "hub")
+    near = both.select("line", "a", "b").mapInArrow(_verify, "line long").distinct()
 
     # an occurrence goes if its line has an earlier neighbour, or if it is not the first of its line
     fate = firsts.join(near.withColumn("near", F.lit(True)), "line", "left").where("near or n > 1")
     gone = places.join(fate.select("line", F.col("at").alias("first"), "near"), "line").where(F.coalesce("near", F.lit(False)) | (at > F.col("first")))
-    gone = gone.groupBy("row").agg(F.collect_list("line_no").alias(_GONE))  # at most the lines of one text
+    gone = shared.cut(gone.groupBy("row").agg(F.collect_set("line_no").alias(_GONE)), "gone")  # at most the lines of one text
     parts = F.split(F.col(text_column), "\n")
     every = F.when(F.size(parts) > 0, F.sequence(F.lit(0), F.size(parts) - 1))
     kept = F.array_join(F.transform(F.array_except(every, F.col(_GONE)), lambda i: F.get(parts, i)), "\n")
