@@ -80,3 +80,6 @@ ASSIGNMENT_SUBJECTS = (
     ("%Social%", "Social Studies"),
     ("%History%", "Social Studies"),
 )
+
+# Share of unreadable pages above which a load stops; not a value of the source system.
+MOST_BAD_PAGES = 0.05

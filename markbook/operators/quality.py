@@ -63,14 +63,19 @@ def length_violations(df: DataFrame, widths: dict[str, int]) -> DataFrame:
 
 
 def table_presence(spark: SparkSession, paths: dict[str, str]) -> DataFrame:
-    """Whether each table can be read, and its row count; parquet counts come from the file footers."""
+    """Whether each table is there, and its row count; parquet counts come from the file footers.
+
+    A folder that is there but holds no readable table raises: it is broken, not absent.
+    """
     out = None
     for name, path in paths.items():
         label = F.lit(name).alias("table_name")
         try:
             counted = spark.read.parquet(path).agg(F.count(F.lit(1)).alias("row_count"))
             one = counted.select(label, F.lit(True).alias("present"), "row_count")
-        except AnalysisException:
+        except AnalysisException as error:
+            if error.getCondition() != "PATH_NOT_FOUND":
+                raise
             absent = F.lit(0).cast("bigint").alias("row_count")
             one = spark.range(1).select(label, F.lit(False).alias("present"), absent)
         out = one if out is None else out.unionByName(one)

@@ -3,18 +3,21 @@
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Mapping
 from dataclasses import dataclass
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .. import schemas
 from ..functions import fixed_values as fixed
+from ..functions.scalars import parse_date
 from ..operators import merges, program_sync
 from ..operators.reports import table_counts
-from ..schemas import ASSIGNMENTS, LANDING, STANDARDS, SUMMARY, Table, conform
-from ..sources import tables
-from .enrichment import full_enrichment
+from ..schemas import ASSIGNMENTS, LANDING, REJECTS, STANDARDS, SUMMARY, Table, conform
+from ..sources import pages, tables
+from .enrichment import STUDENT, build_profile, full_enrichment
 from .summary import summary
 
 PROGRAM_PREFIX = "program_"
@@ -31,11 +34,14 @@ class Warehouse:
         return f"{self.root.rstrip('/')}/{name}"
 
     def read(self, name: str, columns=None) -> DataFrame:
-        """A stored table, or an empty one of the given layout if it was never written."""
+        """A stored table, or an empty one of the given layout if it was never written.
+
+        A folder that is there but cannot be read as a table raises: it is no new table.
+        """
         try:
             df = self.spark.read.parquet(self.path(name))
-        except AnalysisException:
-            if columns is None:
+        except AnalysisException as error:
+            if columns is None or error.getCondition() != "PATH_NOT_FOUND":
                 raise
             return self.spark.createDataFrame([], columns)
         return conform(df, columns) if columns is not None else df
@@ -44,34 +50,109 @@ class Warehouse:
         return self.read(prefix + table.name, table.columns)
 
 
+def undated_rows(raw: DataFrame, profile: DataFrame) -> DataFrame:
+    """Raw rows of students with a school for which no date can be read."""
+    return raw.where(parse_date(F.col("date_taken")).isNull()).join(profile.select(STUDENT), STUDENT, "left_semi")
+
+
+def reject(warehouse: Warehouse, reason: str, origin: str, rows: DataFrame, key: str, detail: str) -> int:
+    """Keep rows that could not be loaded, in place of those of the same reason and origin; returns and logs their number."""
+    staged = tables.stage(
+        rows.select(F.lit(reason).alias("reason"), F.lit(origin).alias("origin"), F.col(key).cast("string").alias("record_key"), F.col(detail).cast("string").alias("detail"))
+    )
+    others = warehouse.table(REJECTS).where(~((F.col("reason") == reason) & (F.col("origin") == origin)))
+    tables.replace_table(others.unionByName(staged), warehouse.path(REJECTS.name))
+    found = staged.count()
+    tables.extraction_log(warehouse.spark, f"reject:{reason}", found, "success").write.mode("append").parquet(warehouse.path("extraction_log"))
+    return found
+
+
+def with_ids(rows: DataFrame, start: int = 1) -> DataFrame:
+    """The rows, staged, with unique ids from ``start`` on and the time of the load.
+
+    Ids come from the place in the staged files, so a task that runs again gives the same ones.
+    """
+    return tables.audit_columns(tables.sparse_ids(tables.stage(rows), "ResultID", start))
+
+
 def full_load(warehouse: Warehouse, raw: DataFrame, profile: DataFrame, academic_year: str | None = None) -> None:
     """Replace the landing fact by everything in the raw rows."""
-    tables.full_refresh(full_enrichment(raw, profile, academic_year), warehouse.path("results"))
+    tables.full_refresh(with_ids(full_enrichment(raw, profile, academic_year)), warehouse.path("results"))
+
+
+PAGES = {
+    "results": schemas.DETAIL_RESULT,
+    "enrollment": schemas.ENROLLMENT,
+    "sites": schemas.SITES,
+    "users": schemas.USERS,
+    "roster": schemas.ROSTER,
+}
+
+
+def load_from_pages(
+    warehouse: Warehouse,
+    landed: Mapping[str, str],
+    section_roster: DataFrame,
+    subject_map: DataFrame,
+    academic_year: str | None = None,
+    most_bad: float = fixed.MOST_BAD_PAGES,
+) -> None:
+    """A full load from landed pages (``PAGES`` names the folders), with the summary.
+
+    Of a key that a lookup lists more than once the last record by arrival counts. Unreadable pages and rows without a
+    readable date are kept as rejects and counted in the log; undated rows are loaded all the same. More than
+    ``most_bad`` unreadable pages of one kind stop the load before anything of it is written.
+    """
+    spark = warehouse.spark
+    for name, record in PAGES.items():
+        found = reject(warehouse, "bad_page", name, pages.page_rejects(spark, landed[name], record), "file", "text")
+        if found > most_bad * pages.page_count(spark, landed[name]):
+            raise ValueError(f"{found} pages of {name} cannot be read")
+    read = {n: pages.read_pages(spark, landed[n], record, arrival="seq") for n, record in PAGES.items()}
+    profile = build_profile(read["enrollment"], read["sites"], read["users"], read["roster"], section_roster, subject_map)
+    raw = read["results"].drop("seq")
+    reject(warehouse, "undated", "full load", undated_rows(raw, profile), "local_student_id", "date_taken")
+    full_load(warehouse, raw, profile, academic_year)
+    rebuild_summary(warehouse)
 
 
 def window_load(
     warehouse: Warehouse, raw: DataFrame, profile: DataFrame, start: dt.date, end: dt.date, year: str | None = None
 ) -> list:
-    """Replace one date window of the landing fact by the raw rows of that window; returns the years changed."""
+    """Replace one date window of the landing fact by the raw rows of that window; returns the years changed.
+
+    A row whose date is missing or cannot be read has no place in a window. It goes to the table of rejects with its
+    date text, instead of those that an earlier run of the same window put there, and is counted in the log.
+    """
     rows = full_enrichment(raw, profile, year)
     batch = rows.where(F.col("DateCompleted").between(F.lit(start), F.lit(end)))
     spark = warehouse.spark
+    reject(warehouse, "undated", f"{start}..{end}", undated_rows(raw, profile), "local_student_id", "date_taken")
     try:
-        return tables.replace_window(spark, warehouse.path("results"), batch, start, end)
+        stored = tables.read_results(spark, warehouse.path("results"))
+        first = tables.next_id(stored, "ResultID") if "ResultID" in stored.columns else 1
+        return tables.replace_window(spark, warehouse.path("results"), with_ids(batch, first), start, end)
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise
-        batch = tables.stage(batch)
+        batch = with_ids(batch)
         tables.append_results(batch, warehouse.path("results"))
         return [r[0] for r in batch.select(tables.YEAR).distinct().collect()]
 
 
 def rebuild_summary(warehouse: Warehouse, years: list | None = None) -> None:
-    """Rebuild the summary, or only the given years of it.
+    """Rebuild the summary, or only the given years of it and those that it lacks.
 
-    The year is part of every summary group, so the groups of other years cannot have changed.
+    The year is part of every summary group, so the groups of other years cannot have changed. Without a stored
+    summary all of it is built.
     """
     results = warehouse.read("results", LANDING)
+    if years is not None:
+        # One value per year, read from the folder names.
+        have = lambda df: {r[0] for r in df.select(tables.YEAR).distinct().collect()}
+        summarised = have(warehouse.table(SUMMARY))
+        missing = have(results.where(F.col("AssessmentID").isNotNull() & F.col("StudentID_SASID").isNotNull())) - summarised
+        years = sorted({*years, *missing}, key=lambda y: (y is None, y)) if summarised else None
     if years is None:
         tables.full_refresh(summary(results), warehouse.path("summary"))
     elif years:
@@ -90,8 +171,12 @@ def update_lookups(warehouse: Warehouse, catalogue: DataFrame | None = None) ->
     tables.replace_table(standards, warehouse.path("standards"))
 
 
-def sync_program(warehouse: Warehouse, null_safe: bool = False) -> DataFrame:
-    """Append what is new to the program copies and report their sizes; rows already there are not rewritten."""
+def sync_program(warehouse: Warehouse, null_safe: bool = True) -> DataFrame:
+    """Append what is new to the program copies and report their sizes; rows already there are not rewritten.
+
+    Missing key parts compare as equal, so that a second sync finds nothing new; ``null_safe=False`` compares as plain
+    equality does and appends rows without a key again.
+    """
     w = warehouse
     results, summary_rows = w.read("results", LANDING), w.table(SUMMARY)
     standards, assignments = w.table(STANDARDS), w.table(ASSIGNMENTS)

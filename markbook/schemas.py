@@ -324,8 +324,14 @@ EXTRACTION_LOG = Table(
     surrogate="log_id",
 )
 
+# Rows that a load could not take, with what is needed to find them again.
+REJECTS = Table("rejects", _struct(reason=TEXT, origin=TEXT, record_key=TEXT, detail=TEXT))
+
 # --- records as the source sends them --------------------------------------------------------------
 
+# Points as sent may have more than the two places of the stored columns; percents are taken before rounding.
+SENT_POINTS = DecimalType(20, 6)
+
 DETAIL_RESULT = _struct(
     result_seq=LONG,
     local_student_id=TEXT,
@@ -337,8 +343,8 @@ DETAIL_RESULT = _struct(
     standard_code=TEXT,
     standard_set=TEXT,
     standard_description=TEXT,
-    points=POINTS,
-    points_possible=POINTS,
+    points=TEXT,
+    points_possible=TEXT,
 )
 
 NESTED_STANDARD = _struct(
@@ -348,10 +354,10 @@ NESTED_STANDARD = _struct(
     code=TEXT,
     standard_description=TEXT,
     description=TEXT,
-    points_achieved=POINTS,
-    score=POINTS,
-    points_possible=POINTS,
-    max_score=POINTS,
+    points_achieved=SENT_POINTS,
+    score=SENT_POINTS,
+    points_possible=SENT_POINTS,
+    max_score=SENT_POINTS,
 )
 
 NESTED_RESULT = _struct(
@@ -388,12 +394,12 @@ NESTED_RESULT = _struct(
     school_id=INT,
     site_id=INT,
     standard_set=TEXT,
-    overall_score=POINTS,
-    points_achieved=POINTS,
-    total_score=POINTS,
-    raw_score=POINTS,
-    points_possible=POINTS,
-    max_score=POINTS,
+    overall_score=SENT_POINTS,
+    points_achieved=SENT_POINTS,
+    total_score=SENT_POINTS,
+    raw_score=SENT_POINTS,
+    points_possible=SENT_POINTS,
+    max_score=SENT_POINTS,
     standards=ArrayType(NESTED_STANDARD),
     standard_results=ArrayType(NESTED_STANDARD),
 )

@@ -7,7 +7,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, IntegerType, StructField, StructType
+from pyspark.sql.types import ArrayType, IntegerType, StringType, StructField, StructType
 
 from .. import schemas
 from ..functions.predicates import between_dates
@@ -23,14 +23,45 @@ def envelope(record: StructType) -> StructType:
     )
 
 
-def read_pages(spark: SparkSession, path: str, record: StructType, multi_line: bool = False) -> DataFrame:
-    """One row per element of ``results``; a page with no results gives none.
+_UNREADABLE = "_unreadable"
+
+
+def _envelopes(spark: SparkSession, path: str, record: StructType, multi_line: bool) -> DataFrame:
+    """Pages, with the text of those that are not wholly readable."""
+    schema = envelope(record).add(_UNREADABLE, StringType())
+    return spark.read.schema(schema).option("columnNameOfCorruptRecord", _UNREADABLE).json(path, multiLine=multi_line)
+
+
+def read_pages(
+    spark: SparkSession, path: str, record: StructType, multi_line: bool = False, arrival: str | None = None
+) -> DataFrame:
+    """One row per element of ``results``; a page with no results gives none, nor does one of ``page_rejects``.
 
     One envelope per line lets Spark split large files. ``multi_line`` is for one
-    pretty-printed envelope per file, which a single task has to read.
+    pretty-printed envelope per file, which a single task has to read. ``arrival`` names a column that
+    orders records as they arrived: by file name, page in the file, and place in the page.
     """
-    pages = spark.read.schema(envelope(record)).json(path, multiLine=multi_line)
-    return pages.select(F.explode("results").alias("r")).select("r.*")
+    pages = _envelopes(spark, path, record, multi_line)
+    if arrival is None:
+        return pages.select(F.explode("results").alias("r")).select("r.*")
+    # Rows of one file block are read in order by one task, so the running id orders them.
+    page = [F.col("_metadata.file_path"), F.col("_metadata.file_block_start"), F.monotonically_increasing_id()]
+    named = pages.select("results", F.struct(*[c.alias(n) for c, n in zip(page, ("file", "block", "page"), strict=True)]).alias("_at"))
+    return named.select("_at", F.posexplode("results").alias("_pos", "r")).select(
+        "r.*", F.struct("_at", "_pos").alias(arrival)
+    )
+
+
+def page_rejects(spark: SparkSession, path: str, record: StructType, multi_line: bool = False) -> DataFrame:
+    """``file, text`` of pages whose records cannot be read, such as one that was cut short."""
+    pages = _envelopes(spark, path, record, multi_line)
+    bad = pages.select(F.col("_metadata.file_path").alias("file"), "results", _UNREADABLE)
+    return bad.where(F.col(_UNREADABLE).isNotNull() & F.col("results").isNull()).select("file", F.col(_UNREADABLE).alias("text"))
+
+
+def page_count(spark: SparkSession, path: str) -> int:
+    """Lines that are not empty."""
+    return spark.read.text(path).where(F.length(F.trim("value")) > 0).count()
 
 
 def read_documents(spark: SparkSession, path: str, record: StructType, multi_line: bool = False) -> DataFrame:

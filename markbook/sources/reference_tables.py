@@ -10,8 +10,10 @@ from ..operators.picks import last_per_key
 
 
 def _last(raw: DataFrame, key: str, seq: str) -> DataFrame:
-    """The last record of each key; an input without arrival order has one record per key already."""
-    return last_per_key(raw, [key], [seq]).drop(seq) if seq in raw.columns else raw
+    """The last record of each key, by arrival; without an arrival column the greatest record, so that a key stays unique."""
+    if seq in raw.columns:
+        return last_per_key(raw, [key], [seq]).drop(seq)
+    return last_per_key(raw, [key], raw.columns)
 
 
 def _filled(name: str) -> Column:

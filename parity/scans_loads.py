@@ -19,6 +19,7 @@ from .registry import query
 from .scalar_rules import ASSIGNMENT_SUBJECT
 from .views import Views
 
+C = F.col
 RAW_COLUMNS = [f.name for f in schemas.DETAIL_RESULT.fields]
 
 
@@ -31,7 +32,8 @@ def profile(v: Views):
 @query("scan_paged_json", f"SELECT {', '.join(RAW_COLUMNS)} FROM raw_results")
 def scan_paged_json(v):
     path = land_pages(v.raw_results, "result_seq")
-    return pages.read_pages(v.spark, path, schemas.DETAIL_RESULT)
+    sent = pages.read_pages(v.spark, path, schemas.DETAIL_RESULT)
+    return sent.withColumns({c: s.safe_decimal(C(c)) for c in ("points", "points_possible")})
 
 
 @query(

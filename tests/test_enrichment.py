@@ -2,15 +2,17 @@ import datetime as dt
 from decimal import Decimal
 
 import pytest
+from pyspark.errors import AnalysisException
 from pyspark.sql import functions as F
 
 from markbook import schemas
-from markbook.operators import joins, lookups, nested
+from markbook.operators import joins, lookups, nested, quality, reports
 from markbook.operators.program_sync import sync_program_results
 from markbook.plans import enrichment, weekly
 from markbook.plans.summary import summary
 from markbook.schemas import conform
 from markbook.session import scratch_dir
+from markbook.sources import reference_tables as ref
 
 SECTION = "student_id string, section_id string, teacher_first string, teacher_last string, subject_area int, content_area int, seq int"
 
@@ -206,9 +208,12 @@ def test_weekly_update_is_repeatable(spark, profile, rows):
     raw, as_of = raw_rows(spark), dt.date(2024, 9, 3)
     counts = rows(weekly.weekly_update(warehouse, raw, profile, as_of, 7, "2024-2025"))
     assert counts == [("assignments", 2), ("results", 3), ("standards", 2), ("summary", 3)]
-    tables = {n: rows(warehouse.read(n)) for n in ("results", "assignments", "standards", "summary")}
+    own = lambda n: rows(warehouse.read(n).drop("ResultID", "CreatedDate", "UpdatedDate"))
+    tables = {n: own(n) for n in ("results", "assignments", "standards", "summary")}
+    rejected = rows(warehouse.table(schemas.REJECTS))
+    assert [(r[0], r[3]) for r in rejected] == [("undated", "bad")]
     assert rows(weekly.weekly_update(warehouse, raw, profile, as_of, 7, "2024-2025")) == counts
-    assert {n: rows(warehouse.read(n)) for n in tables} == tables
+    assert {n: own(n) for n in tables} == tables and rows(warehouse.table(schemas.REJECTS)) == rejected
     fewer = raw.where("result_seq <> 1")
     weekly.weekly_update(warehouse, fewer, profile, as_of, 7, "2024-2025")
     assert warehouse.read("results").count() == 2
@@ -240,6 +245,67 @@ def test_full_load_and_program_sync(spark, profile):
     assert weekly.sync_program(warehouse, null_safe=True).first() == status
 
 
+def test_weekly_update_after_a_full_load_leaves_a_whole_summary(spark, profile, rows):
+    warehouse = weekly.Warehouse(spark, scratch_dir(spark))
+    raw = raw_rows(spark)
+    older = raw.withColumn("date_taken", F.lit("2023-05-05")).withColumn("assessment_id", F.lit(50))
+    weekly.full_load(warehouse, raw.unionByName(older), profile)
+    weekly.weekly_update(warehouse, raw, profile, dt.date(2024, 9, 3), 7, "2024-2025")
+    stored = rows(warehouse.table(schemas.SUMMARY))
+    weekly.rebuild_summary(warehouse)
+    assert rows(warehouse.table(schemas.SUMMARY)) == stored
+    years = lambda df: {r[0] for r in df.select("AcademicYear").distinct().collect()}
+    assert years(warehouse.table(schemas.SUMMARY)) == years(warehouse.read("results", schemas.LANDING).where("AssessmentID IS NOT NULL AND StudentID_SASID IS NOT NULL"))
+
+
+def test_broken_table_raises_and_a_missing_one_is_empty(spark, tmp_path):
+    warehouse = weekly.Warehouse(spark, str(tmp_path))
+    assert warehouse.table(schemas.ASSIGNMENTS).count() == 0
+    (tmp_path / "assignments").mkdir()
+    with pytest.raises(AnalysisException):
+        warehouse.table(schemas.ASSIGNMENTS)
+    with pytest.raises(AnalysisException):
+        quality.table_presence(spark, {"assignments": warehouse.path("assignments")}).collect()
+
+
+def test_sync_finds_nothing_new_twice(spark, profile):
+    warehouse = weekly.Warehouse(spark, scratch_dir(spark))
+    raw = raw_rows(spark).withColumn("title", F.lit("Into Math")).withColumn("standard_code", F.lit(None).cast("string"))
+    weekly.full_load(warehouse, raw, profile)
+    weekly.rebuild_summary(warehouse)
+    weekly.update_lookups(warehouse)
+    status = weekly.sync_program(warehouse).first()
+    assert weekly.sync_program(warehouse).first() == status
+
+
+def test_reports_on_the_stored_fact(spark, profile):
+    """The load gives ids and times, so what needs them runs on what is stored."""
+    warehouse = weekly.Warehouse(spark, scratch_dir(spark))
+    raw = raw_rows(spark)
+    weekly.full_load(warehouse, raw.unionByName(raw), profile)
+    weekly.window_load(warehouse, raw, profile, dt.date(2024, 8, 27), dt.date(2024, 9, 3))
+    stored = warehouse.read("results")
+    assert stored.select("ResultID").distinct().count() == stored.count()
+    assert stored.where("CreatedDate IS NULL OR UpdatedDate IS NULL").count() == 0
+    assert quality.delete_duplicates(stored).count() < stored.count()
+    reports.top_null_school(stored).collect()
+    for report in (reports.top50_grade_names, reports.random_sample_per_grade):
+        report(stored, dt.date(2024, 1, 1)).collect()
+
+
+def test_points_are_not_rounded_before_the_percent(spark, profile):
+    raw = raw_rows(spark).withColumns({"points": F.lit("12.345"), "points_possible": F.lit("16")})
+    got = enrichment.full_enrichment(raw, profile).select("PointsAchieved", "PercentCorrect").distinct().collect()
+    assert [tuple(r) for r in got] == [(Decimal("12.35"), "77.16%")]
+    bad = enrichment.full_enrichment(raw.withColumn("points", F.lit("n/a")), profile)
+    assert bad.where("PointsAchieved IS NULL AND PercentCorrect IS NULL").count() == bad.count() > 0
+
+
+def test_lookup_without_arrival_keeps_keys_unique(spark):
+    listed = spark.createDataFrame([(7, "a"), (7, "b"), (8, "c"), (0, "d")], "site_id int, site_name string")
+    assert sorted(map(tuple, ref.sites(listed, "seq").collect())) == [(7, "b"), (8, "c")]
+
+
 def test_conform(spark):
     got = conform(spark.range(1).withColumn("AssessmentID", F.lit("7")), schemas.LANDING)
     assert got.schema.fieldNames() == schemas.LANDING.fieldNames()
