@@ -116,3 +116,14 @@ def orphan_report(relations: dict[str, tuple[DataFrame, str, DataFrame, str]]) -
         one = orphans(*relation).select(F.lit(name).alias("relation"), "orphan_rows", "orphan_keys")
         out = one if out is None else out.unionByName(one)
     return out
+
+
+def foreign_key_report(tables: dict[str, DataFrame], layouts: Sequence[Table]) -> DataFrame:
+    """``orphan_report`` for every reference that the layouts state."""
+    return orphan_report(
+        {
+            f"{layout.name}.{column}": (tables[layout.name], column, tables[parent], key)
+            for layout in layouts
+            for column, (parent, key) in layout.references.items()
+        }
+    )

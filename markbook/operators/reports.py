@@ -355,7 +355,7 @@ def avg_pct_by_standard(results: DataFrame) -> DataFrame:
     pct = s.ratio_pct(F.col("PointsAchieved"), F.col("PointsPossible"))
     return (
         results.groupBy(*keys)
-        .agg(F.round(F.avg(pct), 6).alias("AvgPercent"))
+        .agg(F.avg(pct).alias("AvgPercent"))
         .orderBy(F.col("AvgPercent").desc_nulls_last(), *keys)
     )
 

@@ -9,7 +9,7 @@ from .. import schemas
 from ..operators import merges, nested
 from ..operators.joins import anti_join
 from ..sources import tables
-from .weekly import Warehouse
+from .weekly import Warehouse, reject
 
 QUESTION_KEY = ["assessment_id", "question_number"]
 
@@ -35,14 +35,16 @@ def load_details(warehouse: Warehouse, detail: DataFrame) -> None:
     """Bands, questions, choices, standards and links of assessment details, one document per assessment.
 
     Questions, standards and links are upserted; bands and choices are appended. A question without a
-    number cannot be found again and is left out, as are its choices and links.
+    number cannot be found again: it goes to the rejects, and its choices and links are left out.
     """
     w = warehouse
     layout = schemas.QUESTIONS.columns
     stored = schemas.StructType([*layout.fields, schemas.StructField("question_id", schemas.LONG)])
     known = w.read(schemas.QUESTIONS.name, stored)
 
-    questions = nested.flatten_questions(detail).where(F.col("question_number").isNotNull())
+    questions = nested.flatten_questions(detail)
+    reject(w, "unnumbered_question", "details", questions.where(F.col("question_number").isNull()), "assessment_id", "question_text")
+    questions = questions.where(F.col("question_number").isNotNull())
     ids = tables.stage(question_ids(known, questions))
     merged = merges.upsert_questions(known.drop("question_id"), questions, "position")
     tables.replace_table(merged.join(ids, QUESTION_KEY), w.path(schemas.QUESTIONS.name))

@@ -14,6 +14,8 @@ from ..schemas import EXTRACTION_LOG, conform
 from ..session import scratch_dir
 
 YEAR = "AcademicYear"
+# Rows that one task numbers.
+BUCKET_ROWS = 100_000
 _NULL_YEAR = "__HIVE_DEFAULT_PARTITION__"
 
 
@@ -129,17 +131,22 @@ def surrogate_key(rows: DataFrame, id_column: str, key: Sequence[str], start: in
     """Consecutive ids for rows with a unique key, in the order of the key's hash.
 
     Rows are counted per bucket of the hash, a bucket starts where the one before ends, and rows are
-    numbered inside their bucket: 4096 windows, and none over the whole table.
+    numbered inside their bucket. There are as many buckets as keep one at about ``BUCKET_ROWS`` rows, so no window is over
+    the whole table. The rows are staged: counts and ids come from the same ones.
     """
+    rows = stage(rows)
+    count, digits = rows.count(), 1
+    while count > BUCKET_ROWS * 16**digits:
+        digits += 1
     digest = F.md5(F.concat_ws("|", *[F.coalesce(F.col(k).cast("string"), F.lit("")) for k in key]).cast("binary"))
-    marked = rows.withColumn("_digest", digest).withColumn("_bucket", F.substring("_digest", 1, 3))
+    marked = rows.withColumn("_digest", digest).withColumn("_bucket", F.substring("_digest", 1, digits))
     counts = marked.groupBy("_bucket").agg(F.count(F.lit(1)).alias("_n"))
     before = Window.orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
-    # At most 4096 rows: the one place where a window has no partition, and a broadcast of known size.
+    # A row a bucket: the one place where a window has no partition.
     starts = counts.select("_bucket", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"))
     order = Window.partitionBy("_bucket").orderBy("_digest", *[F.col(k).asc_nulls_first() for k in key])
     return (
-        marked.join(F.broadcast(starts), "_bucket")
+        marked.join(starts, "_bucket")
         .withColumn(id_column, F.row_number().over(order) + F.col("_before") + F.lit(start - 1))
         .drop("_digest", "_bucket", "_before")
     )

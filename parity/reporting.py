@@ -307,7 +307,8 @@ def grade_offset(v):
        FROM results GROUP BY 1, 2""",
 )
 def avg_pct_by_standard(v):
-    return reports.avg_pct_by_standard(v.results)
+    # The mean's last digits depend on the order of the sum, so both sides are compared to six places.
+    return reports.avg_pct_by_standard(v.results).withColumn("AvgPercent", F.round("AvgPercent", 6))
 
 
 def _register_program_counts(name: str, *columns: str, program_only: bool = False) -> None:
@@ -581,3 +582,43 @@ def orphans(v):
             "links.standard_id": (v.link_records, "standard_id", v.standard_records, "standard_id"),
         }
     )
+
+
+# child table, its view, column, view of the parent, key
+FOREIGN_KEYS = (
+    ("performance_bands", "band_rows", "assessment_id", "assessments_seed", "assessment_id"),
+    ("assessment_questions", "question_rows", "assessment_id", "assessments_seed", "assessment_id"),
+    ("answer_choices", "choice_rows", "question_id", "question_rows", "question_id"),
+    ("question_standards", "question_links", "question_id", "question_rows", "question_id"),
+    ("question_standards", "question_links", "standard_id", "legacy_rows", "standard_id"),
+    ("students", "student_rows", "school_id", "school_rows", "school_id"),
+    ("student_scores", "score_rows", "student_id", "student_rows", "student_id"),
+    ("student_scores", "score_rows", "assessment_id", "assessments_seed", "assessment_id"),
+    ("student_responses", "response_rows", "score_id", "score_rows", "score_id"),
+    ("student_responses", "response_rows", "student_id", "student_rows", "student_id"),
+    ("student_responses", "response_rows", "assessment_id", "assessments_seed", "assessment_id"),
+    ("student_responses", "response_rows", "question_id", "question_rows", "question_id"),
+)
+
+
+@query(
+    "foreign_keys",
+    " UNION ALL ".join(
+        f"SELECT '{table}.{column}' AS relation, COUNT(*) AS orphan_rows, COUNT(DISTINCT {column}) AS orphan_keys FROM {child} c"
+        f" WHERE {column} IS NOT NULL AND NOT EXISTS (SELECT 1 FROM {parent} p WHERE p.{key} = c.{column})"
+        for table, child, column, parent, key in FOREIGN_KEYS
+    ),
+)
+def foreign_keys(v):
+    layouts = (
+        schemas.BANDS,
+        schemas.QUESTIONS,
+        schemas.CHOICES,
+        schemas.QUESTION_STANDARDS,
+        schemas.STUDENTS,
+        schemas.SCORES,
+        schemas.RESPONSES,
+    )
+    stored = {table: getattr(v, child) for table, child, *_ in FOREIGN_KEYS}
+    stored |= {"assessments": v.assessments_seed, "legacy_standards": v.legacy_rows, "schools": v.school_rows}
+    return quality.foreign_key_report(stored, layouts)

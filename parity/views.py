@@ -227,6 +227,28 @@ SELECT CAST(p_partkey AS INT) AS assessment_id, 'Seed' AS local_assessment_id, '
        'Old text' AS description, CAST(p_size AS INT) AS subject_id, 'Old subject' AS subject_name,
        CAST(1 AS INT) AS version, CAST('1990-01-01' AS DATE) AS created_date, false AS deleted
 FROM part WHERE p_partkey % 2 = 0
+""",
+    "band_rows": "SELECT CAST(p_partkey AS INT) AS assessment_id FROM part WHERE p_partkey % 2 = 0",
+    "question_rows": """
+SELECT CAST(p_partkey AS BIGINT) AS question_id, CAST(p_partkey % 170 AS INT) AS assessment_id FROM part WHERE p_partkey % 5 <> 0
+""",
+    "choice_rows": "SELECT CAST(l_partkey AS BIGINT) AS question_id FROM lineitem WHERE l_linenumber = 1",
+    "legacy_rows": "SELECT CAST(s_suppkey AS INT) AS standard_id FROM supplier WHERE s_suppkey % 3 <> 0",
+    "question_links": """
+SELECT CAST(l_partkey AS BIGINT) AS question_id, CAST(l_suppkey AS INT) AS standard_id FROM lineitem WHERE l_linenumber = 2
+""",
+    "school_rows": "SELECT CAST(n_nationkey AS INT) AS school_id FROM nation WHERE n_nationkey % 4 <> 0",
+    "student_rows": """
+SELECT CAST(c_custkey AS INT) AS student_id, CAST(c_nationkey AS INT) AS school_id FROM customer WHERE c_custkey % 10 <> 0
+""",
+    "score_rows": """
+SELECT CAST(o_orderkey AS BIGINT) AS score_id, CAST(o_custkey AS INT) AS student_id, CAST(o_orderkey % 170 AS INT) AS assessment_id
+  FROM orders WHERE o_orderkey % 7 <> 0
+""",
+    "response_rows": """
+SELECT CAST(l_orderkey AS BIGINT) AS score_id, CAST(o_custkey AS INT) AS student_id, CAST(l_partkey % 170 AS INT) AS assessment_id,
+         CAST(l_partkey AS BIGINT) AS question_id
+  FROM lineitem JOIN orders ON l_orderkey = o_orderkey
 """,
     "question_records": """
 SELECT CAST(l_partkey % 150 AS INT) AS assessment_id, CAST(l_linenumber AS INT) AS question_number,
