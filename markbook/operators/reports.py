@@ -15,13 +15,10 @@ from pyspark.sql import functions as F
 from ..functions import predicates as pred
 from ..functions import scalars as s
 from ..sources.tables import stage
-from .joins import anti_join, broadcast_if_small, lookup_join
+from .joins import anti_join, lookup_join
 from .lookups import with_site_names
 from .picks import top_per_key
 
-# Longest list of assessments that is gathered for one report line.
-SHORT_LIST = 100
-
 
 def row_count() -> Column:
     return F.count(F.lit(1))
@@ -232,8 +229,7 @@ def assessment_usage(assignments: DataFrame, results: DataFrame) -> DataFrame:
     """Distinct students and most recent date per assignment name, program, school and school name.
 
     Many schools use the same assessments, so students are counted once per distinct set of assessments
-    and not once per school. Only a line with more assessments than fit a short list is paired with its
-    students directly.
+    and not once per school. A set is known by its size and two hashes of its members, so that it needs no list.
     """
     line = ["AssignmentName", "ProgramName", "SchoolID", "site_name"]
     assessment = "SourceAssessmentID"
@@ -245,25 +241,18 @@ def assessment_usage(assignments: DataFrame, results: DataFrame) -> DataFrame:
     parts = stage(
         with_site_names(assignments, results).select(F.struct(*line).alias("line"), assessment).distinct()
     )
-    sizes = parts.groupBy("line").agg(F.count(assessment).alias("n"))
-    short = sizes.where(F.col("n") <= SHORT_LIST).select("line")
-    lists = (
-        parts.join(short, "line", "left_semi")
-        .groupBy("line")
-        .agg(F.array_sort(F.collect_list(assessment)).alias("ids"))
-    )
-    members = lists.select("ids").distinct().withColumn(assessment, F.explode("ids"))
-    used = broadcast_if_small(members).join(per_student, assessment).groupBy("ids").agg(*figures)
-    short_lines = lists.join(used, "ids", "left")
-    long_lines = (
-        parts.join(sizes.where(F.col("n") > SHORT_LIST).select("line"), "line", "left_semi")
-        .join(per_student, assessment, "left")
-        .groupBy("line")
-        .agg(*figures)
+    one_set = ["size", "total", "mixed"]
+    lines = parts.groupBy("line").agg(
+        F.count(assessment).alias("size"),
+        F.sum(F.xxhash64(assessment).cast("decimal(38,0)")).alias("total"),
+        F.bit_xor(F.xxhash64(assessment, F.lit(1))).alias("mixed"),
     )
-    columns = ("line", F.coalesce("NumStudents", F.lit(0)).alias("NumStudents"), "MostRecentUse")
-    out = short_lines.select(*columns).unionByName(long_lines.select(*columns))
-    return out.select("line.*", "NumStudents", "MostRecentUse").orderBy(*line)
+    named = lines.groupBy(*one_set).agg(F.min("line").alias("line"))
+    members = parts.join(named, "line").select(*one_set, assessment)
+    used = members.join(per_student, assessment).groupBy(*one_set).agg(*figures)
+    out = lines.join(used, one_set, "left")
+    columns = ("line.*", F.coalesce("NumStudents", F.lit(0)).alias("NumStudents"), "MostRecentUse")
+    return out.select(*columns).orderBy(*line)
 
 
 # --- grades and teachers ---------------------------------------------------------------------------

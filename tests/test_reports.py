@@ -9,9 +9,7 @@ from markbook.operators import quality, reports
 DAY = dt.date(2024, 9, 1)
 
 
-@pytest.mark.parametrize("short_list", [0, 1, 100])
-def test_assessment_usage_equals_brute_force(spark, monkeypatch, short_list):
-    monkeypatch.setattr(reports, "SHORT_LIST", short_list)
+def test_assessment_usage_equals_brute_force(spark):
     rng = random.Random(3)
     results = [
         (rng.randint(1, 6), rng.choice(["a", "b", "c", "d", None]), DAY + dt.timedelta(rng.randint(0, 9)), s, f"N{s}")
