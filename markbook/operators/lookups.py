@@ -68,16 +68,14 @@ def section_uses(section_roster: DataFrame, subject_map: DataFrame) -> DataFrame
 def section_choices(section_roster: DataFrame, subject_map: DataFrame) -> DataFrame:
     """Section per student and subject name: of the first content area in map order the first roster row."""
     uses = section_uses(section_roster, subject_map)
-    return uses.groupBy(STUDENT, "subject_name").agg(F.min_by("section", "rank").alias("section"))
+    return first_per_key(uses, [STUDENT, "subject_name"], ["rank"]).drop("rank")
 
 
 def sections_by_student(section_roster: DataFrame, subject_map: DataFrame) -> DataFrame:
-    """The same choices as one column per subject, by a single aggregate."""
-    best = [
-        F.min_by("section", F.when(F.col("subject_name") == name, F.col("rank"))).alias(column)
-        for name, column in _SECTION_COLUMNS.items()
-    ]
-    return section_uses(section_roster, subject_map).groupBy(STUDENT).agg(*best)
+    """The same choices as one column per subject; at most one entry a subject is gathered for a student."""
+    known = section_choices(section_roster, subject_map).where(F.col("subject_name").isin(list(_SECTION_COLUMNS)))
+    found = known.groupBy(STUDENT).agg(F.map_from_entries(F.collect_list(F.struct("subject_name", "section"))).alias("of"))
+    return found.select(STUDENT, *[F.col("of")[name].alias(column) for name, column in _SECTION_COLUMNS.items()])
 
 
 def match_section(results: DataFrame, choices: DataFrame, subject: Column) -> DataFrame:

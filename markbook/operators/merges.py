@@ -17,7 +17,7 @@ from ..functions.predicates import valid_standard
 from ..functions.scalars import first_text, program_from_title, subject_code_first, subject_or_code
 from .joins import anti_join, lookup_join, no_scatter
 from .lookups import inner_latest, standards_catalogue
-from .picks import first_assessment_per_key, first_per_key, one_per_standard
+from .picks import first_assessment_per_key, first_per_key, last_per_key, one_per_standard
 
 COALESCE, OVERWRITE, KEEP = "coalesce", "overwrite", "keep"
 
@@ -76,13 +76,11 @@ def collapse_batch(source: DataFrame, keys: Sequence[str], update: Sequence[str]
     """
     rest = [c for c in source.columns if c not in keys and c != seq]
     missing = reduce(or_, [F.col(k).isNull() for k in keys])
-    first, last = F.struct(*rest), F.struct(*rest)
-    merged = (
-        source.where(~missing)
-        .groupBy(*keys)
-        .agg(F.min_by(first, seq).alias("a"), F.max_by(last, seq).alias("z"))
-        .select(*keys, *[F.col(f"z.{c}" if c in update else f"a.{c}").alias(c) for c in rest])
-    )
+    keyed = source.where(~missing)
+    # Two picks, so that each limits its rows per key before the shuffle.
+    first = first_per_key(keyed, keys, [F.col(seq).asc_nulls_last()]).select(*keys, *[c for c in rest if c not in update])
+    last = last_per_key(keyed, keys, [seq]).select(*keys, *[c for c in rest if c in update])
+    merged = first.join(last, list(keys)).select(*keys, *rest)
     return merged.unionByName(source.where(missing).select(*keys, *rest))
 
 
