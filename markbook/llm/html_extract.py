@@ -18,6 +18,8 @@ from pyspark.sql import functions as F
 
 from .frames import Shared
 
+SALTS = 32
+
 _TOKEN = re.compile(
     r"""<!--.*?(?:-->|\Z)                                    # comment
       | <(?P<raw>script|style)\b[^>]*+(?:>.*?(?:</(?P=raw)\s*>|\Z)|\Z)
@@ -200,7 +202,10 @@ def extract_main_text(spark: SparkSession, pages: DataFrame, url_column: str = "
     host, path = "__page_host", "__page_path"
     named = pages.withColumn(host, F.lower(F.coalesce(F.regexp_extract(F.col(url_column), "^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#]*@)?([^/?#:]+)", 1), F.lit(""))))
     votes = host_paths(named.select(F.col(host).alias("host"), F.col(html_column).alias("html")))
-    joined = named.join(votes.select(F.col("host").alias(host), F.col("path").alias(path)), host, "left")
+    # a host may hold a third of all pages: its path is there once for each of SALTS parts of them
+    salt = "__page_salt"
+    salted = votes.select(F.col("host").alias(host), F.col("path").alias(path), F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))).alias(salt))
+    joined = named.withColumn(salt, F.pmod(F.xxhash64(url_column, html_column), F.lit(SALTS))).join(salted, [host, salt], "left")
     main = _main_text()
     return joined.withColumn("text", main(F.col(html_column), F.col(path))).select(*[c for c in pages.columns if c != "text"], "text")
 
