@@ -33,22 +33,31 @@ _PASSAGE = "row long, doc long, hub_row long, hub_doc long, start int, end int,
 
 
 def compact_windows(values: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """``l, c, r`` of the windows of a Cartesian tree (leftmost minimum on top) with at least ``length`` values."""
+    """``l, c, r`` of the windows of a Cartesian tree (leftmost minimum on top) with at least ``length`` values.
+
+    Such a window's minimum is the minimum of some run of ``length`` values, and so are the smaller values that bound it.
+    So the tree is walked over the minima of all runs alone. Values are hashes: their last bits give way to the place.
+    """
     n = len(values)
-    left, right = np.arange(-1, n - 1), np.arange(1, n + 1)
-    guarded = np.r_[values, np.uint64(0), np.uint64(0)]  # places n and -1 are below all
-    for link, over in ((left, np.greater), (right, np.greater_equal)):
-        todo = np.arange(n)
-        while len(todo):
-            at = link[todo]
-            inside = (at >= 0) & (at < n)
-            higher = np.zeros(len(todo), bool)
-            higher[inside] = over(guarded[at[inside]], values[todo[inside]])
-            todo = todo[higher]
-            link[todo] = link[link[todo]]
-    l, r = left + 1, right - 1
-    c = np.flatnonzero(r - l + 1 >= length)
-    return l[c], c, r[c]
+    if n < length:
+        return (np.empty(0, np.int64),) * 3
+    bits = np.uint64(n.bit_length())
+    low = (np.uint64(1) << bits) - np.uint64(1)
+    ranked = (values & ~low) | np.arange(n, dtype=np.uint64)  # by value, then by place
+    padded = np.full(-(-n // length) * length, ~np.uint64(0))
+    padded[:n] = ranked
+    blocks = padded.reshape(-1, length)
+    ahead = np.minimum.accumulate(blocks[:, ::-1], axis=1)[:, ::-1].ravel()
+    behind = np.minimum.accumulate(blocks, axis=1).ravel()
+    least = np.minimum(ahead[: n - length + 1], behind[length - 1 : n])
+    c = np.unique(least & low).astype(np.int64)
+    l, r, stack = np.zeros(len(c), np.int64), np.full(len(c), n - 1), []
+    for i, (at, v) in enumerate(zip(c.tolist(), ranked[c].tolist(), strict=True)):
+        while stack and stack[-1][1] > v:
+            r[stack.pop()[2]] = at - 1
+        l[i] = stack[-1][0] + 1 if stack else 0
+        stack.append((at, v, i))
+    return l, c, r
 
 
 def _texts(batch: pa.RecordBatch) -> Iterator[tuple[int, int, np.ndarray]]:
@@ -110,13 +119,12 @@ def shared_run(marks: np.ndarray, at: int, share: float) -> tuple[int, int]:
     return int(starts[good][best]), int(ends[last[good]][best])
 
 
-def match_passage(x: np.ndarray, y: np.ndarray, at_x: int, at_y: int, length: int) -> tuple[int, int, int, int, float] | None:
+def match_passage(x: np.ndarray, y: np.ndarray, common: np.ndarray, at_x: int, at_y: int, length: int) -> tuple[int, int, int, int, float] | None:
     """``start, end`` in x, ``start, end`` in y and the similarity of the passage around a common shingle.
 
-    Ends are behind the last shingle. None if there is no run of ``length`` shingles with similarity of at least 3/4. The longest
+    ``common`` marks the shingles of x that y has. Ends are behind the last shingle. None if there is no run of ``length`` shingles with similarity of at least 3/4. The longest
     run is tried first; where its two sides are less alike, runs with fewer strange shingles, and then with none.
     """
-    common = np.isin(x, y).astype(float)
     widest = 2 * SIMILARITY / (1 + SIMILARITY)  # of either side, when both have the same length
     for share in (widest, (1 + widest) / 2, 1.0):
         lo, hi = shared_run(common, at_x, share)
@@ -142,11 +150,11 @@ def _verify(length: int) -> Callable:
             columns = [batch.column(c).to_pylist() for c in ("row", "doc", "hub_row", "hub_doc", "anchors")]
             for row, doc, hub_row, hub_doc, anchors, x, y in zip(*columns, batch.column("x"), batch.column("y"), strict=True):
                 x, y = (np.frombuffer(v.as_buffer(), np.uint32) for v in (x, y))
-                found: list[tuple] = []
+                common, found = np.isin(x, y).astype(float), []
                 for a in sorted(anchors, key=lambda a: (a["c"], a["hc"])):
                     if any(p[0] <= a["c"] < p[1] and p[2] <= a["hc"] < p[3] for p in found):
                         continue
-                    p = match_passage(x, y, a["c"], a["hc"], length)
+                    p = match_passage(x, y, common, a["c"], a["hc"], length)
                     if p:
                         found.append(p)
                 out += [(row, doc, hub_row, hub_doc, *p) for p in _outermost(found)]
@@ -195,10 +203,10 @@ class _Search:
 
     def still_open(self, met: DataFrame) -> DataFrame:
         """``met`` with ``open``: whether the place of the window is in no passage yet. Only groups that have such rows."""
-        spans = self.passages.select(F.col("row").alias("p_row"), "start", "end").distinct()
-        covered = met.join(spans, (F.col("row") == F.col("p_row")) & (F.col("c") >= F.col("start")) & (F.col("c") < F.col("end")), "left_semi")
-        state = met.select("row", "doc", "fs", "key", "l", "c", "r").join(covered.select("row", "c", F.lit(False).alias("open")).distinct(), ["row", "c"], "left")
-        state = state.withColumn("open", F.coalesce("open", F.lit(True)))
+        spans = self.passages.groupBy("row").agg(F.collect_set(F.struct("start", "end")).alias("spans"))  # of one text
+        state = met.select("row", "doc", "fs", "key", "l", "c", "r").join(spans, "row", "left")
+        inside = F.exists("spans", lambda s: (F.col("c") >= s["start"]) & (F.col("c") < s["end"]))
+        state = state.withColumn("open", ~F.coalesce(inside, F.lit(False))).drop("spans")
         keys = state.where("open").select("key").distinct()
         return self.shared.cut(state.join(keys, "key", "left_semi"), "open")
 
