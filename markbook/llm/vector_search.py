@@ -5,7 +5,8 @@ spectral order, split at the median, then pairwise swaps that lower the cut). A
 Every vector is indexed under its likeliest part; a query is sent to its several most probable parts and all vectors there are
 reranked by their exact inner product. How many parts is set on the sample, against brute force, for ``RECALL``.
 
-Parts are searched in blocks of bounded size (vectors and queries by hash of their id), so that a part may hold any share of the rows.
+Parts are searched in blocks of bounded size, small parts together and large ones split by hash of the id, so that a part may hold
+any share of the rows; a query sees only its own parts of a block.
 """
 
 from __future__ import annotations
@@ -34,8 +35,8 @@ def neighbour_graph(x: np.ndarray, k: int) -> np.ndarray:
     """Ends of edges to each row's ``k`` nearest other rows by inner product, a row an edge, each edge both ways."""
     k = min(k, len(x) - 1)
     near = []
-    for lo in range(0, len(x), 1024):
-        s = x[lo : lo + 1024] @ x.T
+    for lo in range(0, len(x), 256):
+        s = x[lo : lo + 256] @ x.T
         s[np.arange(len(s)), np.arange(lo, lo + len(s))] = -np.inf
         near.append(np.argpartition(-s, k - 1, axis=1)[:, :k])
     ends = np.stack([np.repeat(np.arange(len(x)), k), np.concatenate(near).ravel()], 1)
@@ -141,21 +142,25 @@ def fit_router(x: np.ndarray, rows: int, k: int = K, recall: float = RECALL) ->
     router.w1, router.b1, router.w2, router.b2 = params
     # probes: enough for the wanted recall of the sample's own neighbours, with the parts as the index will have them
     own = router.part(x)
-    asked = rng.permutation(n)[:1000]
-    s = x[asked] @ x.T
-    s[np.arange(len(asked)), asked] = -np.inf
-    near = np.argpartition(-s, min(k, n - 1) - 1, axis=1)[:, : min(k, n - 1)]
-    rank = np.argsort(np.argsort(-router.scores(x[asked]), axis=1, kind="stable"), axis=1)
-    needed = np.take_along_axis(rank, own[near], axis=1)
+    needed = []
+    for asked in np.array_split(rng.permutation(n)[:1000], 8):
+        s = x[asked] @ x.T
+        s[np.arange(len(asked)), asked] = -np.inf
+        near = np.argpartition(-s, min(k, n - 1) - 1, axis=1)[:, : min(k, n - 1)]
+        rank = np.argsort(np.argsort(-router.scores(x[asked]), axis=1, kind="stable"), axis=1)
+        needed.append(np.take_along_axis(rank, own[near], axis=1))
+    needed = np.concatenate(needed)
     router.probes = next(m for m in range(1, parts + 1) if (needed < m).mean() >= recall)
     return router
 
 
-def search_block(queries: np.ndarray, query_ids: np.ndarray, vectors: np.ndarray, ids: np.ndarray, k: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-    """Each query's ``k`` nearest rows of a block, none with its own id: ids and exact inner products, nearest first, then by id."""
+def search_block(queries: np.ndarray, query_ids: np.ndarray, routes: list[np.ndarray], vectors: np.ndarray, ids: np.ndarray, part: np.ndarray, k: int) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """Each query's ``k`` nearest rows of its parts in a block, none with its own id: ids and exact inner products, nearest first, then by id."""
     for lo in range(0, len(queries), 256):
         near = queries[lo : lo + 256] @ vectors.T
         near[query_ids[lo : lo + 256, None] == ids[None, :]] = -np.inf
+        for i in range(len(near)):
+            near[i, ~np.isin(part, routes[lo + i])] = -np.inf
         least = np.partition(near, max(0, near.shape[1] - k), axis=1)[:, max(0, near.shape[1] - k)]
         for i, row in enumerate(near):
             # all ties take part; equal vectors must have equal scores, so they are summed again one by one
@@ -172,7 +177,8 @@ def _search(k: int):
         if asked.any() and not asked.all():
             x = np.stack(rows["vec"].to_numpy()).astype(float)
             ids = rows["vec_id"].to_numpy()
-            for query, found, scores in search_block(x[asked], ids[asked], x[~asked], ids[~asked], k):
+            routes = [np.asarray(r) for r in rows["routes"][asked]]
+            for query, found, scores in search_block(x[asked], ids[asked], routes, x[~asked], ids[~asked], rows["part"].to_numpy()[~asked], k):
                 out.append(pd.DataFrame({"query_id": query, "vec_id": found, "score": scores}))
         return pd.concat(out) if out else pd.DataFrame({"query_id": np.empty(0, np.int64), "vec_id": np.empty(0, np.int64), "score": np.empty(0)})
 
@@ -217,13 +223,25 @@ def nearest_neighbours(spark: SparkSession, vectors: DataFrame, is_query, id_col
     # blocks in each part, from exact counts; at most MAX_PARTS rows
     sizes = {r["part"]: r["n"] for r in placed.groupBy("part").agg(F.count(F.lit(1)).alias("n")).collect()}
     routed = {r["part"]: r["n"] for r in asked.select(F.explode("routes").alias("part")).groupBy("part").agg(F.count(F.lit(1)).alias("n")).collect()}
-    blocks = spark.createDataFrame([(p, n // VECTOR_BLOCK + 1, routed[p] // QUERY_BLOCK + 1) for p, n in sizes.items() if p in routed], "part int, v_blocks long, q_blocks long")
+    # small parts share a block; a large one has several
+    bundle, room, blocks = -1, 0, []
+    for p, n in sorted(sizes.items()):
+        if n > room:
+            bundle, room = bundle + 1, max(VECTOR_BLOCK - n, 0) if n <= VECTOR_BLOCK else 0
+        else:
+            room -= n
+        blocks.append((p, bundle, n // VECTOR_BLOCK + 1))
+    asked_of: dict[int, int] = {}
+    for p, u, _ in blocks:
+        asked_of[u] = min(asked_of.get(u, 0) + routed.get(p, 0), sum(routed.values()) // router.probes)
+    blocks = spark.createDataFrame([(p, u, v, asked_of[u] // QUERY_BLOCK + 1) for p, u, v in blocks], "part int, unit int, v_blocks long, q_blocks long")
     ids = F.xxhash64("vec_id", F.lit(1))
+    none = F.lit(None).cast("array<int>").alias("routes")
     index = placed.select("vec_id", "vec", "part").join(F.broadcast(blocks), "part")
-    index = index.select("vec_id", "vec", F.lit(False).alias("query"), "part", F.pmod(ids, "v_blocks").alias("v"), F.explode(F.sequence(F.lit(0).cast("long"), F.col("q_blocks") - 1)).alias("q"))
-    asks = asked.select("vec_id", "vec", F.explode("routes").alias("part")).join(F.broadcast(blocks), "part")
-    asks = asks.select("vec_id", "vec", F.lit(True).alias("query"), "part", F.explode(F.sequence(F.lit(0).cast("long"), F.col("v_blocks") - 1)).alias("v"), F.pmod(ids, "q_blocks").alias("q"))
-    found = index.unionByName(asks).groupBy("part", "v", "q").applyInPandas(_search(k), "query_id long, vec_id long, score double")
+    index = index.select("vec_id", "vec", F.lit(False).alias("query"), "part", none, "unit", F.pmod(ids, "v_blocks").alias("v"), F.explode(F.sequence(F.lit(0).cast("long"), F.col("q_blocks") - 1)).alias("q"))
+    asks = asked.select("vec_id", "vec", "routes", F.explode("routes").alias("part")).join(F.broadcast(blocks), "part").drop("part").distinct()
+    asks = asks.select("vec_id", "vec", F.lit(True).alias("query"), F.lit(None).cast("int").alias("part"), "routes", "unit", F.explode(F.sequence(F.lit(0).cast("long"), F.col("v_blocks") - 1)).alias("v"), F.pmod(ids, "q_blocks").alias("q"))
+    found = index.unionByName(asks).groupBy("unit", "v", "q").applyInPandas(_search(k), "query_id long, vec_id long, score double")
     found = found.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
     place = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id"))
     return found.withColumn("rank", place.cast("int")).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
