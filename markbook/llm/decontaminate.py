@@ -148,7 +148,11 @@ def find_benchmark(spark: SparkSession, docs: DataFrame, benchmark: DataFrame, i
     return matches.withColumn("place", place).where("place = 1").select(F.col("doc").alias("doc_id"), F.col("item").alias("item_id"), "edits", "start_word", "end_word")
 
 
-def decontaminate(spark: SparkSession, docs: DataFrame, benchmark: DataFrame, id_column: str = "doc_id", **options) -> DataFrame:
-    """The rows of ``docs`` in which no benchmark item was found, with their columns."""
-    hit = find_benchmark(spark, docs, benchmark, id_column, **options).select(F.col("doc_id").alias("__hit")).distinct()
-    return docs.join(hit, docs[id_column].cast("long").eqNullSafe(F.col("__hit")), "left_anti")
+def decontaminate(spark: SparkSession, docs: DataFrame, benchmark: DataFrame, id_column: str = "doc_id", text_column: str = "text", **options) -> DataFrame:
+    """The rows of ``docs`` in which no benchmark item was found, with their columns.
+
+    Each row is judged by its own text: rows that share an id with a contaminated one, or lack an id like it, stay if they are clean.
+    """
+    row = F.xxhash64(docs[id_column], docs[text_column])
+    hit = find_benchmark(spark, docs.select(row.alias("row"), docs[text_column].alias("text")), benchmark, "row", **options).select(F.col("doc_id").alias("__hit")).distinct()
+    return docs.join(hit, row == F.col("__hit"), "left_anti")

@@ -61,6 +61,15 @@ def test_odd_rows(spark):
     assert dc.find_benchmark(spark, docs.limit(0), bench).count() == dc.find_benchmark(spark, docs, bench.limit(0)).count() == 0
 
 
+def test_clean_rows_stay_beside_contaminated_ones_of_their_id(spark):
+    item = "alpha beta gamma delta epsilon zeta"
+    rows = [(None, item), (None, "clean one"), (None, None), (1, f"x {item}"), (1, "clean two"), (1, "clean two"), (2, "clean three")]
+    bench = spark.createDataFrame([(7, item)], "item_id long, text string")
+    left = dc.decontaminate(spark, spark.createDataFrame(rows, "doc_id long, text string"), bench)
+    clean = [r for r in rows if r[1] is None or item not in r[1]]
+    assert sorted(map(tuple, left.collect()), key=str) == sorted(clean, key=str)
+
+
 def test_bit_parallel_distance():
     rng = np.random.default_rng(8)
     for _ in range(300):
