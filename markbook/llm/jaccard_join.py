@@ -181,7 +181,7 @@ def _profile(size: int) -> Callable:
     """Size and set hash of each document; and frequent shingles of this task's different sets."""
 
     def flush(rows: list) -> pa.RecordBatch:
-        names, types = ["doc", "set_id", "size", "count", "sketch"], [pa.int64()] * 4 + [pa.binary()]
+        names, types = ["doc", "row", "set_id", "size", "count", "sketch"], [pa.int64()] * 5 + [pa.binary()]
         return pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip(zip(*rows, strict=True), types, strict=True)], names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -197,21 +197,22 @@ def _profile(size: int) -> Callable:
             top = np.sort(top[n[top] >= least])
             return found[top], n[top]
 
-        for doc, members in _sets(batches, size):
-            own = hashing.set_hash(members)
-            rows.append((doc, own, len(members), None, parity_sketch(members)))
-            if len(members) and own not in seen:
-                seen.add(own)
-                pile.append(members)
-                piled += len(members)
-                if piled > 2_000_000:
-                    keys, counts = merged(1)
-                    pile, piled = [], 0
-            if len(rows) >= 10_000:
-                yield flush(rows)
-                rows = []
+        for batch in batches:
+            for row, (doc, members) in zip(batch.column("row").to_pylist(), _sets([batch], size), strict=True):
+                own = hashing.set_hash(members)
+                rows.append((doc, row, own, len(members), None, parity_sketch(members)))
+                if len(members) and own not in seen:
+                    seen.add(own)
+                    pile.append(members)
+                    piled += len(members)
+                    if piled > 2_000_000:
+                        keys, counts = merged(1)
+                        pile, piled = [], 0
+                if len(rows) >= 10_000:
+                    yield flush(rows)
+                    rows = []
         keys, counts = merged(2)
-        rows += [(None, int(k), None, int(n), None) for k, n in zip(keys.view(np.int64), counts, strict=True)]
+        rows += [(None, None, int(k), None, int(n), None) for k, n in zip(keys.view(np.int64), counts, strict=True)]
         if rows:
             yield flush(rows)
 
@@ -383,11 +384,21 @@ def ngram_jaccard_join(spark: SparkSession, docs: DataFrame, id_column: str = "d
     differ, they are not linked by the id. A row without id gets the component of its links, and a missing one without
     links. Other columns are ignored, whatever their names. ``wide_of`` overrides ``allocate``.
     """
+    rows, named = _linked(spark, docs, id_column, text_column, size, wide_of)
+    given = lambda c: F.when(c != _NO_ID, c)
+    return rows.join(named.drop("root"), "set_id", "left").select(
+        given(F.col("doc")).alias("doc_id"), F.col("size").alias("n_shingles"), "set_id", given(F.coalesce("component", "doc")).alias("component_id")
+    )
+
+
+def _linked(spark: SparkSession, docs: DataFrame, id_column: str, text_column: str, size: int, wide_of: dict[int, int] | None) -> tuple[DataFrame, DataFrame]:
+    """``doc, row, set_id, size`` of each input row, and ``set_id, root, component`` of each set: the smallest set and id of its component."""
     shared = Shared(spark)
     # a missing id ranks last
-    texts = docs.select(F.coalesce(F.col(id_column).cast("long"), F.lit(_NO_ID)).alias("doc"), F.col(text_column).alias("text"))
-    profile = shared.cut(texts.mapInArrow(_profile(size), "doc long, set_id long, size long, count long, sketch binary"), "profile")
-    rows = profile.where("size is not null").select("doc", "set_id", "size")
+    texts = docs.select(F.coalesce(F.col(id_column).cast("long"), F.lit(_NO_ID)).alias("doc"), F.col(text_column).alias("text"), F.xxhash64(id_column, text_column).alias("row"))
+    profile = shared.cut(texts.mapInArrow(_profile(size), "doc long, row long, set_id long, size long, count long, sketch binary"), "profile")
+    texts = texts.select("doc", "text")
+    rows = profile.where("size is not null").select("doc", "row", "set_id", "size")
     # the most frequent shingles of all sets: at most HEAVY rows reach the driver and the tasks
     top = profile.where("size is null").groupBy("set_id").agg(F.sum("count").alias("n")).where("n > 2").orderBy(F.desc("n"), "set_id").limit(HEAVY).toArrow()
     heavy, weight = top["set_id"].to_numpy().view(np.uint64), top["n"].to_numpy()
@@ -418,24 +429,24 @@ def ngram_jaccard_join(spark: SparkSession, docs: DataFrame, id_column: str = "d
                 found.settle(rest, members=members, by_cost=True)
 
     if found.roots is None:
-        named = sets.select("set_id", F.col("doc").alias("component"))
-    else:
-        named = sets.join(found.roots.withColumnRenamed("node", "set_id"), "set_id", "left").select("set_id", "doc", F.coalesce("root", "set_id").alias("root"))
-        least = named.groupBy("root").agg(F.min("doc").alias("component"))
-        named = named.join(least, "root").select("set_id", "component")
-    given = lambda c: F.when(c != _NO_ID, c)
-    return rows.join(named, "set_id", "left").select(
-        given(F.col("doc")).alias("doc_id"), F.col("size").alias("n_shingles"), "set_id", given(F.coalesce("component", "doc")).alias("component_id")
-    )
+        return rows, sets.select("set_id", F.col("set_id").alias("root"), F.col("doc").alias("component"))
+    named = sets.join(found.roots.withColumnRenamed("node", "set_id"), "set_id", "left").select("set_id", "doc", F.coalesce("root", "set_id").alias("root"))
+    least = named.groupBy("root").agg(F.min("doc").alias("component"))
+    return rows, named.join(least, "root").select("set_id", "root", "component")
 
 
 def keep_one_of_each(spark: SparkSession, docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", size: int = 5) -> DataFrame:
-    """The rows of ``docs`` without those linked to a smaller id, with their columns; of rows that repeat a kept id, one stays.
+    """One row of ``docs`` for each group of linked ones, with its columns: that with the smallest id (missing ids last), then set.
 
-    Rows without id all stay.
+    Groups are of texts, so a row whose id another text has too stays if its own group has no smaller one. Of rows with equal id and text one
+    stays. Texts without words are in no group; without an id as well, all of them stay.
     """
-    found = ngram_jaccard_join(spark, docs.select(id_column, text_column), id_column, text_column, size)
-    # identical rows of a document have one line here, so that the join does not multiply them
-    kept = found.where("doc_id = component_id").select(F.col("doc_id").alias("__kept")).distinct()
-    named = docs.join(kept, docs[id_column].cast("long") == F.col("__kept"), "left_semi").dropDuplicates([id_column])
-    return named.unionByName(docs.where(F.col(id_column).isNull()))
+    rows, named = _linked(spark, docs.select(id_column, text_column), id_column, text_column, size, None)
+    # the copies of a set are combined before they meet its component
+    own = rows.where("size > 0").groupBy("set_id").agg(F.min(F.struct("doc", "row")).alias("own")).join(named, "set_id")
+    least = own.groupBy("root").agg(F.min(F.struct("own.doc", "set_id", "own.row")).alias("least")).select(F.col("least.row").alias("__kept"))
+    kept = least.unionByName(rows.where("size = 0").select(F.col("row").alias("__kept")))
+    bare = docs[id_column].isNull() & ~F.coalesce(docs[text_column].rlike("[^\\x20\\x09-\\x0D]"), F.lit(False))
+    # equal rows are combined before the shuffle, so that a text that is often repeated is in no task whole
+    each = docs.where(~bare).withColumn("__row", F.xxhash64(id_column, text_column)).dropDuplicates(["__row"])
+    return each.join(kept, F.col("__row") == F.col("__kept"), "left_semi").drop("__row").unionByName(docs.where(bare))

@@ -76,6 +76,20 @@ def test_keep_one_of_each(spark):
     assert sorted(r.doc_id for r in kept.collect()) == [1, 3, 4]
 
 
+def test_keep_one_by_row_and_not_by_id(spark):
+    """Rows that share an id but not the text, and groups without any id."""
+    a, b, c, d, e = (" ".join(f"{x}{i}" for i in range(40)) for x in "abcde")
+    rows = [
+        (1, a), (1, b), (2, b + " more"), (3, c), (3, a),  # an id with two groups; b's copy goes, and a's under id 3
+        (None, c), (None, d), (None, d), (None, d + " more"), (None, e), (None, None), (None, " "), (None, " "), (4, ""), (4, None),
+    ]
+    kept = jj.keep_one_of_each(spark, spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect()
+    found = sorted(((r.doc_id, r.text) for r in kept if r.text not in (d, d + " more")), key=str)
+    want = [(1, a), (1, b), (3, c), (None, e), (None, None), (None, " "), (None, " "), (4, ""), (4, None)]
+    assert found == sorted(want, key=str)
+    assert sum(r.text in (d, d + " more") for r in kept) == 1
+
+
 def test_sketch_never_exceeds_difference():
     rng = np.random.default_rng(5)
     for _ in range(50):
