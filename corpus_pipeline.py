@@ -23,8 +23,8 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without their repeated lines. One that loses every line goes, as all of it stands in earlier ones."""
-    deduped = line_dedup(spark, docs)
+    """Documents without their repeated lines, short ones included. One that loses every line goes, as all of it stands in earlier ones."""
+    deduped = line_dedup(spark, docs, short_repeats=True)
     left = deduped.where("n_dropped = 0 or n_dropped < n_lines")
     return left.withColumn("n_chars", F.when(F.col("n_dropped") > 0, F.length("text")).otherwise(F.col("n_chars"))).select(*docs.columns)
 

@@ -71,19 +71,21 @@ class Lines:
         return hashing.mix(every).view(np.int64)
 
 
-def _scan(min_words: int) -> Callable:
+def _scan(min_words: int, short_repeats: bool) -> Callable:
+    """Lines and their halves; with ``short_repeats`` also shorter lines that have a word, without halves."""
     names = ["doc", "row", "line_no", "line", "halves"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             parts = []
             for doc, row, text in zip(batch.column("doc").to_pylist(), batch.column("row").to_pylist(), batch.column("text"), strict=True):
-                lines = Lines(text.as_py(), min_words)
+                lines = Lines(text.as_py(), 1 if short_repeats else min_words)
                 if n := len(lines.line):
-                    parts.append((np.full(n, doc), np.full(n, row), lines.number, lines.line, lines.halves()))
+                    long = lines.last - lines.first >= min_words
+                    parts.append((np.full(n, doc), np.full(n, row), lines.number, lines.line, long, lines.halves()[long]))
             if parts:
-                doc, row, number, line, halves = (np.concatenate(x) for x in zip(*parts, strict=True))
-                each = pa.ListArray.from_arrays(pa.array(np.arange(0, 4 * len(line) + 1, 4, dtype=np.int32)), pa.array(halves.ravel()))
+                doc, row, number, line, long, halves = (np.concatenate(x) for x in zip(*parts, strict=True))
+                each = pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum(4 * long)].astype(np.int32)), pa.array(halves.ravel()))
                 yield pa.RecordBatch.from_arrays([pa.array(doc), pa.array(row), pa.array(number), pa.array(line), each], names)
 
     return run
@@ -138,19 +140,19 @@ def _verify(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([batch.column("line")], ["line"]).filter(pa.array(near, pa.bool_()))
 
 
-def line_dedup(spark: SparkSession, docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", min_words: int = MIN_WORDS) -> DataFrame:
+def line_dedup(spark: SparkSession, docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", min_words: int = MIN_WORDS, short_repeats: bool = False) -> DataFrame:
     """All rows and columns of ``docs``, the text without its repeated lines, and ``n_lines, n_dropped`` (long).
 
     A line is what stands between line feeds. A line of at least ``min_words`` words goes if an equal or near line stands
-    earlier, by id (missing ids last) and place in the text; whether that one stays does not matter. Other lines stay as
-    they are, in their order. A missing text stays missing, with 0 lines; an empty one has one, empty line. Rows with
+    earlier, by id (missing ids last) and place in the text; whether that one stays does not matter. With ``short_repeats``, a
+    shorter line that has a word goes if an equal one stands earlier. Other lines stay as they are, in their order. A missing text stays missing, with 0 lines; an empty one has one, empty line. Rows with
     equal id and text count as one document and get the same result; rows with equal id and other texts are ordered by
     a hash of the text. Columns of ``docs`` named ``n_lines`` or ``n_dropped`` are replaced; others may have any name.
     """
     shared = Shared(spark)
     source = docs.select(F.coalesce(F.col(id_column).cast("long"), F.lit((1 << 63) - 1)).alias("doc"), F.xxhash64(F.col(id_column), F.col(text_column)).alias("row"), F.col(text_column).alias("text"))
     at = F.struct("doc", "row", "line_no")
-    table = shared.cut(source.mapInArrow(_scan(min_words), "doc long, row long, line_no int, line long, halves array<long>"), "lines")
+    table = shared.cut(source.mapInArrow(_scan(min_words, short_repeats), "doc long, row long, line_no int, line long, halves array<long>"), "lines")
     places = table.select("doc", "row", "line_no", "line")
     firsts = shared.cut(places.groupBy("line").agg(F.min(at).alias("at"), F.count(F.lit(1)).alias("n")), "firsts")
     earliest = firsts.select("line", "at.*")

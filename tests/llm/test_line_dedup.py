@@ -68,6 +68,15 @@ def test_odd_rows(spark):
     assert ld.line_dedup(spark, docs.limit(0)).count() == 0
 
 
+def test_short_repeats(spark):
+    """Exact repeats of short lines go too; near ones and lines without words stay."""
+    line = "one two three four five six seven"
+    rows = [(1, f"All rights reserved.\n\n{line}\nMIT"), (2, f"ALL  rights reserved.\nAll rights kept.\n \n{line} eight"), (3, "mit\nAll rights"), (None, "All rights\n\n")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(2)
+    found = {r.doc_id: (r.text, r.n_lines, r.n_dropped) for r in ld.line_dedup(spark, docs, short_repeats=True).collect()}
+    assert found == {1: (rows[0][1], 4, 0), 2: ("All rights kept.\n ", 4, 2), 3: ("All rights", 2, 1), None: ("\n", 3, 1)}
+
+
 def test_one_word_apart():
     rng = np.random.default_rng(4)
     for _ in range(500):

@@ -68,6 +68,12 @@ def test_stages_take_odd_rows(spark):
             assert name == "source_mixing" or out.columns == columns
 
 
+def test_short_lines_stand_once(spark):
+    rows = [(1, "Released under the MIT license.\nfirst text"), (2, "Released under the MIT license.\nsecond text")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").withColumns({"lang": F.lit(None).cast("string"), "source": F.lit(None).cast("string"), "n_chars": F.length("text").cast("long")})
+    assert {r.doc_id: (r.text, r.n_chars) for r in cp.lines(spark, docs, SF).collect()} == {1: (rows[0][1], 42), 2: ("second text", 11)}
+
+
 def test_all_operators_are_registered():
     assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 11))
     assert set(ORACLES) == {"op4_source_mixing", "op9_line_dedup"}
