@@ -8,7 +8,7 @@ with a common minimum meet by an equality join on it.
 Members of a group are compared with the group's first text and with the one before them, never all with all. Candidates need
 windows of two functions; the passage is then verified on the shingles themselves. Windows that met the wrong partners
 meet again under the minima of two functions, then three, then all, which partners by chance do not share; in the last round
-groups shrink until every member has been compared.
+the groups of two minima shrink until every member has been compared.
 """
 
 from __future__ import annotations
@@ -170,11 +170,11 @@ def _outermost(found: list[tuple]) -> list[tuple]:
 
 
 def _meet(rows: DataFrame) -> DataFrame:
-    """Rows of groups (by ``key``) with the group's first row and the row before, where one of them is of another text."""
+    """Rows of groups (by ``key``) with the group's first row and the row before, where the group has several texts."""
     order = Window.partitionBy("key").orderBy("doc", "row", "c")
     own = F.struct("row", "doc", "c")
-    met = rows.withColumns({"hub": F.first(own).over(order.rowsBetween(Window.unboundedPreceding, 0)), "before": F.lag(own).over(order)})
-    return met.where("hub.row <> row or before.row <> row")
+    met = rows.withColumns({"hub": F.first(own).over(order.rowsBetween(Window.unboundedPreceding, 0)), "before": F.lag(own).over(order), "last": F.last("row").over(order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))})
+    return met.where("hub.row <> last").drop("last")
 
 
 class _Search:
@@ -183,7 +183,7 @@ class _Search:
 
     def shingles(self, rows: DataFrame) -> DataFrame:
         """``row, shingles`` of the texts named by ``row``, in 32 bits each; one scan of the texts."""
-        wanted = self.shared.cut(rows.distinct(), "wanted")
+        wanted = self.shared.cut(rows.where("row is not null").distinct(), "wanted")
         found = self.texts.mapInArrow(_shingles(key_bits(wanted, "row")), "row long, shingles binary")
         return self.shared.cut(found.join(wanted, "row", "left_semi"), "shingles")
 
@@ -204,11 +204,12 @@ class _Search:
     def still_open(self, met: DataFrame) -> DataFrame:
         """``met`` with ``open``: whether the place of the window is in no passage yet. Only groups that have such rows."""
         spans = self.passages.groupBy("row").agg(F.collect_set(F.struct("start", "end")).alias("spans"))  # of one text
-        state = met.select("row", "doc", "fs", "key", "l", "c", "r").join(spans, "row", "left")
+        later = F.col("hub.row") != F.col("row") if "hub" in met.columns else F.lit(True)  # the first text of a group has none before it
+        state = met.select("row", "doc", "fs", "key", "l", "c", "r", later.alias("later")).join(spans, "row", "left")
         inside = F.exists("spans", lambda s: (F.col("c") >= s["start"]) & (F.col("c") < s["end"]))
         state = state.withColumn("open", ~F.coalesce(inside, F.lit(False))).drop("spans")
-        keys = state.where("open").select("key").distinct()
-        return self.shared.cut(state.join(keys, "key", "left_semi"), "open")
+        keys = state.where("open and later").select("key").distinct()
+        return self.shared.cut(state.drop("later").join(keys, "key", "left_semi"), "open")
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", min_words: int = MIN_WORDS) -> DataFrame:
@@ -232,7 +233,7 @@ def repeated_passages(spark: SparkSession, docs: DataFrame, id_column: str = "do
 
     base = search.still_open(met)
     rows = base
-    shingles = None
+    shingles = two = None
     for _ in range(1, HASHES):
         if rows.isEmpty():
             break
@@ -246,9 +247,12 @@ def repeated_passages(spark: SparkSession, docs: DataFrame, id_column: str = "do
         if shingles is None:
             shingles = search.shingles(met.select(F.explode(F.array("row", "hub.row", "before.row")).alias("row")))
         search.verify(met.where("open").withColumn("o", F.explode(F.array("hub", "before"))), shingles)
+        if two is None:
+            two = met
         rows = search.still_open(met)
-    # what is left shares all minima with texts that do not match: every member with ever more of the first ones
+    # What is left may match any text that shares two minima: every member of those groups with ever more of the first ones.
     hubs = 4
+    rows = base.limit(0) if two is None else search.still_open(two)
     while not rows.isEmpty():
         place = F.row_number().over(Window.partitionBy("key").orderBy("doc", "row", "c"))
         placed = shared.cut(rows.withColumn("place", place), "placed")

@@ -63,6 +63,28 @@ def test_passages_in_other_surroundings(spark):
     assert [d for d in near if d not in spans and d > 12] == []
 
 
+def test_near_pairs_in_a_group_of_unlike_texts(spark):
+    """A long common line gives unlike texts the same minima; every near pair that shares two of its own is found."""
+    rng = np.random.default_rng(7)
+    line = [f"common{i}" for i in range(25)]
+    texts = [[f"t{t}.{i}" for i in range(13)] + line + [f"t{t}.{i}" for i in range(13, 25)] for t in range(200)]
+    for t in range(60):
+        copy = list(texts[t])
+        copy[int(rng.integers(6, 10))] = f"new{t}"
+        texts.append(copy)
+    order = rng.permutation(len(texts))
+    docs = {int(order[i]): " ".join(t) for i, t in enumerate(texts)}
+    minima = lambda t: [int(ps.hashing.mix(ps.hashing.shingle_hashes(ps.hashing.word_hashes(" ".join(t))) ^ s).argmin()) for s in ps._SEEDS]
+    want = set()
+    for t in range(60):
+        a, b = texts[t], texts[200 + t]
+        if sum(a[i : i + 5] == b[j : j + 5] for i, j in zip(minima(a), minima(b), strict=True)) >= 2:
+            want.add((int(max(order[t], order[200 + t])), int(min(order[t], order[200 + t]))))
+    frame = spark.createDataFrame(list(docs.items()), "doc_id long, text string").repartition(4)
+    found = {(r.doc_id, r.first_doc_id) for r in ps.repeated_passages(spark, frame).collect()}
+    assert len(want) > 50 and (len(want - found), len(found - want)) == (0, 0)
+
+
 def test_copies_and_odd_rows(spark):
     text = " ".join(f"w{i}" for i in range(200))
     rows = [(i, text) for i in range(30)] + [(3, text), (50, None), (51, ""), (None, text), (52, "w " * 3000), (53, "too short")]
