@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions.predicates import has_overall
 from ..functions.scalars import academic_year, first_number, first_text, percent_text, safe_decimal
-from ..schemas import SUMMARY, conform
+from ..schemas import POINTS, SUMMARY, conform
 from .lookups import alias_fields
 
 
@@ -20,16 +20,16 @@ def common_fields(nested: DataFrame, year: str | None = None) -> DataFrame:
     return nested.select(*[c.alias(n) for n, c in alias_fields(nested, _year(year)).items()])
 
 
+def _totals() -> dict[str, Column]:
+    return {
+        "TotalPointsAchieved": first_number(F.col("points_achieved"), F.col("total_score"), F.col("raw_score")),
+        "TotalPointsPossible": first_number(F.col("points_possible"), F.col("max_score")),
+    }
+
+
 def alias_points(nested: DataFrame) -> DataFrame:
-    """Record-level points, each from its first alias that is neither missing nor 0."""
-    return nested.withColumns(
-        {
-            "TotalPointsAchieved": first_number(
-                F.col("points_achieved"), F.col("total_score"), F.col("raw_score")
-            ),
-            "TotalPointsPossible": first_number(F.col("points_possible"), F.col("max_score")),
-        }
-    )
+    """Record-level points with two places, each from its first alias that is neither missing nor 0."""
+    return nested.withColumns({name: points.try_cast(POINTS) for name, points in _totals().items()})
 
 
 def explode_standards(nested: DataFrame, year: str | None = None) -> DataFrame:
@@ -59,7 +59,7 @@ def explode_standards(nested: DataFrame, year: str | None = None) -> DataFrame:
 
 def overall_from_nested(nested: DataFrame, year: str | None = None) -> DataFrame:
     """One summary row per record that has an overall score or points; 0 counts as having none."""
-    kept = alias_points(nested.where(has_overall(F.col("overall_score"), F.col("points_achieved"))))
+    kept = nested.where(has_overall(F.col("overall_score"), F.col("points_achieved"))).withColumns(_totals())
     achieved, possible = F.col("TotalPointsAchieved"), F.col("TotalPointsPossible")
     fields = alias_fields(nested, _year(year))
     return conform(

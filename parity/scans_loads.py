@@ -5,6 +5,7 @@ from __future__ import annotations
 import datetime as dt
 
 from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StructField, StructType
 
 from markbook import schemas
 from markbook.functions import scalars as s
@@ -44,7 +45,7 @@ def scan_paged_json(v):
 )
 def scan_sites(v):
     path = land_documents(v.site_records)
-    records = pages.read_documents(v.spark, path, schemas.SITES.add("seq", "long"))
+    records = pages.read_documents(v.spark, path, StructType([*schemas.SITES.fields, StructField("seq", LongType())]))
     return ref.sites(records, "seq").select("site_id", "site_name")
 
 
