@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from .decontaminate import find_benchmark
 from .frames import crc_mod, read
+from .host_rules import COUNTS, LEAST_WEIGHT, MAX_REPEAT_PERCENT, MIN_WORDS as LEAST_WORDS, MOST_WEIGHT, REJECT_RATE, RULES, STRICT_RATE, host_rules
 from .html_extract import extract_main_text
 from .jaccard_join import ngram_jaccard_join
 from .line_dedup import MIN_WORDS, line_dedup
@@ -18,6 +19,8 @@ from .mixing import BLOCK_ROWS, PERIOD, mix_sources
 from .passages import repeated_passages
 from .ppm_language import identify_language
 from .quality import quality_scores
+from .token_align import align_tokenizers
+from .vector_codes import ENTRIES, PARTS, ROUNDS, SCALE, books_digest, encode_vectors
 from .vector_search import nearest_neighbours
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -172,3 +175,114 @@ FROM documents d LEFT JOIN (
 @query
 def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     return score_documents(spark, read(spark, sf_dir, "documents"))
+
+
+@query
+def op11_tokenizer_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    aligned, _ = align_tokenizers(spark, read(spark, sf_dir, "documents"), texts=False)
+    return aligned.withColumnsRenamed({"id": "doc_id", "groups": "groups_sha256"})
+
+
+@query
+def op12_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    coded, books = encode_vectors(spark, read(spark, sf_dir, "embeddings"))
+    return coded.select(F.col("id").alias("vec_id"), "code", "error", "label_error", F.lit(books_digest(books)).alias("codebooks_sha256"))
+
+
+def _codes_oracle() -> str:
+    """Lloyd rounds by brute force over components, one row each."""
+    nearest = """
+n{r} AS MATERIALIZED (
+  SELECT vec_id, part, min(entry) AS entry, any_value(least) AS d FROM (
+    SELECT x.vec_id, x.part, b.entry, sum((x.v - b.v) * (x.v - b.v))::BIGINT AS d, min(d) OVER (PARTITION BY x.vec_id, x.part) AS least
+    FROM x JOIN b{r} b USING (part, pos) GROUP BY x.vec_id, x.part, b.entry
+  ) WHERE d = least GROUP BY vec_id, part
+)"""
+    book = """
+b{s} AS MATERIALIZED (
+  SELECT b.part, b.entry, b.pos, coalesce(m.v, b.v) AS v FROM b{r} b LEFT JOIN (
+    SELECT part, entry, pos, ((sum(v) - (((sum(v) % count(*)) + count(*)) % count(*))) // count(*))::BIGINT AS v
+    FROM x JOIN n{r} USING (vec_id, part) GROUP BY part, entry, pos
+  ) m USING (part, entry, pos)
+)"""
+    rounds = ",".join(nearest.format(r=r) + "," + book.format(r=r, s=r + 1) for r in range(ROUNDS))
+    return f"""
+WITH kept AS (
+  SELECT vec_id, label, embedding AS e, len(embedding) // {PARTS} AS width FROM embeddings
+  WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda c: c IS NULL OR NOT isfinite(c))) = 0
+),
+x AS MATERIALIZED (
+  SELECT vec_id, i // width AS part, i % width AS pos, floor(CAST(e[i + 1] AS DOUBLE) * {SCALE})::BIGINT AS v
+  FROM (SELECT *, unnest(range(0, width * {PARTS})) AS i FROM kept)
+),
+b0 AS MATERIALIZED (
+  SELECT part, entry, pos, v
+  FROM x JOIN (SELECT vec_id, row_number() OVER (ORDER BY vec_id) - 1 AS entry FROM kept ORDER BY vec_id LIMIT {ENTRIES}) USING (vec_id)
+),{rounds},{nearest.format(r=ROUNDS)},
+coded AS (
+  SELECT vec_id, string_agg(printf('%02x', entry), '' ORDER BY part) AS code, sum(d)::BIGINT AS error FROM n{ROUNDS} GROUP BY vec_id
+)
+SELECT vec_id, code, error, (sum(error) OVER (PARTITION BY label))::BIGINT AS label_error,
+  (SELECT sha256(string_agg(CAST(v AS VARCHAR), ',' ORDER BY part, entry, pos)) FROM b{ROUNDS}) AS codebooks_sha256
+FROM coded JOIN kept USING (vec_id)
+"""
+
+
+ORACLES["op12_vector_codes"] = _codes_oracle()
+
+
+@query
+def op13_host_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return host_rules(spark, read(spark, sf_dir, "documents"))
+
+
+_FAILS = ", ".join(f"CASE WHEN {rule} THEN '{name}' END" for name, rule in RULES.items())
+ORACLES["op13_host_quality_rules"] = f"""
+WITH worded AS (
+  SELECT doc_id, source, coalesce(text, '') AS text,
+    list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS words,
+    list_filter(string_split(coalesce(text, ''), chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS lines
+  FROM documents
+),
+windows AS (
+  SELECT doc_id, i, array_to_string(words[i:i + 4], ' ') AS w
+  FROM (SELECT doc_id, words, unnest(range(1, len(words) - 3)) AS i FROM worded)
+),
+covered AS (
+  SELECT doc_id, count(DISTINCT place) AS n FROM (
+    SELECT doc_id, unnest(range(i, i + 5)) AS place FROM windows WHERE (doc_id, w) IN (SELECT doc_id, w FROM windows GROUP BY ALL HAVING count(*) > 1)
+  ) GROUP BY doc_id
+),
+counted AS (
+  SELECT doc_id, source, len(words) AS n_words, length(array_to_string(words, '')) AS word_chars,
+    length(regexp_replace(text, '[^#*$%&|<>]', '', 'g')) AS n_symbols, len(lines) AS n_lines,
+    len(lines) - len(list_distinct(lines)) AS n_dup_lines, coalesce(n, 0) AS n_repeat_words
+  FROM worded LEFT JOIN covered USING (doc_id)
+),
+failing AS (SELECT *, list_filter([{_FAILS}], lambda x: x IS NOT NULL) AS fails FROM counted),
+rules AS (SELECT unnest([{', '.join(f"'{name}'" for name in RULES)}, 'any']) AS rule),
+hosts AS (
+  SELECT source, rule, count(*) AS n, count(*) FILTER (list_contains(fails, rule) OR (rule = 'any' AND len(fails) > 0)) AS failed
+  FROM failing CROSS JOIN rules GROUP BY source, rule
+),
+sums AS (
+  SELECT rule, count(*) AS k, sum(n) AS all_n, sum(failed) / sum(n) AS mean,
+    sum(failed * failed / n) - sum(failed) * sum(failed) / sum(n) AS spread
+  FROM hosts GROUP BY rule
+),
+prior AS (
+  SELECT rule, mean, CASE WHEN tau > 0 THEN least(greatest(mean * (1 - mean) / tau - 1, {LEAST_WEIGHT}), {MOST_WEIGHT}) ELSE {MOST_WEIGHT} END AS weight
+  FROM (SELECT *, (spread - k * mean * (1 - mean)) / all_n AS tau FROM sums)
+),
+rates AS (SELECT source, rule, (failed + weight * mean) / (n + weight) AS rate FROM hosts JOIN prior USING (rule)),
+verdicts AS (
+  SELECT source, bool_or(rule = 'any' AND rate >= {REJECT_RATE}) AS host_rejected,
+    coalesce(list(rule) FILTER (rule <> 'any' AND rate >= {STRICT_RATE}), []) AS strict
+  FROM rates GROUP BY source
+)
+SELECT doc_id, {', '.join(COUNTS)}, n_lines,
+  n_words < {LEAST_WORDS} OR 100 * n_repeat_words > {MAX_REPEAT_PERCENT} * n_words AS base_failed,
+  NOT (n_words < {LEAST_WORDS} OR 100 * n_repeat_words > {MAX_REPEAT_PERCENT} * n_words) AND NOT host_rejected AND NOT list_has_any(fails, strict) AS kept,
+  array_to_string(fails, ',') AS failed_rules, host_rejected
+FROM failing f JOIN verdicts v ON f.source IS NOT DISTINCT FROM v.source
+"""
