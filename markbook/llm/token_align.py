@@ -4,8 +4,8 @@ Both tokenizers cut the same bytes. Where tokens of both end, a group ends; a li
 Documents are numbered inside chunks, each made by one task. For each pair of ids a chunk holds a bitmap of the documents that have it
 linked, made by OR, and planes of bitmaps for how often: bit by bit, one less than the number of links. Only bytes that are not zero
 are kept. The popcounts of a pair's bitmaps, added over the chunks, are its document count; weighted by plane, its link count. The
-counts meet the bitmaps again by pair, and the bitmaps bring them, as postings, back to the documents of their chunk.
-What is shuffled is bitmaps: a pair that every document holds costs a bit a document and plane.
+counts go to the chunks that hold the pair, and there the bitmaps bring them, as postings, back to the documents.
+Bitmaps are shuffled once, with their chunk: a pair that every document holds costs a bit a document and plane.
 """
 
 from __future__ import annotations
@@ -16,6 +16,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
@@ -307,13 +308,17 @@ def weight(plane: int) -> int:
     return 1 << max(plane - 1, 0)
 
 
-def _returned(base: DataFrame, scored: DataFrame) -> DataFrame:
-    """The documents of each chunk with the sums over their links."""
-    schema = StructType([*[f for f in base.schema.fields if f.name not in ("chunk", "place")], StructField("n_best", LongType()), StructField("count_sum", LongType())])
+def _returned(chunks: DataFrame, scores: DataFrame) -> DataFrame:
+    """The documents of each chunk with the sums over their links; its bitmaps meet the scores of its pairs."""
+    figures = ["id", "n_a", "n_b", "n_groups", "n_links", "groups"]
+    schema = StructType([*[chunks.schema[c] for c in figures], StructField("n_best", LongType()), StructField("count_sum", LongType())])
     fields = to_arrow_schema(schema)
 
-    def run(docs: pa.Table, postings: pa.Table) -> pa.Table:
-        place = docs["place"].to_numpy()
+    def run(rows: pa.Table, known: pa.Table) -> pa.Table:
+        is_doc = pc.is_null(rows["pair"])
+        docs, postings = rows.filter(is_doc), rows.filter(pc.invert(is_doc))
+        pair, n, best_of = (known[c].to_numpy() for c in ("of_pair", "n", "best"))
+        order = np.argsort(pair)
         best, total = np.zeros((2, CHUNK_DOCS), np.int64)
         for batch in postings.to_batches():
             if not batch.num_rows:
@@ -321,13 +326,15 @@ def _returned(base: DataFrame, scored: DataFrame) -> DataFrame:
             blob = batch.column("docs")
             offsets = np.frombuffer(blob.buffers()[1], np.int32)[blob.offset : blob.offset + len(blob) + 1]
             row, doc = members(np.frombuffer(blob.buffers()[2], np.uint8)[offsets[0] : offsets[-1]], np.diff(offsets))
+            at = order[np.searchsorted(pair, batch.column("pair").to_numpy(), sorter=order)]
             times = np.array([weight(p) for p in batch.column("plane").to_pylist()], np.int64)
-            np.add.at(total, doc, (times * batch.column("n").to_numpy())[row])
-            np.add.at(best, doc, (times * batch.column("best").to_numpy(zero_copy_only=False))[row])
-        columns = [pa.array(x[place], pa.int64()) if x is not None else docs[f.name] for f, x in [(f, {"n_best": best, "count_sum": total}.get(f.name)) for f in fields]]
+            np.add.at(total, doc, (times * n[at])[row])
+            np.add.at(best, doc, (times * best_of[at])[row])
+        place = docs["place"].to_numpy()
+        columns = [*[docs[c] for c in figures], pa.array(best[place], pa.int64()), pa.array(total[place], pa.int64())]
         return pa.Table.from_arrays([c.cast(f.type) for c, f in zip(columns, fields, strict=True)], schema=fields)
 
-    return base.groupBy("chunk").cogroup(scored.groupBy("of_chunk")).applyInArrow(run, schema)
+    return chunks.groupBy("chunk").cogroup(scores.groupBy("of_chunk")).applyInArrow(run, schema)
 
 
 def align_tokenizers(
@@ -363,7 +370,8 @@ def align_tokenizers(
     pairs = shared.cut(pairs.withColumn("a_id", F.expr(f"pair div {b_size}")), "pairs")
     # a row for each id of A: bounded by its vocabulary
     most = pairs.groupBy(F.col("a_id").alias("of")).agg(F.max("n").alias("most"))
-    scores = pairs.join(F.broadcast(most), F.col("a_id") == F.col("of")).select("pair", "n", (F.col("n") == F.col("most")).alias("best"))
-    scored = bitmap.join(scores, "pair").select(F.col("chunk").alias("of_chunk"), "plane", "docs", "n", "best")
-    base = chunks.where("pair is null").select("chunk", "place", "id", "n_a", "n_b", "n_groups", "n_links", "groups")
-    return _returned(base, scored), pairs.selectExpr("a_id", f"pair % {b_size} as b_id", "n as n_docs", "n_links")
+    scores = pairs.join(F.broadcast(most), F.col("a_id") == F.col("of")).select(F.col("pair").alias("of_pair"), "n", (F.col("n") == F.col("most")).cast("long").alias("best"))
+    # only numbers go by pair; the bitmaps move once, with the documents of their chunk
+    held = bitmap.where("plane = 0").select(F.col("chunk").alias("of_chunk"), F.col("pair").alias("held"))
+    scored = held.join(scores, F.col("held") == F.col("of_pair")).select("of_chunk", "of_pair", "n", "best")
+    return _returned(chunks, scored), pairs.selectExpr("a_id", f"pair % {b_size} as b_id", "n as n_docs", "n_links")
