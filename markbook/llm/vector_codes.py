@@ -12,6 +12,7 @@ the driver, at most ``entries x parts`` rows whatever the data. All arithmetic t
 from __future__ import annotations
 
 import hashlib
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -284,7 +285,8 @@ def encode_vectors(
     dim = len(first[0]["v"]) if first else 0
     kept = rows.where(F.size("v") == dim)
     top = kept.agg(F.max(F.array_max(F.transform("v", F.abs)))).first()[0] or 0.0
-    if 4 * max(1, dim) * (top * SCALE + 1) ** 2 >= 1 << 62:
+    # no two parts are farther apart than twice the largest component in each place
+    if top * SCALE + 1 >= math.sqrt((1 << 60) / max(1, dim)):
         raise ValueError(f"components up to {top} are too large for exact squared distances")
     seeds = kept.orderBy(F.col("id").asc_nulls_last(), "v").limit(entries).collect()
     width = -(-dim // parts)
