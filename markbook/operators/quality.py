@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructType
 
 from ..schemas import Table
+from ..sources import snapshots
 from .joins import anti_join
 from .picks import latest_duplicate
 
@@ -71,7 +72,7 @@ def table_presence(spark: SparkSession, paths: dict[str, str]) -> DataFrame:
     for name, path in paths.items():
         label = F.lit(name).alias("table_name")
         try:
-            counted = spark.read.parquet(path).agg(F.count(F.lit(1)).alias("row_count"))
+            counted = snapshots.read(spark, path).agg(F.count(F.lit(1)).alias("row_count"))
             one = counted.select(label, F.lit(True).alias("present"), "row_count")
         except AnalysisException as error:
             if error.getCondition() != "PATH_NOT_FOUND":

@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from .. import schemas
 from ..operators import merges, nested
 from ..operators.joins import anti_join
-from ..sources import tables
+from ..sources import snapshots, tables
 from .weekly import Warehouse, reject
 
 QUESTION_KEY = ["assessment_id", "question_number"]
@@ -16,12 +16,12 @@ QUESTION_KEY = ["assessment_id", "question_number"]
 
 def load_assessments(warehouse: Warehouse, records: DataFrame, seq: str = "seq") -> None:
     known = warehouse.table(schemas.ASSESSMENTS)
-    tables.replace_table(merges.upsert_assessments(known, records, seq), warehouse.path("assessments"))
+    snapshots.replace_rows(merges.upsert_assessments(known, records, seq), warehouse.path("assessments"))
 
 
 def load_scores(warehouse: Warehouse, records: DataFrame, seq: str = "seq") -> None:
     known = warehouse.table(schemas.SCORES)
-    tables.replace_table(merges.upsert_scores(known, records, seq), warehouse.path("student_scores"))
+    snapshots.replace_rows(merges.upsert_scores(known, records, seq), warehouse.path("student_scores"))
 
 
 def question_ids(known: DataFrame, batch: DataFrame) -> DataFrame:
@@ -47,7 +47,7 @@ def load_details(warehouse: Warehouse, detail: DataFrame) -> None:
     questions = questions.where(F.col("question_number").isNotNull())
     ids = tables.stage(question_ids(known, questions))
     merged = merges.upsert_questions(known.drop("question_id"), questions, "position")
-    tables.replace_table(merged.join(ids, QUESTION_KEY), w.path(schemas.QUESTIONS.name))
+    snapshots.replace_rows(merged.join(ids, QUESTION_KEY), w.path(schemas.QUESTIONS.name))
 
     bands = schemas.conform(nested.flatten_bands(detail), schemas.BANDS.columns)
     bands.write.mode("append").parquet(w.path(schemas.BANDS.name))
@@ -60,8 +60,8 @@ def load_details(warehouse: Warehouse, detail: DataFrame) -> None:
     standards = merges.upsert_legacy_standards(
         w.table(schemas.LEGACY_STANDARDS), used.drop(*QUESTION_KEY), "position"
     )
-    tables.replace_table(standards, w.path(schemas.LEGACY_STANDARDS.name))
+    snapshots.replace_rows(standards, w.path(schemas.LEGACY_STANDARDS.name))
 
     links = w.table(schemas.QUESTION_STANDARDS)
     pairs = schemas.conform(used.join(ids, QUESTION_KEY), schemas.QUESTION_STANDARDS.columns)
-    tables.replace_table(merges.insert_ignore_link(links, pairs), w.path(schemas.QUESTION_STANDARDS.name))
+    snapshots.replace_rows(merges.insert_ignore_link(links, pairs), w.path(schemas.QUESTION_STANDARDS.name))

@@ -16,9 +16,9 @@ from ..functions.scalars import parse_date
 from ..operators import merges, program_sync
 from ..operators.reports import table_counts
 from ..schemas import ASSIGNMENTS, LANDING, REJECTS, STANDARDS, SUMMARY, Table, conform
-from ..sources import pages, tables
+from ..sources import pages, snapshots, tables
 from .enrichment import STUDENT, build_profile, full_enrichment
-from .summary import summary
+from .summary import STATE, changed_summary, stored_summary
 
 PROGRAM_PREFIX = "program_"
 
@@ -39,7 +39,7 @@ class Warehouse:
         A folder that is there but cannot be read as a table raises: it is no new table.
         """
         try:
-            df = self.spark.read.parquet(self.path(name))
+            df = snapshots.read(self.spark, self.path(name))
         except AnalysisException as error:
             if columns is None or error.getCondition() != "PATH_NOT_FOUND":
                 raise
@@ -61,7 +61,7 @@ def reject(warehouse: Warehouse, reason: str, origin: str, rows: DataFrame, key:
         rows.select(F.lit(reason).alias("reason"), F.lit(origin).alias("origin"), F.col(key).cast("string").alias("record_key"), F.col(detail).cast("string").alias("detail"))
     )
     others = warehouse.table(REJECTS).where(~((F.col("reason") == reason) & (F.col("origin") == origin)))
-    tables.replace_table(others.unionByName(staged), warehouse.path(REJECTS.name))
+    snapshots.replace_rows(others.unionByName(staged), warehouse.path(REJECTS.name))
     found = staged.count()
     tables.extraction_log(warehouse.spark, f"reject:{reason}", found, "success").write.mode("append").parquet(warehouse.path("extraction_log"))
     return found
@@ -128,47 +128,87 @@ def window_load(
     batch = rows.where(F.col("DateCompleted").between(F.lit(start), F.lit(end)))
     spark = warehouse.spark
     reject(warehouse, "undated", f"{start}..{end}", undated_rows(raw, profile), "local_student_id", "date_taken")
-    try:
-        stored = tables.read_results(spark, warehouse.path("results"))
-        first = tables.next_id(stored, "ResultID") if "ResultID" in stored.columns else 1
-        return tables.replace_window(spark, warehouse.path("results"), with_ids(batch, first), start, end)
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
-        batch = with_ids(batch)
-        tables.append_results(batch, warehouse.path("results"))
-        return [r[0] for r in batch.select(tables.YEAR).distinct().collect()]
+    path = warehouse.path("results")
+    before = snapshots.base(spark, path)
+    known = before is not None and "ResultID" in before.columns.names
+    first = tables.next_id(tables.read_results(spark, path), "ResultID") if known else 1
+    return tables.replace_window(spark, path, with_ids(batch, first), start, end)
 
 
 def rebuild_summary(warehouse: Warehouse, years: list | None = None) -> None:
-    """Rebuild the summary, or only the given years of it and those that it lacks.
+    """Rebuild the summary, or only the given years of it, those that it lacks and those that have changed since.
 
     The year is part of every summary group, so the groups of other years cannot have changed. Without a stored
-    summary all of it is built.
+    summary all of it is built. The summary's snapshot names that of the results it was computed from.
     """
-    results = warehouse.read("results", LANDING)
+    spark, path = warehouse.spark, warehouse.path("summary")
+    now = snapshots.latest(spark, warehouse.path("results"))
+    results = conform(snapshots.read(spark, warehouse.path("results"), now and now.version), LANDING) if now else warehouse.read("results", LANDING)
+    note = {"results": now.version} if now else {}
     if years is not None:
         # One value per year, read from the folder names.
         have = lambda df: {r[0] for r in df.select(tables.YEAR).distinct().collect()}
-        summarised = have(warehouse.table(SUMMARY))
+        stored = warehouse.table(SUMMARY)
+        summarised = have(stored)
         missing = have(results.where(F.col("AssessmentID").isNotNull() & F.col("StudentID_SASID").isNotNull())) - summarised
-        years = sorted({*years, *missing}, key=lambda y: (y is None, y)) if summarised else None
+        then = _summarised(warehouse)
+        if then is None:
+            note = {}
+        changed = set(_changed_years(then, now)) if then else set()
+        years = sorted({*years, *missing, *changed}, key=lambda y: (y is None, y)) if summarised else None
     if years is None:
-        tables.full_refresh(summary(results), warehouse.path("summary"))
+        tables.full_refresh(stored_summary(results), path, note)
     elif years:
-        tables.overwrite_years(summary(results.where(tables.in_years(years))), warehouse.path("summary"), years)
+        tables.overwrite_years(stored_summary(results.where(tables.in_years(years))), path, years, note)
+
+
+def _summarised(warehouse: Warehouse) -> snapshots.Snapshot | None:
+    """The results that the stored summary was computed from, if both are known."""
+    stored = snapshots.latest(warehouse.spark, warehouse.path("summary"))
+    if stored is None or stored.note.get("results") is None or not set(STATE) <= set(stored.columns.names):
+        return None
+    return snapshots.numbered(warehouse.spark, warehouse.path("results"), stored.note["results"])
+
+
+def _changed_years(then: snapshots.Snapshot, now: snapshots.Snapshot) -> list:
+    """Years whose folders or files are not the same in both."""
+    of = lambda s: {p.year: {q for q in s.parts if q.year == p.year} for p in s.parts}
+    a, b = of(then), of(now)
+    return sorted((y for y in {*a, *b} if a.get(y) != b.get(y)), key=lambda y: (y is None, y))
+
+
+def refresh_summary(warehouse: Warehouse) -> None:
+    """Bring the summary up to the stored results.
+
+    Where every change since kept its rows, they are taken out of and put into their groups; the results themselves are not read.
+    Otherwise the years that changed are rebuilt, and all of it where the summary's origin is not known. A run that broke off
+    between results and summary is made up for by the next one, as the snapshots tell what the summary lacks.
+    """
+    spark, path = warehouse.spark, warehouse.path("summary")
+    then, now = _summarised(warehouse), snapshots.latest(spark, warehouse.path("results"))
+    if then is None or now is None:
+        rebuild_summary(warehouse)
+    elif then.version != now.version:
+        changes = snapshots.read_changes(spark, warehouse.path("results"), then, now)
+        if changes is None:
+            rebuild_summary(warehouse, _changed_years(then, now))
+            return
+        # One value per year folder, never more.
+        years = sorted((r[0] for r in changes.select(tables.YEAR).distinct().collect()), key=lambda y: (y is None, y))
+        stored = snapshots.read(spark, path).where(tables.in_years(years))
+        tables.overwrite_years(changed_summary(stored, changes), path, years, {"what": "changes", "results": now.version})
 
 
 def update_lookups(warehouse: Warehouse, catalogue: DataFrame | None = None) -> None:
     results = warehouse.read("results", LANDING)
     assignments = merges.merge_assignments(warehouse.table(ASSIGNMENTS), results)
-    tables.replace_table(assignments, warehouse.path("assignments"))
+    snapshots.replace_rows(assignments, warehouse.path("assignments"))
     known = warehouse.table(STANDARDS)
     if catalogue is None:
         standards = merges.merge_standards(known, results)
     else:
         standards = merges.merge_standards_catalogue(known, results, catalogue)
-    tables.replace_table(standards, warehouse.path("standards"))
+    snapshots.replace_rows(standards, warehouse.path("standards"))
 
 
 def sync_program(warehouse: Warehouse, null_safe: bool = True) -> DataFrame:
@@ -209,9 +249,9 @@ def weekly_update(
     program: bool = True,
 ) -> DataFrame:
     """All steps for the window that ends at ``as_of``; returns the row counts of the four tables."""
-    years = window_load(warehouse, raw, profile, as_of - dt.timedelta(days=days), as_of, academic_year)
+    window_load(warehouse, raw, profile, as_of - dt.timedelta(days=days), as_of, academic_year)
     update_lookups(warehouse)
-    rebuild_summary(warehouse, years)
+    refresh_summary(warehouse)
     if program:
         sync_program(warehouse)
     names = ("results", "assignments", "standards", "summary")

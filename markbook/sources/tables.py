@@ -1,4 +1,4 @@
-"""Write modes of the stored tables. All are plain parquet, the landing fact partitioned by year."""
+"""Write modes of the stored tables: parquet, the landing fact by year. What replaces rows publishes a snapshot, see ``snapshots``."""
 
 from __future__ import annotations
 
@@ -12,11 +12,11 @@ from ..functions import fixed_values as fixed
 from ..functions.predicates import between_dates
 from ..schemas import EXTRACTION_LOG, conform
 from ..session import scratch_dir
+from . import snapshots
+from .snapshots import YEAR, Part
 
-YEAR = "AcademicYear"
 # Rows that one task numbers.
 BUCKET_ROWS = 100_000
-_NULL_YEAR = "__HIVE_DEFAULT_PARTITION__"
 
 
 def _sized_by_year(df: DataFrame) -> DataFrame:
@@ -26,7 +26,7 @@ def _sized_by_year(df: DataFrame) -> DataFrame:
 
 def read_results(spark: SparkSession, path: str) -> DataFrame:
     """The landing fact; the year column keeps its type whatever the folder names look like."""
-    return spark.read.parquet(path).withColumn(YEAR, F.col(YEAR).cast("string"))
+    return snapshots.read(spark, path)
 
 
 def stage(rows: DataFrame) -> DataFrame:
@@ -40,13 +40,16 @@ def stage(rows: DataFrame) -> DataFrame:
 
 
 def append_results(rows: DataFrame, path: str) -> None:
-    _sized_by_year(rows).write.mode("append").partitionBy(YEAR).parquet(path)
+    """Add rows: plain files to a plain folder, or a snapshot with one more folder."""
+    if snapshots.latest(rows.sparkSession, path):
+        snapshots.add_rows(rows, path, {"what": "append"})
+    else:
+        _sized_by_year(rows).write.mode("append").partitionBy(YEAR).parquet(path)
 
 
-def full_refresh(rows: DataFrame, path: str) -> None:
-    """Replace the whole landing fact; ``rows`` must not be read from ``path``."""
-    writer = _sized_by_year(rows).write.mode("overwrite").option("partitionOverwriteMode", "static")
-    writer.partitionBy(YEAR).parquet(path)
+def full_refresh(rows: DataFrame, path: str, note: dict | None = None) -> None:
+    """Replace the whole landing fact at once: a reader has the old rows until all new ones are stored."""
+    snapshots.replace_rows(rows, path, {"what": "refresh", **(note or {})})
 
 
 def replace_table(rows: DataFrame, path: str, partition: Sequence[str] = ()) -> None:
@@ -73,31 +76,49 @@ def in_years(years: Sequence[str | None]):
     return found
 
 
-def overwrite_years(rows: DataFrame, path: str, years: Sequence[str | None]) -> None:
-    """Replace the given years of a table by ``rows``, which hold no other years; other years stay untouched."""
-    staged = stage(rows)
-    left = {r[0] for r in staged.select(YEAR).distinct().collect()}
-    writer = _sized_by_year(staged).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-    writer.partitionBy(YEAR).parquet(path)
-    for year in set(years) - left:
-        # A year that lost all its rows is in no written file, so its folder is emptied by itself.
-        folder = f"{path}/{YEAR}={_NULL_YEAR if year is None else year}"
-        staged.drop(YEAR).limit(0).write.mode("overwrite").parquet(folder)
+def overwrite_years(rows: DataFrame, path: str, years: Sequence[str | None], note: dict | None = None, changes: str | None = None) -> None:
+    """Replace the given years of a table by ``rows``, which hold no other years; other years stay untouched.
+
+    ``rows`` may be computed from the table. All years change at once.
+    """
+    spark = rows.sparkSession
+    before = snapshots.base(spark, path)
+    kept = [p for p in before.parts if p.year not in years] if before else []
+    parts = [*kept, *snapshots.write_parts(rows, path)]
+    snapshots.publish(spark, path, before, parts, rows.schema, {"what": "years", **(note or {})}, changes)
 
 
-def replace_window(spark: SparkSession, path: str, batch: DataFrame, start: dt.date, end: dt.date) -> list:
-    """Replace a date window of the stored fact, rewriting only the years it touches.
+def replace_window(spark: SparkSession, path: str, batch: DataFrame, start: dt.date, end: dt.date, run: str | None = None) -> list:
+    """Replace a date window of the stored fact, rewriting only the years it touches. Returns the years rewritten.
 
-    The batch is staged once, so it is not computed again for each step. Returns the years rewritten.
+    The rows taken out and put in are written first, as the change of the snapshot: the batch is computed once, and a
+    summary can follow without reading the years. The snapshot names the window, and ``run`` where given: the same run
+    published before changes nothing and returns its years. Without a stored fact the batch becomes it.
     """
-    batch = stage(batch)
-    target = read_results(spark, path)
-    inside = target.where(between_dates(F.col("DateCompleted"), start, end))
+    before = snapshots.base(spark, path)
+    if run is not None and (done := find_run(spark, path, run)) is not None:
+        return done
+    window = between_dates(F.col("DateCompleted"), start, end)
+    target = snapshots.read_parts(spark, path, before.columns, before.parts) if before else batch.limit(0)
+    changes = snapshots.write_changes(target.where(window), batch, path)
+    change = spark.read.parquet(f"{path}/{changes}")
     # One value per year folder, never more.
-    years = [r[0] for r in inside.select(YEAR).union(batch.select(YEAR)).distinct().collect()]
+    years = sorted((r[0] for r in change.select(YEAR).distinct().collect()), key=lambda y: (y is None, y))
+    put_in = change.where("_change = 1").drop("_change")
+    kept = target.where(in_years(years)) if years else target.limit(0)
+    note = {"what": "window", "window": f"{start}..{end}", "run": run, "years": years}
+    rows = window_replace(kept, put_in, start, end)
+    parts = [p for p in before.parts if p.year not in years] if before else []
     if years:
-        overwrite_years(window_replace(target.where(in_years(years)), batch, start, end), path, years)
-    return sorted(years, key=lambda y: (y is None, y))
+        parts += snapshots.write_parts(rows, path)
+    if years or run is not None or before is None:
+        snapshots.publish(spark, path, before, parts, rows.schema, note, changes)
+    return years
+
+
+def find_run(spark: SparkSession, path: str, run: str) -> list | None:
+    """Years that a run changed, or None if the ledger does not have it."""
+    return next((s.note["years"] for s in snapshots.history(spark, path) if s.note.get("run") == run), None)
 
 
 def archive_by_year(results: DataFrame, before: str) -> tuple[DataFrame, DataFrame]:
@@ -107,15 +128,28 @@ def archive_by_year(results: DataFrame, before: str) -> tuple[DataFrame, DataFra
 
 
 def archive_years(spark: SparkSession, path: str, archive_path: str, before: str) -> list[str]:
-    """Append old years to the archive and empty them in the live table, whole folders at a time."""
-    _, old = archive_by_year(read_results(spark, path), before)
-    years = sorted(r[0] for r in old.select(YEAR).distinct().collect())
-    if years:
-        append_results(old, archive_path)
-        empty = spark.read.parquet(path).drop(YEAR).limit(0)
-        for year in years:
-            empty.write.mode("overwrite").parquet(f"{path}/{YEAR}={year}")
-    return years
+    """Move old years from the live table to the archive. Returns the years.
+
+    First the archive publishes the rows, and with them the names of the files they came from; then the live table publishes itself without
+    them. A run that breaks off in between leaves the rows in both; the next one finds the names and only takes them out.
+    """
+    live = snapshots.base(spark, path)
+    old = [p for p in live.parts if p.year is not None and p.year < before] if live else []
+    if not old:
+        return []
+    archive = snapshots.base(spark, archive_path)
+    moved = {name for s in snapshots.history(spark, archive_path) for name in s.note.get("moved", [])}
+    named = lambda p: {n: f"{path}/{p.root}/{p.folder}/{n}" for n in snapshots.file_names(spark, path, p)}
+    files = {p: named(p) for p in old}
+    new = [Part(p.root, p.folder, tuple(n for n, full in f.items() if full not in moved)) for p, f in files.items()]
+    new = [p for p in new if p.files]
+    if new:
+        rows = snapshots.read_parts(spark, path, live.columns, new)
+        parts = [*(archive.parts if archive else []), *snapshots.write_parts(rows, archive_path)]
+        note = {"what": "archive", "moved": sorted(full for f in files.values() for full in f.values())}
+        snapshots.publish(spark, archive_path, archive, parts, rows.schema, note)
+    snapshots.publish(spark, path, live, [p for p in live.parts if p not in old], live.columns, {"what": "archived", "before": before})
+    return sorted({p.year for p in old})
 
 
 def incremental_rows(rows: DataFrame, as_of: dt.date, days: int = fixed.DEFAULT_DAYS_BACK) -> DataFrame:
@@ -177,17 +211,23 @@ def extraction_log(
 
 
 def logged_append(rows: DataFrame, path: str, endpoint: str, log_path: str) -> int:
-    """Append rows and an audit row; the count is taken while writing, not by a second pass.
+    """Append rows and an audit row; the count is taken while writing, or from the footers of the files written.
 
-    It is taken after the shuffle, in the tasks that write: those count once, whatever was run again.
+    In a plain folder it is taken after the shuffle, in the tasks that write: those count once, whatever was run again.
     """
     spark = rows.sparkSession
-    seen = Observation()
     try:
-        counted = _sized_by_year(rows).observe(seen, F.count(F.lit(1)).alias("n"))
-        counted.write.mode("append").partitionBy(YEAR).parquet(path)
+        if before := snapshots.latest(spark, path):
+            new = snapshots.write_parts(rows, path)
+            snapshots.publish(spark, path, before, [*before.parts, *new], rows.schema, {"what": "append", "endpoint": endpoint})
+            stored = snapshots.read_parts(spark, path, rows.schema, new).count()
+        else:
+            seen = Observation()
+            counted = _sized_by_year(rows).observe(seen, F.count(F.lit(1)).alias("n"))
+            counted.write.mode("append").partitionBy(YEAR).parquet(path)
+            stored = seen.get["n"]
     except Exception as error:
         extraction_log(spark, endpoint, 0, "error", str(error)).write.mode("append").parquet(log_path)
         raise
-    extraction_log(spark, endpoint, seen.get["n"], "success").write.mode("append").parquet(log_path)
-    return seen.get["n"]
+    extraction_log(spark, endpoint, stored, "success").write.mode("append").parquet(log_path)
+    return stored
