@@ -184,20 +184,20 @@ def usage_left_joins(assignments: DataFrame, results: DataFrame) -> DataFrame:
     return lookup_join(with_site_names(assignments, results), usage, ["SourceAssessmentID"])
 
 
+def students_lacking(results: DataFrame) -> DataFrame:
+    """Students with a row that lacks the teacher or the grade."""
+    lacking = needs_enrichment(F.col("StudentID_LASID"), F.col("TeacherLastName"), F.col("StudentGrade"))
+    return results.where(lacking).select(F.col("StudentID_LASID").alias(STUDENT)).distinct()
+
+
 def backfill_teacher_grade(
-    results: DataFrame, roster: DataFrame, users: DataFrame, convert_grade: bool = True
+    results: DataFrame, roster: DataFrame, users: DataFrame, convert_grade: bool = True, lacking: DataFrame | None = None
 ) -> DataFrame:
     """Fill missing teacher names and grade on all rows of every student that lacks one somewhere.
 
-    ``convert_grade=False`` writes the level id as it is.
+    ``convert_grade=False`` writes the level id as it is. ``lacking``: those students, where ``results`` is only part of a table.
     """
-    needing = (
-        results.where(
-            needs_enrichment(F.col("StudentID_LASID"), F.col("TeacherLastName"), F.col("StudentGrade"))
-        )
-        .select(F.col("StudentID_LASID").alias(STUDENT))
-        .distinct()
-    )
+    needing = students_lacking(results) if lacking is None else lacking
     level = F.col("roster_level_id")
     has_level = F.coalesce(~level.cast("string").isin("", "0"), F.lit(False))
     has_name = lambda c: F.coalesce(F.col(c) != "", F.lit(False))

@@ -65,10 +65,9 @@ def latest_per_assessment(results: DataFrame) -> DataFrame:
     )
 
 
+DUPLICATE_KEY = ("StudentID_LASID", "AssessmentID", "StandardCodingNumber", "DateCompleted")
+
+
 def latest_duplicate(results: DataFrame) -> DataFrame:
     """Highest ResultID per student, assessment, standard and date; missing parts group together."""
-    return first_per_key(
-        results,
-        ["StudentID_LASID", "AssessmentID", "StandardCodingNumber", "DateCompleted"],
-        [F.col("ResultID").desc()],
-    )
+    return first_per_key(results, list(DUPLICATE_KEY), [F.col("ResultID").desc()])
