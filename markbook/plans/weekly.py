@@ -5,6 +5,7 @@ from __future__ import annotations
 import datetime as dt
 from collections.abc import Mapping
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
@@ -99,11 +100,19 @@ def load_from_pages(
 ) -> None:
     """A full load from landed pages (``PAGES`` names the folders), with the summary.
 
-    Of a key that a lookup lists more than once the last record by arrival counts. Unreadable pages and rows without a
-    readable date are kept as rejects and counted in the log; undated rows are loaded all the same. More than
-    ``most_bad`` unreadable pages of one kind stop the load before anything of it is written.
+    Of a key that a lookup lists more than once the last record by arrival counts. Unreadable pages, pages and records that a
+    request announces but that did not land, and rows without a readable date are kept as rejects and counted in the log; undated
+    rows are loaded all the same. A share of more than ``most_bad`` unreadable pages of one kind, or of pages that did not land,
+    stops the load before anything of it is written.
     """
     spark = warehouse.spark
+    landing = {name: pages.landed_pages(spark, landed[name]) for name in PAGES}
+    gaps = reduce(DataFrame.unionByName, [pages.page_gaps(found).withColumn("name", F.lit(name)) for name, found in landing.items()])
+    gaps = tables.stage(gaps)
+    reject(warehouse, "missing_pages", "pages", gaps.withColumn("what", F.concat("name", F.lit(": "), "detail")), "request", "what")
+    for row in gaps.where("kind = 'pages'").groupBy("name").agg(F.sum("missing").alias("lost")).collect():
+        if row.lost > most_bad * (row.lost + pages.page_count(spark, landed[row.name])):
+            raise ValueError(f"{row.lost} pages of {row.name} did not land")
     for name, record in PAGES.items():
         found = reject(warehouse, "bad_page", name, pages.page_rejects(spark, landed[name], record), "file", "text")
         if found > most_bad * pages.page_count(spark, landed[name]):
@@ -211,31 +220,83 @@ def update_lookups(warehouse: Warehouse, catalogue: DataFrame | None = None) ->
     snapshots.replace_rows(standards, warehouse.path("standards"))
 
 
+MONTH = "_month"
+
+
+def _with_month(rows: DataFrame) -> DataFrame:
+    """The month of a row's date, by which copies lie in folders: equal keys have equal dates, so they share a folder."""
+    return rows.withColumn(MONTH, F.date_format("DateCompleted", "yyyy-MM"))
+
+
+def possible_copies(warehouse: Warehouse, name: str, candidates: DataFrame, layout) -> DataFrame:
+    """Rows of a program copy in the months of the candidates; no row of another month can have one of their keys.
+
+    The snapshot lists the copy's folders by month, so those of other months are not scanned.
+    """
+    path = warehouse.path(PROGRAM_PREFIX + name)
+    stored = snapshots.base(warehouse.spark, path)
+    if stored is None:
+        return warehouse.spark.createDataFrame([], layout)
+    # One value per month of school history.
+    months = {r[0] for r in _with_month(candidates).select(MONTH).distinct().collect()}
+    parts = [p for p in stored.parts if p.by != MONTH or p.value in months]
+    return conform(snapshots.read_parts(warehouse.spark, path, stored.columns, parts), layout)
+
+
+def _add_copies(warehouse: Warehouse, name: str, rows: DataFrame, note: dict) -> None:
+    path = warehouse.path(PROGRAM_PREFIX + name)
+    before = snapshots.base(warehouse.spark, path)
+    new = _with_month(rows) if "DateCompleted" in rows.columns else rows
+    parts = snapshots.write_parts(new, path, MONTH)
+    snapshots.publish(warehouse.spark, path, before, [*(before.parts if before else []), *parts], new.schema, note)
+
+
+def _since(warehouse: Warehouse, source: str, copy: str) -> tuple[snapshots.Snapshot | None, snapshots.Snapshot | None]:
+    """The snapshot of a table that its copy has seen, and the newest."""
+    spark = warehouse.spark
+    seen = snapshots.latest(spark, warehouse.path(PROGRAM_PREFIX + copy))
+    version = seen.note.get("seen") if seen else None
+    return version and snapshots.numbered(spark, warehouse.path(source), version), snapshots.latest(spark, warehouse.path(source))
+
+
+def result_candidates(warehouse: Warehouse, null_safe: bool) -> DataFrame:
+    """Results that the copy may lack: those put in since it was last brought up, or all where that is not known.
+
+    By plain equality rows without a key are new in every run, so all are candidates.
+    """
+    then, now = _since(warehouse, "results", "results")
+    changes = snapshots.read_changes(warehouse.spark, warehouse.path("results"), then, now) if then and null_safe else None
+    return conform(changes.where("_change = 1"), LANDING) if changes is not None else warehouse.read("results", LANDING)
+
+
+def summary_candidates(warehouse: Warehouse, null_safe: bool) -> DataFrame:
+    then, now = _since(warehouse, "summary", "summary")
+    rows = warehouse.table(SUMMARY)
+    return rows.where(tables.in_years(_changed_years(then, now))) if then and null_safe else rows
+
+
 def sync_program(warehouse: Warehouse, null_safe: bool = True) -> DataFrame:
     """Append what is new to the program copies and report their sizes; rows already there are not rewritten.
 
     Missing key parts compare as equal, so that a second sync finds nothing new; ``null_safe=False`` compares as plain
-    equality does and appends rows without a key again.
+    equality does and appends rows without a key again. A sync compares the rows that came since the last one with the
+    copy's rows of their months, so its work grows with what is new and not with the copy.
     """
     w = warehouse
-    results, summary_rows = w.read("results", LANDING), w.table(SUMMARY)
-    standards, assignments = w.table(STANDARDS), w.table(ASSIGNMENTS)
-    layouts = {
-        "results": LANDING,
-        "summary": SUMMARY.columns,
-        "standards": STANDARDS.columns,
-        "assignments": ASSIGNMENTS.columns,
-    }
-    copy = {n: w.read(PROGRAM_PREFIX + n, columns) for n, columns in layouts.items()}
+    seen = {n: snapshots.latest(w.spark, w.path(n)) for n in ("results", "summary")}
+    candidates = {"results": program_sync.program_view(result_candidates(w, null_safe)), "summary": summary_candidates(w, null_safe)}
+    results, standards, assignments = w.read("results", LANDING), w.table(STANDARDS), w.table(ASSIGNMENTS)
+    copies = {n: possible_copies(w, n, candidates[n], layout) for n, layout in (("results", LANDING), ("summary", SUMMARY.columns))}
+    copies |= {t.name: w.table(t, PROGRAM_PREFIX) for t in (STANDARDS, ASSIGNMENTS)}
     new = {
-        "results": program_sync.new_program_results(results, copy["results"], null_safe),
-        "summary": program_sync.new_program_summary(summary_rows, copy["summary"], null_safe),
-        "standards": program_sync.new_program_standards(standards, results, copy["standards"]),
-        "assignments": program_sync.new_program_assignments(assignments, copy["assignments"]),
+        "results": conform(program_sync.new_program_results(candidates["results"], copies["results"], null_safe), LANDING),
+        "summary": conform(program_sync.new_program_summary(candidates["summary"], copies["summary"], null_safe), SUMMARY.columns),
+        "standards": conform(program_sync.new_program_standards(standards, results, copies["standards"]), STANDARDS.columns),
+        "assignments": conform(program_sync.new_program_assignments(assignments, copies["assignments"]), ASSIGNMENTS.columns),
     }
     for name, rows in new.items():
-        staged = tables.stage(conform(rows, layouts[name]))
-        staged.write.mode("append").parquet(w.path(PROGRAM_PREFIX + name))
+        _add_copies(w, name, rows, {"what": "sync", "seen": seen[name].version if seen.get(name) else None})
+        snapshots.compact(w.spark, w.path(PROGRAM_PREFIX + name), by=MONTH)
     return program_sync.sync_status(*[w.read(PROGRAM_PREFIX + n) for n in new])
 
 

@@ -4,13 +4,15 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Sequence
+from functools import reduce
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType, StringType, StructField, StructType
 
 from .. import schemas
 from ..functions.predicates import between_dates
+from .tables import stage
 
 
 def envelope(record: StructType) -> StructType:
@@ -64,6 +66,77 @@ def page_count(spark: SparkSession, path: str) -> int:
     return spark.read.text(path).where(F.length(F.trim("value")) > 0).count()
 
 
+# A page's number in its file or folder name, as in ``page-0007.json`` or ``page=7/``.
+PAGE_IN_NAME = r"(?i)^(.*)page[-_=]?(\d+)"
+
+
+def landed_pages(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
+    """``request, page, n_records, num_pages, num_results`` of every page that can be read.
+
+    A page's number stands in its envelope (``page``) or in its name; the pages of a request lie in one folder, or have names that are alike up
+    to the number. Without a number a request is a file, and its pages can only be counted.
+    """
+    schema = StructType(
+        [
+            StructField("results", ArrayType(StringType())),
+            *[StructField(c, IntegerType()) for c in ("num_pages", "num_results", "page")],
+            StructField(_UNREADABLE, StringType()),
+        ]
+    )
+    pages = spark.read.schema(schema).option("columnNameOfCorruptRecord", _UNREADABLE).json(path, multiLine=multi_line)
+    file = F.col("_metadata.file_path")
+    pages = pages.select(file.alias("file"), *schema.names)
+    named = F.regexp_extract("file", PAGE_IN_NAME, 2).try_cast("int")
+    folder = F.regexp_extract("file", "^(.*)/", 1)
+    request = F.when(F.col("page").isNotNull(), folder).when(named.isNotNull(), F.regexp_extract("file", PAGE_IN_NAME, 1)).otherwise(F.col("file"))
+    good = pages.where(F.col(_UNREADABLE).isNull())
+    return good.select(request.alias("request"), F.coalesce("page", named).alias("page"), F.coalesce(F.size("results"), F.lit(0)).alias("n_records"), "num_pages", "num_results")
+
+
+def page_gaps(landed: DataFrame) -> DataFrame:
+    """What is missing of each request by its own count: ``request, kind, first, last, missing, detail``.
+
+    ``pages``: a run of pages of ``landed_pages`` that no page was read for, from ``first`` to ``last``; for a request without
+    page numbers only how many. ``records``: all pages are there, but hold fewer records than ``num_results``. The largest count that a
+    request's pages state holds, as a listing may grow while it is paged; a page that states none stands for one that is there. A page that landed
+    twice counts once, and one behind the last does no harm. Numbers stay numbers: a run of missing pages is one row, however long.
+    """
+    pages = landed.where("page is not null").groupBy("request", "page").agg(*[F.max(c).alias(c) for c in ("n_records", "num_pages", "num_results")])
+    stated = pages.groupBy("request").agg(
+        F.max("num_pages").alias("pages"), F.max("num_results").alias("results"), F.sum("n_records").alias("records"), F.count(F.lit(1)).alias("seen")
+    )
+    # the place behind the last page closes the last gap
+    ends = stated.select("request", (F.greatest("pages", F.lit(0)) + 1).alias("page"))
+    before = F.lag("page", 1, 0).over(Window.partitionBy("request").orderBy("page"))
+    places = pages.select("request", "page").unionByName(ends).join(stated, "request").where(F.col("page") <= F.col("pages") + 1)
+    runs = places.withColumn("first", before + 1).where(F.col("first") < F.col("page"))
+    lost = runs.select("request", "first", (F.col("page") - 1).alias("last"), F.col("page") - F.col("first"), "pages")
+    lost = lost.toDF("request", "first", "last", "missing", "pages")
+    span = F.when(F.col("first") == F.col("last"), F.concat(F.lit("page "), F.col("first"))).otherwise(F.concat(F.lit("pages "), F.col("first"), F.lit("-"), F.col("last")))
+    lost = lost.select("request", F.lit("pages").alias("kind"), "first", "last", F.col("missing").cast("long"), F.concat(span, F.lit(" of "), F.col("pages")).alias("detail"))
+
+    none = F.lit(None).cast("int")
+    short = stated.join(lost.select("request").distinct(), "request", "left_anti").where(F.col("records") < F.col("results"))
+    few = lambda have, want: F.concat(have, F.lit(" of "), want)
+    short = short.select(
+        "request", F.lit("records").alias("kind"), none.alias("first"), none.alias("last"), (F.col("results") - F.col("records")).alias("missing"),
+        F.concat(few(F.col("records"), F.col("results")), F.lit(" records")).alias("detail"),
+    )
+    counted = landed.where("page is null").groupBy("request").agg(
+        F.max("num_pages").alias("pages"), F.max("num_results").alias("results"), F.sum("n_records").alias("records"), F.count(F.lit(1)).alias("seen")
+    )
+    lacks_pages = F.coalesce(F.col("seen") < F.col("pages"), F.lit(False))
+    unnumbered = counted.where(lacks_pages | (F.col("records") < F.col("results"))).select(
+        "request",
+        F.when(lacks_pages, F.lit("pages")).otherwise(F.lit("records")).alias("kind"),
+        none.alias("first"),
+        none.alias("last"),
+        F.when(lacks_pages, F.col("pages") - F.col("seen")).otherwise(F.col("results") - F.col("records")).cast("long").alias("missing"),
+        F.when(lacks_pages, F.concat(few(F.col("seen"), F.col("pages")), F.lit(" pages"))).otherwise(F.concat(few(F.col("records"), F.col("results")), F.lit(" records"))).alias("detail"),
+    )
+    return lost.unionByName(short).unionByName(unnumbered)
+
+
 def read_documents(spark: SparkSession, path: str, record: StructType, multi_line: bool = False) -> DataFrame:
     """Bare records, or bare arrays of records, without an envelope."""
     return spark.read.schema(record).json(path, multiLine=multi_line)
@@ -132,3 +205,63 @@ def discover_pages(spark: SparkSession, path: str, multi_line: bool = False) ->
     """``discover_schema`` of the records inside page envelopes."""
     pages = spark.read.json(path, multiLine=multi_line)
     return discover_schema(pages.select(F.explode("results").alias("r")).select("r.*"))
+
+
+# --- schema sketch -----------------------------------------------------------------------------------
+
+# Levels of objects and arrays that a sketch goes down.
+MAX_DEPTH = 24
+
+
+def schema_sketch(spark: SparkSession, path: str, multi_line: bool = False, max_depth: int = MAX_DEPTH) -> DataFrame:
+    """``file, field, type, n``: how many values of each type a field has in each file of JSON documents.
+
+    A field in an object in an array is ``questions[].standards[].code``, an element ``questions[]``, the document itself ``$``. Types are
+    ``object, array, string, boolean, bigint, decimal, double, null``, and ``unreadable`` for a document that cannot be parsed.
+    Counts add up, so sketches of several folders merge by ``merge_sketches``. Documents are parsed once, without a schema and so
+    without one type winning over another; each level opens the objects and arrays of the one before.
+    """
+    text = spark.read.text(path, wholetext=multi_line).select(F.col("_metadata.file_path").alias("file"), "value")
+    level = text.where(F.length(F.trim("value")) > 0).select("file", F.lit("$").alias("field"), F.try_parse_json("value").alias("v"))
+    found = []
+    for _ in range(max_depth):
+        kind = F.lower(F.regexp_extract(F.schema_of_variant("v"), "^[A-Z]+", 0))
+        typed = level.select("file", "field", "v", F.coalesce(F.when(kind == "void", "null").otherwise(kind), F.lit("unreadable")).alias("type"))
+        found.append(stage(typed.groupBy("file", "field", "type").agg(F.count(F.lit(1)).alias("n"))))
+        inner = found[-1].where("type in ('object', 'array')")
+        if inner.isEmpty():
+            break
+        opened = typed.where("type in ('object', 'array')").lateralJoin(spark.tvf.variant_explode(F.col("v").outer()).select("key", F.col("value").alias("inner")))
+        top = F.when(F.col("field") == "$", F.lit("")).otherwise(F.concat("field", F.lit(".")))
+        name = F.when(F.col("type") == "array", F.concat("field", F.lit("[]"))).otherwise(F.concat(top, "key"))
+        level = stage(opened.select("file", name.alias("field"), F.col("inner").alias("v")))
+    return merge_sketches(*found)
+
+
+def merge_sketches(*sketches: DataFrame) -> DataFrame:
+    """Counts of all sketches added up."""
+    return reduce(DataFrame.unionByName, sketches).groupBy("file", "field", "type").agg(F.sum("n").alias("n"))
+
+
+def sketch_report(sketch: DataFrame) -> DataFrame:
+    """``field, types, n, non_null_rate, files, clash, places``: a row a field.
+
+    ``non_null_rate``: values that are not null for each object that could hold the field, or for each element. ``clash``: more than one
+    type besides null; ``bigint``, ``decimal`` and ``double`` are one. ``places``: for each type how many files have it, and the first of them.
+    """
+    totals = sketch.groupBy("field", "type").agg(F.sum("n").alias("n"), F.countDistinct("file").alias("files"), F.min("file").alias("file"))
+    numeric = F.col("type").isin("bigint", "decimal", "double")
+    kinds = F.collect_set(F.when(numeric, F.lit("number")).when(F.col("type") != "null", F.col("type")))
+    fields = totals.groupBy("field").agg(
+        F.sort_array(F.collect_set(F.when(F.col("type") != "null", F.col("type")))).alias("types"),
+        F.sum("n").alias("n"),
+        F.sum(F.when(F.col("type") != "null", F.col("n")).otherwise(0)).alias("filled"),
+        (F.size(kinds) > 1).alias("clash"),
+        F.sort_array(F.collect_list(F.struct("type", "n", "files", "file"))).alias("places"),
+    )
+    files = sketch.groupBy("field").agg(F.countDistinct("file").alias("files"))
+    holder = F.when(F.col("field").contains("."), F.regexp_replace("field", r"\.[^.]*$", "")).when(F.col("field") != "$", F.lit("$"))
+    objects = totals.where("type = 'object'").select(F.col("field").alias("holder"), F.col("n").alias("objects"))
+    of = F.when(F.col("field").endswith("[]") | (F.col("field") == "$"), F.col("n")).otherwise(F.col("objects"))
+    joined = fields.join(files, "field").withColumn("holder", holder).join(objects, "holder", "left")
+    return joined.select("field", "types", "n", (F.col("filled") / of).alias("non_null_rate"), "files", "clash", "places")
