@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import replace
+from functools import reduce
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -128,3 +129,52 @@ def foreign_key_report(tables: dict[str, DataFrame], layouts: Sequence[Table]) -
             for column, (parent, key) in layout.references.items()
         }
     )
+
+
+def constraint_report(tables: dict[str, DataFrame], layouts: Sequence[Table]) -> DataFrame:
+    """``table_name, kind, columns, violations, keys``: all constraints of all layouts, with one scan of each table.
+
+    Each row names the keys it holds and the rules it breaks, and one grouped pass counts them: ``unique`` (rows under a key that occurs
+    more than once, missing parts being equal, and such keys), ``required`` (rows without a value), ``length`` (texts that are too long)
+    and ``reference`` (rows whose key no parent has, and such keys). Equal keys are counted before the shuffle. A column that a table lacks is missing in all its rows,
+    for ``required``, and otherwise breaks nothing. A reference to a table that is not given is not checked.
+    """
+    rules: list[tuple[str, str, str]] = []
+    claims: dict[str, list[Column]] = {name: [] for name in tables}
+    none = F.lit(None).cast("string")
+
+    def claim(table: str, rule: int, key: Column, when: Column, parent: bool = False) -> None:
+        claims[table].append(F.when(when, F.struct(F.lit(rule).alias("rule"), key.alias("key"), F.lit(parent).alias("parent"))))
+
+    for layout in layouts:
+        if layout.name not in tables:
+            continue
+        have = set(tables[layout.name].columns)
+        for columns in [layout.unique] if layout.unique and set(layout.unique) <= have else []:
+            rules.append((layout.name, "unique", ",".join(columns)))
+            claim(layout.name, len(rules) - 1, F.to_json(F.struct(*columns), {"ignoreNullFields": "false"}), F.lit(True))
+        for c in layout.required:
+            rules.append((layout.name, "required", c))
+            claim(layout.name, len(rules) - 1, none, F.col(c).isNull() if c in have else F.lit(True))
+        for c, width in layout.widths.items():
+            rules.append((layout.name, "length", c))
+            if c in have:
+                claim(layout.name, len(rules) - 1, none, F.length(c) > width)
+        for c, (parent, key) in layout.references.items():
+            if parent in tables:
+                rules.append((layout.name, "reference", c))
+                if c in have:
+                    claim(layout.name, len(rules) - 1, F.col(c).cast("string"), F.col(c).isNotNull())
+                claim(parent, len(rules) - 1, F.col(key).cast("string"), F.col(key).isNotNull(), parent=True)
+    spark = next(iter(tables.values())).sparkSession
+    stated = spark.createDataFrame([(i, *r) for i, r in enumerate(rules)], "rule int, table_name string, kind string, columns string")
+    found = [df.select(F.explode(F.array_compact(F.array(*claims[n]))).alias("c")).select("c.*") for n, df in tables.items() if claims[n]]
+    if not found:
+        return stated.select("table_name", "kind", "columns", F.lit(0).cast("long").alias("violations"), F.lit(0).cast("long").alias("keys"))
+    per_key = reduce(DataFrame.unionByName, found).groupBy("rule", "key").agg(F.count_if(~F.col("parent")).alias("n"), F.bool_or("parent").alias("has_parent"))
+    # the rules are a few rows
+    kinds = per_key.join(F.broadcast(stated.select("rule", "kind")), "rule")
+    broken = F.when(F.col("kind") == "unique", F.col("n") > 1).when(F.col("kind") == "reference", ~F.col("has_parent")).otherwise(F.lit(True))
+    totals = kinds.where(broken & (F.col("n") > 0)).groupBy("rule").agg(F.sum("n").alias("violations"), F.count("key").alias("keys"))
+    report = stated.join(totals, "rule", "left")
+    return report.select("table_name", "kind", "columns", *[F.coalesce(c, F.lit(0)).cast("long").alias(c) for c in ("violations", "keys")])

@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import scalars as s
-from ..operators.joins import lookup_join
+from ..operators.joins import BROADCAST_BYTES, fits_broadcast, lookup_join
 from ..operators.lookups import STUDENT, grade_fallback, profile_section, student_profile, teacher_fallback
 from ..schemas import LANDING, conform
+from ..sources import buckets
 from ..sources import reference_tables as ref
 from ..sources.tables import stage
 
@@ -43,12 +44,29 @@ def landing_projection(rows: DataFrame, **columns) -> DataFrame:
     return conform(rows.select(*[c.alias(n) for n, c in columns.items()]), LANDING)
 
 
+def bucketed_enrichment(spark: SparkSession, raw_table: str, profile_table: str, academic_year: str | None = None, max_bytes: int = BROADCAST_BYTES) -> DataFrame:
+    """``full_enrichment`` of tables bucketed by student: neither is shuffled.
+
+    A profile that is small enough is broadcast all the same. Where the tables are not bucketed alike, or one student holds
+    much of the results, the join is that of ``full_enrichment``.
+    """
+    raw, profile = spark.table(raw_table), spark.table(profile_table)
+    co_located = buckets.alike(spark, STUDENT, raw_table, profile_table) and buckets.even(spark, raw_table)
+    if not co_located or fits_broadcast(profile, max_bytes):
+        return full_enrichment(raw, profile, academic_year)
+    return _landing_rows(raw.join(profile.hint("merge"), STUDENT), academic_year)
+
+
 def full_enrichment(raw: DataFrame, profile: DataFrame, academic_year: str | None = None) -> DataFrame:
     """Landing rows of all results whose student has a school.
 
     One join, on the student; everything else is column expressions.
     """
-    known = lookup_join(raw, profile, [STUDENT], "inner")
+    return _landing_rows(lookup_join(raw, profile, [STUDENT], "inner"), academic_year)
+
+
+def _landing_rows(known: DataFrame, academic_year: str | None) -> DataFrame:
+    """Landing rows of raw rows with the profile of their student."""
     code, title = F.col("standard_code"), F.col("title")
     rows = known.withColumn("subject", s.subject_of_result(code, title))
     rows = rows.withColumn("section", profile_section(F.col("subject")))

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 from pyspark.sql.types import StringType, StructField, StructType
 
@@ -9,7 +11,8 @@ from markbook.functions import predicates as pred
 from markbook.functions import scalars as s
 from markbook.operators import joins, lookups, merges, nested, picks, program_sync, quality
 from markbook.plans import enrichment, summary
-from markbook.sources import pages
+from markbook.session import scratch_dir
+from markbook.sources import buckets, pages
 from markbook.sources import reference_tables as ref
 
 from .landing import (
@@ -294,6 +297,15 @@ def full_enrichment(v):
     return enrichment.full_enrichment(v.raw_results, profile(v))
 
 
+@query("bucketed_enrichment", FULL_SQL)
+def bucketed_enrichment(v):
+    """Both sides stored by student, and a profile that counts as too large to broadcast."""
+    name = f"t{uuid.uuid4().hex}"
+    for kind, rows in (("raw", v.raw_results), ("profile", profile(v))):
+        buckets.write_bucketed(rows, f"{name}_{kind}", scratch_dir(v.spark), "local_student_id", 8)
+    return enrichment.bucketed_enrichment(v.spark, f"{name}_raw", f"{name}_profile", max_bytes=0)
+
+
 # --- picks -----------------------------------------------------------------------------------------
 
 CANDIDATES = f"""(SELECT DISTINCT AssessmentID, AssignmentName, coalesce(Subject, {PREFIX_CASE}) AS Subject, ProgramName,

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+from dataclasses import replace
 
 from pyspark.sql import functions as F
 
@@ -622,3 +623,34 @@ def foreign_keys(v):
     stored = {table: getattr(v, child) for table, child, *_ in FOREIGN_KEYS}
     stored |= {"assessments": v.assessments_seed, "legacy_standards": v.legacy_rows, "schools": v.school_rows}
     return quality.foreign_key_report(stored, layouts)
+
+
+@query(
+    "constraint_report",
+    " UNION ALL ".join(
+        [
+            f"SELECT '{table}' AS table_name, 'reference' AS kind, '{column}' AS columns, COUNT(*) AS violations, COUNT(DISTINCT {column}) AS keys"
+            f" FROM {child} c WHERE {column} IS NOT NULL AND NOT EXISTS (SELECT 1 FROM {parent} p WHERE p.{key} = c.{column})"
+            for table, child, column, parent, key in FOREIGN_KEYS
+        ]
+        + [
+            "SELECT 'question_standards', 'unique', 'question_id,standard_id', coalesce(SUM(n), 0)::BIGINT, COUNT(*) FROM"
+            " (SELECT COUNT(*) AS n FROM question_links GROUP BY question_id, standard_id HAVING COUNT(*) > 1)",
+            "SELECT 'students', 'unique', 'student_id', coalesce(SUM(n), 0)::BIGINT, COUNT(*) FROM"
+            " (SELECT COUNT(*) AS n FROM student_rows GROUP BY student_id HAVING COUNT(*) > 1)",
+        ]
+        + [f"SELECT 'results', 'required', '{c}', COUNT(*) FILTER ({c} IS NULL), 0 FROM results" for c in schemas.RESULTS.required]
+        + [
+            f"SELECT 'results', 'length', '{c}', COUNT(*) FILTER (length({c}) > {w}), 0 FROM results"
+            for c, w in {**schemas.RESULTS.widths, **_SHORT}.items()
+            if c not in ("ClassGrade", "PercentCorrect")
+        ]
+    ),
+)
+def constraint_report(v):
+    layouts = [schemas.BANDS, schemas.QUESTIONS, schemas.CHOICES, schemas.QUESTION_STANDARDS, schemas.STUDENTS, schemas.SCORES, schemas.RESPONSES]
+    widths = {c: w for c, w in {**schemas.RESULTS.widths, **_SHORT}.items() if c not in ("ClassGrade", "PercentCorrect")}
+    layouts.append(replace(schemas.RESULTS, widths=widths))
+    stored = {table: getattr(v, child) for table, child, *_ in FOREIGN_KEYS}
+    stored |= {"assessments": v.assessments_seed, "legacy_standards": v.legacy_rows, "schools": v.school_rows, "results": v.results}
+    return quality.constraint_report(stored, layouts)
