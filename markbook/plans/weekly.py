@@ -8,7 +8,7 @@ from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .. import schemas
@@ -18,6 +18,7 @@ from ..operators import merges, program_sync
 from ..operators.reports import table_counts
 from ..schemas import ASSIGNMENTS, LANDING, REJECTS, STANDARDS, SUMMARY, Table, conform
 from ..sources import pages, snapshots, tables
+from ..streaming import incremental
 from .enrichment import STUDENT, build_profile, full_enrichment
 from .summary import STATE, changed_summary, stored_summary
 
@@ -126,12 +127,13 @@ def load_from_pages(
 
 
 def window_load(
-    warehouse: Warehouse, raw: DataFrame, profile: DataFrame, start: dt.date, end: dt.date, year: str | None = None
+    warehouse: Warehouse, raw: DataFrame, profile: DataFrame, start: dt.date, end: dt.date, year: str | None = None, run: str | None = None
 ) -> list:
     """Replace one date window of the landing fact by the raw rows of that window; returns the years changed.
 
     A row whose date is missing or cannot be read has no place in a window. It goes to the table of rejects with its
     date text, instead of those that an earlier run of the same window put there, and is counted in the log.
+    A ``run`` that is in the table's ledger is not loaded again.
     """
     rows = full_enrichment(raw, profile, year)
     batch = rows.where(F.col("DateCompleted").between(F.lit(start), F.lit(end)))
@@ -141,7 +143,7 @@ def window_load(
     before = snapshots.base(spark, path)
     known = before is not None and "ResultID" in before.columns.names
     first = tables.next_id(tables.read_results(spark, path), "ResultID") if known else 1
-    return tables.replace_window(spark, path, with_ids(batch, first), start, end)
+    return tables.replace_window(spark, path, with_ids(batch, first), start, end, run)
 
 
 def rebuild_summary(warehouse: Warehouse, years: list | None = None) -> None:
@@ -311,9 +313,43 @@ def weekly_update(
 ) -> DataFrame:
     """All steps for the window that ends at ``as_of``; returns the row counts of the four tables."""
     window_load(warehouse, raw, profile, as_of - dt.timedelta(days=days), as_of, academic_year)
+    return follow_results(warehouse, program)
+
+
+def follow_results(warehouse: Warehouse, program: bool = True) -> DataFrame:
+    """Bring the other tables up to the stored results; returns the row counts of the four tables."""
     update_lookups(warehouse)
     refresh_summary(warehouse)
     if program:
         sync_program(warehouse)
     names = ("results", "assignments", "standards", "summary")
     return table_counts(**{n: warehouse.read(n) for n in names})
+
+
+def weekly_from_pages(
+    warehouse: Warehouse,
+    path: str,
+    profile: DataFrame,
+    as_of: dt.date,
+    days: int = fixed.DEFAULT_DAYS_BACK,
+    academic_year: str | None = None,
+    program: bool = True,
+) -> DataFrame:
+    """``weekly_update`` with the result pages that landed in ``path`` since the last one.
+
+    A file stream finds the new files and lands their rows in batches below the warehouse. Which batches the results hold stands in
+    their ledger, so a run that breaks off anywhere is made up for by the next one: batches landed but not loaded are loaded, and
+    tables that lag behind the results follow. A result that landed twice, by student, assessment, standard and date, counts as it landed last.
+    """
+    spark, landed = warehouse.spark, warehouse.path("landed_results")
+    incremental.new_pages(spark, path, schemas.DETAIL_RESULT, incremental.land_batches(landed), warehouse.path("landed_checkpoint"))
+    batches = sorted(int(n.partition("=")[2]) for n in snapshots.children(spark, landed) if n.startswith("batch="))
+    runs = [s.note["run"] for s in snapshots.history(spark, warehouse.path("results")) if str(s.note.get("run")).startswith("batch ")]
+    new = [b for b in batches if not runs or b > int(runs[0].split()[1])]
+    if new:
+        rows = spark.read.option("basePath", landed).parquet(*[f"{landed}/batch={b}" for b in new])
+        key = ["local_student_id", "assessment_id", "standard_code", "date_taken"]
+        last = F.max("batch").over(Window.partitionBy(*key))
+        raw = rows.withColumn("_last", last).where("batch = _last").drop("batch", "_last")
+        window_load(warehouse, raw, profile, as_of - dt.timedelta(days=days), as_of, academic_year, run=f"batch {new[-1]}")
+    return follow_results(warehouse, program)
