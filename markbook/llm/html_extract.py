@@ -1,8 +1,9 @@
 """HTML main text by consensus host paths.
 
-Each page scores its containers by the text that stands in them outside links and page furniture. The best container's path, tags and
-classes with digits generalised, is the page's vote. Spark counts the votes of each host, and every page is extracted again from
-the containers at its host's winning path. A page that has none there, or no text in them, uses its own best container.
+Each page scores its containers by the text that stands in them outside links. Names that page furniture often has only lower
+the score: nothing is cut for its name before the votes. The best container's path, tags and classes with digits generalised, is the
+page's vote. Spark counts the votes of each host, and every page is extracted again from the containers at its host's winning path, without
+blocks inside them that are marked as furniture. A page that has none there, or no text in them, uses its own best container.
 """
 
 from __future__ import annotations
@@ -18,7 +19,8 @@ from pyspark.sql import functions as F
 
 from .frames import Shared
 
-SALTS = 32
+# Parts of a host's pages where host paths are too many to go to all tasks.
+SALTS = 256
 
 _TOKEN = re.compile(
     r"""<!--.*?(?:-->|\Z)                                    # comment
@@ -29,17 +31,27 @@ _TOKEN = re.compile(
     re.S | re.I | re.X,
 )
 _CLASS = re.compile(r"""\b(class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
-_HIDDEN = re.compile(r"""\bhidden\b(?!\s*=\s*["']?false)|display\s*:\s*none|aria-hidden\s*=\s*["']?true""", re.I)
+_VALUE = re.compile(r"""=\s*(?:"[^"]*"|'[^']*'|[^\s"'>]+)""")
+_HIDDEN_NAME = re.compile(r"(?:^|\s)hidden(?=[\s/=]|$)", re.I)
+_HIDDEN_VALUE = re.compile(r"""(?:^|\s)(?:style\s*=\s*(?:"[^"]*display\s*:\s*none|'[^']*display\s*:\s*none|display:none)|aria-hidden\s*=\s*["']?true)""", re.I)
 
 _VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 _INLINE = frozenset("a abbr b bdi bdo big br cite code data del dfn em font i img ins kbd label mark q s samp small span strike strong sub sup time tt u var wbr".split())
 _CONTAINERS = frozenset("article main section div td body".split())
 _FURNITURE_TAGS = frozenset("nav header footer aside form button dialog menu head object video audio canvas title noscript template iframe svg textarea select".split())
+# Names of what is never the article, and names that parts of an article can have as well.
 _FURNITURE_WORDS = frozenset(
-    "ad ads advert advertisement adverts banner sponsor sponsored promo nav navbar navigation menu breadcrumb breadcrumbs sidebar widget "
-    "footer header masthead cookie cookies consent notice alert popup modal overlay newsletter subscribe signup share sharing social related recommended "
-    "comment comments reply replies disqus form login search complementary contentinfo".split()
+    "ad ads advert advertisement adverts sponsor sponsored nav navbar navigation menu breadcrumb breadcrumbs sidebar footer cookie cookies consent "
+    "newsletter comment comments reply replies disqus contentinfo".split()
 )
+_DOUBTFUL_WORDS = frozenset(
+    "banner promo widget header masthead notice alert popup modal overlay subscribe signup share sharing social related recommended form login search complementary".split()
+)
+DOUBTFUL, FURNITURE = 1, 2
+# What a block in such an element counts in the score of the containers around it.
+_WEIGHTS = {0: 1.0, DOUBTFUL: 0.4, FURNITURE: 0.05}
+# A table of host paths up to this size goes to all tasks, so that pages are not shuffled.
+BROADCAST_BYTES = 16 << 20
 _CLOSES_P = frozenset("address article aside blockquote details div dl fieldset figure footer form h1 h2 h3 h4 h5 h6 header hr main nav ol p pre section table ul".split())
 
 
@@ -48,12 +60,13 @@ class Node:
     parent: int
     tag: str
     path: str
-    furniture: bool
+    cut: bool
+    mark: int = 0
 
 
 @dataclass
 class Page:
-    """Elements of a page, and its text blocks in page order as ``(element, text)``."""
+    """Elements of a page, and its text blocks in page order as ``(element, text, share of it in links)``."""
 
     nodes: list[Node] = field(default_factory=lambda: [Node(-1, "", "", False)])
     blocks: list[tuple[int, str, float]] = field(default_factory=list)
@@ -64,8 +77,8 @@ class Page:
             at = self.nodes[at].parent
 
 
-def _label(tag: str, attrs: str) -> tuple[str, bool]:
-    """The element's part of the path, and whether its names mark it as page furniture."""
+def _label(tag: str, attrs: str) -> tuple[str, int]:
+    """The element's part of the path, and how far its names mark it as page furniture."""
     names = []
     classes = []
     for kind, *values in _CLASS.findall(attrs):
@@ -75,7 +88,14 @@ def _label(tag: str, attrs: str) -> tuple[str, bool]:
             classes += value
     words = {w for n in names for w in re.split(r"[^a-z]+", re.sub(r"(?<=[a-z])(?=[A-Z])", "-", n).lower())}
     label = ".".join([tag, *sorted(re.sub(r"\d+", "#", c.lower()) for c in classes)])
-    return label, tag not in ("html", "body", "article", "main") and not words.isdisjoint(_FURNITURE_WORDS)
+    if tag in ("html", "body", "article", "main"):
+        return label, 0
+    return label, DOUBTFUL if words.isdisjoint(_FURNITURE_WORDS) and not words.isdisjoint(_DOUBTFUL_WORDS) else 0 if words.isdisjoint(_FURNITURE_WORDS) else FURNITURE
+
+
+def _hidden(attrs: str) -> bool:
+    """Whether the element is hidden by an attribute; a class or id with that name hides nothing."""
+    return bool(_HIDDEN_VALUE.search(attrs) or _HIDDEN_NAME.search(_VALUE.sub("=", attrs)))
 
 
 def parse(source: str) -> Page:
@@ -97,7 +117,7 @@ def parse(source: str) -> Page:
                 owner = next(i for i in page.chain(open_at[-1]) if page.nodes[i].tag not in _INLINE)
             if any(page.nodes[i].tag == "a" for i in open_at):
                 linked += len(found.strip())
-            if not page.nodes[open_at[-1]].furniture:
+            if not page.nodes[open_at[-1]].cut:
                 parts.append(found)
 
     def close(tag: str, stop: frozenset[str] = frozenset()) -> None:
@@ -132,9 +152,9 @@ def parse(source: str) -> Page:
         elif tag in ("li", "tr", "td", "th", "dt", "dd", "option"):
             close(tag, frozenset(("ul", "ol", "table", "dl", "select") if tag not in ("td", "th") else ("tr", "table")))
         parent = open_at[-1]
-        label, marked = _label(tag, m["attrs"])
-        furniture = page.nodes[parent].furniture or marked or tag in _FURNITURE_TAGS or bool(_HIDDEN.search(m["attrs"]))
-        page.nodes.append(Node(parent, tag, f"{page.nodes[parent].path}>{label}", furniture))
+        label, mark = _label(tag, m["attrs"])
+        cut = page.nodes[parent].cut or tag in _FURNITURE_TAGS or _hidden(m["attrs"])
+        page.nodes.append(Node(parent, tag, f"{page.nodes[parent].path}>{label}", cut, mark))
         if not m["attrs"].rstrip().endswith("/"):
             open_at.append(len(page.nodes) - 1)
     text(at, len(source))
@@ -145,11 +165,13 @@ def parse(source: str) -> Page:
 def best_container(page: Page) -> tuple[str, float]:
     """Path and score of the best container; an empty path where the page has no text in one.
 
-    A block gives its length outside links to the containers around it, less to those further out.
+    A block gives its length outside links to the containers around it, less to those further out, and less if it stands in
+    an element that is marked as furniture.
     """
     scores: dict[int, float] = {}
     for owner, text, linked in page.blocks:
-        weight, share = len(text) * (1 - linked), 1.0
+        share = 1.0
+        weight = len(text) * (1 - linked) * _WEIGHTS[max(page.nodes[i].mark for i in page.chain(owner))]
         for i in page.chain(owner):
             if page.nodes[i].tag in _CONTAINERS:
                 scores[i] = scores.get(i, 0.0) + weight * share
@@ -161,11 +183,28 @@ def best_container(page: Page) -> tuple[str, float]:
 
 
 def text_at(page: Page, path: str) -> str:
-    """Blocks below the elements at a path, a line each."""
-    inside = [bool(path) and n.path == path for n in page.nodes]
-    for i, n in enumerate(page.nodes[1:], 1):
-        inside[i] = inside[i] or inside[n.parent]
-    return "\n".join(text for owner, text, _ in page.blocks if inside[owner])
+    """Blocks below the elements at a path, a line each, without the furniture among them.
+
+    Below such an element, one marked as furniture goes, and one marked as doubtful goes unless most of the element's text stands
+    in it. The element itself stays, whatever its name: votes have chosen it.
+    """
+    nodes = page.nodes
+    root = [0] * len(nodes)  # the element at the path that holds a node; 0 for none
+    for i, n in enumerate(nodes[1:], 1):
+        root[i] = root[n.parent] or (i if path and n.path == path else 0)
+    below = [0.0] * len(nodes)
+    held = [(owner, text, len(text) * (1 - linked)) for owner, text, linked in page.blocks if root[owner]]
+    for owner, _, weight in held:
+        for i in page.chain(owner):
+            below[i] += weight
+            if i == root[owner]:
+                break
+
+    gone = [False] * len(nodes)
+    for i, n in enumerate(nodes[1:], 1):
+        if root[i] and root[i] != i:
+            gone[i] = gone[n.parent] or n.mark == FURNITURE or (n.mark == DOUBTFUL and below[i] <= below[root[i]] / 2)
+    return "\n".join(text for owner, text, _ in held if not gone[owner])
 
 
 def extract(source: str | None, path: str | None) -> str:
@@ -198,14 +237,19 @@ def extract_main_text(spark: SparkSession, pages: DataFrame, url_column: str = "
     to one host of all such pages. Repeated rows vote and are extracted each. Pages without any container keep what text
     they have outside furniture. A column of ``pages`` named ``text`` is replaced.
     """
-    Shared(spark)  # sets the size of Arrow batches
+    shared = Shared(spark)
     host, path = "__page_host", "__page_path"
     named = pages.withColumn(host, F.lower(F.coalesce(F.regexp_extract(F.col(url_column), "^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#]*@)?([^/?#:]+)", 1), F.lit(""))))
     votes = host_paths(named.select(F.col(host).alias("host"), F.col(html_column).alias("html")))
-    # a host may hold a third of all pages: its path is there once for each of SALTS parts of them
-    salt = "__page_salt"
-    salted = votes.select(F.col("host").alias(host), F.col("path").alias(path), F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))).alias(salt))
-    joined = named.withColumn(salt, F.pmod(F.xxhash64(url_column, html_column), F.lit(SALTS))).join(salted, [host, salt], "left")
+    paths = shared.cut(votes.select(F.col("host").alias(host), F.col("path").alias(path)), "paths")
+    size = paths.agg(F.sum(F.octet_length(host) + F.octet_length(path) + 32)).first()[0] or 0
+    if size <= BROADCAST_BYTES:
+        joined = named.join(F.broadcast(paths), host, "left")
+    else:
+        # a host may hold a third of all pages: its path is there once for each of SALTS parts of them
+        salt = "__page_salt"
+        salted = paths.withColumn(salt, F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long"))))
+        joined = named.withColumn(salt, F.pmod(F.xxhash64(url_column, html_column), F.lit(SALTS))).join(salted, [host, salt], "left")
     main = _main_text()
     return joined.withColumn("text", main(F.col(html_column), F.col(path))).select(*[c for c in pages.columns if c != "text"], "text")
 

@@ -62,3 +62,52 @@ def test_odd_rows(spark):
     pages = spark.createDataFrame(rows, "page_id long, url string, html string")
     assert sorted(r.text for r in hx.extract_main_text(spark, pages).collect()) == ["", "", "", "x"]
     assert hx.extract_main_text(spark, pages.limit(0)).count() == 0
+
+
+WORDS = " ".join(f"word{i}" for i in range(30))
+
+
+def test_names_alone_cut_no_article():
+    for page in (
+        f'<body><div class="overflow-hidden"><p>{WORDS}</p></div></body>',
+        f'<body><div class="a hidden-xs hidden b"><p>{WORDS}</p></div></body>',
+        f'<body><div class="elementor-widget-container"><p>{WORDS}</p></div></body>',
+        f'<body><article><div class="share-story"><p>{WORDS}</p></div></article></body>',
+        f'<body><div id="search-results-article"><p>{WORDS}</p></div></body>',
+        f'<body><article><div class="comments"><p>{WORDS}</p></div></article></body>',
+        f"<body><main><p>{WORDS} <span class=\"social\"></span></p></main></body>",
+    ):
+        assert hx.extract(page, None) == WORDS, page
+
+
+def test_hidden_by_attribute():
+    for attrs in ("hidden", 'hidden=""', 'id="x" hidden class="y"', 'style="color:red; display : none"', "aria-hidden=true", "class=a hidden"):
+        assert hx.extract(f"<body><article><p>{WORDS}</p><div {attrs}><p>gone</p></div></article>", None) == WORDS, attrs
+    for attrs in ('class="hidden"', 'title="display:none"', 'data-hidden="1"', 'id="not-hidden"'):
+        assert hx.extract(f"<body><article><p>{WORDS}</p><div {attrs}><p>kept</p></div></article>", None) == f"{WORDS}\nkept", attrs
+
+
+def test_doubtful_parts_go_where_they_are_few():
+    page = f'<body><article><div class="share-story"><p>{WORDS}</p><div class="ad">buy</div><div class="share">tell</div></div><div class="related"><p>more</p></div></article></body>'
+    assert hx.extract(page, None) == WORDS
+
+
+def test_comments_go_also_where_they_are_most():
+    page = f'<body><div class="post"><div class="text"><p>{WORDS}</p></div><div class="comments"><p>{WORDS} {WORDS} {WORDS}</p></div></div></body>'
+    assert hx.extract(page, None) == WORDS
+
+
+def test_many_hosts_join_by_parts(spark, monkeypatch):
+    rows = [(i, f"https://h{i % 7}.example/", f"<body><div class='c'><p>{'text ' * 9}{i}</p></div></body>") for i in range(40)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string")
+    texts = lambda: sorted(r.text for r in hx.extract_main_text(spark, pages).collect())
+    want = texts()
+    monkeypatch.setattr(hx, "BROADCAST_BYTES", 0)
+    assert texts() == want
+
+
+def test_ties_of_votes_go_to_the_longer_text_then_the_name(spark):
+    page = "<body><div class='{}'><p>{}</p></div></body>"
+    rows = [("h", page.format("b", "x" * 30)), ("h", page.format("a", "x" * 30)), ("i", page.format("b", "x" * 40)), ("i", page.format("a", "x" * 30))]
+    paths = hx.host_paths(spark.createDataFrame(rows, "host string, html string"))
+    assert {r.host: r.path for r in paths.collect()} == {"h": ">body>div.a", "i": ">body>div.b"}
