@@ -25,6 +25,8 @@ from .frames import Shared, crc_mod
 
 ORDER = 4
 MAX_BYTES = 2_000_000
+# Parts of the hash range whose texts are added up before any text is picked.
+RANGES = 1 << 16
 _CHUNK = 400_000
 _OTHER = re.compile(r"[\W\d_]+")
 _PAD = b" " * ORDER
@@ -179,12 +181,14 @@ def train(docs: DataFrame, id_column: str = "doc_id", text_column: str = "text",
     """Trees from texts outside the held-out fold: whole texts in hash order, up to ``max_bytes`` characters a language."""
     rows = docs.where(F.col(lang_column).isNotNull() & F.col(text_column).isNotNull() & (crc_mod(id_column, folds[0]) != folds[1]))
     rows = rows.select(F.col(lang_column).alias("lang"), F.xxhash64(id_column).alias("h"), F.col(id_column).cast("long").alias("doc"), F.length(text_column).cast("long").alias("size"))
-    # which texts: only ids and sizes move, of ranges of the hash that suffice for the bound
-    rows = rows.where(F.col("size") <= max_bytes)
-    share = rows.groupBy("lang").agg(F.sum("size").alias("all"))
-    rows = rows.join(share, "lang").where((F.pmod("h", F.lit(1 << 20)) / F.lit(float(1 << 20))) <= 2.0 * max_bytes / F.col("all"))
-    upto = F.sum("size").over(Window.partitionBy("lang").orderBy("h", "doc").rowsBetween(Window.unboundedPreceding, 0))
-    picked = rows.withColumn("upto", upto).where(F.col("upto") <= max_bytes).select("lang", "doc").distinct()
+    # which texts: only ids and sizes move. Sizes of hash ranges are added up first; texts are added up one by one inside a range
+    rows = rows.where(F.col("size").between(1, max_bytes)).withColumn("part", F.pmod("h", F.lit(RANGES)))
+    upto = F.sum("part_size").over(Window.partitionBy("lang").orderBy("part").rowsBetween(Window.unboundedPreceding, 0))
+    parts = rows.groupBy("lang", "part").agg(F.sum("size").alias("part_size")).withColumn("part_upto", upto)
+    # at most RANGES rows a language
+    inner = F.sum("size").over(Window.partitionBy("lang", "part").orderBy("h", "doc").rowsBetween(Window.unboundedPreceding, 0))
+    rows = rows.join(parts, ["lang", "part"]).withColumn("upto", F.col("part_upto") - F.col("part_size") + inner)
+    picked = rows.where(F.col("upto") <= max_bytes).select("lang", "doc").distinct()
     texts = docs.select(F.col(id_column).cast("long").alias("doc"), F.col(lang_column).alias("lang"), F.col(text_column).alias("text"))
     # at most max_bytes ids a language, far fewer with texts of any length
     sample = texts.where("text is not null").join(picked, ["doc", "lang"], "left_semi").select("lang", "text")
@@ -199,7 +203,8 @@ def identify_language(spark: SparkSession, docs: DataFrame, id_column: str = "do
     """All rows and columns of ``docs`` with ``lang_pred`` and ``score`` (0 to 1), from the text alone.
 
     A text that is missing or has no letter is ``und`` with score 0; so is every text where nothing could be learned. Ties go to the
-    language first by name. Texts without a language, and those longer than the training bound, are not learned from. Columns
+    language first by name. Texts without a language, empty ones, and those longer than the training bound, are not learned from; every language
+    that has another is learned. Columns
     of ``docs`` named ``lang_pred`` or ``score`` are replaced.
     """
     Shared(spark)  # sets the size of Arrow batches

@@ -73,3 +73,12 @@ def test_odd_rows(spark):
     assert {r.lang_pred for r in found} == {"en", "fr", "und"} and all(0 <= r.score <= 1 for r in found)
     assert ppm.identify_language(spark, docs.limit(0)).count() == 0
     assert {r.lang_pred for r in ppm.identify_language(spark, docs.withColumn("lang", F.lit(None).cast("string"))).collect()} == {"und"}
+
+
+def test_every_language_with_a_text_inside_the_bound_is_learned(spark):
+    """Few and long texts, texts in one hash range, and languages whose texts are all empty or too long."""
+    rows = [(i * 10 + j, f"{chr(97 + i % 26)}{i} word " * 11, f"l{i:02d}") for i in range(40) for j in range(2)]
+    rows += [(1000 + j, "", "void") for j in range(9)] + [(2000 + j, None, "none") for j in range(9)] + [(3000, "x" * 500, "long")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    assert ppm.train(docs, folds=(4, 4), max_bytes=100).langs == [f"l{i:02d}" for i in range(40)]
+    assert ppm.identify_language(spark, docs.where("lang = 'void'")).select("lang_pred", "score").distinct().collect() == [("und", 0.0)]
