@@ -1,189 +1,198 @@
 """LM scoring by prediction by partial matching over bytes.
 
-A text is its words in lower case (A-Z) and one end. A word is spelled byte by byte and closed by a space; each byte is predicted
-from up to ``ORDER`` bytes before it in the word, the space before included. A byte that never followed its context in training costs an
-escape (distinct followers over total plus distinct) and is looked for in the next shorter context, whose counts leave out the
-bytes that the longer ones have already ruled out (symbol exclusion). Below order 0 the bytes left are alike.
-
-All counts come from all training documents. The code length of a text is a sum over its words, so each word of the vocabulary
-is scored once, however often it occurs, and documents get the sums by a join: the ``HOT`` most frequent words go to every task,
-all others meet by hash. Contexts go to the tasks in blocks of at most about ``BLOCK_RUNS`` counts, parted by the two last
-bytes of the context; every block scores the places of its contexts, and the sums are added up.
+A text is its words in lower case (A-Z) with one space between them, and one end. Each byte is predicted from the ``ORDER`` bytes before
+it, across words; before a text stand ends. A byte that followed its context in training has its share of what followed (count over
+total plus distinct followers). One that never did costs an escape (distinct over total plus distinct) and is looked for in the next shorter
+context, whose counts leave out the bytes that the longer ones have ruled out (symbol exclusion). Below order 0 the bytes left are alike.
+Counts are of all occurrences in all training documents.
+
+Each task packs its texts into chunks and counts the runs of context and byte, and the words, of a chunk. Counts are added up by run; contexts,
+escapes and shorter contexts are aggregates and joins over the distinct runs. Each chunk then gets the probabilities of its own
+runs by a join, and its texts are scored where they meet. So no task holds more of the model than its chunk needs, and the driver holds none.
 """
 
 from __future__ import annotations
 
-from collections import Counter
-from collections.abc import Callable, Iterator
-from functools import reduce
+from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import hashing
 from .frames import Shared, crc_mod
-from .ppm_language import Table, context
+from .ppm_language import Table
 
 ORDER = 5
-HOT = 1 << 17
-BLOCK_RUNS = 3_000_000
-_END = b"\n"  # stands for the end of a text, where a word would begin
-_SPREAD = 2654435761
-
-
-def spell(words: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-    """Runs of context and byte, as tagged numbers, at each place of the words; and the number of places of each word."""
-    spelled = [b" " + w if w == _END else b" " + w + b" " for w in words]
-    sizes = np.array([len(s) for s in spelled], np.int64)
-    data = np.frombuffer(b"".join(spelled), np.uint8).astype(np.uint64)
-    place = np.arange(len(data)) - np.repeat(np.cumsum(sizes) - sizes, sizes)
-    at = np.flatnonzero(place > 0)
-    reach = np.minimum(place[at], ORDER)
-    keys = (reach + 1).astype(np.uint64)
-    for back in range(ORDER, -1, -1):
-        use = reach >= back
-        keys[use] = (keys[use] << np.uint64(8)) | data[at[use] - back]
-    return keys, sizes - 1
-
-
-def _run_size(keys: np.ndarray) -> np.ndarray:
-    """Bytes of each tagged run."""
-    out = np.zeros(len(keys), np.int64)
-    for size in range(1, ORDER + 2):
-        out[(keys >> np.uint64(8 * size)) == size] = size
-    return out
-
-
-class ByteModel:
-    """Counts of runs of a block: log10 probabilities with escapes and exclusion."""
-
-    def __init__(self, keys: np.ndarray, counts: np.ndarray):
-        order = np.argsort(keys)
-        self.keys, self.counts = keys[order], counts[order]
-        self.table = Table(self.keys)
-        size = _run_size(self.keys)
-        heads = np.zeros(len(self.keys), np.uint64)
-        for s in range(1, ORDER + 2):
-            heads[size == s] = context(self.keys[size == s], s)
-        head, row, distinct = np.unique(heads, return_inverse=True, return_counts=True)
-        total = np.bincount(row, self.counts, len(head))
-        self.logs = np.log10(self.counts / (total + distinct)[row]) if len(self.keys) else np.empty(0)
-
-    def log_probs(self, keys: np.ndarray) -> np.ndarray:
-        row = self.table.find(keys)
-        out = np.where(row >= 0, self.logs[row] if len(self.logs) else 0.0, 0.0)
-        missed = np.flatnonzero(row < 0)
-        if len(missed):
-            each, where = np.unique(keys[missed], return_inverse=True)
-            out[missed] = np.array([self.escaped(int(k)) for k in each])[where]
-        return out
-
-    def escaped(self, key: int) -> float:
-        """log10 probability of the last byte of a run, by way of escapes where it is new in its context."""
-        size = (key.bit_length() - 1) // 8
-        data = key & ((1 << 8 * size) - 1)
-        ruled_out, result = np.zeros(256, bool), 0.0
-        for s in range(size, 0, -1):
-            low = (s << 8 * s) | ((data & ((1 << 8 * s) - 1)) & ~255)
-            lo, hi = np.searchsorted(self.keys, np.array([low, low + 256], np.uint64))
-            followers, counts = (self.keys[lo:hi] & np.uint64(255)).astype(np.int64), self.counts[lo:hi]
-            left = ~ruled_out[followers]
-            total, distinct = counts[left].sum(), int(left.sum())
-            if not distinct:
-                continue
-            own = counts[left & (followers == (data & 255))]
-            if len(own):
-                return result + float(np.log10(own[0] / (total + distinct)))
-            result += float(np.log10(distinct / (total + distinct)))
-            ruled_out[followers] = True
-        return result - float(np.log10(max(1, 256 - ruled_out.sum())))
-
-
-def _vocabulary(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Words with their number in training texts (0 for words of other texts only), added up within the task."""
-    counts: Counter[bytes] = Counter()
-
-    def flush() -> pa.RecordBatch:
-        out = pa.RecordBatch.from_arrays([pa.array(counts.keys(), pa.binary()), pa.array(counts.values(), pa.int64())], ["word", "n"])
-        counts.clear()
-        return out
+# Bytes of text in a chunk, and texts scored together; one longer text is a chunk by itself.
+CHUNK_BYTES, BLOCK_BYTES = 32 << 20, 2 << 20
+_END = b"\n"  # stands for the end of a text, which no word holds
+_END_WORD = -1
+_BLOCK = "chunk long, doc array<long>, learn array<boolean>, sizes array<int>, words array<int>, data binary"
+_KEY = "key long, n long"
 
-    for batch in batches:
-        for text, learn in zip(batch.column("text"), batch.column("learn").to_pylist(), strict=True):
-            words = (text.as_py() or "").encode("utf-8", "surrogatepass").translate(hashing.LOWER).split()
-            if learn:
-                counts.update(words)
-                counts[_END] += 1
-            else:
-                counts.update(dict.fromkeys(words, 0))
-            if len(counts) > 200_000:
-                yield flush()
-    if counts:
-        yield flush()
-
-
-def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    pile, n = [], 0
-
-    def flush() -> pa.RecordBatch:
-        keys, counts = np.unique(np.concatenate(pile), return_counts=True)
-        return pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), pa.array(counts)], ["run", "n"])
 
+def normal(text: str | None) -> bytes:
+    return b" ".join((text or "").encode("utf-8", "surrogatepass").translate(hashing.LOWER).split())
+
+
+def runs_of(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+    """The run of context and byte at each byte and end of the texts, and the first place of each text."""
+    sizes = np.array([len(t) + 1 for t in texts], np.int64)
+    data = np.frombuffer(_END * ORDER + b"".join(t + _END * (ORDER + 1) for t in texts), np.uint8).astype(np.uint64)
+    keys = np.zeros(len(data) - ORDER, np.uint64)
+    for back in range(ORDER, -1, -1):
+        keys = (keys << np.uint64(8)) | data[ORDER - back : len(data) - back]
+    # behind each text stand the ends that come before the next one
+    first = np.cumsum(sizes + ORDER) - sizes - ORDER
+    own = np.ones(len(keys), bool)
+    for j in range(ORDER):
+        own[first + sizes + j] = False
+    return keys[own], np.cumsum(sizes) - sizes
+
+
+def words_of(texts: list[bytes]) -> np.ndarray:
+    """A negative number for each word, so that words and runs are told apart; ``_END_WORD`` is the end of a text."""
+    hashes = hashing.word_hashes(b" ".join(texts).decode("utf-8", "surrogatepass"))
+    return np.minimum((hashes | np.uint64(1 << 63)).view(np.int64), _END_WORD - 1)
+
+
+def _summed(keys: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    every, n = np.concatenate(keys), np.concatenate(counts)
+    order = np.argsort(every, kind="stable")
+    every, n = every[order], n[order]
+    first = np.flatnonzero(np.concatenate([[True], every[1:] != every[:-1]]))
+    return every[first], np.add.reduceat(n, first)
+
+
+def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Blocks of normalised texts by chunk, and after them the chunk's keys with their number in training texts."""
+    from pyspark import TaskContext
+
+    types = {"chunk": pa.int64(), "doc": pa.list_(pa.int64()), "learn": pa.list_(pa.bool_()), "sizes": pa.list_(pa.int32()), "words": pa.list_(pa.int32()), "data": pa.binary(), "key": pa.int64(), "n": pa.int64()}
+    chunk, held, keys, counts, ends = TaskContext.get().partitionId() << 32, 0, [], [], 0
+
+    def rows(n: int, given: dict) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(given[c], t) if c in given else pa.nulls(n, t) for c, t in types.items()], list(types))
+
+    def block(docs: list[tuple[int | None, bool, bytes]]) -> pa.RecordBatch:
+        nonlocal ends
+        for learn in (True, False):
+            own = [t for _, flag, t in docs if flag == learn]
+            if own:
+                for found in (runs_of(own)[0].view(np.int64), words_of(own)):
+                    each, n = np.unique(found, return_counts=True)
+                    keys.append(each)
+                    counts.append(n if learn else np.zeros(len(each), np.int64))
+                ends += len(own) * learn
+        texts = [t for _, _, t in docs]
+        data = pa.compress(b"".join(texts), codec="zstd", asbytes=True)
+        given = {"chunk": [chunk], "doc": [[d for d, _, _ in docs]], "learn": [[f for _, f, _ in docs]], "sizes": [[len(t) for t in texts]], "words": [[t.count(b" ") + bool(t) for t in texts]], "data": [data]}
+        return rows(1, given)
+
+    def flush() -> Iterator[pa.RecordBatch]:
+        keys.append(np.array([_END_WORD]))
+        counts.append(np.array([ends]))
+        every, n = _summed(keys, counts)
+        for lo in range(0, len(every), 200_000):
+            part = slice(lo, lo + 200_000)
+            yield rows(len(every[part]), {"chunk": np.full(len(every[part]), chunk), "key": every[part], "n": n[part]})
+
+    pile, size = [], 0
     for batch in batches:
-        keys, _ = spell(batch.column("word").to_pylist())
-        pile.append(keys)
-        n += len(keys)
-        if n > 3_000_000:
-            yield flush()
-            pile, n = [], 0
-    if n:
-        yield flush()
-
-
-def _block_of(last: np.ndarray, blocks: int) -> np.ndarray:
-    return ((last * np.uint64(_SPREAD)) & np.uint64(0xFFFFFFFF)) // np.uint64(256) % np.uint64(blocks)
-
-
-def _score_words(model: ByteModel, block: int, blocks: int) -> Callable:
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            words = batch.column("word").to_pylist()
-            keys, places = spell(words)
-            owner = np.repeat(np.arange(len(words)), places)
-            if blocks > 1:
-                first = np.r_[True, owner[1:] != owner[:-1]]  # context of a single byte, which every block has
-                own = np.where(first, block == 0, _block_of((keys >> np.uint64(8)) & np.uint64(0xFFFF), blocks) == block)
-                keys, owner = keys[own], owner[own]
-            total = np.bincount(owner, model.log_probs(keys), len(words))
-            hashes = hashing.word_hashes(b" ".join(w.replace(_END, b"\x00") for w in words).decode("utf-8", "surrogatepass"))
-            yield pa.RecordBatch.from_arrays([batch.column("word"), pa.array(hashes.view(np.int64)), batch.column("n"), pa.array(total)], ["word", "hash", "n", "logp"])
-
-    return run
-
-
-def _documents(hot: Table, known: np.ndarray, base: np.ndarray, logp: np.ndarray, end: tuple[int, float, float]) -> Callable:
-    """A row for each text with the sums over its frequent words and its end, and one for each of its other words."""
-    names = ["row", "doc", "hash", "n", "n_tokens", "n_known", "base", "score", "heads"]
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            parts = []
-            for row, doc, text in zip(batch.column("row").to_pylist(), batch.column("doc").to_pylist(), batch.column("text"), strict=True):
-                words = hashing.word_hashes(text.as_py())
-                each, n = np.unique(words, return_counts=True)
-                at = hot.find(each)
-                rare = at < 0
-                k, m = at[~rare], n[~rare]
-                one = [[row], [doc], [None], [None], [len(words) + 1], [int(m @ known[k]) + end[0]], [float(m @ base[k]) + end[1]], [float(m @ logp[k]) + end[2]], [1]]
-                zero, none = [0] * int(rare.sum()), [None] * int(rare.sum())
-                many = [[row] * len(zero), none, each[rare].view(np.int64).tolist(), n[rare].tolist(), zero, zero, zero, zero, zero]
-                parts.append([a + b for a, b in zip(one, many, strict=True)])
-            types = [pa.int64()] * 6 + [pa.float64()] * 2 + [pa.int64()]
-            yield pa.RecordBatch.from_arrays([pa.array([v for p in parts for v in p[i]], t) for i, t in enumerate(types)], names)
-
-    return run
+        for doc, learn, text in zip(batch.column("doc").to_pylist(), batch.column("learn").to_pylist(), batch.column("text"), strict=True):
+            data = normal(text.as_py())
+            if pile and size + len(data) > BLOCK_BYTES:
+                yield block(pile)
+                held += size
+                pile, size = [], 0
+                if held + len(data) > CHUNK_BYTES:
+                    yield from flush()
+                    chunk, held, keys, counts, ends = chunk + 1, 0, [], [], 0
+            pile.append((doc, learn, data))
+            size += len(data)
+    if pile:
+        yield block(pile)
+    if pile or held:
+        yield from flush()
+
+
+# --- probabilities ------------------------------------------------------------------------------
+
+
+def _tail(run: Column, size: int) -> Column:
+    """The last bytes of a run."""
+    return run.bitwiseAND(F.lit((1 << 8 * size) - 1))
+
+
+def run_probabilities(runs: DataFrame, shared: Shared) -> DataFrame:
+    """``key, value``: the log10 probability of the last byte of each run, of ``key, n`` with the number in training texts."""
+    seen = runs.where("n > 0").withColumn("context", F.shiftright("key", 8))
+    whole = seen.groupBy("context").agg(F.sum("n").alias("total"), F.count(F.lit(1)).alias("distinct"))
+    direct = seen.join(whole, "context").select("key", F.log10(F.col("n") / (F.col("total") + F.col("distinct"))).alias("value"))
+
+    nothing = F.array().cast("array<bigint>")
+    left = shared.cut(runs.where("n = 0").select("key", F.lit(0.0).cast("double").alias("value"), nothing.alias("out"), F.lit(False).alias("found")), "new_runs")
+    byte = F.col("key").bitwiseAND(F.lit(255))
+    for size in range(ORDER, -1, -1):
+        # what followed each context of so many bytes, at most 256 bytes each
+        ends = seen.groupBy(_tail(F.col("key"), size + 1).alias("run")).agg(F.sum("n").alias("n"))
+        followers = ends.groupBy(F.shiftright("run", 8).alias("head")).agg(F.collect_list(F.struct(F.col("run").bitwiseAND(F.lit(255)).alias("b"), "n")).alias("all"))
+        met = left.join(followers, _tail(F.shiftright("key", 8), size) == F.col("head"), "left")
+        met = met.withColumn("left", F.filter(F.coalesce("all", F.array().cast(followers.schema["all"].dataType)), lambda x: ~F.array_contains("out", x["b"])))
+        met = met.withColumns(
+            {
+                "total": F.aggregate("left", F.lit(0).cast("bigint"), lambda a, x: a + x["n"]) + F.size("left"),
+                "own": F.aggregate("left", F.lit(0).cast("bigint"), lambda a, x: a + F.when(x["b"] == byte, x["n"]).otherwise(F.lit(0))),
+            }
+        )
+        open_ = ~F.col("found") & (F.size("left") > 0)
+        step = F.log10(F.when(F.col("own") > 0, F.col("own")).otherwise(F.size("left")) / F.col("total"))
+        left = met.select(
+            "key",
+            F.when(open_, F.col("value") + step).otherwise(F.col("value")).alias("value"),
+            F.when(open_ & (F.col("own") == 0), F.array_union("out", F.transform("left", lambda x: x["b"]))).otherwise(F.col("out")).alias("out"),
+            (F.col("found") | (F.col("own") > 0)).alias("found"),
+        )
+    alike = F.log10(F.greatest(F.lit(256) - F.size("out"), F.lit(1)))
+    return direct.unionByName(left.select("key", F.when(F.col("found"), F.col("value")).otherwise(F.col("value") - alike).alias("value")))
+
+
+# --- texts --------------------------------------------------------------------------------------
+
+
+def _score(tokens: int, kinds: int):
+    """A row for each text of a chunk, from the chunk's blocks and the values of its keys."""
+    schema = "doc_id long, learn boolean, n_tokens long, n_known long, base_score double, score double"
+    names = [c.split()[0] for c in schema.split(", ")]
+    whole = tokens + 0.1 * (kinds + 1)
+
+    def run(blocks: pa.Table, values: pa.Table) -> pa.Table:
+        key, value = values["key"].to_numpy(), values["value"].to_numpy()
+        counts = value[key < 0]
+        model, logs = Table(key[key >= 0].view(np.uint64)), value[key >= 0]
+        lexicon, known, base = Table(key[key < 0].view(np.uint64)), counts > 0, np.log10((counts + 0.1) / whole)
+        end = lexicon.find(np.array([_END_WORD]).view(np.uint64))[0]
+        columns: list[list] = [[] for _ in names]
+        for row in blocks.to_pylist():
+            sizes = row["sizes"]
+            data = pa.decompress(row["data"], decompressed_size=sum(sizes), codec="zstd", asbytes=True)
+            stops = np.cumsum(sizes).tolist()
+            texts = [data[stop - size : stop] for stop, size in zip(stops, sizes, strict=True)]
+            keys, first = runs_of(texts)
+            score = np.add.reduceat(logs[model.find(keys)], first)
+            each = lexicon.find(words_of(texts).view(np.uint64))
+            upto = np.concatenate([[0], np.cumsum(row["words"])])
+            sums = [np.concatenate([[0.0], np.cumsum(x[each])]) for x in (known, base)]
+            n_known, plain = (s[upto[1:]] - s[upto[:-1]] for s in sums)
+            found = [row["doc"], row["learn"], np.array(row["words"]) + 1, (n_known + known[end]).astype(np.int64), plain + base[end], score]
+            for column, part in zip(columns, found, strict=True):
+                column += list(part)
+        types = [pa.int64(), pa.bool_(), pa.int64(), pa.int64(), pa.float64(), pa.float64()]
+        return pa.Table.from_arrays([pa.array(c, t) for c, t in zip(columns, types, strict=True)], names=names)
+
+    return run, schema
 
 
 def score_documents(spark: SparkSession, docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", folds: tuple[int, int] = (10, 0)) -> DataFrame:
@@ -191,77 +200,22 @@ def score_documents(spark: SparkSession, docs: DataFrame, id_column: str = "doc_
 
     Learns from rows whose crc32 of the id modulo ``folds[0]`` is not ``folds[1]``; rows without id are not learned from and not
     held out. A missing or empty text has one token, its end. ``base_score`` is the smoothed unigram score, ``score`` the log10
-    probability by the byte model. Without training rows every base term is log10 of 1, and bytes are alike. Rows with equal id
-    and text get the same result. Other columns are ignored, whatever their names.
+    probability of the text's bytes and end. Without training rows every base term is log10 of 1, and bytes are alike. Rows that repeat are
+    a text each. An empty table gives no rows. Other columns are ignored, whatever their names.
     """
     shared = Shared(spark)
     fold = crc_mod(id_column, folds[0])
-    texts = docs.select(
-        F.xxhash64(id_column, text_column).alias("row"),
-        F.col(id_column).cast("long").alias("doc"),
-        F.col(text_column).alias("text"),
-        F.coalesce(fold != folds[1], F.lit(False)).alias("learn"),
-    )
-    vocabulary = shared.cut(texts.select("text", "learn").mapInArrow(_vocabulary, "word binary, n long").groupBy("word").agg(F.sum("n").alias("n")), "vocabulary")
-    seen = vocabulary.where("n > 0")
-    tokens, kinds, once = seen.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count(F.lit(1)), F.coalesce(F.sum((F.col("n") == 1).cast("long")), F.lit(0))).first()
-    new = min(1.0, (once + 1) / (tokens + 2))
-
-    # runs with their longest context, then every shorter one
-    longest = seen.mapInArrow(_runs, "run long, n long").groupBy("run").agg(F.sum("n").alias("n"))
-    sizes = " ".join(f"when shiftright(run, {8 * s}) = {s} then {s}" for s in range(1, ORDER + 2))
-    suffix = f"explode(transform(sequence(1, case {sizes} end), s -> (run & (shiftleft(1L, 8 * s) - 1)) | shiftleft(cast(s as bigint), 8 * s))) as run"
-    runs = shared.cut(longest.selectExpr(suffix, "n").groupBy("run").agg(F.sum("n").alias("n")), "runs")
-    blocks = runs.count() // BLOCK_RUNS + 1
-    last = "((shiftright(run, 8) & 65535) * %d & 4294967295) div 256 %% %d" % (_SPREAD, blocks)
-    scored = []
-    for block in range(blocks):
-        own = runs.where(f"run < {1 << 18} or {last} = {block}").toArrow()  # up to two bytes, in every block; and its share of longer runs
-        model = ByteModel(own["run"].to_numpy().view(np.uint64), own["n"].to_numpy())
-        scored.append(vocabulary.mapInArrow(_score_words(model, block, blocks), "word binary, hash long, n long, logp double"))
-    words = reduce(DataFrame.unionByName, scored)
-    if blocks > 1:
-        words = words.groupBy("word", "hash", "n").agg(F.sum("logp").alias("logp"))
-    seen_before = (1 - new) * F.col("n") / F.lit(max(tokens, 1))
-    spelled = F.log10(F.lit(new)) + F.col("logp")
-    words = shared.cut(words.withColumn("logp", F.when(F.col("n") > 0, F.log10(seen_before + F.pow(F.lit(10.0), spelled))).otherwise(spelled)), "words")
-
-    whole = tokens + 0.1 * (kinds + 1)
-    term = lambda c: np.log10((c + 0.1) / whole)
-    end_row = words.where(F.col("word") == _END).first()
-    end_count = end_row["n"] if end_row else 0
-    end = (int(end_count > 0), float(term(end_count)), end_row["logp"] if end_row else float(np.log10(new)) + ByteModel(np.empty(0, np.uint64), np.empty(0)).escaped(int(spell([_END])[0][0])))
-    plain = words.where(F.col("word") != _END)
-    top = plain.orderBy(F.desc("n"), "hash").limit(HOT).select("hash", "n", "logp").toArrow()
-    counts = top["n"].to_numpy()
-    hashes = top["hash"].to_numpy().view(np.uint64)
-    pieces = texts.select("row", "doc", "text").mapInArrow(
-        _documents(Table(hashes), (counts > 0).astype(np.int64), term(counts), top["logp"].to_numpy(), end),
-        "row long, doc long, hash long, n long, n_tokens long, n_known long, base double, score double, heads long",
-    )
-    pieces = shared.cut(pieces, "pieces")
-    rare = pieces.where("hash is not null").select("row", "hash", F.col("n").alias("times")).join(plain.select("hash", "n", "logp"), "hash")
-    rare = rare.select(
-        "row",
-        F.lit(None).cast("long").alias("doc"),
-        F.lit(0).cast("long").alias("n_tokens"),
-        F.when(F.col("n") > 0, F.col("times")).otherwise(0).alias("n_known"),
-        (F.col("times") * F.log10((F.col("n") + 0.1) / F.lit(whole))).alias("base"),
-        (F.col("times") * F.col("logp")).alias("score"),
-        F.lit(0).cast("long").alias("heads"),
-    )
-    names = ["row", "doc", "n_tokens", "n_known", "base", "score", "heads"]
-    sums = pieces.where("hash is null").select(*names).unionByName(rare.select(*names)).groupBy("row")
-    sums = sums.agg(F.max("doc").alias("doc"), *[F.sum(c).alias(c) for c in names[2:]])
-    # equal rows have added up to so many times the same
-    each = sums.withColumn("_", F.explode(F.sequence(F.lit(1).cast("long"), F.col("heads"))))
-    own = crc_mod("doc", folds[0])
-    return each.select(
-        F.col("doc").alias("doc_id"),
-        F.coalesce(own == folds[1], F.lit(False)).alias("held_out"),
-        F.expr("n_tokens div heads").alias("n_tokens"),
-        F.expr("n_known div heads").alias("n_known"),
-        F.lit(tokens).cast("long").alias("train_tokens"),
-        (F.col("base") / F.col("heads")).alias("base_score"),
-        (F.col("score") / F.col("heads")).alias("score"),
-    )
+    texts = docs.select(F.col(id_column).cast("long").alias("doc"), F.col(text_column).alias("text"), F.coalesce(fold != folds[1], F.lit(False)).alias("learn"))
+    chunks = shared.cut(texts.mapInArrow(_chunks, f"{_BLOCK}, {_KEY}"), "chunks")
+    held = chunks.where("key is not null").select("chunk", "key", "n")
+    counted = shared.cut(held.groupBy("key").agg(F.sum("n").alias("n")), "counted")
+    tokens, kinds = counted.where("key < 0 and n > 0").agg(F.coalesce(F.sum("n"), F.lit(0)), F.count(F.lit(1))).first()
+    words = counted.where("key < 0").select("key", F.col("n").cast("double").alias("value"))
+    values = shared.cut(run_probabilities(counted.where("key >= 0"), shared).unionByName(words), "values")
+    # each chunk's keys with their values: what a task needs of the model
+    own = held.select(F.col("chunk").alias("of_chunk"), "key").join(values, "key")
+    blocks = chunks.where("key is null").select("chunk", "doc", "learn", "sizes", "words", "data")
+    run, schema = _score(tokens, kinds)
+    scored = blocks.groupBy("chunk").cogroup(own.groupBy("of_chunk")).applyInArrow(run, schema)
+    held_out = F.coalesce(crc_mod("doc_id", folds[0]) == folds[1], F.lit(False))
+    return scored.select("doc_id", held_out.alias("held_out"), "n_tokens", "n_known", F.lit(tokens).cast("long").alias("train_tokens"), "base_score", "score")
