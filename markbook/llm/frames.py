@@ -41,13 +41,13 @@ class Shared:
         self.spark, self.base, self._paths = spark, shared_dir(spark), {}
         spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
 
-    def cut(self, df: DataFrame, name: str) -> DataFrame:
+    def cut(self, df: DataFrame, name: str, compression: str = "snappy") -> DataFrame:
         path = f"{self.base}/{name}-{uuid.uuid4().hex[:8]}"
         # the written table stands in for the shuffles that made it, so their files can go
         before = self.spark.conf.get(_CLEANUP, "false")
         self.spark.conf.set(_CLEANUP, "true")
         try:
-            df.write.parquet(path)
+            df.write.parquet(path, compression=compression)
         finally:
             self.spark.conf.set(_CLEANUP, before)
         out = self.spark.read.schema(df.schema).parquet(path)

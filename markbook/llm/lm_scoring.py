@@ -26,7 +26,9 @@ from .ppm_language import Table
 
 ORDER = 5
 # Bytes of text in a chunk, and texts scored together; one longer text is a chunk by itself.
-CHUNK_BYTES, BLOCK_BYTES = 32 << 20, 2 << 20
+CHUNK_BYTES, BLOCK_BYTES = 32 << 20, 512 << 10
+# Keys of blocks that a task holds before it adds them up.
+HELD_KEYS = 2_000_000
 _END = b"\n"  # stands for the end of a text, which no word holds
 _END_WORD = -1
 _BLOCK = "chunk long, doc array<long>, learn array<boolean>, sizes array<int>, words array<int>, data binary"
@@ -86,6 +88,8 @@ def _chunks(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                     keys.append(each)
                     counts.append(n if learn else np.zeros(len(each), np.int64))
                 ends += len(own) * learn
+        if sum(map(len, keys)) > HELD_KEYS + len(keys[0]):
+            keys[:], counts[:] = ([x] for x in _summed(keys, counts))
         texts = [t for _, _, t in docs]
         data = pa.compress(b"".join(texts), codec="zstd", asbytes=True)
         given = {"chunk": [chunk], "doc": [[d for d, _, _ in docs]], "learn": [[f for _, f, _ in docs]], "sizes": [[len(t) for t in texts]], "words": [[t.count(b" ") + bool(t) for t in texts]], "data": [data]}
@@ -206,12 +210,13 @@ def score_documents(spark: SparkSession, docs: DataFrame, id_column: str = "doc_
     shared = Shared(spark)
     fold = crc_mod(id_column, folds[0])
     texts = docs.select(F.col(id_column).cast("long").alias("doc"), F.col(text_column).alias("text"), F.coalesce(fold != folds[1], F.lit(False)).alias("learn"))
-    chunks = shared.cut(texts.mapInArrow(_chunks, f"{_BLOCK}, {_KEY}"), "chunks")
+    chunks = shared.cut(texts.mapInArrow(_chunks, f"{_BLOCK}, {_KEY}"), "chunks", "zstd")
     held = chunks.where("key is not null").select("chunk", "key", "n")
-    counted = shared.cut(held.groupBy("key").agg(F.sum("n").alias("n")), "counted")
+    counted = shared.cut(held.groupBy("key").agg(F.sum("n").alias("n")), "counted", "zstd")
     tokens, kinds = counted.where("key < 0 and n > 0").agg(F.coalesce(F.sum("n"), F.lit(0)), F.count(F.lit(1))).first()
     words = counted.where("key < 0").select("key", F.col("n").cast("double").alias("value"))
-    values = shared.cut(run_probabilities(counted.where("key >= 0"), shared).unionByName(words), "values")
+    values = shared.cut(run_probabilities(counted.where("key >= 0"), shared).unionByName(words), "values", "zstd")
+    shared.drop(counted)
     # each chunk's keys with their values: what a task needs of the model
     own = held.select(F.col("chunk").alias("of_chunk"), "key").join(values, "key")
     blocks = chunks.where("key is null").select("chunk", "doc", "learn", "sizes", "words", "data")
