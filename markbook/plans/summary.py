@@ -45,12 +45,14 @@ def _stored(totals: DataFrame) -> DataFrame:
 
 def _counted(rows: DataFrame) -> DataFrame:
     """Totals and counts per group; a row whose ``_change`` is -1 counts against its group."""
-    out = F.col("_change") < 0 if "_change" in rows.columns else F.lit(False)
-    sign = F.when(out, F.lit(-1)).otherwise(F.lit(1)).cast("long")
-    figures = [F.sum(sign).alias("_rows")]
-    for count, (points, total) in _TOTALS.items():
-        figures.append(F.sum(F.when(out, -F.col(points)).otherwise(F.col(points))).cast(TOTAL).alias(total))
-        figures.append(F.sum(F.when(F.col(points).isNotNull(), sign).otherwise(F.lit(0).cast("long"))).alias(count))
+    signed = "_change" in rows.columns
+    out, sign = F.col("_change") < 0, F.col("_change").cast("long")
+    figures = [(F.sum(sign) if signed else F.count(F.lit(1))).alias("_rows")]
+    for count, (name, total) in _TOTALS.items():
+        points = F.col(name)
+        figures.append(F.sum(F.when(out, -points).otherwise(points) if signed else points).cast(TOTAL).alias(total))
+        have = F.sum(F.when(points.isNotNull(), sign).otherwise(F.lit(0).cast("long"))) if signed else F.count(points)
+        figures.append(have.alias(count))
     return _summed_rows(rows).groupBy(*SUMMARY_KEYS).agg(*figures)
 
 
