@@ -23,6 +23,8 @@ from .frames import Shared
 
 ERROR_SHARE = 0.15
 MIN_WORDS = 5
+# Contaminated rows that go to every task, at 8 bytes each; more of them meet the documents by a shuffle.
+BROADCAST_HITS = 1 << 20
 # Words of benchmark items sent to the tasks at once: 8 bytes each, and about as much again for the pieces.
 BLOCK_WORDS = 1 << 20
 _B = np.uint64(0xD6E8FEB86659FD93)
@@ -128,7 +130,8 @@ def _scan(pieces: Pieces) -> Callable:
 def find_benchmark(spark: SparkSession, docs: DataFrame, benchmark: DataFrame, id_column: str = "doc_id", text_column: str = "text", error_share: float = ERROR_SHARE, min_words: int = MIN_WORDS) -> DataFrame:
     """``doc_id, item_id, edits, start_word, end_word``: the best run for each document and item within the item's bound.
 
-    Best is fewest edits, then the earliest. Items of fewer than ``min_words`` words, without text or without id take no part. A
+    Best is fewest edits, then the earliest. Items of fewer than ``min_words`` words, without text or without id take no part: such an item is
+    found nearly everywhere, so by default it condemns no document; with ``min_words=1`` it is reported wherever it stands. A
     missing or empty document has no match. Rows that repeat an id give one row for an item, the best. A document
     without id is reported with a missing id. Other columns are ignored, whatever their names.
     """
@@ -155,4 +158,7 @@ def decontaminate(spark: SparkSession, docs: DataFrame, benchmark: DataFrame, id
     """
     row = F.xxhash64(docs[id_column], docs[text_column])
     hit = find_benchmark(spark, docs.select(row.alias("row"), docs[text_column].alias("text")), benchmark, "row", **options).select(F.col("doc_id").alias("__hit")).distinct()
-    return docs.join(hit, row == F.col("__hit"), "left_anti")
+    hit = Shared(spark).cut(hit, "hits")
+    # few hits go to all tasks, so that the documents are not shuffled
+    few = hit.count() <= BROADCAST_HITS
+    return docs.join(F.broadcast(hit) if few else hit, row == F.col("__hit"), "left_anti")

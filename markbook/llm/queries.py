@@ -39,7 +39,7 @@ def op1_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query
 def op2_benchmark_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return find_benchmark(spark, read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"))
+    return find_benchmark(spark, read(spark, sf_dir, "documents"), read(spark, sf_dir, "benchmark"), min_words=1)
 
 
 @query

@@ -75,3 +75,21 @@ def test_bit_parallel_distance():
     for _ in range(300):
         a, b = (rng.integers(0, 4, rng.integers(1, n)).astype(np.uint64) for n in (90, 30))
         assert dc.best_match(a, b)[0] == edit_distance(a.tolist(), b.tolist(), free_ends=True)
+
+
+def test_short_items_are_reported_where_asked(spark):
+    docs = spark.createDataFrame([(1, "one two three four five"), (2, "two  THREE"), (3, "other")], "doc_id long, text string")
+    bench = spark.createDataFrame([(1, "two three"), (2, "three four five six"), (3, "one two three four"), (4, "five")], "item_id long, text string")
+    found = {(r.doc_id, r.item_id, r.start_word) for r in dc.find_benchmark(spark, docs, bench, min_words=1).collect()}
+    assert found == {(1, 1, 1), (2, 1, 0), (1, 3, 0), (1, 4, 4)}
+    assert dc.find_benchmark(spark, docs, bench).collect() == []
+    assert dc.decontaminate(spark, docs, bench).count() == 3
+
+
+def test_many_hits_give_the_same(spark, monkeypatch):
+    item = "alpha beta gamma delta epsilon zeta"
+    docs = spark.createDataFrame([(i, f"{item} {i}" if i % 2 else f"clean {i}") for i in range(20)], "doc_id long, text string")
+    bench = spark.createDataFrame([(7, item)], "item_id long, text string")
+    for most in (1 << 20, 0):
+        monkeypatch.setattr(dc, "BROADCAST_HITS", most)
+        assert sorted(r.doc_id for r in dc.decontaminate(spark, docs, bench).collect()) == list(range(0, 20, 2))
