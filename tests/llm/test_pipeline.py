@@ -75,5 +75,5 @@ def test_short_lines_stand_once(spark):
 
 
 def test_all_operators_are_registered():
-    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 11))
-    assert set(ORACLES) == {"op4_source_mixing", "op9_line_dedup"}
+    assert sorted(int(n[2:].split("_")[0]) for n in QUERIES) == list(range(1, 14))
+    assert set(ORACLES) == {"op4_source_mixing", "op9_line_dedup", "op12_vector_codes", "op13_host_quality_rules"}
