@@ -26,7 +26,7 @@ from .frames import Shared, crc_mod
 ORDER = 4
 MAX_BYTES = 2_000_000
 # Parts of the hash range whose texts are added up before any text is picked.
-RANGES = 1 << 16
+RANGES = 1 << 12
 _CHUNK = 400_000
 _OTHER = re.compile(r"[\W\d_]+")
 _PAD = b" " * ORDER
