@@ -84,12 +84,3 @@ def test_short_items_are_reported_where_asked(spark):
     assert found == {(1, 1, 1), (2, 1, 0), (1, 3, 0), (1, 4, 4)}
     assert dc.find_benchmark(spark, docs, bench).collect() == []
     assert dc.decontaminate(spark, docs, bench).count() == 3
-
-
-def test_many_hits_give_the_same(spark, monkeypatch):
-    item = "alpha beta gamma delta epsilon zeta"
-    docs = spark.createDataFrame([(i, f"{item} {i}" if i % 2 else f"clean {i}") for i in range(20)], "doc_id long, text string")
-    bench = spark.createDataFrame([(7, item)], "item_id long, text string")
-    for most in (1 << 20, 0):
-        monkeypatch.setattr(dc, "BROADCAST_HITS", most)
-        assert sorted(r.doc_id for r in dc.decontaminate(spark, docs, bench).collect()) == list(range(0, 20, 2))
