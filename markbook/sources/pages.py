@@ -90,7 +90,7 @@ def landed_pages(spark: SparkSession, path: str, multi_line: bool = False) -> Da
     folder = F.regexp_extract("file", "^(.*)/", 1)
     request = F.when(F.col("page").isNotNull(), folder).when(named.isNotNull(), F.regexp_extract("file", PAGE_IN_NAME, 1)).otherwise(F.col("file"))
     good = pages.where(F.col(_UNREADABLE).isNull())
-    return good.select(request.alias("request"), F.coalesce("page", named).alias("page"), F.coalesce(F.size("results"), F.lit(0)).alias("n_records"), "num_pages", "num_results")
+    return good.select(request.alias("request"), F.coalesce("page", named).alias("page"), F.greatest(F.coalesce(F.size("results"), F.lit(0)), F.lit(0)).alias("n_records"), "num_pages", "num_results")
 
 
 def page_gaps(landed: DataFrame) -> DataFrame:

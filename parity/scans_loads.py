@@ -201,10 +201,11 @@ CUT_RECORD = "page = 2 AND result_seq % 101 = 0"
 @query(
     "page_gaps",
     f"""WITH sent AS (SELECT result_seq, CAST(result_seq % 64 AS INT) + 1 AS page FROM raw_results),
-         lost AS (SELECT page, row_number() OVER (ORDER BY page) AS i FROM (SELECT DISTINCT page FROM sent WHERE {LOST_PAGE})),
+         lost AS (SELECT page, row_number() OVER (ORDER BY page) AS i
+                  FROM (SELECT unnest(range(1, 65)) AS page) WHERE {LOST_PAGE}),
          runs AS (SELECT MIN(page) AS a, MAX(page) AS b, COUNT(*) AS n FROM lost GROUP BY page - i)
        SELECT 'first' AS request, 'pages' AS kind, CAST(a AS INT) AS first, CAST(b AS INT) AS last, n AS missing,
-              CASE WHEN a = b THEN 'page ' || a ELSE 'pages ' || a || '-' || b END || ' of ' || (SELECT MAX(page) FROM sent) AS detail
+              CASE WHEN a = b THEN 'page ' || a ELSE 'pages ' || a || '-' || b END || ' of 64' AS detail
        FROM runs
        UNION ALL
        SELECT 'second', 'records', NULL, NULL, COUNT(*) FILTER ({CUT_RECORD}),
@@ -215,10 +216,14 @@ def page_gaps(v):
     """One request lacks pages, another one records of a page."""
     base = scratch_dir(v.spark)
     sent = v.raw_results.withColumn("page", F.expr("cast(result_seq % 64 as int) + 1"))
-    total = sent.agg(F.max("page"), F.count(F.lit(1))).first()
-    for request, rows in (("first", sent.where(f"not ({LOST_PAGE})")), ("second", sent.where(f"not ({CUT_RECORD})"))):
-        listed = rows.groupBy("page").agg(F.collect_list(F.struct(*v.raw_results.columns)).alias("results"))
-        listed.select("results", "page", F.lit(total[0]).alias("num_pages"), F.lit(total[1]).alias("num_results")).write.json(f"{base}/{request}")
+    total = sent.count()
+    every = v.spark.range(1, 65).select(F.col("id").cast("int").alias("page"))
+    for request, kept in (("first", f"not ({LOST_PAGE})"), ("second", f"not ({CUT_RECORD})")):
+        listed = sent.where(kept).groupBy("page").agg(F.collect_list(F.struct(*v.raw_results.columns)).alias("results"))
+        # a page without records lands too
+        landed = every.where(f"not ({LOST_PAGE})") if request == "first" else every
+        named = landed.join(listed, "page", "left").select("results", "page", F.lit(64).alias("num_pages"), F.lit(total).alias("num_results"))
+        named.write.json(f"{base}/{request}")
     gaps = pages.page_gaps(pages.landed_pages(v.spark, f"{base}/*"))
     return gaps.withColumn("request", F.regexp_extract("request", "([^/]+)$", 1))
 
