@@ -5,10 +5,12 @@ windows ``(l, c, r)``: every run that starts in ``l..c`` and ends in ``c..r`` ha
 of the wanted length are kept, about ``2 n / length`` for each function; together they stand for all runs of a text. Runs
 with a common minimum meet by an equality join on it.
 
-Members of a group are compared with the group's first text and with the one before them, never all with all. Candidates need
-windows of two functions; the passage is then verified on the shingles themselves. Windows that met the wrong partners
-meet again under the minima of two functions, then three, then all, which partners by chance do not share; in the last round
-the groups of two minima shrink until every member has been compared.
+Members of a group are compared with the group's first text alone; candidates need windows of two functions, and the passage is
+then verified on the shingles themselves. What is in no passage after that met the wrong partner, mostly as a common line gives unlike texts
+the same minima. In these texts the shingles that stand in no other of them cannot match, and a place counts only where a run of the wanted
+length is mostly made of the others. Runs there meet again by the minima of four functions at once, over the shingles that are left, for
+``TUPLES`` such fours: unlike texts do not share all four, so each member is compared with the first of its group and the one before.
+Nothing is compared all with all, and the work grows with the windows.
 """
 
 from __future__ import annotations
@@ -27,7 +29,9 @@ SHINGLE = 5
 MIN_WORDS = 50
 HASHES = 4
 SIMILARITY = 0.75
+TUPLES, WIDTH = 8, 3
 _SEEDS = np.array([0x9FB21C651E98DF25, 0xD6D018F5C2D0A5B1, 0xA24BAED4963EE407, 0xC3A5C85C97CB3127], np.uint64)
+_TUPLE_SEEDS = hashing.mix(np.arange(1, TUPLES * (WIDTH + 1) + 1, dtype=np.uint64) * _SEEDS[0]).reshape(TUPLES, -1)
 _NO_ID = (1 << 63) - 1
 _PASSAGE = "row long, doc long, hub_row long, hub_doc long, start int, end int, hub_start int, hub_end int, similarity double"
 
@@ -119,21 +123,107 @@ def shared_run(marks: np.ndarray, at: int, share: float) -> tuple[int, int]:
     return int(starts[good][best]), int(ends[last[good]][best])
 
 
-def match_passage(x: np.ndarray, y: np.ndarray, common: np.ndarray, at_x: int, at_y: int, length: int) -> tuple[int, int, int, int, float] | None:
+def run_cover(marks: np.ndarray, share: float, length: int) -> np.ndarray:
+    """Places in some run of at least ``length`` that ends on marks and of which at least ``share`` are marked."""
+    cover = np.zeros(len(marks) + 1, np.int64)
+    starts = np.flatnonzero(marks)
+    if len(starts):
+        up = np.concatenate([[0.0], np.cumsum(marks - share)])
+        ahead = np.maximum.accumulate(up[starts + 1][::-1])[::-1]  # best sum at or behind each end
+        last = np.searchsorted(-ahead, -up[starts] + 1e-9, side="right") - 1
+        far = starts[np.maximum(last, 0)] + 1
+        good = far - starts >= length
+        np.add.at(cover, starts[good], 1)
+        np.add.at(cover, far[good], -1)
+    return np.cumsum(cover[:-1]) > 0
+
+
+def stretches(marks: np.ndarray) -> np.ndarray:
+    """Start and end of each stretch of marked places."""
+    return np.flatnonzero(np.diff(np.concatenate([[False], marks, [False]]).astype(np.int8))).reshape(-1, 2)
+
+
+def least_of_runs(values: np.ndarray, length: int) -> np.ndarray:
+    """The least value of each run of ``length``."""
+    n = len(values)
+    padded = np.full(-(-n // length) * length, ~np.uint64(0))
+    padded[:n] = values
+    blocks = padded.reshape(-1, length)
+    ahead = np.minimum.accumulate(blocks[:, ::-1], axis=1)[:, ::-1].ravel()
+    behind = np.minimum.accumulate(blocks, axis=1).ravel()
+    return np.minimum(ahead[: n - length + 1], behind[length - 1 : n])
+
+
+def _joint(length: int) -> Callable:
+    """Keys of the runs of texts given by their shared shingles: the minima of a tuple of functions, the place of the first, and one more minimum."""
+    names, types = ["row", "doc", "key", "more", "c"], [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int32()]
+
+    def keys(at: np.ndarray, shingles: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        first = int(at.min())
+        marks = np.zeros(int(at.max()) - first + 1)
+        marks[at - first] = 1.0
+        cover = run_cover(marks, SIMILARITY, length)
+        values = np.zeros(len(marks), np.uint64)
+        values[at - first] = shingles
+        for lo, hi in stretches(cover).tolist():
+            bits = np.uint64((hi - lo).bit_length())
+            low = (np.uint64(1) << bits) - np.uint64(1)
+            place, known, own = np.arange(hi - lo, dtype=np.uint64), marks[lo:hi] > 0, values[lo:hi]
+            for t, seeds in enumerate(_TUPLE_SEEDS):
+                found = [least_of_runs(np.where(known, (hashing.mix(own ^ seed) & ~low) | place, ~np.uint64(0)), length) for seed in seeds]
+                found = np.array(found)[:, found[0] != ~np.uint64(0)]  # runs with a shared shingle, the same for every function
+                found = found[:, np.concatenate([np.ones(min(1, found.shape[1]), bool), (found[:-1, 1:] != found[:-1, :-1]).any(axis=0)])]
+                at_least = (found & low).astype(np.int64)
+                key = np.full(found.shape[1], seeds[0])
+                for w in range(WIDTH):
+                    key = hashing.mix(key ^ hashing.mix(own[at_least[w]] + seeds[w]))
+                yield key, hashing.mix(own[at_least[WIDTH]] ^ seeds[WIDTH]), at_least[0] + lo + first
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row, doc, marked in zip(batch.column("row").to_pylist(), batch.column("doc").to_pylist(), batch.column("marked"), strict=True):
+                at, shingles = (marked.values.field(f).to_numpy(zero_copy_only=False) for f in ("at", "sh"))
+                parts = [[np.full(len(c), row), np.full(len(c), doc), key.view(np.int64), more.view(np.int64), c] for key, more, c in keys(at, shingles.view(np.uint64))]
+                if parts:
+                    yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x), t) for x, t in zip(zip(*parts, strict=True), types, strict=True)], names)
+
+    return run
+
+
+def _spread(length: int) -> Callable:
+    """``row, doc, at, sh``: the shingles of each text that a run of ``length`` around one of its ``places`` can hold."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row, doc, text, places in zip(batch.column("row").to_pylist(), batch.column("doc").to_pylist(), batch.column("text"), batch.column("places"), strict=True):
+                s = hashing.shingle_hashes(hashing.word_hashes(text.as_py()), SHINGLE)
+                c = places.values.to_numpy()
+                near = np.zeros(len(s) + 1, np.int64)
+                np.add.at(near, np.maximum(c - length + 1, 0), 1)
+                np.add.at(near, np.minimum(c + length, len(s)), -1)
+                at = np.flatnonzero(np.cumsum(near[:-1]))
+                yield pa.RecordBatch.from_arrays([np.full(len(at), row), np.full(len(at), doc), pa.array(at, pa.int32()), s[at].view(np.int64)], ["row", "doc", "at", "sh"])
+
+    return run
+
+
+def match_passage(x: np.ndarray, y: np.ndarray, common: np.ndarray, at_x: int, at_y: int, length: int, kinds: int) -> tuple[int, int, int, int, float] | None:
     """``start, end`` in x, ``start, end`` in y and the similarity of the passage around a common shingle.
 
-    ``common`` marks the shingles of x that y has. Ends are behind the last shingle. None if there is no run of ``length`` shingles with similarity of at least 3/4. The longest
+    Shingles are numbers below ``kinds``; ``common`` marks those of x that y has. Ends are behind the last shingle. None if there is no run of ``length`` shingles with similarity of at least 3/4. The longest
     run is tried first; where its two sides are less alike, runs with fewer strange shingles, and then with none.
     """
-    widest = 2 * SIMILARITY / (1 + SIMILARITY)  # of either side, when both have the same length
-    for share in (widest, (1 + widest) / 2, 1.0):
+    widest = 2 * SIMILARITY / (1 + SIMILARITY)  # of either side, when both have the same length; of the longer one SIMILARITY may do
+    for share in (SIMILARITY, widest, (1 + widest) / 2, 1.0):
         lo, hi = shared_run(common, at_x, share)
         if hi - lo < length:
             return None
-        low, high = shared_run(np.isin(y, x[lo:hi]).astype(float), at_y, share)
-        a, b = np.unique(x[lo:hi]), np.unique(y[low:high])
-        both = len(np.intersect1d(a, b, assume_unique=True))
-        similarity = both / max(1, len(a) + len(b) - both)
+        of_x, of_y = np.zeros(kinds, bool), np.zeros(kinds, bool)
+        of_x[x[lo:hi]] = True
+        low, high = shared_run(of_x[y].astype(float), at_y, share)
+        of_y[y[low:high]] = True
+        both = int(np.count_nonzero(of_x & of_y))
+        similarity = both / max(1, int(np.count_nonzero(of_x)) + int(np.count_nonzero(of_y)) - both)
         if high - low >= length and similarity >= SIMILARITY:
             return lo, hi, low, high, similarity
     return None
@@ -147,16 +237,32 @@ def _verify(length: int) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             out = []
-            columns = [batch.column(c).to_pylist() for c in ("row", "doc", "hub_row", "hub_doc", "anchors")]
-            for row, doc, hub_row, hub_doc, anchors, x, y in zip(*columns, batch.column("x"), batch.column("y"), strict=True):
+            columns = [batch.column(c).to_pylist() for c in ("row", "doc", "hub_row", "hub_doc")]
+            for row, doc, hub_row, hub_doc, x, y, anchors in zip(*columns, *(batch.column(c) for c in ("x", "y", "anchors")), strict=True):
                 x, y = (np.frombuffer(v.as_buffer(), np.uint32) for v in (x, y))
-                common, found = np.isin(x, y).astype(float), []
-                for a in sorted(anchors, key=lambda a: (a["c"], a["hc"])):
-                    if any(p[0] <= a["c"] < p[1] and p[2] <= a["hc"] < p[3] for p in found):
+                found, both = [], np.concatenate([x, y])
+                order = np.argsort(both)
+                number = np.empty(len(both), np.int64)
+                number[order] = np.cumsum(np.concatenate([[False], both[order][1:] != both[order][:-1]]))
+                x, y, kinds = number[: len(x)], number[len(x) :], int(number.max()) + 1
+                of_x, of_y = np.zeros(kinds), np.zeros(kinds)
+                of_x[x] = of_y[y] = 1.0
+                common = of_y[x]
+                able_x, able_y = run_cover(common, SIMILARITY, length), run_cover(of_x[y], SIMILARITY, length)
+                at, hub_at = (anchors.values.field(f).to_numpy() for f in ("c", "hc"))
+                able = able_x[at] & able_y[hub_at]
+                at, hub_at = at[able], hub_at[able]
+                # a passage lies within the stretches that runs cover
+                edges_x, edges_y = stretches(able_x), stretches(able_y)
+                order = np.lexsort((hub_at, at))
+                for c, hc in zip(at[order].tolist(), hub_at[order].tolist(), strict=True):
+                    if any(p[0] <= c < p[1] and p[2] <= hc < p[3] for p in found):
                         continue
-                    p = match_passage(x, y, common, a["c"], a["hc"], length)
+                    lo, hi = edges_x[np.searchsorted(edges_x[:, 0], c, side="right") - 1].tolist()
+                    low, high = edges_y[np.searchsorted(edges_y[:, 0], hc, side="right") - 1].tolist()
+                    p = match_passage(x[lo:hi], y[low:high], common[lo:hi], c - lo, hc - low, length, kinds)
                     if p:
-                        found.append(p)
+                        found.append((p[0] + lo, p[1] + lo, p[2] + low, p[3] + low, p[4]))
                 out += [(row, doc, hub_row, hub_doc, *p) for p in _outermost(found)]
             if out:
                 yield pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(zip(*out, strict=True), types, strict=True)], names)
@@ -170,13 +276,23 @@ def _outermost(found: list[tuple]) -> list[tuple]:
 
 
 def _meet(rows: DataFrame) -> DataFrame:
-    """Rows of groups (by ``key``) with the group's first row and the row before, where the group has several texts."""
+    """Rows of groups (by ``key``) with the group's first row, where the group has several texts."""
     order = Window.partitionBy("key").orderBy("doc", "row", "c")
-    own = F.struct("row", "doc", "c")
-    met = rows.withColumns({"hub": F.first(own).over(order.rowsBetween(Window.unboundedPreceding, 0)), "before": F.lag(own).over(order), "last": F.last("row").over(order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))})
+    whole = order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    met = rows.withColumns({"hub": F.first(F.struct("row", "doc", "c")).over(order.rowsBetween(Window.unboundedPreceding, 0)), "last": F.last("row").over(whole)})
     return met.where("hub.row <> last").drop("last")
 
 
+def _meet_near(rows: DataFrame) -> DataFrame:
+    """Pairs of rows of a group: each row with the group's first and with the one before it by ``more``. The later text is ``row``, the other one in ``o``."""
+    order = Window.partitionBy("key").orderBy("more", "doc", "row", "c")
+    own = F.struct("doc", "row", "c")
+    # the first by text, and not by ``more``: the same for all tuples in which a group meets
+    met = rows.withColumns({"hub": F.min(own).over(Window.partitionBy("key")), "before": F.lag(own).over(order)})
+    met = met.select(own.alias("x"), F.explode(F.array("hub", "before")).alias("y")).where("x.row <> y.row")
+    return met.select(F.greatest("x", "y").alias("x"), F.least("x", "y").alias("o")).select("x.*", "o").distinct()
+
+
 class _Search:
     def __init__(self, texts: DataFrame, length: int, shared: Shared):
         self.texts, self.length, self.shared, self.passages = texts, length, shared, None
@@ -187,29 +303,32 @@ class _Search:
         found = self.texts.mapInArrow(_shingles(key_bits(wanted, "row")), "row long, shingles binary")
         return self.shared.cut(found.join(wanted, "row", "left_semi"), "shingles")
 
-    def verify(self, sides: DataFrame, shingles: DataFrame | None = None) -> None:
-        """``sides``: rows with the other text's window in ``o``. Only pairs of texts that met by two functions are verified."""
+    def verify(self, sides: DataFrame, functions: int) -> None:
+        """``sides``: rows with the other text's window in ``o``. Only pairs of texts that met by so many ``functions`` are verified."""
         anchor = F.struct("c", F.col("o.c").alias("hc"))
         pairs = sides.where("o.row <> row").groupBy("row", "doc", F.col("o.row").alias("hub_row"), F.col("o.doc").alias("hub_doc"))
         # the windows that one text shares with another, bounded by its length
-        pairs = pairs.agg(F.collect_set(anchor).alias("anchors"), F.bit_or("fs").alias("fs")).where("bit_count(fs) >= 2").drop("fs")
+        pairs = pairs.agg(F.collect_set(anchor).alias("anchors"), F.bit_or("fs").alias("fs")).where(F.bit_count("fs") >= functions).drop("fs")
         pairs = self.shared.cut(pairs, "pairs")
-        if shingles is None:
-            shingles = self.shingles(pairs.select(F.explode(F.array("row", "hub_row")).alias("row")))
+        shingles = self.shingles(pairs.select(F.explode(F.array("row", "hub_row")).alias("row")))
         both = pairs.join(shingles.withColumnRenamed("shingles", "x"), "row").join(shingles.select(F.col("row").alias("hub_row"), F.col("shingles").alias("y")), "hub_row")
         found = both.mapInArrow(_verify(self.length), _PASSAGE).distinct()  # repeated rows of a text give the same passages
         found = self.shared.cut(found, "passages")
         self.passages = found if self.passages is None else self.passages.unionByName(found)
 
-    def still_open(self, met: DataFrame) -> DataFrame:
-        """``met`` with ``open``: whether the place of the window is in no passage yet. Only groups that have such rows."""
+    def open_rows(self, met: DataFrame) -> DataFrame:
+        """Rows of ``met`` whose place is in no passage yet and that are not the first of their group."""
         spans = self.passages.groupBy("row").agg(F.collect_set(F.struct("start", "end")).alias("spans"))  # of one text
-        later = F.col("hub.row") != F.col("row") if "hub" in met.columns else F.lit(True)  # the first text of a group has none before it
-        state = met.select("row", "doc", "fs", "key", "l", "c", "r", later.alias("later")).join(spans, "row", "left")
         inside = F.exists("spans", lambda s: (F.col("c") >= s["start"]) & (F.col("c") < s["end"]))
-        state = state.withColumn("open", ~F.coalesce(inside, F.lit(False))).drop("spans")
-        keys = state.where("open and later").select("key").distinct()
-        return self.shared.cut(state.drop("later").join(keys, "key", "left_semi"), "open")
+        return met.where("o.row <> row").join(spans, "row", "left").where(~F.coalesce(inside, F.lit(False))).drop("spans")
+
+    def shared_shingles(self, rows: DataFrame) -> DataFrame:
+        """``row, doc, marked`` of texts around the places ``c`` of ``rows``: place and hash of the shingles that another of the texts has there."""
+        places = rows.groupBy("row").agg(F.collect_set("c").alias("places"))  # of one text
+        spread = self.texts.join(places, "row").mapInArrow(_spread(self.length), "row long, doc long, at int, sh long")
+        spread = self.shared.cut(spread, "spread", "zstd")
+        twice = spread.groupBy("sh").agg(F.min("row").alias("a"), F.max("row").alias("b")).where("a <> b").select("sh")
+        return spread.join(twice, "sh", "left_semi").groupBy("row", "doc").agg(F.collect_set(F.struct("at", "sh")).alias("marked"))  # of one text
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", min_words: int = MIN_WORDS) -> DataFrame:
@@ -228,38 +347,15 @@ def repeated_passages(spark: SparkSession, docs: DataFrame, id_column: str = "do
     )
     windows = texts.mapInArrow(_windows(length), "row long, doc long, fs int, key long, l int, c int, r int")
     search = _Search(texts, length, shared)
-    met = shared.cut(_meet(windows), "met")
-    search.verify(met.withColumn("o", F.col("hub")))
-
-    base = search.still_open(met)
-    rows = base
-    shingles = two = None
-    for _ in range(1, HASHES):
-        if rows.isEmpty():
-            break
-        # windows of one more function that stand for common runs of the same text
-        more = base.select("row", F.col("fs").alias("g"), F.col("key").alias("g_key"), F.col("l").alias("g_l"), F.col("c").alias("g_c"), F.col("r").alias("g_r"))
-        lo, hi = F.greatest("l", "g_l"), F.least("r", "g_r")
-        rows = rows.join(more, "row").where("g > fs").withColumns({"lo": lo, "hi": hi})
-        rows = rows.where((F.col("hi") - F.col("lo") + 1 >= length) & F.col("c").between(F.col("lo"), F.col("hi")) & F.col("g_c").between(F.col("lo"), F.col("hi")))
-        rows = rows.select("row", "doc", (F.col("fs") + F.col("g")).alias("fs"), F.xxhash64("key", "g_key").alias("key"), F.col("lo").alias("l"), "c", F.col("hi").alias("r"), "open")
-        met = shared.cut(_meet(rows.distinct()), "met")
-        if shingles is None:
-            shingles = search.shingles(met.select(F.explode(F.array("row", "hub.row", "before.row")).alias("row")))
-        search.verify(met.where("open").withColumn("o", F.explode(F.array("hub", "before"))), shingles)
-        if two is None:
-            two = met
-        rows = search.still_open(met)
-    # What is left may match any text that shares two minima: every member of those groups with ever more of the first ones.
-    hubs = 4
-    rows = base.limit(0) if two is None else search.still_open(two)
-    while not rows.isEmpty():
-        place = F.row_number().over(Window.partitionBy("key").orderBy("doc", "row", "c"))
-        placed = shared.cut(rows.withColumn("place", place), "placed")
-        firsts = placed.where(F.col("place") <= hubs).select("key", F.col("place").alias("at"), F.struct("row", "doc", "c").alias("o"))
-        search.verify(placed.where("open").join(firsts, "key").where("at < place").drop("key"), shingles)
-        rows = search.still_open(placed.where(F.col("place") > hubs).drop("place"))
-        hubs *= 4
+    met = shared.cut(_meet(windows.drop("l", "r")).withColumnRenamed("hub", "o"), "met")
+    search.verify(met, 2)
+
+    # groups with open places: those themselves, and all that may be their partners
+    still = search.open_rows(met).select("key").distinct()
+    partners = shared.cut(met.join(still, "key", "left_semi").select("row", "c").distinct(), "open")
+    if not partners.isEmpty():
+        joint = search.shared_shingles(partners).mapInArrow(_joint(length), "row long, doc long, key long, more long, c int")
+        search.verify(search.open_rows(shared.cut(_meet_near(joint), "again")).withColumn("fs", F.lit(1)), 1)
 
     given = lambda c: F.when(F.col(c) != _NO_ID, F.col(c))
     found = search.passages.select(
