@@ -72,8 +72,7 @@ def _texts(batch: pa.RecordBatch) -> Iterator[tuple[int, int, np.ndarray]]:
 
 
 def _windows(length: int) -> Callable:
-    names = ["row", "doc", "fs", "key", "l", "c", "r"]
-    types = [pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int32(), pa.int32(), pa.int32()]
+    names, types = ["row", "doc", "fs", "key", "c"], [pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int32()]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -83,8 +82,8 @@ def _windows(length: int) -> Callable:
                     continue
                 for f, seed in enumerate(_SEEDS[:HASHES]):
                     values = hashing.mix(shingles ^ seed)
-                    l, c, r = compact_windows(values, length)
-                    parts.append([np.full(len(c), row), np.full(len(c), doc), np.full(len(c), 1 << f), values[c].view(np.int64), l, c, r])
+                    _, c, _ = compact_windows(values, length)
+                    parts.append([np.full(len(c), row), np.full(len(c), doc), np.full(len(c), 1 << f), values[c].view(np.int64), c])
                     n += len(c)
                 if n > 100_000:
                     yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x), t) for x, t in zip(zip(*parts, strict=True), types, strict=True)], names)
@@ -191,18 +190,18 @@ def _joint(length: int) -> Callable:
 
 
 def _spread(length: int) -> Callable:
-    """``row, doc, at, sh``: the shingles of each text that a run of ``length`` around one of its ``places`` can hold."""
+    """``row, at, sh``: the shingles of each text that a run of ``length`` around one of its ``places`` can hold."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for row, doc, text, places in zip(batch.column("row").to_pylist(), batch.column("doc").to_pylist(), batch.column("text"), batch.column("places"), strict=True):
+            for row, text, places in zip(batch.column("row").to_pylist(), batch.column("text"), batch.column("places"), strict=True):
                 s = hashing.shingle_hashes(hashing.word_hashes(text.as_py()), SHINGLE)
                 c = places.values.to_numpy()
                 near = np.zeros(len(s) + 1, np.int64)
                 np.add.at(near, np.maximum(c - length + 1, 0), 1)
                 np.add.at(near, np.minimum(c + length, len(s)), -1)
                 at = np.flatnonzero(np.cumsum(near[:-1]))
-                yield pa.RecordBatch.from_arrays([np.full(len(at), row), np.full(len(at), doc), pa.array(at, pa.int32()), s[at].view(np.int64)], ["row", "doc", "at", "sh"])
+                yield pa.RecordBatch.from_arrays([np.full(len(at), row), pa.array(at, pa.int32()), s[at].view(np.int64)], ["row", "at", "sh"])
 
     return run
 
@@ -301,7 +300,9 @@ class _Search:
         """``row, shingles`` of the texts named by ``row``, in 32 bits each; one scan of the texts."""
         wanted = self.shared.cut(rows.where("row is not null").distinct(), "wanted")
         found = self.texts.mapInArrow(_shingles(key_bits(wanted, "row")), "row long, shingles binary")
-        return self.shared.cut(found.join(wanted, "row", "left_semi"), "shingles")
+        found = self.shared.cut(found.join(wanted, "row", "left_semi"), "shingles")
+        self.shared.drop(wanted)
+        return found
 
     def verify(self, sides: DataFrame, functions: int) -> None:
         """``sides``: rows with the other text's window in ``o``. Only pairs of texts that met by so many ``functions`` are verified."""
@@ -314,6 +315,7 @@ class _Search:
         both = pairs.join(shingles.withColumnRenamed("shingles", "x"), "row").join(shingles.select(F.col("row").alias("hub_row"), F.col("shingles").alias("y")), "hub_row")
         found = both.mapInArrow(_verify(self.length), _PASSAGE).distinct()  # repeated rows of a text give the same passages
         found = self.shared.cut(found, "passages")
+        self.shared.drop(pairs, shingles)
         self.passages = found if self.passages is None else self.passages.unionByName(found)
 
     def open_rows(self, met: DataFrame) -> DataFrame:
@@ -325,10 +327,12 @@ class _Search:
     def shared_shingles(self, rows: DataFrame) -> DataFrame:
         """``row, doc, marked`` of texts around the places ``c`` of ``rows``: place and hash of the shingles that another of the texts has there."""
         places = rows.groupBy("row").agg(F.collect_set("c").alias("places"))  # of one text
-        spread = self.texts.join(places, "row").mapInArrow(_spread(self.length), "row long, doc long, at int, sh long")
+        spread = self.texts.drop("doc").join(places, "row").mapInArrow(_spread(self.length), "row long, at int, sh long")
         spread = self.shared.cut(spread, "spread", "zstd")
         twice = spread.groupBy("sh").agg(F.min("row").alias("a"), F.max("row").alias("b")).where("a <> b").select("sh")
-        return spread.join(twice, "sh", "left_semi").groupBy("row", "doc").agg(F.collect_set(F.struct("at", "sh")).alias("marked"))  # of one text
+        marked = spread.join(self.shared.cut(twice, "twice", "zstd"), "sh", "left_semi")
+        marked = marked.groupBy("row").agg(F.collect_set(F.struct("at", "sh")).alias("marked"))  # of one text
+        return marked.join(rows.select("row", "doc").distinct(), "row")
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", min_words: int = MIN_WORDS) -> DataFrame:
@@ -345,17 +349,19 @@ def repeated_passages(spark: SparkSession, docs: DataFrame, id_column: str = "do
     texts = docs.select(
         F.xxhash64(id_column, text_column).alias("row"), F.coalesce(F.col(id_column).cast("long"), F.lit(_NO_ID)).alias("doc"), F.col(text_column).alias("text")
     )
-    windows = texts.mapInArrow(_windows(length), "row long, doc long, fs int, key long, l int, c int, r int")
+    windows = texts.mapInArrow(_windows(length), "row long, doc long, fs int, key long, c int")
     search = _Search(texts, length, shared)
-    met = shared.cut(_meet(windows.drop("l", "r")).withColumnRenamed("hub", "o"), "met")
+    met = shared.cut(_meet(windows).withColumnRenamed("hub", "o"), "met")
     search.verify(met, 2)
 
     # groups with open places: those themselves, and all that may be their partners
     still = search.open_rows(met).select("key").distinct()
-    partners = shared.cut(met.join(still, "key", "left_semi").select("row", "c").distinct(), "open")
+    partners = shared.cut(met.join(still, "key", "left_semi").select("row", "doc", "c").distinct(), "open")
+    shared.drop(met)
     if not partners.isEmpty():
         joint = search.shared_shingles(partners).mapInArrow(_joint(length), "row long, doc long, key long, more long, c int")
-        search.verify(search.open_rows(shared.cut(_meet_near(joint), "again")).withColumn("fs", F.lit(1)), 1)
+        again = shared.cut(_meet_near(joint), "again", "zstd")
+        search.verify(search.open_rows(again).withColumn("fs", F.lit(1)), 1)
 
     given = lambda c: F.when(F.col(c) != _NO_ID, F.col(c))
     found = search.passages.select(
