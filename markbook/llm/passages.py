@@ -8,8 +8,8 @@ with a common minimum meet by an equality join on it.
 Members of a group are compared with the group's first text alone; candidates need windows of two functions, and the passage is
 then verified on the shingles themselves. What is in no passage after that met the wrong partner, mostly as a common line gives unlike texts
 the same minima. In these texts the shingles that stand in no other of them cannot match, and a place counts only where a run of the wanted
-length is mostly made of the others. Runs there meet again by the minima of four functions at once, over the shingles that are left, for
-``TUPLES`` such fours: unlike texts do not share all four, so each member is compared with the first of its group and the one before.
+length is mostly made of the others. Runs there meet again by the minima of ``WIDTH`` functions at once, over the shingles that are left, for
+``TUPLES`` such sets: unlike texts seldom share them all, so each member is compared with the first of its group and the one before by one more minimum.
 Nothing is compared all with all, and the work grows with the windows.
 """
 
