@@ -8,6 +8,9 @@ from pyspark.sql import functions as F
 from markbook.session import scratch_dir
 
 PAGE_SIZE = 1000
+# Landed text is mostly field names, so it lands compressed. A compressed file is read by one task, so a file of bare records is kept short.
+LANDED = {"compression": "gzip"}
+FILE_RECORDS = 50_000
 
 
 def land_pages(rows: DataFrame, key: str, page_size: int = PAGE_SIZE) -> str:
@@ -19,14 +22,15 @@ def land_pages(rows: DataFrame, key: str, page_size: int = PAGE_SIZE) -> str:
         rows.groupBy(F.pmod(F.xxhash64(key), F.lit(pages)).alias("page"))
         .agg(F.collect_list(F.struct(*rows.columns)).alias("results"))
         .select("results", F.lit(pages).alias("num_pages"), F.lit(total).alias("num_results"))
-        .write.json(path)
+        .write.options(**LANDED)
+        .json(path)
     )
     return path
 
 
 def land_documents(rows: DataFrame) -> str:
     path = scratch_dir(rows.sparkSession)
-    rows.write.json(path)
+    rows.write.options(**LANDED, maxRecordsPerFile=FILE_RECORDS).json(path)
     return path
 
 
