@@ -8,7 +8,7 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
-from pyspark.sql.types import ArrayType, IntegerType, StringType, StructField, StructType
+from pyspark.sql.types import ArrayType, IntegerType, LongType, StringType, StructField, StructType
 
 from .. import schemas
 from ..functions.predicates import between_dates
@@ -71,15 +71,17 @@ PAGE_IN_NAME = r"(?i)^(.*)page[-_=]?(\d+)"
 
 
 def landed_pages(spark: SparkSession, path: str, multi_line: bool = False) -> DataFrame:
-    """``request, page, n_records, num_pages, num_results`` of every page that can be read.
+    """``request, page, part, n_records, num_pages, num_results`` of every page that can be read.
 
     A page's number stands in its envelope (``page``) or in its name; the pages of a request lie in one folder, or have names that are alike up
-    to the number. Without a number a request is a file, and its pages can only be counted.
+    to the number. Without a number a request is a file, and its pages can only be counted. A large page can land in parts: envelopes with its
+    number, each with another ``part``.
     """
     schema = StructType(
         [
             StructField("results", ArrayType(StringType())),
             *[StructField(c, IntegerType()) for c in ("num_pages", "num_results", "page")],
+            StructField("part", LongType()),
             StructField(_UNREADABLE, StringType()),
         ]
     )
@@ -90,7 +92,7 @@ def landed_pages(spark: SparkSession, path: str, multi_line: bool = False) -> Da
     folder = F.regexp_extract("file", "^(.*)/", 1)
     request = F.when(F.col("page").isNotNull(), folder).when(named.isNotNull(), F.regexp_extract("file", PAGE_IN_NAME, 1)).otherwise(F.col("file"))
     good = pages.where(F.col(_UNREADABLE).isNull())
-    return good.select(request.alias("request"), F.coalesce("page", named).alias("page"), F.greatest(F.coalesce(F.size("results"), F.lit(0)), F.lit(0)).alias("n_records"), "num_pages", "num_results")
+    return good.select(request.alias("request"), F.coalesce("page", named).alias("page"), "part", F.greatest(F.coalesce(F.size("results"), F.lit(0)), F.lit(0)).alias("n_records"), "num_pages", "num_results")
 
 
 def page_gaps(landed: DataFrame) -> DataFrame:
@@ -99,9 +101,16 @@ def page_gaps(landed: DataFrame) -> DataFrame:
     ``pages``: a run of pages of ``landed_pages`` that no page was read for, from ``first`` to ``last``; for a request without
     page numbers only how many. ``records``: all pages are there, but hold fewer records than ``num_results``. The largest count that a
     request's pages state holds, as a listing may grow while it is paged; a page that states none stands for one that is there. A page that landed
-    twice counts once, and one behind the last does no harm. Numbers stay numbers: a run of missing pages is one row, however long.
+    twice counts once, and one behind the last does no harm; the records of its parts add up, each part once. Numbers stay numbers: a run of missing pages is one row, however long.
     """
-    pages = landed.where("page is not null").groupBy("request", "page").agg(*[F.max(c).alias(c) for c in ("n_records", "num_pages", "num_results")])
+    if "part" not in landed.columns:
+        landed = landed.withColumn("part", F.lit(None).cast("long"))
+    parts = landed.where("page is not null").groupBy("request", "page", "part").agg(*[F.max(c).alias(c) for c in ("n_records", "num_pages", "num_results")])
+    # the whole page, or its parts together
+    whole, in_parts = F.max(F.expr("if(part is null, n_records, 0)")), F.sum(F.expr("if(part is null, 0, n_records)"))
+    pages = parts.groupBy("request", "page").agg(
+        F.greatest(whole, in_parts).alias("n_records"), F.max("num_pages").alias("num_pages"), F.max("num_results").alias("num_results")
+    )
     stated = pages.groupBy("request").agg(
         F.max("num_pages").alias("pages"), F.max("num_results").alias("results"), F.sum("n_records").alias("records"), F.count(F.lit(1)).alias("seen")
     )

@@ -763,4 +763,4 @@ def flatten_question_standards(v):
        FROM score_records""",
 )
 def score_rows(v):
-    return pages.score_rows(v.spark, land_pages(v.score_records, "seq"))
+    return pages.score_rows(v.spark, land_pages(v.score_records))

@@ -2,29 +2,67 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+import json
+
+import pyarrow as pa
+from pyspark import TaskContext
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from markbook.session import scratch_dir
 
+from .views import RESULTS_FROM, achieved, coding_number, described, possible, standard_set
+
 PAGE_SIZE = 1000
 # Landed text is mostly field names, so it lands compressed. A compressed file is read by one task, so a file of bare records is kept short.
 LANDED = {"compression": "gzip"}
 FILE_RECORDS = 50_000
 
 
-def land_pages(rows: DataFrame, key: str, page_size: int = PAGE_SIZE) -> str:
-    """Write rows as envelopes of about ``page_size`` records, one per line."""
+def envelopes(rows: DataFrame, size: int = PAGE_SIZE, page: Column | None = None, **stated: int) -> DataFrame:
+    """``value``: envelopes of up to ``size`` records as JSON lines, put together by the task that has the rows, in their order.
+
+    Rows are not shuffled and a task holds less than ``size`` records a page. ``page`` numbers the pages; those lines are parts of their page, each with
+    a number of its own. ``stated`` stands in every envelope.
+    """
+    tail = "".join(f",{json.dumps(k)}:{v:d}" for k, v in stated.items())
+    numbered = page is not None
+
+    def joined(batches):
+        held: dict[int | None, list[str]] = {}
+        part = (TaskContext.get().partitionId() << 32) - 1
+
+        def line(number, records):
+            nonlocal part
+            part += 1
+            named = f',"page":{number:d},"part":{part}' if numbered else ""
+            return f'{{"results":[{",".join(records)}]{named}{tail}}}'
+
+        for batch in batches:
+            lines = []
+            for number, record in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                records = held.setdefault(number, [])
+                records.append(record)
+                if len(records) == size:
+                    lines.append(line(number, held.pop(number)))
+            yield pa.RecordBatch.from_arrays([pa.array(lines, pa.string())], ["value"])
+        for number, records in held.items():
+            yield pa.RecordBatch.from_arrays([pa.array([line(number, records)], pa.string())], ["value"])
+
+    number = page if numbered else F.lit(None)
+    return rows.select(number.cast("int").alias("page"), F.to_json(F.struct(*rows.columns)).alias("record")).mapInArrow(joined, "value string")
+
+
+def write_envelopes(lines: DataFrame, path: str, mode: str = "error") -> None:
+    """Files of at most ``FILE_RECORDS`` records, whose names are in the order of the lines."""
+    lines.write.mode(mode).options(**LANDED, maxRecordsPerFile=FILE_RECORDS // PAGE_SIZE).text(path)
+
+
+def land_pages(rows: DataFrame, page_size: int = PAGE_SIZE) -> str:
+    """Write rows as envelopes of up to ``page_size`` records, one per line."""
     path = scratch_dir(rows.sparkSession)
     total = rows.count()
-    pages = total // page_size + 1
-    (
-        rows.groupBy(F.pmod(F.xxhash64(key), F.lit(pages)).alias("page"))
-        .agg(F.collect_list(F.struct(*rows.columns)).alias("results"))
-        .select("results", F.lit(pages).alias("num_pages"), F.lit(total).alias("num_results"))
-        .write.options(**LANDED)
-        .json(path)
-    )
+    write_envelopes(envelopes(rows, page_size, num_pages=total // page_size + 1, num_results=total), path)
     return path
 
 
@@ -84,32 +122,38 @@ WHERE (p_partkey + q + s) % 11 <> 0
 
 # One nested record per student, assessment and date. Odd students carry 'standards', others
 # 'standard_results' under the alternative names; students divisible by 9 carry neither.
-NESTED_RECORDS = """
-SELECT 'D' AS district_name, '' AS school_name, 'Site ' || CAST(StudentID_LASID AS STRING) AS site_name,
+# Rows meet as the few numbers that their texts are made of, once for both lists.
+_HELD = "collect_list(named_struct('s', l_suppkey, 'n', l_linenumber, 'q', l_quantity))"
+_SUM = "aggregate(filter(transform(held, x -> {points}), p -> p IS NOT NULL), CAST(NULL AS DECIMAL(20,2)), (a, p) -> CAST(coalesce(a, 0) + p AS DECIMAL(20,2)))"
+NESTED_RECORDS = f"""
+SELECT 'D' AS district_name, '' AS school_name, 'Site ' || CAST(grp AS STRING) AS site_name,
        CASE WHEN grp % 2 = 0 THEN 'S' || CAST(grp AS STRING) ELSE '' END AS state_student_id,
        'alt' || CAST(grp AS STRING) AS sasid, '' AS local_student_id,
-       CASE WHEN grp % 3 = 0 THEN '' ELSE StudentID_LASID END AS lasid, 'x' || StudentID_LASID AS student_id,
+       CASE WHEN grp % 3 = 0 THEN '' ELSE CAST(grp AS STRING) END AS lasid, 'x' || CAST(grp AS STRING) AS student_id,
        CASE WHEN grp % 2 = 0 THEN 'math' END AS subject, 'by name' AS subject_name,
        CAST(AssessmentID AS INT) AS assessment_id, CAST(DateCompleted AS STRING) AS date_completed,
        '2001-01-01' AS test_date, CAST(0 AS INT) AS school_id, CAST(grp % 40 AS INT) AS site_id, 'Set' AS standard_set,
-       overall_score, points_achieved, total_score, raw_score, points_possible, max_score, standards, standard_results
+       CAST(size(held) % 3 AS DECIMAL(10,2)) AS overall_score,
+       CAST(CASE WHEN size(held) % 2 = 0 THEN 0 ELSE {_SUM.format(points=achieved('x.q'))} END AS DECIMAL(10,2)) AS points_achieved,
+       CAST(CASE WHEN grp % 4 = 0 THEN 0 ELSE 7 END AS DECIMAL(10,2)) AS total_score,
+       CAST(3 AS DECIMAL(10,2)) AS raw_score,
+       CAST(CASE WHEN size(held) % 2 = 0 THEN NULL ELSE 0 END AS DECIMAL(10,2)) AS points_possible,
+       CAST({_SUM.format(points=possible('x.n'))} AS DECIMAL(10,2)) AS max_score,
+       CASE WHEN grp % 2 = 1 AND grp % 9 <> 0 THEN
+         transform(held, x -> named_struct('standard_set', {standard_set('x.s')}, 'standard_code', {coding_number('x.s', 'x.n')},
+           'description', {described('x.s', 'x.n')}, 'points_achieved', {achieved('x.q')}, 'points_possible', {possible('x.n')}))
+         ELSE array() END AS standards,
+       CASE WHEN grp % 2 = 0 AND grp % 9 <> 0 THEN
+         transform(held, x -> named_struct('set_name', {standard_set('x.s')}, 'code', {coding_number('x.s', 'x.n')},
+           'standard_description', {described('x.s', 'x.n')}, 'score', {achieved('x.q')}, 'max_score', {possible('x.n')}))
+         END AS standard_results
 FROM (
-  SELECT StudentID_LASID, AssessmentID, DateCompleted, CAST(StudentID_LASID AS BIGINT) AS grp,
-         CAST(COUNT(*) % 3 AS DECIMAL(10,2)) AS overall_score,
-         CAST(CASE WHEN COUNT(*) % 2 = 0 THEN 0 ELSE SUM(PointsAchieved) END AS DECIMAL(10,2)) AS points_achieved,
-         CAST(CASE WHEN CAST(StudentID_LASID AS BIGINT) % 4 = 0 THEN 0 ELSE 7 END AS DECIMAL(10,2)) AS total_score,
-         CAST(3 AS DECIMAL(10,2)) AS raw_score,
-         CAST(CASE WHEN COUNT(*) % 2 = 0 THEN NULL ELSE 0 END AS DECIMAL(10,2)) AS points_possible,
-         CAST(SUM(PointsPossible) AS DECIMAL(10,2)) AS max_score,
-         CASE WHEN CAST(StudentID_LASID AS BIGINT) % 2 = 1 AND CAST(StudentID_LASID AS BIGINT) % 9 <> 0 THEN
-           collect_list(named_struct('standard_set', StandardSet, 'standard_code', StandardCodingNumber,
-             'description', StandardDescription, 'points_achieved', PointsAchieved, 'points_possible', PointsPossible))
-           ELSE array() END AS standards,
-         CASE WHEN CAST(StudentID_LASID AS BIGINT) % 2 = 0 AND CAST(StudentID_LASID AS BIGINT) % 9 <> 0 THEN
-           collect_list(named_struct('set_name', StandardSet, 'code', StandardCodingNumber,
-             'standard_description', StandardDescription, 'score', PointsAchieved, 'max_score', PointsPossible))
-           END AS standard_results
-  FROM results_base GROUP BY StudentID_LASID, AssessmentID, DateCompleted)
+  SELECT grp, AssessmentID, DateCompleted, {_HELD} AS held
+  FROM (SELECT /*+ REPARTITION(grp, AssessmentID, DateCompleted) */ CAST(c_custkey AS BIGINT) AS grp,
+               CASE WHEN l_partkey % 151 = 0 THEN NULL ELSE CAST(l_partkey % 150 AS INT) END AS AssessmentID,
+               CAST(l_shipdate AS DATE) AS DateCompleted, l_suppkey, l_linenumber, l_quantity
+        {RESULTS_FROM})
+  GROUP BY grp, AssessmentID, DateCompleted)
 """
 
 # Parent fields of those records, for DuckDB; the aggregates are repeated from above.

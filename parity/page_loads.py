@@ -2,14 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from markbook.plans import weekly
 from markbook.session import scratch_dir
 
 from .joins_merges import FULL_SQL, half_even
-from .landing import PAGE_SIZE
+from .landing import envelopes, write_envelopes
 from .registry import query
 from .views import Views
 
@@ -62,14 +62,8 @@ SELECT 'summary', {', '.join('NULL' for _ in KEPT)}, COUNT(*) FROM (
 
 
 def land(rows: DataFrame, order: str, path: str) -> None:
-    """Pages in the given order, in one file."""
-    columns = [c for c in rows.columns if c != "seq"]
-    placed = rows.withColumn("_n", F.row_number().over(Window.orderBy(order)))
-    pages = placed.groupBy(F.floor(F.col("_n") / PAGE_SIZE).alias("page")).agg(
-        F.array_sort(F.collect_list(F.struct("_n", F.struct(*columns).alias("r")))).alias("rows")
-    )
-    named = pages.select("page", F.transform("rows", lambda x: x["r"]).alias("results"))
-    named.orderBy("page").select("results").coalesce(1).write.json(path)
+    """Pages in the given order, in files whose names are in that order too."""
+    write_envelopes(envelopes(rows.orderBy(order).drop("seq")), path)
 
 
 def land_all(v: Views) -> dict[str, str]:

@@ -15,7 +15,7 @@ from markbook.session import scratch_dir
 from markbook.sources import pages, tables
 from markbook.sources import reference_tables as ref
 
-from .landing import DETAIL_DOCUMENTS, land_documents, land_pages
+from .landing import DETAIL_DOCUMENTS, envelopes, land_documents, land_pages, write_envelopes
 from .registry import query
 from .scalar_rules import ASSIGNMENT_SUBJECT
 from .views import Views
@@ -32,7 +32,7 @@ def profile(v: Views):
 
 @query("scan_paged_json", f"SELECT {', '.join(RAW_COLUMNS)} FROM raw_results")
 def scan_paged_json(v):
-    path = land_pages(v.raw_results, "result_seq")
+    path = land_pages(v.raw_results)
     sent = pages.read_pages(v.spark, path, schemas.DETAIL_RESULT)
     return sent.withColumns({c: s.safe_decimal(C(c)) for c in ("points", "points_possible")})
 
@@ -153,7 +153,7 @@ _KINDS = {"result_seq": "bigint", "assessment_id": "bigint", "points": "double",
     ),
 )
 def discover_schema(v):
-    return pages.discover_pages(v.spark, land_pages(v.raw_results, "result_seq"))
+    return pages.discover_pages(v.spark, land_pages(v.raw_results))
 
 
 SKETCH = {
@@ -194,6 +194,7 @@ def schema_sketch(v):
     return sketch.groupBy("field", "type").agg(F.sum("n").alias("n"))
 
 
+PAGE_OF = "cast(result_seq % 64 as int) + 1"
 LOST_PAGE = "page % 7 = 3 OR page BETWEEN 20 AND 22"
 CUT_RECORD = "page = 2 AND result_seq % 101 = 0"
 
@@ -215,15 +216,16 @@ CUT_RECORD = "page = 2 AND result_seq % 101 = 0"
 def page_gaps(v):
     """One request lacks pages, another one records of a page."""
     base = scratch_dir(v.spark)
-    sent = v.raw_results.withColumn("page", F.expr("cast(result_seq % 64 as int) + 1"))
+    sent = v.raw_results.withColumn("page", F.expr(PAGE_OF))
     total = sent.count()
     every = v.spark.range(1, 65).select(F.col("id").cast("int").alias("page"))
     for request, kept in (("first", f"not ({LOST_PAGE})"), ("second", f"not ({CUT_RECORD})")):
-        listed = sent.where(kept).groupBy("page").agg(F.collect_list(F.struct(*v.raw_results.columns)).alias("results"))
-        # a page without records lands too
+        # the pages grow with the table, so each lands in parts; a page without records lands too
+        lines = envelopes(sent.where(kept).select(v.raw_results.columns), page=F.expr(PAGE_OF), num_pages=64, num_results=total)
+        write_envelopes(lines, f"{base}/{request}")
         landed = every.where(f"not ({LOST_PAGE})") if request == "first" else every
-        named = landed.join(listed, "page", "left").select("results", "page", F.lit(64).alias("num_pages"), F.lit(total).alias("num_results"))
-        named.write.json(f"{base}/{request}")
+        empty = landed.select("page", F.lit(64).alias("num_pages"), F.lit(total).alias("num_results"))
+        write_envelopes(empty.select(F.to_json(F.struct("*")).alias("value")), f"{base}/{request}", "append")
     gaps = pages.page_gaps(pages.landed_pages(v.spark, f"{base}/*"))
     return gaps.withColumn("request", F.regexp_extract("request", "([^/]+)$", 1))
 

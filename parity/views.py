@@ -12,6 +12,41 @@ from pyspark.sql import DataFrame, SparkSession
 
 BASE_TABLES = ("region", "nation", "customer", "supplier", "part", "orders", "lineitem")
 
+
+
+# Columns of ``results_base`` by the numbers they are made of; landed records use them too.
+def standard_set(supplier: str) -> str:
+    return f"""CASE WHEN {supplier} % 10 IN (2, 3) THEN 'Common Core State Standards'
+              WHEN {supplier} % 10 IN (0, 1) THEN 'Michigan State Standards' ELSE NULL END"""
+
+
+def coding_number(supplier: str, line: str) -> str:
+    return f"""CASE {supplier} % 10
+           WHEN 0 THEN 'ELA-Literacy.RL.' || CAST({line} AS STRING)
+           WHEN 1 THEN 'Math.Content.OA.' || CAST({line} AS STRING)
+           WHEN 2 THEN 'CCSS.ELA-Literacy.W.' || CAST({line} AS STRING)
+           WHEN 3 THEN 'CCSS.Math.Content.G.' || CAST({line} AS STRING)
+           WHEN 4 THEN 'ELA.' || CAST({line} AS STRING)
+           WHEN 5 THEN 'MI.ELA.K.' || CAST({line} AS STRING)
+           WHEN 6 THEN 'HS-LS1-' || CAST({line} AS STRING)
+           WHEN 7 THEN 'Overall' WHEN 8 THEN '' ELSE NULL END"""
+
+
+def described(supplier: str, line: str) -> str:
+    return f"'Desc ' || CAST({supplier} % 20 AS STRING) || '.' || CAST({line} AS STRING)"
+
+
+def achieved(quantity: str) -> str:
+    return f"CASE WHEN {quantity} = 50 THEN NULL ELSE CAST({quantity} AS DECIMAL(10,2)) END"
+
+
+def possible(line: str) -> str:
+    return f"CAST(CASE {line} WHEN 7 THEN 0 WHEN 6 THEN 32 WHEN 5 THEN 64 ELSE 50 END AS DECIMAL(10,2))"
+
+
+RESULTS_FROM = """FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey
+       JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey"""
+
 VIEWS: dict[str, str] = {
     "raw_results": """
 SELECT ((l_orderkey*8 + l_linenumber)*100000 + l_partkey)*10000 + l_suppkey AS result_seq,
@@ -87,7 +122,7 @@ SELECT DISTINCT standard_code AS glce_code, 'Catalogue ' || standard_code AS des
          'Strand ' || substring(standard_code, 1, 6) AS subject_desc1, 'Type' AS type
   FROM raw_results WHERE standard_code LIKE '%ELA%' OR standard_code LIKE 'HS%'
 """,
-    "results_base": """
+    "results_base": f"""
 SELECT ((l_orderkey*8 + l_linenumber)*100000 + l_partkey)*10000 + l_suppkey AS ResultID,
          CASE WHEN month(l_shipdate) >= 7
               THEN CAST(year(l_shipdate) AS STRING) || '-' || CAST(year(l_shipdate) + 1 AS STRING)
@@ -115,23 +150,13 @@ SELECT ((l_orderkey*8 + l_linenumber)*100000 + l_partkey)*10000 + l_suppkey AS R
            WHEN 10 THEN 'Benchmark A' ELSE NULL END AS AssignmentName,
          CASE WHEN l_partkey % 151 = 0 THEN NULL ELSE CAST(l_partkey % 150 AS INT) END AS AssessmentID,
          CAST(l_shipdate AS DATE) AS DateCompleted,
-         CASE WHEN l_suppkey % 10 IN (2, 3) THEN 'Common Core State Standards'
-              WHEN l_suppkey % 10 IN (0, 1) THEN 'Michigan State Standards' ELSE NULL END AS StandardSet,
-         CASE l_suppkey % 10
-           WHEN 0 THEN 'ELA-Literacy.RL.' || CAST(l_linenumber AS STRING)
-           WHEN 1 THEN 'Math.Content.OA.' || CAST(l_linenumber AS STRING)
-           WHEN 2 THEN 'CCSS.ELA-Literacy.W.' || CAST(l_linenumber AS STRING)
-           WHEN 3 THEN 'CCSS.Math.Content.G.' || CAST(l_linenumber AS STRING)
-           WHEN 4 THEN 'ELA.' || CAST(l_linenumber AS STRING)
-           WHEN 5 THEN 'MI.ELA.K.' || CAST(l_linenumber AS STRING)
-           WHEN 6 THEN 'HS-LS1-' || CAST(l_linenumber AS STRING)
-           WHEN 7 THEN 'Overall' WHEN 8 THEN '' ELSE NULL END AS StandardCodingNumber,
-         'Desc ' || CAST(l_suppkey % 20 AS STRING) || '.' || CAST(l_linenumber AS STRING) AS StandardDescription,
-         CASE WHEN l_quantity = 50 THEN NULL ELSE CAST(l_quantity AS DECIMAL(10,2)) END AS PointsAchieved,
-         CAST(CASE l_linenumber WHEN 7 THEN 0 WHEN 6 THEN 32 WHEN 5 THEN 64 ELSE 50 END AS DECIMAL(10,2)) AS PointsPossible,
+         {standard_set('l_suppkey')} AS StandardSet,
+         {coding_number('l_suppkey', 'l_linenumber')} AS StandardCodingNumber,
+         {described('l_suppkey', 'l_linenumber')} AS StandardDescription,
+         {achieved('l_quantity')} AS PointsAchieved,
+         {possible('l_linenumber')} AS PointsPossible,
          CASE WHEN c_custkey % 23 = 0 THEN NULL ELSE CAST(c_nationkey AS INT) END AS SchoolID
-  FROM lineitem JOIN orders ON l_orderkey = o_orderkey JOIN customer ON o_custkey = c_custkey
-       JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey
+  {RESULTS_FROM}
 """,
     "results": """
 SELECT * FROM results_base

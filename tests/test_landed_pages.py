@@ -1,5 +1,7 @@
 """Pages that did not land, and a schema sketch of documents that disagree."""
 
+import json
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -42,6 +44,18 @@ def test_numbered_pages(spark, rows):
     ]
 
 
+
+def test_a_page_in_parts_has_the_records_of_all_parts_once(spark, tmp_path):
+    def part(number, n, n_records):
+        return json.dumps({"results": [{"id": i} for i in range(n_records)], "page": n, "part": number, "num_pages": 2, "num_results": 7})
+
+    base = str(tmp_path)
+    land(spark, f"{base}/whole", part(0, 1, 3), part(1, 1, 2), part(1, 1, 2), part(0, 2, 2))
+    land(spark, f"{base}/short", part(0, 1, 3), part(1, 1, 2), part(0, 2, 1))
+    found = pages.page_gaps(pages.landed_pages(spark, f"{base}/*")).collect()
+    assert [(r.request.rsplit("/", 1)[1], r.kind, r.missing, r.detail) for r in found] == [("short", "records", 1, "6 of 7 records")]
+
+
 def test_a_page_that_cannot_be_read_did_not_land(spark, rows):
     base = scratch_dir(spark)
     land(spark, f"{base}/page=1", page(None, num_pages=3))
