@@ -17,6 +17,15 @@ from .snapshots import _hadoop
 MOST_UNEVEN = 4.0
 
 
+# Rows that one task sorts into a bucket of a table, or joins from it.
+BUCKET_ROWS = 500_000
+
+
+def buckets_for(rows: DataFrame, least: int = 8) -> int:
+    """How many buckets keep each of them at about ``BUCKET_ROWS`` rows; tables that are to be joined need the same number."""
+    return max(least, -(-rows.count() // BUCKET_ROWS))
+
+
 def write_bucketed(rows: DataFrame, name: str, path: str, key: str, buckets: int) -> None:
     """Write rows as table ``name`` in ``path``: one sorted file a bucket."""
     dealt = rows.repartition(buckets, key).write.bucketBy(buckets, key).sortBy(key)

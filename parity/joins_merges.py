@@ -301,8 +301,9 @@ def full_enrichment(v):
 def bucketed_enrichment(v):
     """Both sides stored by student, and a profile that counts as too large to broadcast."""
     name = f"t{uuid.uuid4().hex}"
+    count = buckets.buckets_for(v.raw_results)
     for kind, rows in (("raw", v.raw_results), ("profile", profile(v))):
-        buckets.write_bucketed(rows, f"{name}_{kind}", scratch_dir(v.spark), "local_student_id", 8)
+        buckets.write_bucketed(rows, f"{name}_{kind}", scratch_dir(v.spark), "local_student_id", count)
     return enrichment.bucketed_enrichment(v.spark, f"{name}_raw", f"{name}_profile", max_bytes=0)
 
 
