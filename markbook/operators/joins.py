@@ -115,13 +115,13 @@ def scattered_join(
     return joined.withColumn(_COLD, found).select(*keep, *[F.col(f"{_COLD}.{v}").alias(v) for v in values])
 
 
-def anti_join(df: DataFrame, existing: DataFrame, keys: Sequence[str], null_safe: bool = False) -> DataFrame:
+def anti_join(df: DataFrame, existing: DataFrame, keys: Sequence[str], null_safe: bool = False, once: bool = False) -> DataFrame:
     """Rows of ``df`` with no equal key in ``existing``.
 
     By plain equality a row with a missing key part never matches and is always kept;
-    with ``null_safe`` missing equals missing.
+    with ``null_safe`` missing equals missing. ``once``: ``df`` has each key once, so that none is hot and needs to be counted.
     """
-    return _exists(df, existing, keys, "left_anti", null_safe)
+    return _exists(df, existing, keys, "left_anti", null_safe, once)
 
 
 def semi_join(df: DataFrame, existing: DataFrame, keys: Sequence[str], null_safe: bool = False) -> DataFrame:
@@ -129,7 +129,7 @@ def semi_join(df: DataFrame, existing: DataFrame, keys: Sequence[str], null_safe
     return _exists(df, existing, keys, "left_semi", null_safe)
 
 
-def _exists(df: DataFrame, existing: DataFrame, keys: Sequence[str], how: str, null_safe: bool) -> DataFrame:
+def _exists(df: DataFrame, existing: DataFrame, keys: Sequence[str], how: str, null_safe: bool, once: bool = False) -> DataFrame:
     keys = list(keys)
     found = existing.select(*keys)
     if null_safe:
@@ -142,4 +142,6 @@ def _exists(df: DataFrame, existing: DataFrame, keys: Sequence[str], how: str, n
     # Measured before the distinct, which then is computed once.
     if fits_broadcast(found):
         return df.join(F.broadcast(found.distinct()), keys, how).select(*df_out)
+    if once:
+        return df.join(found, keys, how).select(*df_out)
     return scattered_join(df, found.distinct(), keys, how).select(*df_out)

@@ -243,7 +243,7 @@ def upsert_scores(target: DataFrame, source: DataFrame, seq: str) -> DataFrame:
 def insert_ignore_link(links: DataFrame, pairs: DataFrame) -> DataFrame:
     """Question and standard pairs that are not linked yet, each once."""
     keys = ["question_id", "standard_id"]
-    return links.unionByName(anti_join(pairs.select(*keys).distinct(), links, keys), allowMissingColumns=True)
+    return links.unionByName(anti_join(pairs.select(*keys).distinct(), links, keys, once=True), allowMissingColumns=True)
 
 
 def metadata_mapping(headers: DataFrame) -> DataFrame:
