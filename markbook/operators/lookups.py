@@ -15,6 +15,7 @@ from ..functions.scalars import (
     parse_date,
     school_name,
 )
+from ..sources.tables import stage
 from .joins import broadcast_if_small, lookup_join
 from .picks import first_per_key, latest_per_assessment
 
@@ -197,7 +198,8 @@ def backfill_teacher_grade(
 
     ``convert_grade=False`` writes the level id as it is. ``lacking``: those students, where ``results`` is only part of a table.
     """
-    needing = students_lacking(results) if lacking is None else lacking
+    # staged, as the join measures the lookup before it reads it
+    needing = stage(students_lacking(results)) if lacking is None else lacking
     level = F.col("roster_level_id")
     has_level = F.coalesce(~level.cast("string").isin("", "0"), F.lit(False))
     has_name = lambda c: F.coalesce(F.col(c) != "", F.lit(False))
@@ -213,7 +215,7 @@ def backfill_teacher_grade(
         .join(needing, STUDENT, "left_semi")
         .withColumnRenamed(STUDENT, "StudentID_LASID")
     )
-    filled = lookup_join(results, known, ["StudentID_LASID"]).withColumns(
+    filled = lookup_join(results, stage(known), ["StudentID_LASID"]).withColumns(
         {
             "TeacherFirstName": F.coalesce("TeacherFirstName", "_first"),
             "TeacherLastName": F.coalesce("TeacherLastName", "_last"),
