@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..operators import lookups
+from ..operators.joins import fits_broadcast
 from ..operators.picks import DUPLICATE_KEY
 from ..sources import snapshots, tables
 from ..sources.snapshots import PLACE
@@ -18,25 +19,38 @@ from .weekly import Warehouse
 _FILLED = ("TeacherFirstName", "TeacherLastName", "StudentGrade")
 
 
+def _file_numbers(places: DataFrame) -> DataFrame:
+    """A number for each file, in the order of their names: a row a file."""
+    return tables.stage(places.select(PLACE[0]).distinct().withColumn("_at", F.row_number().over(Window.orderBy(PLACE[0]))))
+
+
 def _drop_rows(warehouse: Warehouse, before: snapshots.Snapshot, bad: DataFrame, what: str) -> tuple[int, int]:
-    """Rewrite the files with ``bad`` rows, given by place, without them."""
+    """Rewrite the files with ``bad`` rows, given by place, without them.
+
+    Where those are many, rows meet them by shuffle and by the number of the file; a task holds the bad places of its share and sorts no rows.
+    """
     bad = tables.stage(bad.select(*PLACE))
-    without = lambda rows: rows.join(bad, list(PLACE), "left_anti")
+    numbers = F.broadcast(_file_numbers(bad))
+    gone = bad.join(numbers, PLACE[0]).select("_at", PLACE[1])
+    gone = F.broadcast(gone) if fits_broadcast(gone) else gone.hint("shuffle_hash")
+    without = lambda rows: rows.join(numbers, PLACE[0], "left").join(gone, ["_at", PLACE[1]], "left_anti").select(*rows.columns)
     return snapshots.rewrite_files(warehouse.spark, warehouse.path("results"), before, bad.select(PLACE[0]), without, {"what": what})
 
 
 def delete_duplicates(warehouse: Warehouse) -> tuple[int, int]:
     """Delete re-ingested copies; the highest id of a key stays. Returns the files rewritten, and all files.
 
-    Only the key, the id and the place of a row are shuffled.
+    Only the key, the id and the place of a row are shuffled, the file as a number.
     """
     before = snapshots.base(warehouse.spark, warehouse.path("results"))
     if before is None:
         return 0, 0
     rows = snapshots.with_places(warehouse.spark, warehouse.path("results"), before).select(*DUPLICATE_KEY, "ResultID", *PLACE)
+    numbers = F.broadcast(_file_numbers(rows))
+    rows = rows.join(numbers, PLACE[0]).drop(PLACE[0])
     # the place breaks ties, so that one of several copies under one id stays
-    order = Window.partitionBy(*DUPLICATE_KEY).orderBy(F.col("ResultID").desc_nulls_last(), *PLACE)
-    copies = rows.withColumn("_nth", F.row_number().over(order)).where("_nth > 1")
+    order = Window.partitionBy(*DUPLICATE_KEY).orderBy(F.col("ResultID").desc_nulls_last(), "_at", PLACE[1])
+    copies = rows.withColumn("_nth", F.row_number().over(order)).where("_nth > 1").join(numbers, "_at")
     return _drop_rows(warehouse, before, copies, "duplicates")
 
 

@@ -19,11 +19,6 @@ from .snapshots import YEAR, Part
 BUCKET_ROWS = 100_000
 
 
-def _sized_by_year(df: DataFrame) -> DataFrame:
-    """Even files per year: adaptive execution splits a large year and joins up small ones."""
-    return df.hint("rebalance", F.col(YEAR))
-
-
 def read_results(spark: SparkSession, path: str) -> DataFrame:
     """The landing fact; the year column keeps its type whatever the folder names look like."""
     return snapshots.read(spark, path)
@@ -44,7 +39,7 @@ def append_results(rows: DataFrame, path: str) -> None:
     if snapshots.latest(rows.sparkSession, path):
         snapshots.add_rows(rows, path, {"what": "append"})
     else:
-        _sized_by_year(rows).write.mode("append").partitionBy(YEAR).parquet(path)
+        rows.write.mode("append").partitionBy(YEAR).parquet(path)
 
 
 def full_refresh(rows: DataFrame, path: str, note: dict | None = None) -> None:
@@ -213,7 +208,7 @@ def extraction_log(
 def logged_append(rows: DataFrame, path: str, endpoint: str, log_path: str) -> int:
     """Append rows and an audit row; the count is taken while writing, or from the footers of the files written.
 
-    In a plain folder it is taken after the shuffle, in the tasks that write: those count once, whatever was run again.
+    In a plain folder it is taken in the tasks that write: those count once, whatever was run again.
     """
     spark = rows.sparkSession
     try:
@@ -223,7 +218,7 @@ def logged_append(rows: DataFrame, path: str, endpoint: str, log_path: str) -> i
             stored = snapshots.read_parts(spark, path, rows.schema, new).count()
         else:
             seen = Observation()
-            counted = _sized_by_year(rows).observe(seen, F.count(F.lit(1)).alias("n"))
+            counted = rows.observe(seen, F.count(F.lit(1)).alias("n"))
             counted.write.mode("append").partitionBy(YEAR).parquet(path)
             stored = seen.get["n"]
     except Exception as error:
