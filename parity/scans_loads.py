@@ -110,7 +110,7 @@ def scan_catalogue(v):
     "SELECT assessment_id, title, name, scope, publisher, subject, subject_name FROM header_records",
 )
 def scan_assessment_metadata(v):
-    return pages.assessment_metadata(v.spark, land_pages(v.header_records, "seq"))
+    return pages.assessment_metadata(v.spark, land_pages(v.header_records))
 
 
 @query(
