@@ -104,6 +104,11 @@ def has_bit(bits: np.ndarray, key: int) -> bool:
     return bool((int(bits[key % len(bits)]) >> ((key >> 40) % 64)) & 1)
 
 
+def has_bits(bits: np.ndarray, keys: np.ndarray) -> np.ndarray:
+    """``has_bit`` of each of many keys."""
+    return ((bits[keys % len(bits)] >> ((keys >> 40) % 64)) & 1).astype(bool)
+
+
 def components(edges: DataFrame, shared: Shared) -> DataFrame:
     """``(u, v)`` edges of an undirected graph to ``(node, root)``: the smallest node of each connected component.
 

@@ -19,9 +19,11 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from . import hashing
-from .frames import Shared, has_bit, key_bits
+from .frames import Shared, has_bits, key_bits
 
 MIN_WORDS = 6
+# Characters of texts that are hashed at once: many short texts cost as little as a long one, and the arrays stay in the cache.
+_AT_ONCE = 1 << 17
 _B = np.uint64(0xD1342543DE82EF95)
 _B_INVERSE = np.uint64(pow(int(_B), -1, 1 << 64))
 _N = np.uint64(0x2545F4914F6CDD1D)
@@ -29,7 +31,10 @@ _GONE, _ROW = "__line_dedup_gone", "__line_dedup_row"
 
 
 class Lines:
-    """Lines of a text that have at least ``min_words`` words: their numbers, first and last words, and hashes of their runs."""
+    """Lines of a text that have at least ``min_words`` words: their numbers, first and last words, and hashes of their runs.
+
+    A hash depends on the words of its run alone, so texts can be joined by line feeds and taken as one.
+    """
 
     def __init__(self, text: str | None, min_words: int):
         self.words, starts, _, data = hashing.hashes_and_spans(text)
@@ -62,13 +67,32 @@ class Lines:
 
     def variants(self, i: int) -> np.ndarray:
         """Hash of line ``i`` and of the line without each of its words."""
-        words = self.words[self.first[i] : self.last[i]]
-        size = len(words)
-        terms = words * hashing.powers(_B, size)
+        whole, without, _ = self.variants_of(np.array([i]))
+        return np.r_[whole, without]
+
+    def variants_of(self, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Hashes of the lines ``at``; of each line without each of its words, one line after the other; and the lines' words likewise."""
+        sizes = (self.last - self.first)[at]
+        ends = np.cumsum(sizes)
+        place = np.arange(ends[-1]) - np.repeat(ends - sizes, sizes)
+        words = self.words[np.repeat(self.first[at], sizes) + place]
+        terms = words * hashing.powers(_B, int(sizes.max()))[place]
         upto = np.cumsum(terms, dtype=np.uint64)
-        without = upto - terms + (upto[-1] - upto) * _B_INVERSE
-        every = np.r_[upto[-1:], without] + np.r_[np.full(1, size, np.uint64), np.full(size, size - 1, np.uint64)] * _N
-        return hashing.mix(every).view(np.int64)
+        upto -= np.repeat((upto - terms)[ends - sizes], sizes)
+        whole, sizes_n = upto[ends - 1], sizes.astype(np.uint64) * _N
+        without = upto - terms + (np.repeat(whole, sizes) - upto) * _B_INVERSE + np.repeat(sizes_n - _N, sizes)
+        return hashing.mix(whole + sizes_n).view(np.int64), hashing.mix(without).view(np.int64), words
+
+
+def _joined(texts: list[str | None]) -> Iterator[tuple[int, int, str, np.ndarray]]:
+    """Runs of texts joined by line feeds: from, to, the whole, and the number that each text's first line has in it."""
+    lo = size = 0
+    for hi, text in enumerate(texts, 1):
+        size += len(text or "")
+        if size >= _AT_ONCE or hi == len(texts):
+            run = [t or "" for t in texts[lo:hi]]
+            yield lo, hi, "\n".join(run), np.cumsum([0, *(t.count("\n") + 1 for t in run[:-1])])
+            lo, size = hi, 0
 
 
 def _scan(min_words: int, short_repeats: bool) -> Callable:
@@ -77,12 +101,14 @@ def _scan(min_words: int, short_repeats: bool) -> Callable:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            parts = []
-            for doc, row, text in zip(batch.column("doc").to_pylist(), batch.column("row").to_pylist(), batch.column("text"), strict=True):
-                lines = Lines(text.as_py(), 1 if short_repeats else min_words)
-                if n := len(lines.line):
+            docs, rows, parts = batch.column("doc").to_numpy(), batch.column("row").to_numpy(), []
+            for lo, hi, text, starts in _joined(batch.column("text").to_pylist()):
+                lines = Lines(text, 1 if short_repeats else min_words)
+                if len(lines.line):
+                    own = np.searchsorted(starts, lines.number, "right") - 1
                     long = lines.last - lines.first >= min_words
-                    parts.append((np.full(n, doc), np.full(n, row), lines.number, lines.line, long, lines.halves()[long]))
+                    number = (lines.number - starts[own]).astype(np.int32)
+                    parts.append((docs[lo:hi][own], rows[lo:hi][own], number, lines.line, long, lines.halves()[long]))
             if parts:
                 doc, row, number, line, long, halves = (np.concatenate(x) for x in zip(*parts, strict=True))
                 each = pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum(4 * long)].astype(np.int32)), pa.array(halves.ravel()))
@@ -97,28 +123,20 @@ def _variants(min_words: int, rows: np.ndarray, lines_wanted: np.ndarray) -> Cal
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            parts, words, n = [], [], 0
-
-            def flush() -> pa.RecordBatch:
-                columns = [pa.array(np.concatenate(x)) for x in zip(*parts, strict=True)]
-                return pa.RecordBatch.from_arrays([*columns, pa.array(words, pa.binary())], names)
-
-            for row, text in zip(batch.column("row").to_pylist(), batch.column("text"), strict=True):
-                if not has_bit(rows, row):
+            texts = batch.column("text").filter(pa.array(has_bits(rows, batch.column("row").to_numpy()))).to_pylist()
+            for _, _, text, _ in _joined(texts):
+                lines = Lines(text, min_words)
+                at = np.flatnonzero(has_bits(lines_wanted, lines.line))
+                if not len(at):
                     continue
-                lines = Lines(text.as_py(), min_words)
-                for i, line in enumerate(lines.line.tolist()):
-                    if has_bit(lines_wanted, line):
-                        keys = lines.variants(i)
-                        m = len(keys)
-                        parts.append((np.full(m, line), keys, np.arange(-1, m - 1, dtype=np.int32)))
-                        words += [lines.words[lines.first[i] : lines.last[i]].tobytes(), *[None] * (m - 1)]
-                        n += m
-                if n > 100_000:
-                    yield flush()
-                    parts, words, n = [], [], 0
-            if n:
-                yield flush()
+                whole, without, words = lines.variants_of(at)
+                sizes = (lines.last - lines.first)[at]
+                ends = np.cumsum(sizes)
+                line = lines.line[at]
+                place = np.arange(ends[-1]) - np.repeat(ends - sizes, sizes)
+                held = pa.array([words[e - n : e].tobytes() for e, n in zip(ends.tolist(), sizes.tolist(), strict=True)], pa.binary())
+                columns = [np.r_[line, np.repeat(line, sizes)], np.r_[whole, without], np.r_[np.full(len(at), -1), place].astype(np.int32)]
+                yield pa.RecordBatch.from_arrays([*map(pa.array, columns), pa.concat_arrays([held, pa.nulls(len(without), pa.binary())])], names)
 
     return run
 

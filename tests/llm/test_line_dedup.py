@@ -1,5 +1,6 @@
 import duckdb
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from markbook.llm import line_dedup as ld
@@ -96,3 +97,33 @@ def test_lines_one_word_apart_share_a_half_and_a_variant():
         x, y = (ld.Lines(" ".join(t), 6) for t in (a, b))
         assert set(x.halves()[0].tolist()) & set(y.halves()[0].tolist())
         assert set(x.variants(0).tolist()) & set(y.variants(0).tolist())
+
+
+def test_short_texts_are_hashed_together(monkeypatch):
+    """A batch of short texts is hashed in a few calls, and gives what each text gives alone; lines keep the number in their own text."""
+    rng = np.random.default_rng(8)
+    texts = [None, "", "\n\n", "\n".join(["x y"] * 3), *["\n".join(" ".join(f"é{i}" for i in rng.integers(0, 50, rng.integers(0, 12))) for _ in range(rng.integers(0, 9))) for _ in range(400)]]
+    texts += ["\n" * 5 + "one two three four five six\n", " one two three four five six "]
+    batch = pa.RecordBatch.from_pydict({"doc": np.arange(len(texts)), "row": np.arange(len(texts)) * 7, "text": pa.array(texts, pa.string())})
+    want, want_variants = [], []
+    for d, text in enumerate(texts):
+        for short in (True, False):
+            alone = ld.Lines(text, 1 if short else 6)
+            for i, (number, line, half) in enumerate(zip(alone.number.tolist(), alone.line.tolist(), alone.halves().tolist(), strict=True)):
+                size = int(alone.last[i] - alone.first[i])
+                want.append((short, d, d * 7, number, line, half if size >= 6 else []))
+                if not short:
+                    held = alone.words[alone.first[i] : alone.last[i]]
+                    left = [np.delete(held, j) for j in range(size)]
+                    hashes = [int(ld.hashing.mix(np.sum(w * ld.hashing.powers(ld._B, len(w)), dtype=np.uint64, keepdims=True) + np.full(1, len(w), np.uint64) * ld._N).view(np.int64)[0]) for w in (held, *left)]
+                    want_variants += [(line, k, j, held.tobytes() if j < 0 else None) for j, k in enumerate(hashes, -1)]
+    calls, spans = [], ld.hashing.hashes_and_spans
+    monkeypatch.setattr(ld.hashing, "hashes_and_spans", lambda text: calls.append(1) or spans(text))
+    found = [(short, *r.values()) for short in (True, False) for out in ld._scan(6, short)(iter([batch])) for r in out.to_pylist()]
+    every = np.full(4, -1)
+    variants = [tuple(r.values()) for out in ld._variants(6, every, every)(iter([batch])) for r in out.to_pylist()]
+    assert sorted(found, key=str) == sorted(want, key=str)
+    assert sorted(variants, key=str) == sorted(want_variants, key=str)
+    assert len(calls) == 3
+    monkeypatch.setattr(ld, "_AT_ONCE", 100)
+    assert sorted(((False, *r.values()) for out in ld._scan(6, False)(iter([batch])) for r in out.to_pylist()), key=str) == sorted((r for r in want if not r[0]), key=str)
