@@ -3,9 +3,14 @@
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Sequence
+import json
+import sys
+from collections.abc import Callable, Iterator, Sequence
 from functools import reduce
+from itertools import repeat
 
+import pyarrow as pa
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, IntegerType, LongType, StringType, StructField, StructType
@@ -14,6 +19,9 @@ from .. import schemas
 from ..functions.predicates import between_dates
 from .tables import stage
 
+# Python workers get the functions themselves, so executors need no copy of the repository.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 
 def envelope(record: StructType) -> StructType:
     return StructType(
@@ -222,29 +230,82 @@ def discover_pages(spark: SparkSession, path: str, multi_line: bool = False) ->
 MAX_DEPTH = 24
 
 
+_NAMED = {dict: "object", list: "array", str: "string", bool: "boolean", type(None): "null"}
+_DIGITS = 38  # of a decimal
+
+
+class _Number(str):
+    """The type of a number, in its place."""
+
+    def __new__(cls, text: str):
+        whole, _, part = text.lstrip("-").partition(".")
+        if whole == text.lstrip("-") and whole.isdigit() and len(whole) <= 19 and -(1 << 63) <= int(text) < 1 << 63:
+            return str.__new__(cls, "bigint")
+        exact = (whole + part).isdigit() and len((whole + part).lstrip("0")) <= _DIGITS and len(part) <= _DIGITS
+        return str.__new__(cls, "decimal" if exact else "double")
+
+
+class _Field:
+    """Counts by type of one field, and the fields and elements in it."""
+
+    __slots__ = ("name", "counts", "inner")
+
+    def __init__(self, name: str):
+        self.name, self.counts, self.inner = name, {}, {}
+
+    def add(self, value, depth: int) -> None:
+        kind = _NAMED.get(type(value), value)
+        self.counts[kind] = self.counts.get(kind, 0) + 1
+        if depth <= 1 or (kind != "object" and kind != "array"):
+            return
+        for key, inner in value.items() if kind == "object" else zip(repeat(None), value):
+            field = self.inner.get(key)
+            if field is None:
+                top = "" if self.name == "$" else f"{self.name}."
+                field = self.inner[key] = _Field(f"{self.name}[]" if key is None else top + key)
+            field.add(inner, depth - 1)
+
+    def rows(self) -> Iterator[tuple[str, str, int]]:
+        for kind, n in self.counts.items():
+            yield self.name, str(kind), n
+        for field in self.inner.values():
+            yield from field.rows()
+
+
+def _counted_types(max_depth: int) -> Callable:
+    """``file, field, type, n`` of each batch of documents; a missing one is unreadable."""
+    names = ["file", "field", "type", "n"]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        read = json.JSONDecoder(parse_int=_Number, parse_float=_Number).raw_decode
+        for batch in batches:
+            files: dict[str, _Field] = {}
+            rows = []
+            for file, text in zip(batch.column("file").to_pylist(), batch.column("value").to_pylist(), strict=True):
+                if text is None:
+                    rows.append((file, "$", "unreadable", 1))
+                else:
+                    document, _ = read(text.decode("utf-8", "replace").lstrip(" \t\r\n"))
+                    files.setdefault(file, _Field("$")).add(document, max_depth)
+            rows += [(file, *row) for file, top in files.items() for row in top.rows()]
+            if rows:
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in zip(*rows, strict=True)], names)
+
+    return run
+
+
 def schema_sketch(spark: SparkSession, path: str, multi_line: bool = False, max_depth: int = MAX_DEPTH) -> DataFrame:
     """``file, field, type, n``: how many values of each type a field has in each file of JSON documents.
 
     A field in an object in an array is ``questions[].standards[].code``, an element ``questions[]``, the document itself ``$``. Types are
-    ``object, array, string, boolean, bigint, decimal, double, null``, and ``unreadable`` for a document that cannot be parsed.
-    Counts add up, so sketches of several folders merge by ``merge_sketches``. Documents are parsed once, without a schema and so
-    without one type winning over another; each level opens the objects and arrays of the one before.
+    ``object, array, string, boolean, bigint, decimal, double, null``, and ``unreadable`` for a document that cannot be parsed, as Spark's variants have them.
+    Counts add up, so sketches of several folders merge by ``merge_sketches``. Documents are read without a schema and so
+    without one type winning over another; each task goes once through its own and passes on the counts of each batch, not the values.
     """
     text = spark.read.text(path, wholetext=multi_line).select(F.col("_metadata.file_path").alias("file"), "value")
-    level = text.where(F.length(F.trim("value")) > 0).select("file", F.lit("$").alias("field"), F.try_parse_json("value").alias("v"))
-    found = []
-    for _ in range(max_depth):
-        kind = F.lower(F.regexp_extract(F.schema_of_variant("v"), "^[A-Z]+", 0))
-        typed = level.select("file", "field", "v", F.coalesce(F.when(kind == "void", "null").otherwise(kind), F.lit("unreadable")).alias("type"))
-        found.append(stage(typed.groupBy("file", "field", "type").agg(F.count(F.lit(1)).alias("n"))))
-        inner = found[-1].where("type in ('object', 'array')")
-        if inner.isEmpty():
-            break
-        opened = typed.where("type in ('object', 'array')").lateralJoin(spark.tvf.variant_explode(F.col("v").outer()).select("key", F.col("value").alias("inner")))
-        top = F.when(F.col("field") == "$", F.lit("")).otherwise(F.concat("field", F.lit(".")))
-        name = F.when(F.col("type") == "array", F.concat("field", F.lit("[]"))).otherwise(F.concat(top, "key"))
-        level = stage(opened.select("file", name.alias("field"), F.col("inner").alias("v")))
-    return merge_sketches(*found)
+    readable = F.when(F.try_parse_json("value").isNotNull(), F.col("value").cast("binary"))
+    documents = text.where(F.length(F.trim("value")) > 0).select("file", readable.alias("value"))
+    return stage(merge_sketches(documents.mapInArrow(_counted_types(max_depth), "file string, field string, type string, n long")))
 
 
 def merge_sketches(*sketches: DataFrame) -> DataFrame:

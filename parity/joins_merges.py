@@ -16,11 +16,11 @@ from markbook.sources import buckets, pages
 from markbook.sources import reference_tables as ref
 
 from .landing import (
-    DETAIL_DOCUMENTS,
     FLAT_BANDS,
     FLAT_CHOICES,
     FLAT_QUESTION_STANDARDS,
     FLAT_QUESTIONS,
+    detail_documents,
     land_documents,
     land_pages,
 )
@@ -735,7 +735,7 @@ def program_copy(v):
 
 
 def detail(v):
-    return pages.assessment_detail(v.spark, land_documents(v.sql(DETAIL_DOCUMENTS)))
+    return pages.assessment_detail(v.spark, land_documents(detail_documents(v)))
 
 
 @query("flatten_bands", FLAT_BANDS)

@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from markbook.session import scratch_dir
 
-from .views import RESULTS_FROM, achieved, coding_number, described, possible, standard_set
+from .views import RESULTS_FROM, Views, achieved, coding_number, described, possible, standard_set
 
 PAGE_SIZE = 1000
 # Landed text is mostly field names, so it lands compressed. A compressed file is read by one task, so a file of bare records is kept short.
@@ -73,7 +73,7 @@ def land_documents(rows: DataFrame) -> str:
 
 
 # One nested detail document per part: band sets with bands, questions with choices and standards.
-DETAIL_DOCUMENTS = """
+_DETAIL_DOCUMENTS = """
 SELECT CAST(p_partkey AS INT) AS assessment_id,
   transform(sequence(1, 1 + p_size % 2), s -> named_struct('bands',
     transform(sequence(1, 3), b -> named_struct(
@@ -90,8 +90,17 @@ SELECT CAST(p_partkey AS INT) AS assessment_id,
       'standard_id', CAST((p_partkey + q + s) % 11 AS INT), 'code', 'C' || (p_partkey + q + s) % 11,
       'description', 'D' || p_partkey, 'subject', CASE WHEN s = 1 THEN 'Math' END, 'grade_level', 'G' || q))))
     AS questions
-FROM part
+FROM {parts}
 """
+# A document is a hundred times as long as its part, so the parts are spread first, by their number.
+TASK_PARTS = 20_000
+
+
+def detail_documents(v: Views) -> DataFrame:
+    tasks = -(-v.part.count() // TASK_PARTS)
+    spread = f"(SELECT /*+ REPARTITION({tasks}) */ p_partkey, p_size FROM part)"
+    return v.sql(_DETAIL_DOCUMENTS.format(parts=spread if tasks > 1 else "part"))
+
 
 # The same content as flat rows, for DuckDB.
 FLAT_BANDS = """

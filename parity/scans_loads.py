@@ -15,7 +15,7 @@ from markbook.session import scratch_dir
 from markbook.sources import pages, tables
 from markbook.sources import reference_tables as ref
 
-from .landing import DETAIL_DOCUMENTS, envelopes, land_documents, land_pages, write_envelopes
+from .landing import detail_documents, envelopes, land_documents, land_pages, write_envelopes
 from .registry import query
 from .scalar_rules import ASSIGNMENT_SUBJECT
 from .views import Views
@@ -119,7 +119,7 @@ def scan_assessment_metadata(v):
               CAST(1 + p_size % 4 AS INT) AS questions FROM part""",
 )
 def scan_assessment_detail(v):
-    detail = pages.assessment_detail(v.spark, land_documents(v.sql(DETAIL_DOCUMENTS)))
+    detail = pages.assessment_detail(v.spark, land_documents(detail_documents(v)))
     return detail.select(
         "assessment_id", F.size("performance_band_sets").alias("band_sets"), F.size("questions").alias("questions")
     )
@@ -190,7 +190,7 @@ SKETCH = {
     ),
 )
 def schema_sketch(v):
-    sketch = pages.schema_sketch(v.spark, land_documents(v.sql(DETAIL_DOCUMENTS)))
+    sketch = pages.schema_sketch(v.spark, land_documents(detail_documents(v)))
     return sketch.groupBy("field", "type").agg(F.sum("n").alias("n"))
 
 

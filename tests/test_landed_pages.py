@@ -1,6 +1,8 @@
 """Pages that did not land, and a schema sketch of documents that disagree."""
 
 import json
+import re
+from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
@@ -140,3 +142,29 @@ def test_sketch_of_nothing(spark):
     path = scratch_dir(spark)
     land(spark, path, "")
     assert pages.schema_sketch(spark, path).count() == 0
+
+
+def test_sketch_has_the_types_of_variants(spark):
+    path = scratch_dir(spark)
+    numbers = ["1e5", "1.5E2", "-0", "-0.0", "0." + "0" * 37 + "1", "0." + "0" * 38 + "1", "1" * 38 + ".5", "9" * 38, "1" * 39]
+    numbers += ["9223372036854775807", "9223372036854775808", "-9223372036854775808", "-9223372036854775809"]
+    odd = ['{"a": 1, "a": 2}', '{"a": 1} behind', "NaN", "01", ' \t"x"', '"\\ud800"', "[]", "{}", '{"$": {"b": 1}}', '{"a.b": {"": [[true]]}}', '{"é\\u0041": null}']
+    land(spark, path, *numbers, *odd)
+    want = spark.read.text(path).select(F.schema_of_variant(F.try_parse_json("value")).alias("t")).collect()
+    want = Counter({None: "unreadable"}.get(r.t) or re.match("[A-Z]+", r.t)[0].lower() for r in want)
+    sketch = pages.schema_sketch(spark, path).collect()
+    assert {r.type: r.n for r in sketch if r.field == "$" and r.type != "object"} == {k: n for k, n in want.items() if k != "object"}
+    inner = {(r.field, r.type): r.n for r in sketch if r.field != "$" or r.type == "object"}
+    assert inner == {
+        ("$", "object"): want["object"] + 1, ("a", "bigint"): 1, ("b", "bigint"): 1, ("a.b", "object"): 1, ("a.b.", "array"): 1,
+        ("a.b.[]", "array"): 1, ("a.b.[][]", "boolean"): 1, ("éA", "null"): 1,
+    }
+
+
+def test_sketch_stages_counts_and_not_values(spark, monkeypatch):
+    """Whatever the depth, one table is staged, and a task passes on a row for each field and type of a batch."""
+    path, staged = scratch_dir(spark), []
+    land(spark, path, *['{"q": [{"c": [{"l": "A"}, {"l": "B"}]}]}'] * 50)
+    monkeypatch.setattr(pages, "stage", lambda rows: staged.append(rows) or rows)
+    assert {(r.field, r.n) for r in pages.schema_sketch(spark, path).collect()} == {("$", 50), ("q", 50), ("q[]", 50), ("q[].c", 50), ("q[].c[]", 100), ("q[].c[].l", 100)}
+    assert len(staged) == 1

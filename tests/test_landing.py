@@ -51,3 +51,13 @@ def test_nested_records_meet_as_numbers_in_one_list(spark):
     text = plan(Views(spark, SF_DIR).sql(landing.NESTED_RECORDS))
     assert text.count(" collect_list(") + text.count("[collect_list(") == 1
     assert "Michigan" not in text[text.index("ObjectHashAggregate") + 1 :].split("collect_list")[-1]
+
+
+def test_detail_documents_are_made_in_many_tasks(spark, rows, monkeypatch):
+    """Parts lie in few, small files, but their documents are long."""
+    v = Views(spark, SF_DIR)
+    whole = landing.detail_documents(v)
+    monkeypatch.setattr(landing, "TASK_PARTS", v.part.count() // 4)
+    spread = landing.detail_documents(v)
+    assert spread.rdd.getNumPartitions() >= 4
+    assert rows(spread) == rows(whole)
