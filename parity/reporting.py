@@ -340,7 +340,8 @@ def unique_students(v):
                (SELECT COUNT(DISTINCT AssignmentName || StudentID_LASID) FROM results) AS UniqueAssignmentStudents""",
 )
 def summary_vs_detail(v):
-    return reports.summary_vs_detail(summary.summary(v.results), v.results)
+    results = v.spread("results")
+    return reports.summary_vs_detail(summary.summary(results), results)
 
 
 # --- lists -----------------------------------------------------------------------------------------

@@ -351,6 +351,10 @@ ORDERS_FIRST = "JOIN (orders JOIN customer ON o_custkey = c_custkey {rest}) ON l
 PLACES = "JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey"
 
 
+# Line items of one task, in ``Views.spread``.
+TASK_ITEMS = 500_000
+
+
 def orders_first(text: str) -> str:
     """The text with orders, customers and their places joined before the line items."""
     return re.sub(rf"{AS_READ}\s+{PLACES}", ORDERS_FIRST.format(rest=PLACES), text)
@@ -397,8 +401,10 @@ class Views:
             return self.sql(f"SELECT * FROM {name}")
         raise AttributeError(name)
 
-    def sql(self, text: str) -> DataFrame:
+    def sql(self, text: str, item_tasks: int = 1) -> DataFrame:
         full = orders_first(with_views(text))
+        if item_tasks > 1:
+            full = re.sub(r"\bFROM lineitem JOIN\b", f"FROM (SELECT /*+ REPARTITION({item_tasks}, l_orderkey) */ * FROM lineitem) AS items JOIN", full)
         for table in BASE_TABLES:
             full = re.sub(
                 rf"\b(FROM|JOIN)(\s+\(?){table}\b",
@@ -408,6 +414,16 @@ class Views:
         return self.spark.sql(full)
 
 
+    def spread(self, name: str) -> DataFrame:
+        """The view, with its line items dealt by order to tasks of about ``TASK_ITEMS``.
+
+        Line items are a few numbers each and what a view makes of them is ten times as long, so a task that is sized by what it reads can
+        have more than it can hold.
+        """
+        tasks = -(-self.lineitem.count() // TASK_ITEMS)
+        return self.sql(f"SELECT * FROM {name}", tasks) if tasks > 1 else getattr(self, name)
+
+
 class LandedViews(Views):
     """The same views, each written as a parquet table when first asked for."""
 

@@ -4,7 +4,8 @@ import json
 
 from pyspark.sql import functions as F
 
-from parity import landing, page_loads
+from parity import landing, page_loads, reporting, views  # noqa: F401
+from parity.registry import ON_VIEWS
 from parity.views import Views
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -61,3 +62,16 @@ def test_detail_documents_are_made_in_many_tasks(spark, rows, monkeypatch):
     spread = landing.detail_documents(v)
     assert spread.rdd.getNumPartitions() >= 4
     assert rows(spread) == rows(whole)
+
+
+def test_spread_views_are_made_in_more_tasks(spark, rows, monkeypatch):
+    """A task that is sized by the numbers it reads holds no more than ``TASK_ITEMS`` line items."""
+    v = Views(spark, SF_DIR)
+    n = v.lineitem.count()
+    assert plan(v.spread("results")).count("REPARTITION") == 0  # one task holds them all
+    monkeypatch.setattr(views, "TASK_ITEMS", n // 12)
+    spread = v.spread("results")
+    tasks = -(-n // (n // 12))
+    assert plan(spread).count(f"{tasks}), REPARTITION_BY_NUM") == 2  # the results and their second copies
+    assert rows(spread) == rows(v.results)
+    assert "REPARTITION_BY_NUM" in plan(ON_VIEWS["summary_vs_detail"](v))
