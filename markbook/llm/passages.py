@@ -30,10 +30,23 @@ MIN_WORDS = 50
 HASHES = 4
 SIMILARITY = 0.75
 TUPLES, WIDTH = 8, 3
+AT_ONCE = 1 << 15  # shingles of texts worked on together: few enough for the processor's cache
 _SEEDS = np.array([0x9FB21C651E98DF25, 0xD6D018F5C2D0A5B1, 0xA24BAED4963EE407, 0xC3A5C85C97CB3127], np.uint64)
 _TUPLE_SEEDS = hashing.mix(np.arange(1, TUPLES * (WIDTH + 1) + 1, dtype=np.uint64) * _SEEDS[0]).reshape(TUPLES, -1)
 _NO_ID = (1 << 63) - 1
-_PASSAGE = "row long, doc long, hub_row long, hub_doc long, start int, end int, hub_start int, hub_end int, similarity double"
+_PASSAGE = "row long, doc long, hub_row long, hub_doc long, start int, end int, hub_start int, hub_end int, similarity double, own_start int, own_end int"
+
+
+def run_minima(values: np.ndarray, length: int, wanted: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Places of the leftmost minima of all runs of ``length``, or of the ``wanted`` ones, ascending, and the values ranked by value, then by place."""
+    low = (np.uint64(1) << np.uint64(len(values).bit_length())) - np.uint64(1)
+    ranked = (values & ~low) | np.arange(len(values), dtype=np.uint64)
+    least = least_of_runs(ranked, length)
+    if wanted is not None:
+        least = least[wanted]
+    # from run to run the minimum moves to the right
+    moved = np.concatenate([[True], least[1:] != least[:-1]])
+    return (least[moved] & low).astype(np.int64), ranked
 
 
 def compact_windows(values: np.ndarray, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -45,16 +58,7 @@ def compact_windows(values: np.ndarray, length: int) -> tuple[np.ndarray, np.nda
     n = len(values)
     if n < length:
         return (np.empty(0, np.int64),) * 3
-    bits = np.uint64(n.bit_length())
-    low = (np.uint64(1) << bits) - np.uint64(1)
-    ranked = (values & ~low) | np.arange(n, dtype=np.uint64)  # by value, then by place
-    padded = np.full(-(-n // length) * length, ~np.uint64(0))
-    padded[:n] = ranked
-    blocks = padded.reshape(-1, length)
-    ahead = np.minimum.accumulate(blocks[:, ::-1], axis=1)[:, ::-1].ravel()
-    behind = np.minimum.accumulate(blocks, axis=1).ravel()
-    least = np.minimum(ahead[: n - length + 1], behind[length - 1 : n])
-    c = np.unique(least & low).astype(np.int64)
+    c, ranked = run_minima(values, length)
     l, r, stack = np.zeros(len(c), np.int64), np.full(len(c), n - 1), []
     for i, (at, v) in enumerate(zip(c.tolist(), ranked[c].tolist(), strict=True)):
         while stack and stack[-1][1] > v:
@@ -64,8 +68,10 @@ def compact_windows(values: np.ndarray, length: int) -> tuple[np.ndarray, np.nda
     return l, c, r
 
 
-def _texts(batch: pa.RecordBatch) -> Iterator[tuple[int, int, np.ndarray]]:
+def _texts(batch: pa.RecordBatch, wanted: Callable[[int], bool] = lambda row: True) -> Iterator[tuple[int, int, np.ndarray]]:
     for row, doc, text in zip(batch.column("row").to_pylist(), batch.column("doc").to_pylist(), batch.column("text"), strict=True):
+        if not wanted(row):
+            continue
         words = hashing.word_hashes(text.as_py())
         if len(words) >= SHINGLE:
             yield row, doc, hashing.shingle_hashes(words, SHINGLE)
@@ -74,22 +80,31 @@ def _texts(batch: pa.RecordBatch) -> Iterator[tuple[int, int, np.ndarray]]:
 def _windows(length: int) -> Callable:
     names, types = ["row", "doc", "fs", "key", "c"], [pa.int64(), pa.int64(), pa.int32(), pa.int64(), pa.int32()]
 
+    def windows(texts: list[tuple[int, int, np.ndarray]]) -> pa.RecordBatch:
+        sizes = np.array([len(x) for *_, x in texts])
+        ends = np.cumsum(sizes)
+        shingles, text, parts = np.concatenate([x for *_, x in texts]), np.repeat(np.arange(len(texts)), sizes), []
+        whole = ends[text[: len(text) - length + 1]] >= np.arange(length, len(text) + 1)  # runs within a text
+        for f, seed in enumerate(_SEEDS[:HASHES]):
+            values = hashing.mix(shingles ^ seed)
+            c, _ = run_minima(values, length, whole)
+            parts.append((text[c], np.full(len(c), 1 << f), values[c].view(np.int64), c))
+        of, fs, key, c = (np.concatenate(x) for x in zip(*parts, strict=True))
+        row, doc = (np.array(x, np.int64)[of] for x in list(zip(*texts, strict=True))[:2])
+        return pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip((row, doc, fs, key, c - (ends - sizes)[of]), types, strict=True)], names)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            parts, n = [], 0
-            for row, doc, shingles in _texts(batch):
-                if len(shingles) < length:
-                    continue
-                for f, seed in enumerate(_SEEDS[:HASHES]):
-                    values = hashing.mix(shingles ^ seed)
-                    _, c, _ = compact_windows(values, length)
-                    parts.append([np.full(len(c), row), np.full(len(c), doc), np.full(len(c), 1 << f), values[c].view(np.int64), c])
-                    n += len(c)
-                if n > 100_000:
-                    yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x), t) for x, t in zip(zip(*parts, strict=True), types, strict=True)], names)
-                    parts, n = [], 0
-            if n:
-                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x), t) for x, t in zip(zip(*parts, strict=True), types, strict=True)], names)
+            texts, n = [], 0
+            for text in _texts(batch):
+                if len(text[2]) >= length:
+                    texts.append(text)
+                    n += len(text[2])
+                if n > AT_ONCE:
+                    yield windows(texts)
+                    texts, n = [], 0
+            if texts:
+                yield windows(texts)
 
     return run
 
@@ -97,29 +112,46 @@ def _windows(length: int) -> Callable:
 def _shingles(bits: np.ndarray) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = [(row, s.astype(np.uint32).tobytes()) for row, _, s in _texts(batch) if has_bit(bits, row)]
+            rows = [(row, s.astype(np.uint32).tobytes()) for row, _, s in _texts(batch, lambda row: has_bit(bits, row))]
             if rows:
                 yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.binary())], ["row", "shingles"])
 
     return run
 
 
-def shared_run(marks: np.ndarray, at: int, share: float) -> tuple[int, int]:
-    """The longest run around ``at`` of which at least ``share`` are marked, and that ends on marks; empty if ``at`` is none."""
-    if not marks[at]:
-        return at, at
+class Runs:
+    """Longest runs of which at least a share are marked, and that end on marks, around any place. The furthest end of each start is worked out once a share."""
+
+    def __init__(self, marks: np.ndarray):
+        self.marks, self.kept = marks, {}
+
+    def around(self, at: int, share: float) -> tuple[int, int]:
+        if not self.marks[at]:
+            return at, at
+        if share not in self.kept:
+            starts = np.flatnonzero(self.marks)
+            far = furthest_ends(self.marks, starts, share)
+            best = int((far - starts).argmax())
+            self.kept[share] = starts, far, int(starts[best]), int(far[best])
+        starts, far, lo, hi = self.kept[share]
+        if lo <= at < hi:
+            return lo, hi
+        n = int(starts.searchsorted(at, side="right"))
+        best = int(np.where(far[:n] > at, far[:n] - starts[:n], 0).argmax())
+        return int(starts[best]), int(far[best])
+
+
+def furthest_ends(marks: np.ndarray, starts: np.ndarray, share: float) -> np.ndarray:
+    """For each marked start the furthest end, behind a mark, of a run with enough marks."""
     up = np.concatenate([[0.0], np.cumsum(marks - share)])  # a run lo..hi-1 has enough marks if up[hi] >= up[lo]
-    starts = np.flatnonzero(marks[: at + 1])
-    ends = np.flatnonzero(marks[at:]) + at + 1
-    # for each start its furthest end: ends whose sum is the highest of those still to come
-    ahead = np.maximum.accumulate(up[ends][::-1])[::-1]
+    ahead = np.maximum.accumulate(up[starts + 1][::-1])[::-1]  # ends whose sum is the highest of those still to come
     last = np.searchsorted(-ahead, -up[starts] + 1e-9, side="right") - 1
-    good = last >= 0
-    if not good.any():
-        return at, at + 1
-    spans = ends[last[good]] - starts[good]
-    best = int(spans.argmax())
-    return int(starts[good][best]), int(ends[last[good]][best])
+    return starts[np.maximum(last, 0)] + 1
+
+
+def shared_run(marks: np.ndarray, at: int, share: float) -> tuple[int, int]:
+    """The longest run around ``at`` of which at least ``share`` are marked, and that ends on marks; empty if ``at`` is none."""
+    return Runs(marks).around(at, share)
 
 
 def run_cover(marks: np.ndarray, share: float, length: int) -> np.ndarray:
@@ -127,10 +159,7 @@ def run_cover(marks: np.ndarray, share: float, length: int) -> np.ndarray:
     cover = np.zeros(len(marks) + 1, np.int64)
     starts = np.flatnonzero(marks)
     if len(starts):
-        up = np.concatenate([[0.0], np.cumsum(marks - share)])
-        ahead = np.maximum.accumulate(up[starts + 1][::-1])[::-1]  # best sum at or behind each end
-        last = np.searchsorted(-ahead, -up[starts] + 1e-9, side="right") - 1
-        far = starts[np.maximum(last, 0)] + 1
+        far = furthest_ends(marks, starts, share)
         good = far - starts >= length
         np.add.at(cover, starts[good], 1)
         np.add.at(cover, far[good], -1)
@@ -155,36 +184,58 @@ def least_of_runs(values: np.ndarray, length: int) -> np.ndarray:
 
 def _joint(length: int) -> Callable:
     """Keys of the runs of texts given by their shared shingles: the minima of a tuple of functions, the place of the first, and one more minimum."""
-    names, types = ["row", "doc", "key", "more", "c"], [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int32()]
+    names, types = ["row", "doc", "key", "more", "c", "open"], [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.bool_()]
 
-    def keys(at: np.ndarray, shingles: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+    def pieces(row: int, doc: int, at: np.ndarray, shingles: np.ndarray, spans: pa.Scalar) -> Iterator[tuple]:
+        """Stretches of a text that alike runs cover: where they start, their shingles, which of them are known and which places are open."""
         first = int(at.min())
-        marks = np.zeros(int(at.max()) - first + 1)
-        marks[at - first] = 1.0
-        cover = run_cover(marks, SIMILARITY, length)
-        values = np.zeros(len(marks), np.uint64)
-        values[at - first] = shingles
-        for lo, hi in stretches(cover).tolist():
-            bits = np.uint64((hi - lo).bit_length())
-            low = (np.uint64(1) << bits) - np.uint64(1)
-            place, known, own = np.arange(hi - lo, dtype=np.uint64), marks[lo:hi] > 0, values[lo:hi]
-            for t, seeds in enumerate(_TUPLE_SEEDS):
-                found = [least_of_runs(np.where(known, (hashing.mix(own ^ seed) & ~low) | place, ~np.uint64(0)), length) for seed in seeds]
-                found = np.array(found)[:, found[0] != ~np.uint64(0)]  # runs with a shared shingle, the same for every function
-                found = found[:, np.concatenate([np.ones(min(1, found.shape[1]), bool), (found[:-1, 1:] != found[:-1, :-1]).any(axis=0)])]
-                at_least = (found & low).astype(np.int64)
-                key = np.full(found.shape[1], seeds[0])
-                for w in range(WIDTH):
-                    key = hashing.mix(key ^ hashing.mix(own[at_least[w]] + seeds[w]))
-                yield key, hashing.mix(own[at_least[WIDTH]] ^ seeds[WIDTH]), at_least[0] + lo + first
+        marks, values = np.zeros(int(at.max()) - first + 1), np.zeros(int(at.max()) - first + 1, np.uint64)
+        marks[at - first], values[at - first] = 1.0, shingles
+        edges = stretches(run_cover(marks, SIMILARITY, length)).tolist()
+        if edges:
+            inside = np.zeros(len(marks) + 1, np.int64)
+            if spans.is_valid:
+                for f, step in (("start", 1), ("end", -1)):
+                    np.add.at(inside, np.clip(spans.values.field(f).to_numpy() - first, 0, len(marks)), step)
+            still = np.cumsum(inside) == 0
+            for lo, hi in edges:
+                yield row, doc, lo + first, values[lo:hi], marks[lo:hi] > 0, still[lo:hi]
+
+    def keys(rows: list[int], docs: list[int], starts: list[int], *arrays: list[np.ndarray]) -> pa.RecordBatch:
+        sizes = np.array([len(x) for x in arrays[0]])
+        ends = np.cumsum(sizes)
+        own, known, still = (np.concatenate(x) for x in arrays)
+        of, place = np.repeat(np.arange(len(sizes)), sizes), np.arange(len(own), dtype=np.uint64)
+        whole = ends[of[: len(own) - length + 1]] >= np.arange(length, len(own) + 1)  # runs within a stretch
+        low = (np.uint64(1) << np.uint64(len(own).bit_length())) - np.uint64(1)
+        out = []
+        for seeds in _TUPLE_SEEDS:
+            found = np.array([least_of_runs(np.where(known, (hashing.mix(own ^ seed) & ~low) | place, ~np.uint64(0)), length)[whole] for seed in seeds])
+            found = found[:, found[0] != ~np.uint64(0)]  # runs with a shared shingle, the same for every function
+            found = found[:, np.concatenate([np.ones(min(1, found.shape[1]), bool), (found[:-1, 1:] != found[:-1, :-1]).any(axis=0)])]
+            at_least = (found & low).astype(np.int64)
+            key = np.full(found.shape[1], seeds[0])
+            for w in range(WIDTH):
+                key = hashing.mix(key ^ hashing.mix(own[at_least[w]] + seeds[w]))
+            out.append((key.view(np.int64), hashing.mix(own[at_least[WIDTH]] ^ seeds[WIDTH]).view(np.int64), at_least[0]))
+        key, more, c = (np.concatenate(x) for x in zip(*out, strict=True))
+        row, doc, start = (np.array(x, np.int64)[of[c]] for x in (rows, docs, starts))
+        return pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip((row, doc, key, more, c - (ends - sizes)[of[c]] + start, still[c]), types, strict=True)], names)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for row, doc, marked in zip(batch.column("row").to_pylist(), batch.column("doc").to_pylist(), batch.column("marked"), strict=True):
+            found, n = [], 0
+            columns = [batch.column(c) for c in ("marked", "spans")]
+            for row, doc, marked, spans in zip(batch.column("row").to_pylist(), batch.column("doc").to_pylist(), *columns, strict=True):
                 at, shingles = (marked.values.field(f).to_numpy(zero_copy_only=False) for f in ("at", "sh"))
-                parts = [[np.full(len(c), row), np.full(len(c), doc), key.view(np.int64), more.view(np.int64), c] for key, more, c in keys(at, shingles.view(np.uint64))]
-                if parts:
-                    yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x), t) for x, t in zip(zip(*parts, strict=True), types, strict=True)], names)
+                new = [*pieces(row, doc, at, shingles.view(np.uint64), spans)]
+                found += new
+                n += sum(len(x[3]) for x in new)
+                if n > AT_ONCE:
+                    yield keys(*zip(*found, strict=True))
+                    found, n = [], 0
+            if found:
+                yield keys(*zip(*found, strict=True))
 
     return run
 
@@ -194,6 +245,7 @@ def _spread(length: int) -> Callable:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
+            parts, n = [], 0
             for row, text, places in zip(batch.column("row").to_pylist(), batch.column("text"), batch.column("places"), strict=True):
                 s = hashing.shingle_hashes(hashing.word_hashes(text.as_py()), SHINGLE)
                 c = places.values.to_numpy()
@@ -201,37 +253,63 @@ def _spread(length: int) -> Callable:
                 np.add.at(near, np.maximum(c - length + 1, 0), 1)
                 np.add.at(near, np.minimum(c + length, len(s)), -1)
                 at = np.flatnonzero(np.cumsum(near[:-1]))
-                yield pa.RecordBatch.from_arrays([np.full(len(at), row), pa.array(at, pa.int32()), s[at].view(np.int64)], ["row", "at", "sh"])
+                parts.append((np.full(len(at), row), at.astype(np.int32), s[at].view(np.int64)))
+                n += len(at)
+                if n > AT_ONCE:
+                    yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in zip(*parts, strict=True)], ["row", "at", "sh"])
+                    parts, n = [], 0
+            if parts:
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x)) for x in zip(*parts, strict=True)], ["row", "at", "sh"])
 
     return run
 
 
-def match_passage(x: np.ndarray, y: np.ndarray, common: np.ndarray, at_x: int, at_y: int, length: int, kinds: int) -> tuple[int, int, int, int, float] | None:
+class _Sides:
+    """A stretch of either text. What was found for a run is kept until the next run with that share: most anchors have the same."""
+
+    def __init__(self, x: np.ndarray, y: np.ndarray, runs: Runs, kinds: int):
+        self.x, self.y, self.runs, self.kinds, self.kept = x, y, runs, kinds, {}
+
+    def of_run(self, share: float, lo: int, hi: int) -> tuple[np.ndarray, Runs, dict]:
+        if self.kept.get(share, (None,))[0] != (lo, hi):
+            of_x = np.zeros(self.kinds, bool)
+            of_x[self.x[lo:hi]] = True
+            self.kept[share] = (lo, hi), (of_x, Runs(of_x[self.y].astype(float)), {})
+        return self.kept[share][1]
+
+
+def match_passage(sides: _Sides, at_x: int, at_y: int, length: int) -> tuple[int, int, int, int, float] | None:
     """``start, end`` in x, ``start, end`` in y and the similarity of the passage around a common shingle.
 
-    Shingles are numbers below ``kinds``; ``common`` marks those of x that y has. Ends are behind the last shingle. None if there is no run of ``length`` shingles with similarity of at least 3/4. The longest
+    Shingles are numbers below ``kinds``; the runs of x are those of the shingles that y has. Ends are behind the last shingle. None if there is no run of ``length`` shingles with similarity of at least 3/4. The longest
     run is tried first; where its two sides are less alike, runs with fewer strange shingles, and then with none.
     """
     widest = 2 * SIMILARITY / (1 + SIMILARITY)  # of either side, when both have the same length; of the longer one SIMILARITY may do
     for share in (SIMILARITY, widest, (1 + widest) / 2, 1.0):
-        lo, hi = shared_run(common, at_x, share)
+        lo, hi = sides.runs.around(at_x, share)
         if hi - lo < length:
             return None
-        of_x, of_y = np.zeros(kinds, bool), np.zeros(kinds, bool)
-        of_x[x[lo:hi]] = True
-        low, high = shared_run(of_x[y].astype(float), at_y, share)
-        of_y[y[low:high]] = True
-        both = int(np.count_nonzero(of_x & of_y))
-        similarity = both / max(1, int(np.count_nonzero(of_x)) + int(np.count_nonzero(of_y)) - both)
-        if high - low >= length and similarity >= SIMILARITY:
-            return lo, hi, low, high, similarity
+        of_x, runs, alike = sides.of_run(share, lo, hi)
+        low, high = runs.around(at_y, share)
+        if high - low < length:
+            continue
+        if (low, high) not in alike:
+            of_y = np.zeros(sides.kinds, bool)
+            of_y[sides.y[low:high]] = True
+            both = int(np.count_nonzero(of_x & of_y))
+            alike[low, high] = both / max(1, int(np.count_nonzero(of_x)) + int(np.count_nonzero(of_y)) - both)
+        if alike[low, high] >= SIMILARITY:
+            return lo, hi, low, high, alike[low, high]
     return None
 
 
 def _verify(length: int) -> Callable:
-    """Passages of each pair of texts; anchors in a passage already found are not tried again."""
-    names = ["row", "doc", "hub_row", "hub_doc", "start", "end", "hub_start", "hub_end", "similarity"]
-    types = [pa.int64()] * 4 + [pa.int32()] * 4 + [pa.float64()]
+    """Passages of each pair of texts; anchors in a passage already found are not tried again.
+
+    ``own_start, own_end``: the places of which every run of ``length`` stands in the hub as it is; none where the passages differ.
+    """
+    names = ["row", "doc", "hub_row", "hub_doc", "start", "end", "hub_start", "hub_end", "similarity", "own_start", "own_end"]
+    types = [pa.int64()] * 4 + [pa.int32()] * 4 + [pa.float64()] + [pa.int32()] * 2
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -239,7 +317,10 @@ def _verify(length: int) -> Callable:
             columns = [batch.column(c).to_pylist() for c in ("row", "doc", "hub_row", "hub_doc")]
             for row, doc, hub_row, hub_doc, x, y, anchors in zip(*columns, *(batch.column(c) for c in ("x", "y", "anchors")), strict=True):
                 x, y = (np.frombuffer(v.as_buffer(), np.uint32) for v in (x, y))
-                found, both = [], np.concatenate([x, y])
+                if len(x) == len(y) and len(x) >= length and (x == y).all():
+                    out.append((row, doc, hub_row, hub_doc, 0, len(x), 0, len(x), 1.0, 0, len(x)))
+                    continue
+                found, sides, both = [], {}, np.concatenate([x, y])
                 order = np.argsort(both)
                 number = np.empty(len(both), np.int64)
                 number[order] = np.cumsum(np.concatenate([[False], both[order][1:] != both[order][:-1]]))
@@ -259,10 +340,15 @@ def _verify(length: int) -> Callable:
                         continue
                     lo, hi = edges_x[np.searchsorted(edges_x[:, 0], c, side="right") - 1].tolist()
                     low, high = edges_y[np.searchsorted(edges_y[:, 0], hc, side="right") - 1].tolist()
-                    p = match_passage(x[lo:hi], y[low:high], common[lo:hi], c - lo, hc - low, length, kinds)
+                    if (lo, low) not in sides:
+                        sides[lo, low] = _Sides(x[lo:hi], y[low:high], Runs(common[lo:hi]), kinds)
+                    p = match_passage(sides[lo, low], c - lo, hc - low, length)
                     if p:
                         found.append((p[0] + lo, p[1] + lo, p[2] + low, p[3] + low, p[4]))
-                out += [(row, doc, hub_row, hub_doc, *p) for p in _outermost(found)]
+                for p in _outermost(found):
+                    same = p[1] - p[0] == p[3] - p[2] and (x[p[0] : p[1]] == y[p[2] : p[3]]).all()
+                    own = (p[0] and p[0] + length - 1, p[1] if p[1] == len(x) else p[1] - length + 1) if same else (0, 0)
+                    out.append((row, doc, hub_row, hub_doc, *p, *own))
             if out:
                 yield pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(zip(*out, strict=True), types, strict=True)], names)
 
@@ -276,20 +362,19 @@ def _outermost(found: list[tuple]) -> list[tuple]:
 
 def _meet(rows: DataFrame) -> DataFrame:
     """Rows of groups (by ``key``) with the group's first row, where the group has several texts."""
-    order = Window.partitionBy("key").orderBy("doc", "row", "c")
-    whole = order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    met = rows.withColumns({"hub": F.first(F.struct("row", "doc", "c")).over(order.rowsBetween(Window.unboundedPreceding, 0)), "last": F.last("row").over(whole)})
-    return met.where("hub.row <> last").drop("last")
+    own, group = F.struct("doc", "row", "c"), Window.partitionBy("key")
+    met = rows.withColumns({"hub": F.min(own).over(group), "last": F.max(own).over(group)})
+    return met.where("hub.row <> last.row").drop("last")
 
 
 def _meet_near(rows: DataFrame) -> DataFrame:
-    """Pairs of rows of a group: each row with the group's first and with the one before it by ``more``. The later text is ``row``, the other one in ``o``."""
+    """Pairs of rows of a group: each row with the group's first and with the one before it by ``more``. The later text is ``row`` and its place is open, the other one in ``o``."""
     order = Window.partitionBy("key").orderBy("more", "doc", "row", "c")
-    own = F.struct("doc", "row", "c")
+    own = F.struct("doc", "row", "c", "open")
     # the first by text, and not by ``more``: the same for all tuples in which a group meets
-    met = rows.withColumns({"hub": F.min(own).over(Window.partitionBy("key")), "before": F.lag(own).over(order)})
+    met = rows.withColumns({"hub": F.min(own).over(order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)), "before": F.lag(own).over(order)})
     met = met.select(own.alias("x"), F.explode(F.array("hub", "before")).alias("y")).where("x.row <> y.row")
-    return met.select(F.greatest("x", "y").alias("x"), F.least("x", "y").alias("o")).select("x.*", "o").distinct()
+    return met.select(F.greatest("x", "y").alias("x"), F.least("x", "y").alias("o")).where("x.open").select("x.doc", "x.row", "x.c", "o")
 
 
 class _Search:
@@ -324,15 +409,22 @@ class _Search:
         inside = F.exists("spans", lambda s: (F.col("c") >= s["start"]) & (F.col("c") < s["end"]))
         return met.where("o.row <> row").join(spans, "row", "left").where(~F.coalesce(inside, F.lit(False))).drop("spans")
 
+    def first_hand(self, rows: DataFrame) -> DataFrame:
+        """Rows without those of which every run stands in an earlier text as it is: whatever is like them is like that text's."""
+        spans = self.passages.where("own_start < own_end").groupBy("row").agg(F.collect_set(F.struct("own_start", "own_end")).alias("own"))  # of one text
+        inside = F.exists("own", lambda s: (F.col("c") >= s["own_start"]) & (F.col("c") < s["own_end"]))
+        return rows.join(spans, "row", "left").where(~F.coalesce(inside, F.lit(False))).drop("own")
+
     def shared_shingles(self, rows: DataFrame) -> DataFrame:
         """``row, doc, marked`` of texts around the places ``c`` of ``rows``: place and hash of the shingles that another of the texts has there."""
         places = rows.groupBy("row").agg(F.collect_set("c").alias("places"))  # of one text
         spread = self.texts.drop("doc").join(places, "row").mapInArrow(_spread(self.length), "row long, at int, sh long")
-        spread = self.shared.cut(spread, "spread", "zstd")
-        twice = spread.groupBy("sh").agg(F.min("row").alias("a"), F.max("row").alias("b")).where("a <> b").select("sh")
-        marked = spread.join(self.shared.cut(twice, "twice", "zstd"), "sh", "left_semi")
-        marked = marked.groupBy("row").agg(F.collect_set(F.struct("at", "sh")).alias("marked"))  # of one text
-        return marked.join(rows.select("row", "doc").distinct(), "row")
+        group = Window.partitionBy("sh")
+        marked = spread.withColumns({"a": F.min("row").over(group), "b": F.max("row").over(group)}).where("a <> b")
+        marked = self.shared.cut(marked.select("row", "at", "sh"), "marked", "zstd")
+        marked = marked.groupBy("row").agg(F.collect_list(F.struct("at", "sh")).alias("marked"))  # of one text; rows that come twice do no harm
+        spans = self.passages.groupBy("row").agg(F.collect_set(F.struct("start", "end")).alias("spans"))
+        return marked.join(rows.groupBy("row").agg(F.min("doc").alias("doc")), "row").join(spans, "row", "left")
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", min_words: int = MIN_WORDS) -> DataFrame:
@@ -356,12 +448,11 @@ def repeated_passages(spark: SparkSession, docs: DataFrame, id_column: str = "do
 
     # groups with open places: those themselves, and all that may be their partners
     still = search.open_rows(met).select("key").distinct()
-    partners = shared.cut(met.join(still, "key", "left_semi").select("row", "doc", "c").distinct(), "open")
+    partners = shared.cut(search.first_hand(met.join(still, "key", "left_semi").select("row", "doc", "c")), "open")
     shared.drop(met)
     if not partners.isEmpty():
-        joint = search.shared_shingles(partners).mapInArrow(_joint(length), "row long, doc long, key long, more long, c int")
-        again = shared.cut(_meet_near(joint), "again", "zstd")
-        search.verify(search.open_rows(again).withColumn("fs", F.lit(1)), 1)
+        joint = search.shared_shingles(partners).mapInArrow(_joint(length), "row long, doc long, key long, more long, c int, open boolean")
+        search.verify(_meet_near(joint).withColumn("fs", F.lit(1)), 1)
 
     given = lambda c: F.when(F.col(c) != _NO_ID, F.col(c))
     found = search.passages.select(
