@@ -34,7 +34,7 @@ AT_ONCE = 1 << 15  # shingles of texts worked on together: few enough for the pr
 _SEEDS = np.array([0x9FB21C651E98DF25, 0xD6D018F5C2D0A5B1, 0xA24BAED4963EE407, 0xC3A5C85C97CB3127], np.uint64)
 _TUPLE_SEEDS = hashing.mix(np.arange(1, TUPLES * (WIDTH + 1) + 1, dtype=np.uint64) * _SEEDS[0]).reshape(TUPLES, -1)
 _NO_ID = (1 << 63) - 1
-_PASSAGE = "row long, doc long, hub_row long, hub_doc long, start int, end int, hub_start int, hub_end int, similarity double, own_start int, own_end int"
+_PASSAGE = "row long, doc long, hub_row long, hub_doc long, start int, end int, hub_start int, hub_end int, similarity double, same boolean"
 
 
 def run_minima(values: np.ndarray, length: int, wanted: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
@@ -184,29 +184,29 @@ def least_of_runs(values: np.ndarray, length: int) -> np.ndarray:
 
 def _joint(length: int) -> Callable:
     """Keys of the runs of texts given by their shared shingles: the minima of a tuple of functions, the place of the first, and one more minimum."""
-    names, types = ["row", "doc", "key", "more", "c", "open"], [pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.bool_()]
+    names, types = ["row", "doc", "key", "more", "c", "open"], [pa.int64(), pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.bool_()]
 
     def pieces(row: int, doc: int, at: np.ndarray, shingles: np.ndarray, spans: pa.Scalar) -> Iterator[tuple]:
-        """Stretches of a text that alike runs cover: where they start, their shingles, which of them are known and which places are open."""
+        """Stretches of a text that alike runs cover: where they start, their shingles, which of them are known, which places are open and where a run starts that does not stand in an earlier text as it is."""
         first = int(at.min())
         marks, values = np.zeros(int(at.max()) - first + 1), np.zeros(int(at.max()) - first + 1, np.uint64)
         marks[at - first], values[at - first] = 1.0, shingles
         edges = stretches(run_cover(marks, SIMILARITY, length)).tolist()
         if edges:
-            inside = np.zeros(len(marks) + 1, np.int64)
+            still = np.ones(len(marks), bool)
             if spans.is_valid:
-                for f, step in (("start", 1), ("end", -1)):
-                    np.add.at(inside, np.clip(spans.values.field(f).to_numpy() - first, 0, len(marks)), step)
-            still = np.cumsum(inside) == 0
+                still = ~covered(*(spans.values.field(f).to_numpy() - first for f in ("start", "end")), len(marks))
+            new = ~repeats(spans, first, len(marks), length)
             for lo, hi in edges:
-                yield row, doc, lo + first, values[lo:hi], marks[lo:hi] > 0, still[lo:hi]
+                yield row, doc, lo + first, values[lo:hi], marks[lo:hi] > 0, still[lo:hi], new[lo:hi]
 
     def keys(rows: list[int], docs: list[int], starts: list[int], *arrays: list[np.ndarray]) -> pa.RecordBatch:
         sizes = np.array([len(x) for x in arrays[0]])
         ends = np.cumsum(sizes)
-        own, known, still = (np.concatenate(x) for x in arrays)
+        own, known, still, new = (np.concatenate(x) for x in arrays)
         of, place = np.repeat(np.arange(len(sizes)), sizes), np.arange(len(own), dtype=np.uint64)
         whole = ends[of[: len(own) - length + 1]] >= np.arange(length, len(own) + 1)  # runs within a stretch
+        whole &= new[: len(whole)]
         low = (np.uint64(1) << np.uint64(len(own).bit_length())) - np.uint64(1)
         out = []
         for seeds in _TUPLE_SEEDS:
@@ -217,7 +217,7 @@ def _joint(length: int) -> Callable:
             key = np.full(found.shape[1], seeds[0])
             for w in range(WIDTH):
                 key = hashing.mix(key ^ hashing.mix(own[at_least[w]] + seeds[w]))
-            out.append((key.view(np.int64), hashing.mix(own[at_least[WIDTH]] ^ seeds[WIDTH]).view(np.int64), at_least[0]))
+            out.append((key.view(np.int64), hashing.mix(own[at_least[WIDTH]] ^ seeds[WIDTH]).astype(np.uint32).view(np.int32), at_least[0]))
         key, more, c = (np.concatenate(x) for x in zip(*out, strict=True))
         row, doc, start = (np.array(x, np.int64)[of[c]] for x in (rows, docs, starts))
         return pa.RecordBatch.from_arrays([pa.array(x, t) for x, t in zip((row, doc, key, more, c - (ends - sizes)[of[c]] + start, still[c]), types, strict=True)], names)
@@ -225,10 +225,9 @@ def _joint(length: int) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found, n = [], 0
-            columns = [batch.column(c) for c in ("marked", "spans")]
-            for row, doc, marked, spans in zip(batch.column("row").to_pylist(), batch.column("doc").to_pylist(), *columns, strict=True):
-                at, shingles = (marked.values.field(f).to_numpy(zero_copy_only=False) for f in ("at", "sh"))
-                new = [*pieces(row, doc, at, shingles.view(np.uint64), spans)]
+            columns = [batch.column(c) for c in ("at", "sh", "spans")]
+            for row, doc, at, shingles, spans in zip(batch.column("row").to_pylist(), batch.column("doc").to_pylist(), *columns, strict=True):
+                new = [*pieces(row, doc, at.values.to_numpy(), shingles.values.to_numpy().view(np.uint64), spans)]
                 found += new
                 n += sum(len(x[3]) for x in new)
                 if n > AT_ONCE:
@@ -240,19 +239,38 @@ def _joint(length: int) -> Callable:
     return run
 
 
+def covered(lo: np.ndarray, hi: np.ndarray, n: int) -> np.ndarray:
+    """Places of ``n`` in at least one of the spans ``lo..hi-1``; spans may be empty or go beyond the ends."""
+    steps = np.zeros(n + 1, np.int64)
+    lo, hi = np.clip(lo, 0, n), np.clip(hi, 0, n)
+    np.add.at(steps, lo[lo < hi], 1)
+    np.add.at(steps, hi[lo < hi], -1)
+    return np.cumsum(steps[:-1]) > 0
+
+
+def repeats(spans: pa.Scalar, first: int, n: int, length: int) -> np.ndarray:
+    """Of ``n`` runs of ``length``, from place ``first`` on, those in a passage that is the ``same`` in the hub."""
+    if not spans.is_valid:
+        return np.zeros(n, bool)
+    start, end, same = (spans.values.field(f).to_numpy(zero_copy_only=False) for f in ("start", "end", "same"))
+    return covered(start[same] - first, end[same] - first - length + 1, n)
+
+
 def _spread(length: int) -> Callable:
-    """``row, at, sh``: the shingles of each text that a run of ``length`` around one of its ``places`` can hold."""
+    """``row, at, sh``: the shingles of each text in runs of ``length`` around one of its ``places``.
+
+    Runs that stand in an earlier text as they are do not count: that text has them too, with the same minima, and what is like them meets it there.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             parts, n = [], 0
-            for row, text, places in zip(batch.column("row").to_pylist(), batch.column("text"), batch.column("places"), strict=True):
+            for row, text, places, spans in zip(batch.column("row").to_pylist(), *(batch.column(c) for c in ("text", "places", "spans")), strict=True):
                 s = hashing.shingle_hashes(hashing.word_hashes(text.as_py()), SHINGLE)
                 c = places.values.to_numpy()
-                near = np.zeros(len(s) + 1, np.int64)
-                np.add.at(near, np.maximum(c - length + 1, 0), 1)
-                np.add.at(near, np.minimum(c + length, len(s)), -1)
-                at = np.flatnonzero(np.cumsum(near[:-1]))
+                runs = covered(c - length + 1, c + 1, len(s) - length + 1) & ~repeats(spans, 0, len(s) - length + 1, length)
+                runs = np.flatnonzero(runs)
+                at = np.flatnonzero(covered(runs, runs + length, len(s)))
                 parts.append((np.full(len(at), row), at.astype(np.int32), s[at].view(np.int64)))
                 n += len(at)
                 if n > AT_ONCE:
@@ -306,10 +324,10 @@ def match_passage(sides: _Sides, at_x: int, at_y: int, length: int) -> tuple[int
 def _verify(length: int) -> Callable:
     """Passages of each pair of texts; anchors in a passage already found are not tried again.
 
-    ``own_start, own_end``: the places of which every run of ``length`` stands in the hub as it is; none where the passages differ.
+    ``same``: the passage stands in the hub as it is.
     """
-    names = ["row", "doc", "hub_row", "hub_doc", "start", "end", "hub_start", "hub_end", "similarity", "own_start", "own_end"]
-    types = [pa.int64()] * 4 + [pa.int32()] * 4 + [pa.float64()] + [pa.int32()] * 2
+    names = ["row", "doc", "hub_row", "hub_doc", "start", "end", "hub_start", "hub_end", "similarity", "same"]
+    types = [pa.int64()] * 4 + [pa.int32()] * 4 + [pa.float64(), pa.bool_()]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -318,7 +336,7 @@ def _verify(length: int) -> Callable:
             for row, doc, hub_row, hub_doc, x, y, anchors in zip(*columns, *(batch.column(c) for c in ("x", "y", "anchors")), strict=True):
                 x, y = (np.frombuffer(v.as_buffer(), np.uint32) for v in (x, y))
                 if len(x) == len(y) and len(x) >= length and (x == y).all():
-                    out.append((row, doc, hub_row, hub_doc, 0, len(x), 0, len(x), 1.0, 0, len(x)))
+                    out.append((row, doc, hub_row, hub_doc, 0, len(x), 0, len(x), 1.0, True))
                     continue
                 found, sides, both = [], {}, np.concatenate([x, y])
                 order = np.argsort(both)
@@ -346,9 +364,8 @@ def _verify(length: int) -> Callable:
                     if p:
                         found.append((p[0] + lo, p[1] + lo, p[2] + low, p[3] + low, p[4]))
                 for p in _outermost(found):
-                    same = p[1] - p[0] == p[3] - p[2] and (x[p[0] : p[1]] == y[p[2] : p[3]]).all()
-                    own = (p[0] and p[0] + length - 1, p[1] if p[1] == len(x) else p[1] - length + 1) if same else (0, 0)
-                    out.append((row, doc, hub_row, hub_doc, *p, *own))
+                    same = p[1] - p[0] == p[3] - p[2] and bool((x[p[0] : p[1]] == y[p[2] : p[3]]).all())
+                    out.append((row, doc, hub_row, hub_doc, *p, same))
             if out:
                 yield pa.RecordBatch.from_arrays([pa.array(v, t) for v, t in zip(zip(*out, strict=True), types, strict=True)], names)
 
@@ -409,22 +426,18 @@ class _Search:
         inside = F.exists("spans", lambda s: (F.col("c") >= s["start"]) & (F.col("c") < s["end"]))
         return met.where("o.row <> row").join(spans, "row", "left").where(~F.coalesce(inside, F.lit(False))).drop("spans")
 
-    def first_hand(self, rows: DataFrame) -> DataFrame:
-        """Rows without those of which every run stands in an earlier text as it is: whatever is like them is like that text's."""
-        spans = self.passages.where("own_start < own_end").groupBy("row").agg(F.collect_set(F.struct("own_start", "own_end")).alias("own"))  # of one text
-        inside = F.exists("own", lambda s: (F.col("c") >= s["own_start"]) & (F.col("c") < s["own_end"]))
-        return rows.join(spans, "row", "left").where(~F.coalesce(inside, F.lit(False))).drop("own")
-
     def shared_shingles(self, rows: DataFrame) -> DataFrame:
-        """``row, doc, marked`` of texts around the places ``c`` of ``rows``: place and hash of the shingles that another of the texts has there."""
-        places = rows.groupBy("row").agg(F.collect_set("c").alias("places"))  # of one text
-        spread = self.texts.drop("doc").join(places, "row").mapInArrow(_spread(self.length), "row long, at int, sh long")
+        """``row, doc, at, sh, spans`` of texts around the places ``c`` of ``rows``: place and hash of the shingles that another of the texts has there."""
+        spans = self.passages.groupBy("row").agg(F.collect_set(F.struct("start", "end", "same")).alias("spans"))  # of one text
+        places = rows.groupBy("row").agg(F.min("doc").alias("doc"), F.collect_set("c").alias("places"))  # of one text
+        places = self.shared.cut(places.join(spans, "row", "left"), "places")
+        spread = self.texts.drop("doc").join(places.drop("doc"), "row").mapInArrow(_spread(self.length), "row long, at int, sh long")
         group = Window.partitionBy("sh")
         marked = spread.withColumns({"a": F.min("row").over(group), "b": F.max("row").over(group)}).where("a <> b")
         marked = self.shared.cut(marked.select("row", "at", "sh"), "marked", "zstd")
-        marked = marked.groupBy("row").agg(F.collect_list(F.struct("at", "sh")).alias("marked"))  # of one text; rows that come twice do no harm
-        spans = self.passages.groupBy("row").agg(F.collect_set(F.struct("start", "end")).alias("spans"))
-        return marked.join(rows.groupBy("row").agg(F.min("doc").alias("doc")), "row").join(spans, "row", "left")
+        # of one text; both lists are filled row by row and take less room than structs. Rows that come twice do no harm
+        marked = marked.groupBy("row").agg(F.collect_list("at").alias("at"), F.collect_list("sh").alias("sh"))
+        return marked.join(places.select("row", "doc", "spans"), "row")
 
 
 def repeated_passages(spark: SparkSession, docs: DataFrame, id_column: str = "doc_id", text_column: str = "text", min_words: int = MIN_WORDS) -> DataFrame:
@@ -448,10 +461,10 @@ def repeated_passages(spark: SparkSession, docs: DataFrame, id_column: str = "do
 
     # groups with open places: those themselves, and all that may be their partners
     still = search.open_rows(met).select("key").distinct()
-    partners = shared.cut(search.first_hand(met.join(still, "key", "left_semi").select("row", "doc", "c")), "open")
+    partners = shared.cut(met.join(still, "key", "left_semi").select("row", "doc", "c"), "open")
     shared.drop(met)
     if not partners.isEmpty():
-        joint = search.shared_shingles(partners).mapInArrow(_joint(length), "row long, doc long, key long, more long, c int, open boolean")
+        joint = search.shared_shingles(partners).mapInArrow(_joint(length), "row long, doc long, key long, more int, c int, open boolean")
         search.verify(_meet_near(joint).withColumn("fs", F.lit(1)), 1)
 
     given = lambda c: F.when(F.col(c) != _NO_ID, F.col(c))
