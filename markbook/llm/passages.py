@@ -8,7 +8,7 @@ with a common minimum meet by an equality join on it.
 Members of a group are compared with the group's first text alone; candidates need windows of two functions, and the passage is
 then verified on the shingles themselves. What is in no passage after that met the wrong partner, mostly as a common line gives unlike texts
 the same minima. In these texts the shingles that stand in no other of them cannot match, and a place counts only where a run of the wanted
-length is mostly made of the others. Runs there meet again by the minima of ``WIDTH`` functions at once, over the shingles that are left, for
+length is mostly made of the others; runs that stand in an earlier text as they are leave the search to that text. Runs there meet again by the minima of ``WIDTH`` functions at once, over the shingles that are left, for
 ``TUPLES`` such sets: unlike texts seldom share them all, so each member is compared with the first of its group and the one before by one more minimum.
 Nothing is compared all with all, and the work grows with the windows.
 """
@@ -431,7 +431,8 @@ class _Search:
         spans = self.passages.groupBy("row").agg(F.collect_set(F.struct("start", "end", "same")).alias("spans"))  # of one text
         places = rows.groupBy("row").agg(F.min("doc").alias("doc"), F.collect_set("c").alias("places"))  # of one text
         places = self.shared.cut(places.join(spans, "row", "left"), "places")
-        spread = self.texts.drop("doc").join(places.drop("doc"), "row").mapInArrow(_spread(self.length), "row long, at int, sh long")
+        # places grow with the texts: a broadcast would take all of them through the driver
+        spread = self.texts.drop("doc").join(places.drop("doc").hint("merge"), "row").mapInArrow(_spread(self.length), "row long, at int, sh long")
         group = Window.partitionBy("sh")
         marked = spread.withColumns({"a": F.min("row").over(group), "b": F.max("row").over(group)}).where("a <> b")
         marked = self.shared.cut(marked.select("row", "at", "sh"), "marked", "zstd")

@@ -1,6 +1,7 @@
 from collections import defaultdict
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import functions as F
 
 from markbook.llm import passages as ps
@@ -116,3 +117,51 @@ def test_shared_run_is_the_longest():
         lo, hi = ps.shared_run(marks, at, 0.8)
         best = max((j - i for i in range(at + 1) for j in range(at + 1, len(marks) + 1) if marks[i] and marks[j - 1] and marks[at] and marks[i:j].mean() >= 0.8 - 1e-12), default=0)
         assert hi - lo == best
+
+
+def test_only_wanted_texts_are_hashed(monkeypatch):
+    hashed, word_hashes = [], ps.hashing.word_hashes
+    monkeypatch.setattr(ps.hashing, "word_hashes", lambda text: hashed.append(text) or word_hashes(text))
+    batch = pa.RecordBatch.from_pydict({"row": [*range(20)], "doc": [*range(20)], "text": [f"text {i} has a few words of its own" for i in range(20)]})
+    bits = np.zeros(64, np.int64)
+    bits[7] = 1
+    found = pa.Table.from_batches(ps._shingles(bits)([batch])).to_pydict()
+    assert found["row"] == [7] and hashed == ["text 7 has a few words of its own"]
+
+
+def test_windows_of_many_texts_are_those_of_each():
+    rng = np.random.default_rng(3)
+    texts = [" ".join(f"w{v}" for v in rng.integers(0, 40, rng.integers(1, 120))) for _ in range(50)]
+    frame = lambda ids: pa.RecordBatch.from_pydict({"row": [100 + i for i in ids], "doc": [*ids], "text": [texts[i] for i in ids]})
+    together = [r for b in ps._windows(10)([frame(range(50))]) for r in zip(*(b.column(i).to_pylist() for i in range(5)), strict=True)]
+    want = set()
+    for i, text in enumerate(texts):
+        s = ps.hashing.shingle_hashes(ps.hashing.word_hashes(text), ps.SHINGLE)
+        for f, seed in enumerate(ps._SEEDS):
+            v = ps.hashing.mix(s ^ seed)
+            places = {int(j + v[j : j + 10].argmin()) for j in range(len(v) - 9)} if len(ps.hashing.word_hashes(text)) >= ps.SHINGLE else set()
+            want |= {(100 + i, i, 1 << f, int(v[c].view(np.int64)), c) for c in places}
+    assert len(together) == len(set(together)) and set(together) == want
+
+
+def test_runs_that_stand_in_an_earlier_text_are_left_to_it():
+    """Of a text with a verbatim passage, the second search takes only runs that go beyond it."""
+    text = " ".join(f"w{i}" for i in range(104))  # 100 shingles
+    rows = lambda same: pa.RecordBatch.from_arrays(
+        [pa.array([1]), pa.array([text]), pa.array([[30, 55]], pa.list_(pa.int32())), pa.array([[{"start": 0, "end": 60, "same": same}]])], ["row", "text", "places", "spans"]
+    )
+    at = lambda same: [a for b in ps._spread(10)([rows(same)]) for a in b.column("at").to_pylist()]
+    assert at(False) == [*range(21, 40), *range(46, 65)]
+    assert at(True) == [*range(51, 65)]
+
+
+def test_longest_runs_around_all_places():
+    rng = np.random.default_rng(4)
+    for _ in range(100):
+        marks = (rng.random(rng.integers(1, 25)) < 0.7).astype(float)
+        runs = ps.Runs(marks)
+        for share in (0.75, 0.9, 1.0):
+            for at in np.flatnonzero(marks).tolist():
+                lo, hi = runs.around(at, share)
+                lengths = [j - i for i in range(at + 1) for j in range(at + 1, len(marks) + 1) if marks[i] and marks[j - 1] and marks[i:j].mean() >= share - 1e-12]
+                assert lo <= at < hi and marks[lo] and marks[hi - 1] and hi - lo == max(lengths)
