@@ -143,8 +143,11 @@ def student_profile(
 
 def profile_section(subject_label: Column) -> Column:
     """The profile's section column for a subject label."""
-    name = canonical_subject(subject_label)
-    return F.coalesce(*[F.when(name == n, F.col(c)) for n, c in _SECTION_COLUMNS.items()])
+    labels: dict[str, list[str]] = {}
+    for label, name in fixed.SUBJECT_LABELS.items():
+        labels.setdefault(name, []).append(label)
+    # each label is compared once: with the names spelled out for every column the landing rows' method was too long to be compiled
+    return F.coalesce(*[F.when(subject_label.isin(of), F.col(_SECTION_COLUMNS[name])) for name, of in labels.items()])
 
 
 def standards_catalogue(standards: DataFrame, catalogue: DataFrame) -> DataFrame:

@@ -70,11 +70,11 @@ def reject(warehouse: Warehouse, reason: str, origin: str, rows: DataFrame, key:
 
 
 def with_ids(rows: DataFrame, start: int = 1) -> DataFrame:
-    """The rows, staged, with unique ids from ``start`` on and the time of the load.
+    """The rows with unique ids from ``start`` on and the time of the load, for rows that are written at once.
 
-    Ids come from the place in the staged files, so a task that runs again gives the same ones.
+    An id is the task's number and the row's place in it, so whatever runs again, the rows that are kept of a task have ids of their own.
     """
-    return tables.audit_columns(tables.sparse_ids(tables.stage(rows), "ResultID", start))
+    return tables.audit_columns(tables.sparse_ids(rows, "ResultID", start))
 
 
 def full_load(warehouse: Warehouse, raw: DataFrame, profile: DataFrame, academic_year: str | None = None) -> None:
@@ -107,20 +107,23 @@ def load_from_pages(
     stops the load before anything of it is written.
     """
     spark = warehouse.spark
-    landing = {name: pages.landed_pages(spark, landed[name]) for name in PAGES}
+    landing = {name: tables.stage(pages.landed_pages(spark, landed[name])) for name in PAGES}
     gaps = reduce(DataFrame.unionByName, [pages.page_gaps(found).withColumn("name", F.lit(name)) for name, found in landing.items()])
     gaps = tables.stage(gaps)
     reject(warehouse, "missing_pages", "pages", gaps.withColumn("what", F.concat("name", F.lit(": "), "detail")), "request", "what")
     for row in gaps.where("kind = 'pages'").groupBy("name").agg(F.sum("missing").alias("lost")).collect():
         if row.lost > most_bad * (row.lost + pages.page_count(spark, landed[row.name])):
             raise ValueError(f"{row.lost} pages of {row.name} did not land")
+    parsed = {}
     for name, record in PAGES.items():
-        found = reject(warehouse, "bad_page", name, pages.page_rejects(spark, landed[name], record), "file", "text")
-        if found > most_bad * pages.page_count(spark, landed[name]):
+        # results need no arrival: all of them are loaded
+        parsed[name] = pages.parsed_pages(spark, landed[name], record, arrival=name != "results")
+        found = reject(warehouse, "bad_page", name, pages.page_rejects(spark, landed[name], record, parsed=parsed[name]), "file", "text")
+        if found and found > most_bad * pages.page_count(spark, landed[name]):
             raise ValueError(f"{found} pages of {name} cannot be read")
-    read = {n: pages.read_pages(spark, landed[n], record, arrival="seq") for n, record in PAGES.items()}
+    read = {n: pages.read_pages(spark, landed[n], record, arrival=None if n == "results" else "seq", parsed=parsed[n]) for n, record in PAGES.items()}
     profile = build_profile(read["enrollment"], read["sites"], read["users"], read["roster"], section_roster, subject_map)
-    raw = read["results"].drop("seq")
+    raw = read["results"]
     reject(warehouse, "undated", "full load", undated_rows(raw, profile), "local_student_id", "date_taken")
     full_load(warehouse, raw, profile, academic_year)
     rebuild_summary(warehouse)
@@ -143,7 +146,7 @@ def window_load(
     before = snapshots.base(spark, path)
     known = before is not None and "ResultID" in before.columns.names
     first = tables.next_id(tables.read_results(spark, path), "ResultID") if known else 1
-    return tables.replace_window(spark, path, with_ids(batch, first), start, end, run)
+    return tables.replace_window(spark, path, with_ids(tables.stage(batch), first), start, end, run)
 
 
 def rebuild_summary(warehouse: Warehouse, years: list | None = None) -> None:

@@ -42,28 +42,53 @@ def _envelopes(spark: SparkSession, path: str, record: StructType, multi_line: b
     return spark.read.schema(schema).option("columnNameOfCorruptRecord", _UNREADABLE).json(path, multiLine=multi_line)
 
 
+def _arrival() -> Column:
+    # Rows of one file block are read in order by one task, so the running id orders them.
+    page = [F.col("_metadata.file_path"), F.col("_metadata.file_block_start"), F.monotonically_increasing_id()]
+    return F.struct(*[c.alias(n) for c, n in zip(page, ("file", "block", "page"), strict=True)])
+
+
+def parsed_pages(spark: SparkSession, path: str, record: StructType, multi_line: bool = False, arrival: bool = True) -> DataFrame:
+    """The records of all pages and the pages that cannot be read, staged: text is parsed once for ``page_rejects`` and ``read_pages``.
+
+    A row per record, with its place in the page (``_pos``) and where ``arrival`` is asked for the page's (``_at``), or per
+    unreadable page (``_reject``).
+    """
+    pages = _envelopes(spark, path, record, multi_line)
+    bad = F.col(_UNREADABLE).isNotNull() & F.col("results").isNull()
+    reject = F.when(bad, F.struct(F.col("_metadata.file_path").alias("file"), F.col(_UNREADABLE).alias("text"))).alias("_reject")
+    # columns of the file are there only where it is read
+    named = pages.select("results", reject, *([_arrival().alias("_at")] if arrival else []))
+    rows = named.select(*[c for c in named.columns if c != "results"], F.posexplode_outer("results").alias("_pos", "r"))
+    return stage(rows.where(F.col("_pos").isNotNull() | F.col("_reject").isNotNull()).select(*[c for c in rows.columns if c != "r"], "r.*"))
+
+
 def read_pages(
-    spark: SparkSession, path: str, record: StructType, multi_line: bool = False, arrival: str | None = None
+    spark: SparkSession, path: str, record: StructType, multi_line: bool = False, arrival: str | None = None, parsed: DataFrame | None = None
 ) -> DataFrame:
     """One row per element of ``results``; a page with no results gives none, nor does one of ``page_rejects``.
 
     One envelope per line lets Spark split large files. ``multi_line`` is for one
     pretty-printed envelope per file, which a single task has to read. ``arrival`` names a column that
-    orders records as they arrived: by file name, page in the file, and place in the page.
+    orders records as they arrived: by file name, page in the file, and place in the page. ``parsed``: the ``parsed_pages`` of the path,
+    if they are needed more than once.
     """
+    if parsed is not None:
+        places = [F.struct("_at", "_pos").alias(arrival)] if arrival else []
+        return parsed.where(F.col("_pos").isNotNull()).select(*record.names, *places)
     pages = _envelopes(spark, path, record, multi_line)
     if arrival is None:
         return pages.select(F.explode("results").alias("r")).select("r.*")
-    # Rows of one file block are read in order by one task, so the running id orders them.
-    page = [F.col("_metadata.file_path"), F.col("_metadata.file_block_start"), F.monotonically_increasing_id()]
-    named = pages.select("results", F.struct(*[c.alias(n) for c, n in zip(page, ("file", "block", "page"), strict=True)]).alias("_at"))
+    named = pages.select("results", _arrival().alias("_at"))
     return named.select("_at", F.posexplode("results").alias("_pos", "r")).select(
         "r.*", F.struct("_at", "_pos").alias(arrival)
     )
 
 
-def page_rejects(spark: SparkSession, path: str, record: StructType, multi_line: bool = False) -> DataFrame:
+def page_rejects(spark: SparkSession, path: str, record: StructType, multi_line: bool = False, parsed: DataFrame | None = None) -> DataFrame:
     """``file, text`` of pages whose records cannot be read, such as one that was cut short."""
+    if parsed is not None:
+        return parsed.where(F.col("_reject").isNotNull()).select("_reject.*")
     pages = _envelopes(spark, path, record, multi_line)
     bad = pages.select(F.col("_metadata.file_path").alias("file"), "results", _UNREADABLE)
     return bad.where(F.col(_UNREADABLE).isNotNull() & F.col("results").isNull()).select("file", F.col(_UNREADABLE).alias("text"))

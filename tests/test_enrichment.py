@@ -203,6 +203,28 @@ def test_sync_program_results_repeats_rows_without_key(spark):
     assert sync_program_results(results, safe, null_safe=True).count() == 2
 
 
+# Longer methods are interpreted by the JVM and not compiled, several times slower.
+JIT_BYTES = 8000
+
+
+def test_the_landing_rows_are_compiled(spark, profile):
+    """In every form of the join the generated code stays under the size that the JVM compiles."""
+    path = scratch_dir(spark)
+    raw_rows(spark).write.parquet(path)
+    raw = spark.read.parquet(path)
+    student = [enrichment.STUDENT]
+    debug = getattr(getattr(spark._jvm.org.apache.spark.sql.execution.debug, "package$"), "MODULE$")
+    adaptive = spark.conf.get("spark.sql.adaptive.enabled")
+    try:
+        spark.conf.set("spark.sql.adaptive.enabled", "false")
+        for joined in (joins.lookup_join(raw, profile, student, "inner"), joins.scattered_join(raw, profile, student, "inner"), raw.join(profile.hint("merge"), student)):
+            rows = weekly.with_ids(enrichment._landing_rows(joined, None))
+            stages = debug.codegenStringSeq(rows._jdf.queryExecution().executedPlan())
+            assert 1000 < max(stages.apply(i)._3().maxMethodCodeSize() for i in range(stages.size())) < JIT_BYTES
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", adaptive)
+
+
 def test_weekly_update_is_repeatable(spark, profile, rows):
     warehouse = weekly.Warehouse(spark, scratch_dir(spark))
     raw, as_of = raw_rows(spark), dt.date(2024, 9, 3)

@@ -6,6 +6,7 @@ from collections import Counter
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql.readwriter import DataFrameWriter
 
 from markbook import schemas
 from markbook.plans import weekly
@@ -97,6 +98,47 @@ def test_load_keeps_missing_pages_and_stops_at_too_many(spark):
     assert warehouse.table(schemas.REJECTS).count() == 1
 
 
+def test_pages_parsed_once_are_those_read_one_by_one(spark, rows):
+    base = scratch_dir(spark)
+    whole = '{"results": [{"site_id": 1, "site_name": "a"}, null, {"site_id": 2}], "num_pages": 3}'
+    partly = '{"results": [{"site_id": "x", "site_name": "b"}, {"site_id": 3}]}'
+    land(spark, f"{base}/1", whole, whole[:-30], partly, '{"results": []}', '{"results": null}', "", '{"message": "no results"}')
+    land(spark, f"{base}/2", '{"results": {"site_id": 4}}', '{"results": [{"site_id": 5}], "num_pages": "many"}', "cut", whole)
+    path, record = f"{base}/*", schemas.SITES
+    parsed = pages.parsed_pages(spark, path, record)
+    rejects = rows(pages.page_rejects(spark, path, record))
+    assert len(rejects) >= 2 and rows(pages.page_rejects(spark, path, record, parsed=parsed)) == rejects
+    records = rows(pages.read_pages(spark, path, record))
+    assert len(records) >= 6 and rows(pages.read_pages(spark, path, record, parsed=parsed)) == records
+    order = lambda df: [r[:-1] for r in df.orderBy("seq").collect()]
+    assert order(pages.read_pages(spark, path, record, arrival="seq", parsed=parsed)) == order(pages.read_pages(spark, path, record, arrival="seq"))
+    assert rows(pages.read_pages(spark, path, record, parsed=pages.parsed_pages(spark, path, record, arrival=False))) == records
+
+
+def test_a_load_parses_each_folder_twice_and_writes_the_fact_once(spark, monkeypatch):
+    """Once for what its pages state and once for its records, whatever reads them."""
+    base = scratch_dir(spark)
+    sent = {
+        "results": '{"local_student_id": "s1", "date_taken": "2024-09-01", "points": "1"}',
+        "enrollment": '{"district_student_id": "s1", "site_id": 4}',
+        "sites": '{"site_id": 4, "site_name": "North"}',
+        "users": '{"user_id": "u1"}',
+        "roster": '{"district_student_id": "s1", "user_id": "u1"}',
+    }
+    for name, record in sent.items():
+        land(spark, f"{base}/{name}", '{"results": [' + record + "]}")
+    section = spark.createDataFrame([], "student_id string, section_id string, teacher_first string, teacher_last string, subject_area int, content_area int, seq int")
+    subjects = spark.createDataFrame([], "subject_area_name string, sa_code int, course_id_code int")
+    written, write = [], DataFrameWriter.parquet
+    monkeypatch.setattr(DataFrameWriter, "parquet", lambda self, path, *a, **k: (written.append(self._df), write(self, path, *a, **k))[1])
+    warehouse = weekly.Warehouse(spark, scratch_dir(spark))
+    weekly.load_from_pages(warehouse, {name: f"{base}/{name}" for name in sent}, section, subjects)
+    assert warehouse.read("results").count() == 1 and warehouse.table(schemas.SUMMARY).count() == 0
+    parses = sum(df._jdf.queryExecution().executedPlan().toString().count("FileScan json") for df in written)
+    assert parses == 2 * len(weekly.PAGES)
+    assert sum({"DateCompleted", "SectionID", "PercentCorrect"} <= set(df.columns) for df in written) == 1
+
+
 def test_sketch_goes_into_arrays_and_keeps_types_by_file(spark, rows):
     one, two = scratch_dir(spark), scratch_dir(spark)
     land(spark, one, '{"id": 1, "q": [{"n": 1, "c": [{"l": "A", "ok": true}]}, {"n": 2, "c": null}], "x": {"y": 1.5}}', '{"id": 2, "q": []}')
