@@ -40,11 +40,19 @@ def envelopes(rows: DataFrame, size: int = PAGE_SIZE, page: Column | None = None
 
         for batch in batches:
             lines = []
-            for number, record in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                records = held.setdefault(number, [])
-                records.append(record)
-                if len(records) == size:
-                    lines.append(line(number, held.pop(number)))
+            if numbered:
+                for number, record in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                    records = held.setdefault(number, [])
+                    records.append(record)
+                    if len(records) == size:
+                        lines.append(line(number, held.pop(number)))
+            else:
+                # a whole batch at once
+                records = held.pop(None, []) + batch.column(1).to_pylist()
+                whole = len(records) // size * size
+                lines += [line(None, records[i : i + size]) for i in range(0, whole, size)]
+                if whole < len(records):
+                    held[None] = records[whole:]
             yield pa.RecordBatch.from_arrays([pa.array(lines, pa.string())], ["value"])
         for number, records in held.items():
             yield pa.RecordBatch.from_arrays([pa.array([line(number, records)], pa.string())], ["value"])

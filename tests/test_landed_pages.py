@@ -115,6 +115,13 @@ def test_pages_parsed_once_are_those_read_one_by_one(spark, rows):
     assert rows(pages.read_pages(spark, path, record, parsed=pages.parsed_pages(spark, path, record, arrival=False))) == records
 
 
+def test_pages_are_counted_by_their_first_letters(spark):
+    """A line is a page if it has more than blanks, however many it starts with; only those with many are looked at as a whole."""
+    path = scratch_dir(spark)
+    land(spark, path, "{}", "", " " * 63, " " * 500, " " * 63 + "x", " " * 64 + "x", " " * 500 + "x", "\t", "é" * 100)
+    assert pages.page_count(spark, path) == 6
+
+
 def test_a_load_parses_each_folder_twice_and_writes_the_fact_once(spark, monkeypatch):
     """Once for what its pages state and once for its records, whatever reads them."""
     base = scratch_dir(spark)
